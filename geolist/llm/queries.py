@@ -5,26 +5,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_trees, substring_dedup
+from . import decontaminate, mixing, quality_trees, sharding, simhash, substring_dedup, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path as tokenizer_path
+
+    path = token_files.write_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return token_files.with_crc(token_files.read_tokens(spark, path))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(_table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archives(_table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality_trees.fit_quality(docs, _table(spark, sf_dir, "labels"))
     return quality_trees.quality_rules(docs, model)
 
 
+def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.histogram_shards(_table(spark, sf_dir, "documents"))
+
+
+def op8_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.mark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_token_files": op2_token_files,
+    "op3_simhash": op3_simhash,
+    "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,
+    "op7_histogram_shards": op7_histogram_shards,
+    "op8_temperature_mix": op8_temperature_mix,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_temperature_mix": mixing.mix_sql("documents")}
