@@ -52,21 +52,8 @@ def find_exponent(sources: DataFrame, budget: int, *, max_repeats: float | None,
     return low
 
 
-def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", budget_share: float = 1.0, max_repeats: float | None = 1.5, min_entropy: float | None = None, seed: int = 17) -> DataFrame:
-    """Per document: ``doc_id, source, n_tokens, exponent, quota, block, copies``.
-
-    Tokens are words between ASCII white space; a text without words counts one token.  ``budget_share`` of all
-    tokens is the budget.  ``copies`` is how often the mix takes the document; the copies of a source hold its
-    ``quota`` of tokens to within one document.  A null source is a source of its own; null texts have one
-    token; rows with the same id and text are drawn one after the other in the order of their block.  A source of
-    n documents has about sqrt(n) blocks of sqrt(n) documents, so no task ever sorts a whole source.
-    """
-    rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
-        F.col(source).cast("string").alias("source"),
-        F.greatest(F.size(words_of(text)), F.lit(1)).cast("long").alias("n_tokens"),
-    )
-    rows = staged(rows)
+def _with_copies(docs: DataFrame, rows: DataFrame, *, budget_share: float, max_repeats: float | None, min_entropy: float | None, seed: int) -> DataFrame:
+    """``docs(doc_id, source, n_tokens, ...)`` with ``exponent, quota, block, copies``; ``rows`` has the same first three."""
     sources = staged(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs")))
     budget = int(budget_share * (sources.agg(F.sum("tokens")).first()[0] or 0))
     step = find_exponent(sources, budget, max_repeats=max_repeats, min_entropy=min_entropy)
@@ -78,21 +65,51 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
         F.floor(F.round(power / F.lit(z) * F.lit(float(budget)), 3)).cast("long").alias("quota"),
         F.ceil(F.sqrt("n_docs")).cast("long").alias("n_blocks"),
     ).select("*", F.expr("quota div tokens").alias("passes"), F.expr("quota % tokens").alias("rest"))
-    placed = rows.join(quotas, F.col("source").eqNullSafe(F.col("_s"))).withColumn("block", _draw(F.lit(f"{seed}|block"), F.coalesce("doc_id", F.lit(-1)).cast("string")) % F.col("n_blocks"))
-    sums = placed.groupBy("source", "block").agg(F.sum("n_tokens").alias("block_tokens")).withColumn("turn", _draw(F.lit(f"{seed}|turn"), F.coalesce("source", F.lit("")), F.col("block").cast("string")))
+    number = F.coalesce("doc_id", F.lit(-1)).cast("string")
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.join(quotas, F.col("source").eqNullSafe(F.col("_s"))).withColumn("block", _draw(F.lit(f"{seed}|block"), number) % F.col("n_blocks"))
+
+    sums = placed(rows).groupBy("source", "block").agg(F.sum("n_tokens").alias("block_tokens")).withColumn("turn", _draw(F.lit(f"{seed}|turn"), F.coalesce("source", F.lit("")), F.col("block").cast("string")))
     before = Window.partitionBy("source").orderBy("turn", "block").rowsBetween(Window.unboundedPreceding, -1)
     filled = sums.select(F.col("source").alias("_s2"), F.col("block").alias("_b"), F.coalesce(F.sum("block_tokens").over(before), F.lit(0)).alias("filled"))
-    both = placed.join(filled, F.col("source").eqNullSafe(F.col("_s2")) & (F.col("block") == F.col("_b")))
-    inside = Window.partitionBy("source", "block").orderBy(_draw(F.lit(f"{seed}|doc"), F.coalesce("doc_id", F.lit(-1)).cast("string")), "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
+    both = placed(docs).join(filled, F.col("source").eqNullSafe(F.col("_s2")) & (F.col("block") == F.col("_b")))
+    inside = Window.partitionBy("source", "block").orderBy(_draw(F.lit(f"{seed}|doc"), number), "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     taken = both.withColumn("upto", F.col("filled") + F.sum("n_tokens").over(inside) - F.col("n_tokens"))
-    return taken.select("doc_id", "source", "n_tokens", F.lit(step / STEPS).alias("exponent"), "quota", "block", (F.col("passes") + (F.col("upto") < F.col("rest")).cast("long")).alias("copies"))
+    return taken.withColumn("exponent", F.lit(step / STEPS)).withColumn("copies", F.col("passes") + (F.col("upto") < F.col("rest")).cast("long"))
+
+
+def _measured(docs: DataFrame, doc_id: str, text: str, source: str, *more) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.greatest(F.size(words_of(text)), F.lit(1)).cast("long").alias("n_tokens"), *more)
+
+
+def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", budget_share: float = 1.0, max_repeats: float | None = 1.5, min_entropy: float | None = None, seed: int = 17) -> DataFrame:
+    """Per document: ``doc_id, source, n_tokens, exponent, quota, block, copies``.
+
+    Tokens are words between ASCII white space; a text without words counts one token.  ``budget_share`` of all
+    tokens is the budget.  ``copies`` is how often the mix takes the document; the copies of a source hold its
+    ``quota`` of tokens to within one document.  A null source is a source of its own; null texts have one
+    token; rows with the same id are drawn one after the other in the order of their block.  A source of
+    n documents has about sqrt(n) blocks of sqrt(n) documents, so no task ever sorts a whole source.
+    """
+    rows = staged(_measured(docs, doc_id, text, source))
+    taken = _with_copies(rows, rows, budget_share=budget_share, max_repeats=max_repeats, min_entropy=min_entropy, seed=seed)
+    return taken.select("doc_id", "source", "n_tokens", "exponent", "quota", "block", "copies")
+
+
+def apply_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", budget_share: float = 1.0, max_repeats: float | None = 1.5, min_entropy: float | None = None, seed: int = 17) -> DataFrame:
+    """The mixed corpus: rows of ``docs`` with all their columns, each as often as the mix takes it."""
+    rows = staged(_measured(docs, doc_id, text, source))
+    whole = _measured(docs, doc_id, text, source, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    taken = _with_copies(whole, rows, budget_share=budget_share, max_repeats=max_repeats, min_entropy=min_entropy, seed=seed)
+    return taken.where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), "copies"))).select("_row.*")
 
 
 def mix_sql(table: str, *, max_repeats: float = 1.5, seed: int = 17) -> str:
     """The same for DuckDB, with the budget of all tokens."""
     draw = lambda s: f"('0x' || md5({s})[1:15])::BIGINT"
     return f"""
-WITH r AS (SELECT doc_id, source, greatest(len(list_filter(string_split(translate(coalesce(text, ''), chr(9)||chr(10)||chr(11)||chr(12)||chr(13), '     '), ' '), w -> w <> '')), 1)::BIGINT AS n_tokens FROM {table}),
+WITH r AS (SELECT doc_id, source, greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1)::BIGINT AS n_tokens FROM {table}),
 s AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, count(*) AS n_docs FROM r GROUP BY 1),
 b AS (SELECT sum(tokens)::BIGINT AS budget FROM s),
 g AS (SELECT k, max(pow(tokens::DOUBLE, k / {STEPS}.0::DOUBLE) / tokens) / sum(pow(tokens::DOUBLE, k / {STEPS}.0::DOUBLE)) * any_value(budget) AS top

@@ -163,3 +163,18 @@ def quality_rules(docs: DataFrame, model: Trees, *, doc_id: str = "doc_id", text
 
     schema = "doc_id long, " + ", ".join(f"{s} long" for s in STATS) + ", base_failed boolean, quality_score double, kept boolean"
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(judge, schema)
+
+
+def drop_low_quality(docs: DataFrame, model: Trees, *, text: str = "text", min_words: int = 50, max_repeat_percent: int = 50, min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    at = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = [text_stats(b) for b in column_bytes(batch, batch.schema.names[at])]
+            base = np.array([b for b, _ in both], np.int64).reshape(-1, len(STATS))
+            score = model.score(np.array([f for _, f in both], float).reshape(-1, len(FEATURES)))
+            good = (base[:, 0] >= min_words) & (100 * base[:, 4] <= max_repeat_percent * base[:, 0]) & (score >= min_score)
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)

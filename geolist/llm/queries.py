@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_trees, sharding, simhash, substring_dedup, token_files, warc
+from . import decontaminate, mixing, neural_lm, quality_trees, sharding, simhash, substring_dedup, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neural_lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path as tokenizer_path
 
@@ -23,6 +26,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.write_archives(_table(spark, sf_dir, "pages"))
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -51,8 +59,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_log_bilinear": op1_log_bilinear,
     "op2_token_files": op2_token_files,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,
     "op7_histogram_shards": op7_histogram_shards,
