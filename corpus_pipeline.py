@@ -1,17 +1,54 @@
-"""Corpus pipeline over documents (stages follow)."""
+"""Corpus pipeline over ``documents``: quality rules, near-dedup, decontamination, source mixing, token files.
+
+Each stage works on all that its predecessor kept and is written as Parquet before the next one reads it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geolist.llm import quality_trees
+from geolist.llm import common, decontaminate, mixing, quality_trees, simhash, token_files
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the trees keep."""
+    model = quality_trees.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_trees.drop_low_quality(docs, model)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies (five-word shingles, similarity 0.8)."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.apply_mix(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix, read back: ``doc_id, start, n_tokens, ids_crc32``."""
+    from public_tokenizers import path
+
+    written = token_files.write_tokens(docs, path("word_bpe_49k.json"))
+    return token_files.with_crc(token_files.read_tokens(spark, written))
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminated), ("mix", mixed), ("tokens", tokens)]
 
-STAGES: list = []
+#: Boosted trees, SimHash and the tokenizer have no SQL equivalent.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = common.staged(docs)
     return docs
