@@ -65,11 +65,11 @@ class LogBilinear:
             at += x.size
         return LogBilinear(*parts)
 
-    def train(self, target: np.ndarray, context: np.ndarray, noise: np.ndarray, *, seed: int, batch: int = 2048, samples: int = 64, ratio: float = 16.0, rate: float = 0.1) -> LogBilinear:
+    def train(self, target: np.ndarray, context: np.ndarray, noise: np.ndarray, *, seed: int, batch: int = 2048, samples: int = 32, ratio: float = 16.0, rate: float = 0.1) -> LogBilinear:
         """One pass of noise-contrastive estimation with AdaGrad; the noise words of a batch are shared by its tokens."""
         rng = np.random.default_rng(seed)
         r, c, q, b = (x.astype(np.float32) for x in (self.r, self.c, self.q, self.b))
-        grown = [np.full(x.shape, 1e-2, np.float32) for x in (r, c, q, b)]
+        grown = [np.full(x.shape, 1e-6, np.float32) for x in (r, c, q, b)]
         k, dim = q.shape
         shift = np.log(ratio * noise).astype(np.float32)
         cumulated = np.cumsum(noise)
@@ -172,21 +172,21 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     start = len(own) + classes
     model = LogBilinear.start(unigram, dim)
 
-    for turn in range(rounds):
-
-        def train(key: tuple, data: pa.Table, model: LogBilinear = model, turn: int = turn) -> pa.Table:
+    def trainer(model: LogBilinear, turn: int):
+        def train(key: tuple, data: pa.Table) -> pa.Table:
             symbol = _Symbols(own, classes)
-            texts = [t for t, h in zip(column_bytes(data, "_text"), data.column("held_out").to_pylist()) if not h]
-            order = np.random.default_rng(key[0].as_py()).permutation(len(texts))
-            texts = sorted(texts)
-            tokens = _tokens([texts[i] for i in order])
+            texts = sorted(t for t, h in zip(column_bytes(data, "_text"), data.column("held_out").to_pylist()) if not h)
+            tokens = _tokens([texts[i] for i in np.random.default_rng(key[0].as_py()).permutation(len(texts))])
             lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
             flat = np.concatenate([np.fromiter(map(symbol.__getitem__, t), np.int64, len(t)) for t in tokens]) if tokens else np.empty(0, np.int64)
             new = model.train(flat, _contexts(flat, lengths, start), unigram, seed=1000 * turn + key[0].as_py(), rate=0.1 / (1 + turn)) if len(flat) else model
             values = new.flat()
             return pa.table([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values * len(flat)), pa.array(np.full(len(values), float(len(flat))))], ["i", "x", "w"])
 
-        passed = dealt.groupBy("_block").applyInArrow(train, "i int, x double, w double")
+        return train
+
+    for turn in range(rounds):
+        passed = dealt.groupBy("_block").applyInArrow(trainer(model, turn), "i int, x double, w double")
         mean = passed.groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).where("x is not null").toArrow()  # one number a parameter
         flat = model.flat()
         flat[np.asarray(mean.column("i"))] = np.asarray(mean.column("x"))
