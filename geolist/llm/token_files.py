@@ -7,10 +7,13 @@ selectively (column pruning for metadata, row-group and page statistics on ``doc
 
 from __future__ import annotations
 
-import itertools
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -23,59 +26,61 @@ from .common import parts_for, shared_dir
 _LOADED: dict[str, WordEncoder] = {}
 
 
+#: The splitting pattern of the file for lower-case ASCII texts, and for Latin texts up to U+024F, where its
+#: numbers beside the digits are the six superscripts and fractions of Latin-1.
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[0-9²³¹¼½¾]|(?:[^\w\s]|_)+")
+#: Texts of which Python's lower-casing and classes are known to be the library's.
+_PLAIN = re.compile("[\t-\r -~\xa1-\u024f]*")
+_SPLIT = ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", ["NFC", "Replace", "Lowercase"])
+
+
+class _Pieces(dict):
+    """Ids of pieces, made by the library's byte mapping and merge model; holds ``most`` at a time."""
+
+    def __init__(self, tokenizer, most: int):
+        super().__init__()
+        self.mapped, self.merge, self.most = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize, most
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        parts = [piece] if piece.isascii() else [p for p, _ in self.mapped(piece)]
+        value = self[piece] = array("i", [t.id for p in parts for t in self.merge(p)]).tobytes()
+        return value
+
+
 class WordEncoder:
-    """Ids of a text by a word-level BPE file of the tokenizers library, equal to ``encode`` without special tokens.
+    """Ids of a text by a BPE file of the tokenizers library, equal to its ``encode`` without special tokens.
 
-    White space always ends a token there, so words are encoded once and kept: raw words, and below them the
-    pieces of the file's own splitting pattern, each passed through the library's normaliser, byte mapping and
-    merge model.  ``max_words`` bounds what one Python worker keeps.
+    For a file with the splitting pattern above, the pieces of plain ASCII and Latin texts go through the
+    library's merge model once and are kept; ``max_pieces`` bounds what one Python worker keeps.  All other
+    texts, and texts of other files, go through the library whole.
     """
 
-    def __init__(self, path: str, max_words: int = 400_000):
-        import json
-
-        import regex
+    def __init__(self, path: str, max_pieces: int = 500_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        split = spec["pre_tokenizer"]["pretokenizers"][0]
-        self.pattern = regex.compile(split["pattern"]["Regex"])
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.normal = self.tokenizer.normalizer.normalize_str
-        self.mapped = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self.merge = self.tokenizer.model.tokenize
-        self.max_words = max_words
-        self.words: dict[str, tuple] = {}
-        self.pieces: dict[str, tuple] = {}
-
-    def _piece(self, piece: str) -> tuple:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            parts = [piece] if piece.isascii() else [p for p, _ in self.mapped(piece)]
-            ids = tuple(t.id for p in parts for t in self.merge(p))
-            if len(self.pieces) >= 4 * self.max_words:
-                self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
-
-    def _word(self, word: str) -> tuple:
-        plain = word.lower() if word.isascii() else self.normal(word)
-        found = self.pattern.findall(plain)
-        return self._piece(found[0]) if len(found) == 1 else tuple(itertools.chain.from_iterable(map(self._piece, found)))
+        steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        first = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.known = (first.get("pattern", {}).get("Regex"), steps) == _SPLIT
+        self.pieces = _Pieces(self.tokenizer, max_pieces)
+
+    def packed(self, text: str) -> bytes:
+        """Ids of the text as 32-bit integers."""
+        if self.known and _PLAIN.fullmatch(text):
+            if text.isascii():
+                return b"".join(map(self.pieces.__getitem__, _ASCII.findall(text.lower())))
+            if is_normalized("NFC", text):
+                return b"".join(map(self.pieces.__getitem__, _LATIN.findall(text.lower())))
+        return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> list[int]:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return list(itertools.chain.from_iterable(map(self.words.__getitem__, words)))
-        except KeyError:
-            if len(self.words) >= self.max_words:
-                self.words.clear()
-            for w in words:
-                if w not in self.words:
-                    self.words[w] = self._word(w)
-            return list(itertools.chain.from_iterable(map(self.words.__getitem__, words)))
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -100,13 +105,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
+        end = np.int32(end_id).tobytes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 piece = batch.slice(lo, 256)
-                ids = [[*encoder.encode(t or ""), end_id] for t in piece.column("_text").to_pylist()]
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                ids = [encoder.packed(t or "") for t in piece.column("_text").to_pylist()]
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4 + 1
                 ends = np.cumsum(sizes)
-                flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(ends[-1]))
+                flat = np.frombuffer(end.join([*ids, b""]), np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(flat))
                 yield pa.record_batch([piece.column("doc_id"), pa.array(np.full(len(ids), part, np.int32)), pa.array(at + ends - sizes), pa.array(sizes), lists], ["doc_id", "part", "offset", "n_tokens", "ids"])
                 at += int(ends[-1])
@@ -134,6 +140,8 @@ def read_tokens(spark: SparkSession, path: str, *, with_ids: bool = True) -> Dat
     """Documents with their global start: ``doc_id, start, n_tokens`` and, if asked for, ``ids``."""
     rows = spark.read.parquet(path)
     bases = manifest(spark, path).select("part", "base")
+    # 12 bytes a file: sent to all tasks while the files number a million at most, joined beyond that
+    bases = F.broadcast(bases) if bases.count() <= 1_000_000 else bases
     got = rows.join(bases, "part").withColumn("start", F.col("base") + F.col("offset"))
     return got.select("doc_id", "start", "n_tokens", *(["ids"] if with_ids else []))
 

@@ -37,10 +37,11 @@ def test_words_equal_library_encoding():
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    plain, own = Tokenizer.from_file(path), t.WordEncoder(path, max_words=3)
+    plain, own = Tokenizer.from_file(path), t.WordEncoder(path, max_pieces=3)
     plain.encode_special_tokens = True
-    texts = ["", " ", "Don't stop's WE'LL 12a3 ###$$ it’s", "ΑΣ ΟΔΟΣ Ünï İstanbul ß ﬁ é ́a", "a b c\x85d\x1ce", "<|endoftext|> <|startoftext|>x", "日本語 テスト emoji 😀😀 ok", "tab\tnew\nline\r\n  two"]
+    texts = ["", " ", "Don't stop's WE'LL 12a3 ###$$ it’s", "ΑΣ ΟΔΟΣ Ünï İstanbul ß ﬁ é ́a", "a b c\x85d\x1ce", "<|endoftext|> <|startoftext|>x", "日本語 テスト emoji 😀😀 ok", "x² ½ª º_a__b µ÷× İX ŉ ǅ Ȼ a\xa0b", "l'été D'ACCORD qu'il's", "tab\tnew\nline\r\n  two"]
     for text in texts:
+        assert own.known
         assert own.encode(text) == plain.encode(text, add_special_tokens=False).ids, text
 
 
