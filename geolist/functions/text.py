@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,8 +59,6 @@ def slugify(c: Column) -> Column:
 
 def slugify_any(c: Column) -> Column:
     """Like ``slugify`` for every script, by Unicode decomposition in Arrow batches."""
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def decomposed(s: pd.Series) -> pd.Series:
         return s.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
