@@ -101,11 +101,11 @@ def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.select("id", scores.rank_personas(F.transform("all", lambda p: F.struct(p.place.alias("place"), p.persona.alias("persona"), F.round(p.score, 9).alias("score"), p.top_factors.alias("top_factors"))), k=3, min_score=0.1).alias("top"))
 
 
-@query(f"{_PERSONAS} SELECT id, persona, rank::INT AS rank, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, place) AS rank FROM ps WHERE round(score, 9) >= 0.1) WHERE rank <= 3")
+@query(f"{_PERSONAS} SELECT id, persona, rank::INT AS rank, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, place) AS rank FROM ps WHERE round(score, 9) >= 0.1) WHERE rank <= 3")
 def persona_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the outer form: the plain one adds a filter that repeats the whole expression
     each = _ranked(spark, sf_dir).select("id", F.posexplode_outer("top").alias("pos", "p")).where("pos is not null")
-    return each.select("id", "p.persona", (F.col("pos") + 1).alias("rank"), F.round("p.score", 6).alias("score"))
+    return each.select("id", "p.persona", (F.col("pos") + 1).alias("rank"), F.col("p.score").alias("score"))
 
 
 @query(f"{_PERSONAS} SELECT persona, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, place) AS rank FROM ps WHERE round(score, 9) >= 0.1) WHERE rank <= 3 AND round(score, 9) >= 0.55 GROUP BY 1")
