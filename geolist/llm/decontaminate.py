@@ -80,15 +80,21 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     return laid.select("doc_id", "text_hash", "start", F.size("w").alias("n_words"), "wh").join(verified, "wh").drop("wh")
 
 
+def leaky_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """One row per contaminated document: ``doc_id, text_hash, contaminated`` (true), ``n_items``, the least matching
+    ``item_id`` and the top ``similarity``.  Clean documents are absent."""
+    leaks = find_leaks(docs, items, **options)
+    each = leaks.groupBy("doc_id", "text_hash").agg(F.countDistinct("item_id").alias("n_items"), F.min("item_id").alias("item_id"), F.round(F.max("similarity"), 6).alias("similarity"))
+    return each.select("doc_id", "text_hash", F.lit(True).alias("contaminated"), "n_items", "item_id", "similarity")
+
+
 def mark_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """Every document with ``contaminated``, ``n_items``, the least matching ``item_id`` and the top ``similarity``."""
+    """Every document, clean ones too, with the columns of ``leaky_documents`` but the text hash."""
     doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
-    leaks = find_leaks(docs, items, **options)
-    each = leaks.groupBy("doc_id", "text_hash").agg(F.countDistinct("item_id").alias("n_items"), F.min("item_id").alias("item_id"), F.max("similarity").alias("similarity"))
-    each = each.withColumnRenamed("doc_id", "_d").withColumnRenamed("text_hash", "_h")
+    each = leaky_documents(docs, items, **options).withColumnRenamed("doc_id", "_d").withColumnRenamed("text_hash", "_h")
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
     joined = keyed.join(each, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left")
-    return joined.select("doc_id", F.col("_h").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "item_id", F.round("similarity", 6).alias("similarity"))
+    return joined.select("doc_id", F.coalesce("contaminated", F.lit(False)).alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "item_id", "similarity")
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

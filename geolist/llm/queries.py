@@ -55,7 +55,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.mark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    """The contaminated documents."""
+    return decontaminate.leaky_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 QUERIES = {
