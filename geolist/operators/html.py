@@ -202,12 +202,12 @@ def merged_attributes(*maps: Column) -> Column:
     return out
 
 
-def ids_and_coordinates(html: Column) -> Column:
+def ids_and_coordinates(html: Column, *, listing_key: str = "[A-Za-z0-9]+-ID", provider_key: str = "Anbieter-ID") -> Column:
     """Struct of the portal's ids and the coordinates set in page scripts; coordinates are null unless both parse."""
     number = lambda k: F.regexp_extract(html, k + r"\s*=\s*['\"]?(-?[0-9]+\.?[0-9]*)", 1).try_cast("double")
     lat, lon = number("latitude"), number("longitude")
     digits = lambda k: F.nullif(F.regexp_extract(html, k + r"[^0-9<]*([0-9]+)", 1), F.lit(""))
-    return F.struct(digits("immobilie1-ID").alias("listing_id"), digits("Anbieter-ID").alias("provider_id"), F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("latitude"), lon.alias("longitude"))).alias("coordinates"))
+    return F.struct(digits(listing_key).alias("listing_id"), digits(provider_key).alias("provider_id"), F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("latitude"), lon.alias("longitude"))).alias("coordinates"))
 
 
 def total_count(html: Column, pattern: str = r"([0-9][0-9.]*)\s+Eigentumswohnungen") -> Column:

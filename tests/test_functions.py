@@ -16,7 +16,7 @@ def values(spark, rows, fn, kind="string"):
 
 CASES = [
     (T.parse_number, {"12.345,67": 12345.67, "12,345.67": 12345.67, "12,5": 12.5, "1.234": 1234.0, "1.250.000": None, "01.01.2026": None, "abc": None, "": None, None: None}),
-    (T.number_token, {"ImmoScout24 ist 3,5 Zi": "3,5", "frei ab 01.01.2026": "01.01.2026", "60m²": None, "60 m²": "60", "kein": None, None: None}),
+    (T.number_token, {"Portal24 ist 3,5 Zi": "3,5", "frei ab 01.01.2026": "01.01.2026", "60m²": None, "60 m²": "60", "kein": None, None: None}),
     (T.as_float, {"1.234,56 €": 1234.56, "1.234": 1.234, "": None, None: None, "85 m²": 85.0}),
     (T.gtfs_seconds, {"25:10:00": 90600, "7:05": 25500, "7:61": None, "": None, None: None}),
     (T.canonical_url, {"https://x.de/a?utm_s=1&b=2&ref=q&c=": "https://x.de/a?b=2&c=", "https://x.de/a": "https://x.de/a", "https://x.de/?ref=1#f": "https://x.de/#f"}),
