@@ -74,20 +74,19 @@ def unplanes(blob: bytes, dtype: type) -> np.ndarray:
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: rows ``(node, root)``, root the least node reachable.
 
-    Hooking on the least neighbour's label with pointer jumping; the number of rounds grows with the
-    logarithm of the longest chain.  Each round is a written table, so a lost executor costs one round.
-    Minima are combined before each shuffle; joins are left to adaptive execution, which splits hubs.
+    Each round gives a node the least of its label, its neighbours' labels and its label's label, so the number of
+    rounds grows with the logarithm of the longest chain; stars are done at once.  A round is one written table,
+    so a lost executor costs one round.  Minima are combined before each shuffle; joins are left to adaptive
+    execution, which splits hubs.
     """
     both = staged(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     label = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
     for _ in range(max_rounds):
         seen = both.join(label.select(F.col("node").alias("b"), F.col("root").alias("r")), "b").groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
-        hooked = label.join(seen, "node", "left").select("node", F.least("root", "r").alias("root"), F.col("root").alias("was"))
-        hooked = staged(hooked)
-        jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = staged(hooked.join(jump, "root", "left").select("node", F.least("root", "up").alias("root"), "was"))
-        changed = new.where("root <> was").limit(1).count()
+        jump = label.select(F.col("node").alias("root"), F.col("root").alias("up"))
+        new = label.join(seen, "node").join(jump, "root")
+        new = staged(new.select("node", F.least("root", "r", "up").alias("root"), (F.col("root") > F.least("r", "up")).alias("moved")))
         label = new.select("node", "root")
-        if not changed:
+        if not new.where("moved").limit(1).count():
             return label
     raise RuntimeError("components did not settle")
