@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column_bytes, components, staged
@@ -89,11 +89,14 @@ def _spanning(fp: np.ndarray, check: np.ndarray, radius: int, check_radius: int)
 def link_edges(points: DataFrame, radius: int, *, check_radius: int = 64) -> DataFrame:
     """Edges ``a, b`` that connect ``points(id, fp, check)`` just as all links within ``radius`` would.
 
+    With a column ``family``, fingerprints are compared within their family only.
+
     Points go to one bucket per covering mask.  Buckets hold distinct points, so copies of one text never
     crowd one; each is reduced to spanning edges in one pass over sorted rows.
     """
     masks = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(covering_masks(radius))])
-    rows = points.select("id", "fp", "check", F.explode(masks).alias("m")).select(F.xxhash64("m.t", "m.key").alias("bucket"), "id", "fp", "check")
+    family = F.col("family") if "family" in points.columns else F.lit(0)
+    rows = points.select("id", "fp", "check", family.alias("f"), F.explode(masks).alias("m")).select(F.xxhash64("f", "m.t", "m.key").alias("bucket"), "id", "fp", "check")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple = ()
@@ -149,13 +152,16 @@ def simhash_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The pipeline's fingerprints: two seeds of words weighted by the root of their count, and one of word pairs.
-_SEEDS = (42, 7)
-
-
-def _word_print(count: Counter, seed: int) -> int:
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in count), np.uint64, len(count))
-    return _majority(hashes, np.sqrt(np.fromiter(count.values(), float, len(count))))
+def word_prints(count: Counter, families: int) -> list[int]:
+    """Independent SimHashes of words, each weighted by the root of its count."""
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in count), np.uint64, len(count))
+    weights = np.sqrt(np.fromiter(count.values(), float, len(count)))
+    out = []
+    for k in range(families):
+        mixed = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        out.append(_majority(mixed ^ (mixed >> np.uint64(32)), weights))
+    return out
 
 
 def _shingle_set(text: bytes, width: int) -> np.ndarray:
@@ -189,12 +195,13 @@ def _similar_stars(sets: list[np.ndarray], floor: float) -> Iterator[tuple[int,
                 left = left[~np.isin(left, reached)]
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, min_similarity: float = 0.8, radius: int = 5, check_radius: int = 14, chunk: int = 512) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, min_similarity: float = 0.8, radius: int = 3, families: int = 8, check_radius: int = 16, chunk: int = 512) -> DataFrame:
     """Distinct texts with their group: ``text_key`` (MD5), ``least`` (smallest doc id), ``keep_key, keep_id``.
 
     Two texts are near duplicates if the sets of their ``width``-word shingles (A-Z lower-cased) have Jaccard
     similarity of ``min_similarity`` or more; groups are connected by such links.  Candidates come from covering
-    tables over two SimHashes of the words, checked by a third over word pairs; every candidate group is then
+    tables over ``families`` independent SimHashes of the words (one within ``radius`` is enough: at similarity 0.8
+    half of the families are), checked by another over word pairs; every candidate group is then
     verified by the exact similarity of all its texts, in chunks of ``chunk`` texts against each other, so a
     group of any size is whole and no task holds more than two chunks.  Null and blank texts have no shingles:
     each distinct one is a group of its own (null counts as empty).
@@ -204,21 +211,20 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp1, fp2, check = [], [], []
+            own, check = [], []
             for t in column_bytes(batch, "_text"):
                 words = t.lower().split()
-                count = Counter(words)
-                fp1.append(_word_print(count, _SEEDS[0]))
-                fp2.append(_word_print(count, _SEEDS[1]))
+                own.append(np.array(word_prints(Counter(words), families), np.uint64).view(np.int64))
                 check.append(shingle_print(words, 2))
             blank = pa.array([not t.strip() for t in column_bytes(batch, "_text")])
-            yield pa.record_batch([batch.column("text_key"), batch.column("doc_id"), _signed(fp1), _signed(fp2), _signed(check), blank], ["text_key", "doc_id", "fp1", "fp2", "check", "blank"])
-
-    made = rows.mapInArrow(prints, "text_key binary, doc_id long, fp1 long, fp2 long, check long, blank boolean")
-    texts = staged(made.groupBy("text_key").agg(F.min("doc_id").alias("least"), *[F.max(c).alias(c) for c in ("fp1", "fp2", "check", "blank")]).withColumn("id", F.xxhash64("text_key")))
-    live = texts.where("not blank")
-    edges = link_edges(live.select("id", F.col("fp1").alias("fp"), "check"), radius, check_radius=check_radius)
-    edges = edges.union(link_edges(live.select("id", F.col("fp2").alias("fp"), "check"), radius, check_radius=check_radius))
+            yield pa.record_batch([batch.column("text_key"), batch.column("doc_id"), pa.array(own, pa.list_(pa.int64())), _signed(check), blank], ["text_key", "doc_id", "fps", "check", "blank"])
+
+    made = rows.mapInArrow(prints, "text_key binary, doc_id long, fps array<long>, check long, blank boolean")
+    texts = staged(made.groupBy("text_key").agg(F.min("doc_id").alias("least"), *[F.max(c).alias(c) for c in ("fps", "check", "blank")]).withColumn("id", F.xxhash64("text_key")))
+    points = texts.where("not blank").select("id", "check", F.posexplode("fps").alias("family", "fp"))
+    # texts with one fingerprint are one point; the others of them hang on it by an edge each
+    points = points.withColumn("head", F.min("id").over(Window.partitionBy("family", "fp")))
+    edges = link_edges(points.where("id = head"), radius, check_radius=check_radius).union(points.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")))
     label = components(edges)
     sizes = staged(label.groupBy("root").agg(F.count("*").alias("n")))
     members = staged(texts.join(label.withColumnRenamed("node", "id"), "id").join(sizes, "root").select("id", "root", F.col("text_key").alias("_k"), F.col("least").alias("_l"), F.ceil(F.col("n") / chunk).cast("int").alias("parts")))
