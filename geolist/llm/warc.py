@@ -25,6 +25,7 @@ from .common import column_bytes, parts_for, shared_dir, staged
 DICT_MAGIC = struct.pack("<I", 0x184D2A5D)
 GAP = "P*M\x18\x00\x00\x00\x00"
 _EPOCH = "2024-01-01T00:00:00Z"
+_NO_ID = -(1 << 63)
 
 
 def train_dictionary(pages: DataFrame, *, page_id: str = "page_id", html: str = "html", max_records: int = 1000, max_bytes: int = 16 << 20, size: int = 64 << 10) -> bytes:
@@ -63,13 +64,14 @@ def write_archives(pages: DataFrame, *, page_id: str = "page_id", url: str = "ur
     """
     dictionary = train_dictionary(pages, page_id=page_id, html=html)
     n = parts_for(pages, html, file_bytes)
-    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), "[\r\n]+", "").alias("url"), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload")).withColumn("sha", F.sha1("payload"))
-    long_ = rows.where(F.length("payload") >= min_revisit_bytes)
-    groups = staged(long_.groupBy("sha").agg(F.max("page_id").alias("top"), F.count("*").alias("n")).where("n > 1").select("sha", "top"))
-    # a table of its own, so that a hot payload's rows can be split by adaptive execution in this join
-    rows = rows.join(groups, "sha", "left")
-    revisit = F.col("top").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("top"))) & (F.length("payload") >= min_revisit_bytes)
-    rows = rows.select("page_id", "url", F.when(revisit, F.lit(None)).otherwise(F.col("payload")).alias("payload"), F.length("payload").alias("size"), "sha", F.when(revisit, F.col("top")).alias("refers"))
+    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), "[\r\n]+", "").alias("url"), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload")).withColumn("sha", F.sha1("payload")).withColumn("key", F.coalesce("page_id", F.lit(_NO_ID)))
+    # which rows revisit is found on ids and hashes alone; a hot payload is many short rows here
+    keys = rows.where(F.length("payload") >= min_revisit_bytes).select("key", "sha")
+    groups = staged(keys.groupBy("sha").agg(F.max("key").alias("top"), F.count("*").alias("n")).where(F.col("n") > 1).where(F.col("top") != _NO_ID).select("sha", "top"))
+    revisits = staged(keys.join(groups, "sha").where(F.col("key") < F.col("top")).distinct())
+    # then each payload moves once, dealt by its own id
+    rows = rows.repartition(n, "key", "sha").join(revisits, ["key", "sha"], "left")
+    rows = rows.select("page_id", "url", F.when(F.col("top").isNull(), F.col("payload")).alias("payload"), F.length("payload").alias("size"), "sha", F.col("top").alias("refers"))
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained = zs.ZstdCompressionDict(dictionary) if dictionary else None
@@ -86,8 +88,7 @@ def write_archives(pages: DataFrame, *, page_id: str = "page_id", url: str = "ur
             yield pa.record_batch([pa.array(out, pa.binary())], ["frame"])
 
     path = shared_dir(pages.sparkSession)
-    # one task a file, dealt by size; the rows of a hot payload are small revisits with ids of their own
-    dealt = rows.repartition(n, F.xxhash64("page_id", "url")).mapInArrow(frames, "frame binary")
+    dealt = rows.mapInArrow(frames, "frame binary")
     dealt.select(F.col("frame").cast("string")).write.option("lineSep", GAP).text(path)
     return path
 
