@@ -136,7 +136,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
             feats = np.array([text_stats(b)[1] for b in column_bytes(batch, "_text")], float).reshape(-1, width)
             yield pa.record_batch([batch.column("_y"), pa.array(list(feats), pa.list_(pa.float64()))], ["_y", "_x"])
 
-    got = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(picked, "_id").select("_text", "_y").mapInArrow(measure, "_y double, _x array<double>").toArrow()
+    got = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id").select("_text", "_y").mapInArrow(measure, "_y double, _x array<double>").toArrow()
     x = np.array(got.column("_x").to_pylist(), float).reshape(-1, width)
     y = np.asarray(got.column("_y"))
     order = np.lexsort((*x.T, y)) if len(y) else np.arange(0)
