@@ -1,9 +1,9 @@
-"""Log-bilinear language model with noise-contrastive estimation, trained and applied block by block in numpy.
+"""Log-bilinear language model with noise-contrastive estimation, trained and applied in numpy.
 
 Symbols are the most frequent training tokens and, for all other tokens, classes by their last two bytes; a
-class spreads its probability over its own tokens by their smoothed counts.  Every block of documents makes
-one local pass from the common parameters, and Spark averages the blocks' parameters; all training text takes
-part in each round.  Since symbols are few, batched matrix products give the exact normaliser of every context
+class spreads its probability over its own tokens by their smoothed counts.  Every input partition
+makes one local pass from the common parameters, and Spark averages them by their tokens; all training text
+takes part in each round.  Since symbols are few, batched matrix products give the exact normaliser of every context
 once, and each token's log-probability is then a few table look-ups.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -65,11 +66,15 @@ class LogBilinear:
             at += x.size
         return LogBilinear(*parts)
 
-    def train(self, target: np.ndarray, context: np.ndarray, noise: np.ndarray, *, seed: int, batch: int = 2048, samples: int = 32, ratio: float = 16.0, rate: float = 0.1) -> LogBilinear:
-        """One pass of noise-contrastive estimation with AdaGrad; the noise words of a batch are shared by its tokens."""
+    def train(self, target: np.ndarray, context: np.ndarray, noise: np.ndarray, *, seed: int, grown: list[np.ndarray] | None = None, batch: int = 2048, samples: int = 32, ratio: float = 16.0, rate: float = 0.1) -> LogBilinear:
+        """One pass of noise-contrastive estimation with AdaGrad; the noise words of a batch are shared by its tokens.
+
+        ``grown`` holds the sums of squared gradients, kept from piece to piece of one pass.
+        """
         rng = np.random.default_rng(seed)
         r, c, q, b = (x.astype(np.float32) for x in (self.r, self.c, self.q, self.b))
-        grown = [np.full(x.shape, 1e-6, np.float32) for x in (r, c, q, b)]
+        grown = [] if grown is None else grown
+        grown += [np.full(x.shape, 1e-6, np.float32) for x in (r, c, q, b)] if not grown else []
         k, dim = q.shape
         shift = np.log(ratio * noise).astype(np.float32)
         cumulated = np.cumsum(noise)
@@ -173,20 +178,26 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     model = LogBilinear.start(unigram, dim)
 
     def trainer(model: LogBilinear, turn: int):
-        def train(key: tuple, data: pa.Table) -> pa.Table:
-            symbol = _Symbols(own, classes)
-            texts = sorted(t for t, h in zip(column_bytes(data, "_text"), data.column("held_out").to_pylist()) if not h)
-            tokens = _tokens([texts[i] for i in np.random.default_rng(key[0].as_py()).permutation(len(texts))])
-            lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-            flat = np.concatenate([np.fromiter(map(symbol.__getitem__, t), np.int64, len(t)) for t in tokens]) if tokens else np.empty(0, np.int64)
-            new = model.train(flat, _contexts(flat, lengths, start), unigram, seed=1000 * turn + key[0].as_py(), rate=0.1 / (1 + turn)) if len(flat) else model
-            values = new.flat()
-            return pa.table([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values * len(flat)), pa.array(np.full(len(values), float(len(flat))))], ["i", "x", "w"])
+        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            symbol, new, seen, grown = _Symbols(own, classes), model, 0, []
+            for batch in batches:
+                texts = [t for t, h in zip(column_bytes(batch, "_text"), batch.column("held_out").to_pylist()) if not h]
+                order = np.random.default_rng(len(texts)).permutation(len(texts))
+                for lo in range(0, len(texts), 1024):
+                    tokens = _tokens([texts[i] for i in order[lo : lo + 1024]])
+                    lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+                    flat = np.concatenate([np.fromiter(map(symbol.__getitem__, t), np.int64, len(t)) for t in tokens])
+                    new = new.train(flat, _contexts(flat, lengths, start), unigram, seed=1000 * turn + seen % 997, grown=grown, rate=0.1 / (1 + turn))
+                    seen += len(flat)
+            if seen:
+                values = new.flat()
+                yield pa.record_batch([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values * seen), pa.array(np.full(len(values), float(seen)))], ["i", "x", "w"])
 
         return train
 
     for turn in range(rounds):
-        passed = dealt.groupBy("_block").applyInArrow(trainer(model, turn), "i int, x double, w double")
+        # where the texts are read, without a shuffle: a partition's pass goes on from text to text
+        passed = dealt.select("held_out", "_text").mapInArrow(trainer(model, turn), "i int, x double, w double")
         mean = passed.groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).where("x is not null").toArrow()  # one number a parameter
         flat = model.flat()
         flat[np.asarray(mean.column("i"))] = np.asarray(mean.column("x"))
