@@ -9,7 +9,7 @@ mask the two agree.  Thus every pair within the radius meets in some table, by c
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,53 +66,47 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(prints, "doc_id long, fp long")
 
 
-def _spanning(fp: np.ndarray, check: np.ndarray, radius: int, check_radius: int) -> Iterator[tuple[int, np.ndarray]]:
+def _spanning(cols: tuple[np.ndarray, ...], near: Callable) -> Iterator[tuple[int, np.ndarray]]:
     """Spanning stars of the link graph inside one bucket, without listing its pairs.
 
     Each member is visited once and compared with those not yet reached, which it removes: a bucket of mutual
     near copies costs one pass.
     """
-    left = np.arange(len(fp))
+    left = np.arange(len(cols[0]))
     while len(left) > 1:
         root, left = left[0], left[1:]
         front = [root]
         while front and len(left):
             x = front.pop()
-            near = (np.bitwise_count(fp[left] ^ fp[x]) <= radius) & (np.bitwise_count(check[left] ^ check[x]) <= check_radius)
-            if near.any():
-                reached = left[near]
+            close = near([c[x] for c in cols], [c[left] for c in cols])
+            if close.any():
+                reached = left[close]
                 yield root, reached
                 front.extend(reached.tolist())
-                left = left[~near]
+                left = left[~close]
 
 
-def link_edges(points: DataFrame, radius: int, *, check_radius: int = 64) -> DataFrame:
-    """Edges ``a, b`` that connect ``points(id, fp, check)`` just as all links within ``radius`` would.
+def _bucket_edges(rows: DataFrame, near: Callable) -> DataFrame:
+    """Edges ``a, b`` that connect the ids inside each bucket just as all pairs that are ``near`` would.
 
-    With a column ``family``, fingerprints are compared within their family only.
-
-    Points go to one bucket per covering mask.  Buckets hold distinct points, so copies of one text never
-    crowd one; each is reduced to spanning edges in one pass over sorted rows.
+    ``rows`` are ``bucket, id`` and long columns, which ``near`` gets as unsigned values of one member and of many.
+    Each bucket is reduced to spanning edges in one pass over sorted rows.
     """
-    masks = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(covering_masks(radius))])
-    family = F.col("family") if "family" in points.columns else F.lit(0)
-    rows = points.select("id", "fp", "check", family.alias("f"), F.explode(masks).alias("m")).select(F.xxhash64("f", "m.t", "m.key").alias("bucket"), "id", "fp", "check")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple = ()
 
-        def edges(cols: tuple) -> Iterator[pa.RecordBatch]:
-            bucket, ids, fp, check = cols
+        def edges(bucket: np.ndarray, ids: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
             cut = np.r_[0, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)]
             size = np.diff(cut)
             a, b = [], []
             two = cut[:-1][size == 2]
-            near = (np.bitwise_count(fp[two] ^ fp[two + 1]) <= radius) & (np.bitwise_count(check[two] ^ check[two + 1]) <= check_radius)
-            a.append(ids[two[near]])
-            b.append(ids[two[near] + 1])
+            close = near([c[two] for c in cols], [c[two + 1] for c in cols])
+            a.append(ids[two[close]])
+            b.append(ids[two[close] + 1])
             for i in np.flatnonzero(size > 2):
                 part = slice(cut[i], cut[i + 1])
-                for root, reached in _spanning(fp[part], check[part], radius, check_radius):
+                for root, reached in _spanning(tuple(c[part] for c in cols), near):
                     b.append(ids[part][reached])
                     a.append(np.full(len(reached), ids[part][root]))
             pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
@@ -120,20 +114,34 @@ def link_edges(points: DataFrame, radius: int, *, check_radius: int = 64) -> Dat
                 yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in pairs.T], ["a", "b"])
 
         for batch in batches:
-            cols = tuple(np.asarray(batch.column(k)).view(t) for k, t in enumerate((np.int64, np.int64, np.uint64, np.uint64)))  # bits are counted on unsigned values
+            cols = tuple(np.asarray(c).view(np.int64 if k < 2 else np.uint64) for k, c in enumerate(batch.columns))  # bits are counted on unsigned values
             if held:
                 cols = tuple(np.concatenate(x) for x in zip(held, cols))
             if not len(cols[0]):
                 continue
             last = np.searchsorted(cols[0], cols[0][-1])  # the last bucket may go on in the next batch
-            yield from edges(tuple(c[:last] for c in cols))
+            yield from edges(*(c[:last] for c in cols))
             held = tuple(c[last:] for c in cols)
         if held:
-            yield from edges(held)
+            yield from edges(*held)
 
     return rows.repartition("bucket").sortWithinPartitions("bucket", "id").mapInArrow(link, "a long, b long")
 
 
+def link_edges(points: DataFrame, radius: int) -> DataFrame:
+    """Edges ``a, b`` that connect ``points(id, fp)`` just as all links within ``radius`` would.
+
+    With a column ``family``, fingerprints are compared within their family only.
+
+    Points go to one bucket per covering mask.  Buckets hold distinct points, so copies of one text never
+    crowd one.
+    """
+    masks = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(covering_masks(radius))])
+    family = F.col("family") if "family" in points.columns else F.lit(0)
+    rows = points.select("id", "fp", family.alias("f"), F.explode(masks).alias("m")).select(F.xxhash64("f", "m.t", "m.key").alias("bucket"), "id", "fp")
+    return _bucket_edges(rows, lambda x, y: np.bitwise_count(y[0] ^ x[0]) <= radius)
+
+
 def simhash_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits) and ``component_id`` for every row of ``docs``.
 
@@ -143,7 +151,7 @@ def simhash_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     """
     prints = staged(fingerprints(docs, doc_id=doc_id, text=text, width=width))
     points = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    edges = link_edges(points.select(F.col("fp").alias("id"), "fp", F.lit(0).cast("long").alias("check")), radius)
+    edges = link_edges(points.select(F.col("fp").alias("id"), "fp"), radius)
     label = components(edges)
     rooted = points.join(label.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     rooted = staged(rooted)
@@ -172,9 +180,57 @@ def _shingle_set(text: bytes, width: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(p, 1) for p in parts), np.uint64))
 
 
+def _parity(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """For each of ``bits`` hash classes, whether an odd number of the shingles is in it, as 64-bit words.
+
+    A shingle that only one of two texts has turns one bit, so the parities of two sets differ in no more bits
+    than the sets differ in shingles.
+    """
+    odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _may_reach(floor: float, n: np.ndarray, m: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` shingles whose parities differ in ``differ`` bits can be ``floor`` similar (never wrongly no)."""
+    n, m = n.astype(np.float64), m.astype(np.float64)
+    return (np.minimum(n, m) >= floor * np.maximum(n, m) - 1e-6) & (differ <= (1 - floor) / (1 + floor) * (n + m) + 1e-6)
+
+
+def _prefix(shingles: np.ndarray, common: np.ndarray, often: np.ndarray, floor: float) -> np.ndarray:
+    """The rarest shingles of a sorted set, so many that two sets of similarity ``floor`` or more share one of them.
+
+    Any fixed order of all shingles does for this; shingles outside the sorted ``common`` count as the rarest.
+    """
+    keep = len(shingles) - int(np.ceil(floor * len(shingles) - 1e-6)) + 1
+    if not len(common):
+        return shingles[:keep]
+    at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+    return shingles[np.argsort(np.where(common[at] == shingles, often[at], 0), kind="stable")[:keep]]
+
+
+def _common_shingles(rows: DataFrame, width: int, texts: int = 10_000, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur in three or more of a sample of about ``texts`` rows, and in how many (sorted, at most ``most``).
+
+    They only set the order of shingles; what is found does not depend on them.
+    """
+    every = max(1, rows.count() // texts)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in column_bytes(batch, "_text"):
+                yield pa.record_batch([pa.array(_shingle_set(t, width).view(np.int64))], ["h"])
+
+    sample = rows.where(F.pmod(F.xxhash64("text_key"), F.lit(every)) == 0).dropDuplicates(["text_key"]).select("_text")
+    found = sample.mapInArrow(cut, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "h").limit(most).toArrow()
+    h, n = np.asarray(found.column("h")).view(np.uint64), np.asarray(found.column("n"))
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
 def _similar_stars(sets: list[np.ndarray], floor: float) -> Iterator[tuple[int, np.ndarray]]:
     """Spanning stars of the texts with Jaccard similarity of ``floor`` or more, each visited once."""
     size = np.array([len(s) for s in sets])
+    parity = np.stack([_parity(s, 2048) for s in sets])
     left = np.arange(len(sets))
     while len(left) > 1:
         root, left = left[0], left[1:]
@@ -182,7 +238,7 @@ def _similar_stars(sets: list[np.ndarray], floor: float) -> Iterator[tuple[int,
         while front and len(left):
             x = front.pop()
             own = sets[x]
-            may = left[(np.minimum(size[left], len(own)) >= floor * np.maximum(size[left], len(own)))]
+            may = left[_may_reach(floor, size[left], size[x], np.bitwise_count(parity[left] ^ parity[x]).sum(1))]
             hit = []
             for y in may:
                 common = len(np.intersect1d(own, sets[y], assume_unique=True))
@@ -195,36 +251,43 @@ def _similar_stars(sets: list[np.ndarray], floor: float) -> Iterator[tuple[int,
                 left = left[~np.isin(left, reached)]
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, min_similarity: float = 0.8, radius: int = 3, families: int = 8, check_radius: int = 16, chunk: int = 512) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, min_similarity: float = 0.8, radius: int = 3, families: int = 8, chunk: int = 512) -> DataFrame:
     """Distinct texts with their group: ``text_key`` (MD5), ``least`` (smallest doc id), ``keep_key, keep_id``.
 
     Two texts are near duplicates if the sets of their ``width``-word shingles (A-Z lower-cased) have Jaccard
     similarity of ``min_similarity`` or more; groups are connected by such links.  Candidates come from covering
-    tables over ``families`` independent SimHashes of the words (one within ``radius`` is enough: at similarity 0.8
-    half of the families are), checked by another over word pairs; every candidate group is then
+    tables over ``families`` independent SimHashes of the words (one within ``radius`` is enough) and, since these
+    miss texts that differ in one piece, from every rarest-first prefix shingle that two texts share: that part
+    alone misses no link.  Its pairs are told apart by length and by 256 parity bits, bounds that every true link
+    meets.  Every candidate group is then
     verified by the exact similarity of all its texts, in chunks of ``chunk`` texts against each other, so a
     group of any size is whole and no task holds more than two chunks.  Null and blank texts have no shingles:
     each distinct one is a group of its own (null counts as empty).
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.unhex(F.md5(body)).alias("text_key"), F.col(doc_id).cast("long").alias("doc_id"), body.alias("_text"))
+    common, often = _common_shingles(rows, width)
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = lambda xs: pa.array([x.view(np.int64) for x in xs], pa.list_(pa.int64()))
         for batch in batches:
-            own, check = [], []
+            own, size, parity, prefix = [], [], [], []
             for t in column_bytes(batch, "_text"):
-                words = t.lower().split()
-                own.append(np.array(word_prints(Counter(words), families), np.uint64).view(np.int64))
-                check.append(shingle_print(words, 2))
-            blank = pa.array([not t.strip() for t in column_bytes(batch, "_text")])
-            yield pa.record_batch([batch.column("text_key"), batch.column("doc_id"), pa.array(own, pa.list_(pa.int64())), _signed(check), blank], ["text_key", "doc_id", "fps", "check", "blank"])
-
-    made = rows.mapInArrow(prints, "text_key binary, doc_id long, fps array<long>, check long, blank boolean")
-    texts = staged(made.groupBy("text_key").agg(F.min("doc_id").alias("least"), *[F.max(c).alias(c) for c in ("fps", "check", "blank")]).withColumn("id", F.xxhash64("text_key")))
-    points = texts.where("not blank").select("id", "check", F.posexplode("fps").alias("family", "fp"))
+                own.append(np.array(word_prints(Counter(t.lower().split()), families), np.uint64))
+                shingles = _shingle_set(t, width)
+                size.append(len(shingles))
+                parity.append(_parity(shingles, 256))
+                prefix.append(_prefix(shingles, common, often, min_similarity) if len(shingles) else shingles)
+            yield pa.record_batch([batch.column("text_key"), batch.column("doc_id"), longs(own), pa.array(size, pa.int64()), longs(parity), longs(prefix)], ["text_key", "doc_id", "fps", "size", "parity", "prefix"])
+
+    made = rows.mapInArrow(prints, "text_key binary, doc_id long, fps array<long>, size long, parity array<long>, prefix array<long>")
+    texts = staged(made.groupBy("text_key").agg(F.min("doc_id").alias("least"), *[F.max(c).alias(c) for c in ("fps", "size", "parity", "prefix")]).withColumn("id", F.xxhash64("text_key")))
+    points = texts.where("size > 0").select("id", F.posexplode("fps").alias("family", "fp"))
     # texts with one fingerprint are one point; the others of them hang on it by an edge each
     points = points.withColumn("head", F.min("id").over(Window.partitionBy("family", "fp")))
-    edges = link_edges(points.where("id = head"), radius, check_radius=check_radius).union(points.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")))
+    edges = link_edges(points.where("id = head"), radius).union(points.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")))
+    shared = texts.where("size > 0").select(F.explode("prefix").alias("bucket"), "id", "size", *[F.col("parity")[k].alias(f"p{k}") for k in range(4)])
+    edges = edges.union(_bucket_edges(shared, lambda x, y: _may_reach(min_similarity, x[0], y[0], sum(np.bitwise_count(u ^ v).astype(np.int64) for u, v in zip(x[1:], y[1:])))))
     label = components(edges)
     sizes = staged(label.groupBy("root").agg(F.count("*").alias("n")))
     members = staged(texts.join(label.withColumnRenamed("node", "id"), "id").join(sizes, "root").select("id", "root", F.col("text_key").alias("_k"), F.col("least").alias("_l"), F.ceil(F.col("n") / chunk).cast("int").alias("parts")))

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import xxhash
 
 from geolist.llm import simhash as s
@@ -103,6 +104,36 @@ def test_near_duplicates_keep_one_of_each_group(spark, docs, doc_rows):
         assert kept == Counter([*least.values(), *[None] * (len(set(root)) - len(least))])
 
 
+def test_texts_that_differ_in_one_piece(spark):
+    rng = random.Random(9)
+    texts = []
+    for k in range(60):
+        base = [f"v{rng.randrange(5000)}" for _ in range(rng.randint(60, 400))]
+        part = [f"v{rng.randrange(5000)}" for _ in range(int(len(base) * rng.choice((0.1, 0.13, 0.16, 0.19))))]
+        at = rng.randrange(len(base) - len(part))
+        half = len(part) // 2
+        texts += [" ".join(base), " ".join((base + part, base[: len(base) - len(part)], base[:at] + part[:half] + base[at + half :])[k % 3])]
+    root = groups(len(texts), [(a, b) for a in range(len(texts)) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8])
+    assert 60 <= len(set(root)) < 70
+    assert sum(0.8 <= jaccard(*texts[k : k + 2]) <= 0.9 for k in range(0, 120, 2)) > 30
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in s.drop_near_duplicates(frame).collect()} == set(root)
+
+
+def test_prefixes_and_parities_lose_no_pair():
+    rng = np.random.default_rng(5)
+    for _ in range(2000):
+        union = rng.integers(0, 1 << 63, int(rng.integers(1, 60))).astype(np.uint64)
+        side = rng.choice(3, len(union), p=(0.8, 0.1, 0.1))
+        x, y = np.unique(union[side != 1]), np.unique(union[side != 2])
+        if not len(x) or not len(y) or len(np.intersect1d(x, y)) < 0.8 * len(np.union1d(x, y)):
+            continue
+        common = np.unique(union[rng.random(len(union)) < 0.5])
+        often = rng.integers(3, 9, len(common))
+        assert len(np.intersect1d(*(s._prefix(v, common, often, 0.8) for v in (x, y))))
+        assert s._may_reach(0.8, np.array([len(x)]), np.array([len(y)]), np.bitwise_count(s._parity(x, 256) ^ s._parity(y, 256)).sum(keepdims=True)).all()
+
+
 def test_empty_table(no_docs):
     assert s.simhash_components(no_docs).count() == 0
     assert s.drop_near_duplicates(no_docs).count() == 0
