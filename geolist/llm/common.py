@@ -71,22 +71,23 @@ def unplanes(blob: bytes, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(dtype).ravel()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: rows ``(node, root)``, root the least node reachable.
 
-    Each round gives a node the least of its label, its neighbours' labels and its label's label, so the number of
-    rounds grows with the logarithm of the longest chain; stars are done at once.  A round is one written table,
-    so a lost executor costs one round.  Minima are combined before each shuffle; joins are left to adaptive
+    Each round gives a node the least of its label, its neighbours' labels and its label's label, and then gives
+    each old label the least that any node under it has got, so that whole trees move to smaller roots: a randomly
+    numbered chain of 1000 takes about 15 rounds, one of 20,000 about 20; stars are done at once.  Labels only
+    fall, so the rounds end, and they go on until nothing moves.  What a round moves is a written table, so a
+    lost executor costs one round.  Minima are combined before each shuffle; joins are left to adaptive
     execution, which splits hubs.
     """
     both = staged(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     label = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
-    for _ in range(max_rounds):
+    while True:
         seen = both.join(label.select(F.col("node").alias("b"), F.col("root").alias("r")), "b").groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
         jump = label.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = label.join(seen, "node").join(jump, "root")
-        new = staged(new.select("node", F.least("root", "r", "up").alias("root"), (F.col("root") > F.least("r", "up")).alias("moved")))
-        label = new.select("node", "root")
-        if not new.where("moved").limit(1).count():
-            return label
-    raise RuntimeError("components did not settle")
+        new = staged(label.join(seen, "node").join(jump, "root").select("node", F.col("root").alias("old"), F.least("root", "r", "up").alias("root")))
+        if not new.where("root < old").limit(1).count():
+            return new.select("node", "root")
+        hook = new.groupBy(F.col("old").alias("node")).agg(F.min("root").alias("h"))
+        label = staged(new.join(hook, "node", "left").select("node", F.least("root", "h").alias("root")))

@@ -134,6 +134,13 @@ def test_prefixes_and_parities_lose_no_pair():
         assert s._may_reach(0.8, np.array([len(x)]), np.array([len(y)]), np.bitwise_count(s._parity(x, 256) ^ s._parity(y, 256)).sum(keepdims=True)).all()
 
 
+def test_components_of_a_long_chain(spark):
+    ids = list(range(1000))
+    random.Random(1).shuffle(ids)
+    chain = spark.createDataFrame([*itertools.pairwise(ids), (2001, 2000)], "a long, b long")
+    assert {r.node: r.root for r in components(chain).collect()} == dict.fromkeys(ids, 0) | {2000: 2000, 2001: 2000}
+
+
 def test_empty_table(no_docs):
     assert s.simhash_components(no_docs).count() == 0
     assert s.drop_near_duplicates(no_docs).count() == 0
