@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -49,6 +50,38 @@ def test_against_brute_force(spark):
     assert d.drop_leaks(docs, items, radius=20).count() == len(rows) - marks.where("contaminated").count()
 
 
+def brute_all_starts(rows, items, width=5, floor=0.8):
+    out = set()
+    for i, text in rows:
+        w = words(text)
+        for item, t in items:
+            v = words(t)
+            k = min(width, len(v))
+            for s in range(1 - len(v), len(w)) if v else ():
+                whole = 0 <= s <= len(w) - len(v)
+                aligned = any(w[s + o : s + o + k] == v[o : o + k] for o in range(max(0, -s), len(v) - k + 1))
+                if (whole or aligned) and similarity(w[max(0, s) : s + len(v)], v, k) >= floor:
+                    out.add((i, item))
+    return out
+
+
+def test_default_radius_against_all_starts(spark):
+    rng = random.Random(6)
+    fresh = lambda n: [f"x{rng.randrange(10**6)}" for _ in range(n)]
+    items = [(1, fresh(50)), (2, fresh(60)), (3, fresh(40)), (4, ["a", "b"] * 15), (5, fresh(5)), (6, fresh(20))]
+    rows = []
+    for n, (_, v) in enumerate(items):
+        half = len(v) // 2
+        rows.append((100 + n, fresh(30) + v[half:] + v[:half] + fresh(30)))
+        for part in (0.9, 0.86, 0.8, 0.5):
+            keep = int(len(v) * part)
+            rows += [(200 + 10 * n + int(10 * part), fresh(40) + v[:keep] + fresh(40)), (300 + n, v[-keep:]), (400 + n, fresh(9) + v[:keep]), (500 + n, v[:keep] + fresh(9))]
+    rows, items = [(i, " ".join(w)) for i, w in rows], [(i, " ".join(v)) for i, v in items]
+    leaks = d.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = brute_all_starts(rows, items)
+    assert {(r.doc_id, r.item_id) for r in leaks.collect()} == want and {(100, 1), (209, 1), (209 + 10, 2)} <= want
+
+
 def test_blocks_find_every_pair_within_the_radius(spark):
     import random
 
