@@ -40,10 +40,10 @@ def _blocks(fingerprint: str, radius: int) -> Column:
 def _weighted_similarity(a: Column, b: Column) -> Column:
     """Sum of the lesser over sum of the greater weights; a shingle weighs as often as it occurs."""
     count = lambda xs, s: F.size(F.filter(xs, lambda x: x == s))
-    both = F.array_union(a, b)
-    least = F.aggregate(both, F.lit(0), lambda t, s: t + F.least(count(a, s), count(b, s)))
-    most = F.aggregate(both, F.lit(0), lambda t, s: t + F.greatest(count(a, s), count(b, s)))
-    return F.when(most > 0, least / most).otherwise(0.0)
+    common = lambda p: F.aggregate(F.array_intersect(p["a"], p["b"]), F.lit(0), lambda t, s: t + F.least(count(p["a"], s), count(p["b"], s)))
+    # both sides, and then the lesser sum, are bound to a name, or they would be made anew for every shingle
+    sums = F.transform(F.array(F.struct(a.alias("a"), b.alias("b"))), lambda p: F.struct(common(p).alias("least"), (F.size(p["a"]) + F.size(p["b"])).alias("all")))
+    return F.transform(sums, lambda t: F.when(t["all"] > 0, t["least"] / (t["all"] - t["least"])).otherwise(0.0))[0]
 
 
 def _starts(places: Column, need: Column, room: Column) -> Column:
