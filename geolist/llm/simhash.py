@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column_bytes, components, staged
@@ -87,61 +87,70 @@ def _spanning(cols: tuple[np.ndarray, ...], near: Callable) -> Iterator[tuple[in
 
 
 def _bucket_edges(rows: DataFrame, near: Callable) -> DataFrame:
-    """Edges ``a, b`` that connect the ids inside each bucket just as all pairs that are ``near`` would.
+    """Edges ``a, b`` that connect the labels inside each bucket just as all pairs that are ``near`` would.
 
-    ``rows`` are ``bucket, id`` and long columns, which ``near`` gets as unsigned values of one member and of many.
-    Each bucket is reduced to spanning edges in one pass over sorted rows.
+    ``rows`` are ``bucket, id, label`` and long columns, which ``near`` gets as unsigned values of one member and
+    of many.  Each bucket is reduced to spanning edges in one pass over sorted rows; edges inside a label are not
+    sent, and each pair of labels goes once a piece.
     """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple = ()
+        held: list[tuple] = []
 
-        def edges(bucket: np.ndarray, ids: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def edges(bucket: np.ndarray, ids: np.ndarray, label: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
             cut = np.r_[0, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)]
             size = np.diff(cut)
-            a, b = [], []
             two = cut[:-1][size == 2]
-            close = near([c[two] for c in cols], [c[two + 1] for c in cols])
-            a.append(ids[two[close]])
-            b.append(ids[two[close] + 1])
+            close = two[near([c[two] for c in cols], [c[two + 1] for c in cols])]
+            a, b = [label[close]], [label[close + 1]]
             for i in np.flatnonzero(size > 2):
                 part = slice(cut[i], cut[i + 1])
+                if (label[part] == label[cut[i]]).all():
+                    continue
                 for root, reached in _spanning(tuple(c[part] for c in cols), near):
-                    b.append(ids[part][reached])
-                    a.append(np.full(len(reached), ids[part][root]))
-            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
+                    b.append(label[part][reached])
+                    a.append(np.full(len(reached), label[part][root]))
+            one, two = np.concatenate(a), np.concatenate(b)
+            pairs = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)], 1)[one != two], axis=0)
             if len(pairs):
                 yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in pairs.T], ["a", "b"])
 
         for batch in batches:
-            cols = tuple(np.asarray(c).view(np.int64 if k < 2 else np.uint64) for k, c in enumerate(batch.columns))  # bits are counted on unsigned values
-            if held:
-                cols = tuple(np.concatenate(x) for x in zip(held, cols))
+            cols = tuple(np.asarray(c).view(np.int64 if k < 3 else np.uint64) for k, c in enumerate(batch.columns))  # bits are counted on unsigned values
             if not len(cols[0]):
                 continue
+            held.append(cols)
+            if cols[0][0] == cols[0][-1] and held[0][0][0] == cols[0][0]:
+                continue  # one bucket so far: pieces are joined once, when it ends
+            cols = tuple(np.concatenate(x) for x in zip(*held))
             last = np.searchsorted(cols[0], cols[0][-1])  # the last bucket may go on in the next batch
             yield from edges(*(c[:last] for c in cols))
-            held = tuple(c[last:] for c in cols)
+            held = [tuple(c[last:] for c in cols)]
         if held:
-            yield from edges(*held)
+            yield from edges(*(np.concatenate(x) for x in zip(*held)))
 
     return rows.repartition("bucket").sortWithinPartitions("bucket", "id").mapInArrow(link, "a long, b long")
 
 
 def link_edges(points: DataFrame, radius: int) -> DataFrame:
-    """Edges ``a, b`` that connect ``points(id, fp)`` just as all links within ``radius`` would.
+    """Edges ``a, b`` that connect the labels of ``points(id, fp)`` just as all links within ``radius`` would.
 
-    With a column ``family``, fingerprints are compared within their family only.
-
-    Points go to one bucket per covering mask.  Buckets hold distinct points, so copies of one text never
-    crowd one.
+    A point's label is its id unless there is a column ``label``: edges then join labels and none is sent inside
+    one.  With a column ``family``, fingerprints are compared within their family only.  Points go to one bucket
+    per covering mask.  Buckets hold distinct points, so copies of one text never crowd one.
     """
     masks = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(covering_masks(radius))])
     family = F.col("family") if "family" in points.columns else F.lit(0)
-    rows = points.select("id", "fp", family.alias("f"), F.explode(masks).alias("m")).select(F.xxhash64("f", "m.t", "m.key").alias("bucket"), "id", "fp")
+    label = F.col("label") if "label" in points.columns else F.col("id")
+    rows = points.select("id", "fp", label.alias("label"), family.alias("f"), F.explode(masks).alias("m")).select(F.xxhash64("f", "m.t", "m.key").alias("bucket"), "id", "label", "fp")
     return _bucket_edges(rows, lambda x, y: np.bitwise_count(y[0] ^ x[0]) <= radius)
 
 
+def _one_each(edges: DataFrame) -> DataFrame:
+    """Of edges ``a < b`` the one with the least ``a`` for each ``b``: no more edges than nodes, combined before the shuffle."""
+    return edges.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+
+
 def simhash_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits) and ``component_id`` for every row of ``docs``.
 
@@ -227,6 +236,14 @@ def _common_shingles(rows: DataFrame, width: int, texts: int = 10_000, most: int
     return h[order], n[order]
 
 
+def _alike(sets: list[np.ndarray], size: np.ndarray, parity: np.ndarray, x: int, others: np.ndarray, floor: float) -> Iterator[int]:
+    """Those of ``others`` whose Jaccard similarity with ``x`` is ``floor`` or more."""
+    for y in others[_may_reach(floor, size[others], size[x], np.bitwise_count(parity[others] ^ parity[x]).sum(1))]:
+        common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        if common >= floor * (size[x] + size[y] - common):
+            yield int(y)
+
+
 def _similar_stars(sets: list[np.ndarray], floor: float) -> Iterator[tuple[int, np.ndarray]]:
     """Spanning stars of the texts with Jaccard similarity of ``floor`` or more, each visited once."""
     size = np.array([len(s) for s in sets])
@@ -237,13 +254,7 @@ def _similar_stars(sets: list[np.ndarray], floor: float) -> Iterator[tuple[int,
         front = [root]
         while front and len(left):
             x = front.pop()
-            own = sets[x]
-            may = left[_may_reach(floor, size[left], size[x], np.bitwise_count(parity[left] ^ parity[x]).sum(1))]
-            hit = []
-            for y in may:
-                common = len(np.intersect1d(own, sets[y], assume_unique=True))
-                if common >= floor * (len(own) + size[y] - common):
-                    hit.append(y)
+            hit = list(_alike(sets, size, parity, x, left, floor))
             if hit:
                 reached = np.array(hit)
                 yield root, reached
@@ -251,6 +262,89 @@ def _similar_stars(sets: list[np.ndarray], floor: float) -> Iterator[tuple[int,
                 left = left[~np.isin(left, reached)]
 
 
+def _cross_links(sets: list[np.ndarray], label: np.ndarray, few: np.ndarray, floor: float) -> Iterator[tuple[int, int]]:
+    """Pairs of similar texts, one of them in ``few``, that connect labels as all such pairs would."""
+    size = np.array([len(s) for s in sets])
+    parity = np.stack([_parity(s, 2048) for s in sets])
+    label = label.copy()
+    for x in few:
+        while len(others := np.flatnonzero(label != label[x])):
+            y = next(_alike(sets, size, parity, x, others, floor), None)
+            if y is None:
+                break
+            yield int(x), y
+            label[label == label[y]] = label[x]
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: float, chunk: int) -> DataFrame:
+    """Edges ``a, b`` of exact similarity that connect the texts of each candidate group as all its links would.
+
+    ``rows`` are ``text_key, doc_id, _text``; ``members`` are ``id, root, text_key, least, size, parity`` with one
+    ``root`` a group.  A group that fits a piece is compared whole.  A larger one is dealt into pieces that are
+    each compared within, and with the group's head: the text nearest to the majority of its parity bits, which
+    the copies of one original share.  Texts that so far hang together with most of the group need not meet each
+    other again; only those left over meet every piece.  So a text moves twice and once more for every piece's
+    worth of left-over texts, and no task holds more than two pieces.
+    """
+    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("s")).select("root", F.ceil(F.greatest(F.col("n") / chunk, F.col("s") / 4_000_000)).cast("int").alias("parts"))
+    members = staged(members.join(sizes, "root").select("id", "root", "parts", F.pmod("id", F.col("parts")).cast("int").alias("i"), "parity", F.col("text_key").alias("_k"), F.col("least").alias("_l")))
+    fetch = lambda some: rows.join(some, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_l")))
+    big = members.where("parts > 1")
+
+    def majority(data: pa.Table) -> pa.Table:
+        bits = np.unpackbits(np.array(data.column("parity").to_pylist(), np.int64).view(np.uint8), axis=1, bitorder="little")
+        most = np.packbits(2 * bits.sum(0) > len(bits), bitorder="little").view(np.int64)
+        return pa.table([data.column("root")[:1], pa.array([most], pa.list_(pa.int64())), data.column("parts")[:1]], ["root", "most", "parts"])
+
+    every = lambda col: F.explode(F.sequence(F.lit(0), F.col(col) - 1))
+    centre = big.where("i = 0").groupBy("root").applyInArrow(majority, "root long, most array<long>, parts int").select("root", "most", every("parts").alias("i"))
+    apart = sum(F.bit_count(F.col("parity")[k].bitwiseXOR(F.col("most")[k])) for k in range(4))
+    heads = big.join(centre, ["root", "i"]).groupBy("root").agg(F.min(F.struct(apart.alias("far"), "id")).alias("h")).select(F.col("h.id").alias("id"))
+    heads = staged(fetch(members.join(heads, "id", "left_semi")).select("root", "parts", "id", "_text"))
+
+    def sets_of(*tables: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+        found = {}
+        for data in tables:
+            for i, body in zip(data.column("id").to_pylist(), column_bytes(data, "_text")):
+                found.setdefault(i, body)
+        ids = sorted(found)
+        return np.array(ids, np.int64), [_shingle_set(found[i], width) for i in ids]
+
+    def within(mine: pa.Table, head: pa.Table) -> pa.Table:
+        ids, sets = sets_of(mine, head)
+        pairs = [(ids[root], ids[y]) for root, reached in _similar_stars(sets, floor) for y in reached] if len(ids) else []
+        return pa.table([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=_LINKS)
+
+    texts = fetch(members).select("root", "i", "id", "_text")
+    links = staged(texts.groupBy("root", "i").cogroup(heads.select("root", "id", "_text", every("parts").alias("i")).groupBy("root", "i")).applyInArrow(within, "a long, b long"))
+    group = components(links).withColumnRenamed("node", "id").withColumnRenamed("root", "label")
+    labelled = staged(big.join(group, "id", "left").withColumn("label", F.coalesce("label", "id")))
+    counts = labelled.groupBy("root", "label").agg(F.count("*").alias("n"))
+    most = counts.groupBy("root").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all")).select("root", F.col("m.label").alias("main"), F.ceil((F.col("all") - F.col("m.n")) / chunk).cast("int").alias("rest"))
+    most = staged(most.where("rest > 0"))
+    if most.isEmpty():
+        return links
+    open_ = staged(fetch(labelled.join(most, "root")).select("root", "i", "parts", "rest", "id", "label", "main", F.col("_text")))
+    left = open_.where("label <> main").withColumn("j", F.pmod(F.xxhash64("id"), F.col("rest")).cast("int"))
+
+    def across(few: pa.Table, mine: pa.Table) -> pa.Table:
+        if not few.num_rows or not mine.num_rows:
+            return _LINKS.empty_table()
+        ids, sets = sets_of(few, mine)
+        label = np.empty(len(ids), np.int64)
+        for data in (few, mine):
+            label[np.searchsorted(ids, np.asarray(data.column("id")))] = np.asarray(data.column("label"))
+        pairs = [(ids[x], ids[y]) for x, y in _cross_links(sets, label, np.searchsorted(ids, np.unique(np.asarray(few.column("id")))), floor)]
+        return pa.table([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=_LINKS)
+
+    few = left.select("root", "j", every("parts").alias("i"), "id", "label", "_text").groupBy("root", "i", "j")
+    mine = open_.select("root", "i", every("rest").alias("j"), "id", "label", "_text").groupBy("root", "i", "j")
+    return links.union(few.cogroup(mine).applyInArrow(across, "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, min_similarity: float = 0.8, radius: int = 3, families: int = 8, chunk: int = 512) -> DataFrame:
     """Distinct texts with their group: ``text_key`` (MD5), ``least`` (smallest doc id), ``keep_key, keep_id``.
 
@@ -259,10 +353,10 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     tables over ``families`` independent SimHashes of the words (one within ``radius`` is enough) and, since these
     miss texts that differ in one piece, from every rarest-first prefix shingle that two texts share: that part
     alone misses no link.  Its pairs are told apart by length and by 256 parity bits, bounds that every true link
-    meets.  Every candidate group is then
-    verified by the exact similarity of all its texts, in chunks of ``chunk`` texts against each other, so a
-    group of any size is whole and no task holds more than two chunks.  Null and blank texts have no shingles:
-    each distinct one is a group of its own (null counts as empty).
+    meets.  The first family's tables are read first, with one edge a fingerprint, and label most of each crowded
+    group; all tables and prefixes then only send edges between labels, so that edges grow with the texts and
+    not with the tables.  Every candidate group is then verified by exact similarity (``_linked_texts``).  Null
+    and blank texts have no shingles: each distinct one is a group of its own (null counts as empty).
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.unhex(F.md5(body)).alias("text_key"), F.col(doc_id).cast("long").alias("doc_id"), body.alias("_text"))
@@ -282,31 +376,23 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     made = rows.mapInArrow(prints, "text_key binary, doc_id long, fps array<long>, size long, parity array<long>, prefix array<long>")
     texts = staged(made.groupBy("text_key").agg(F.min("doc_id").alias("least"), *[F.max(c).alias(c) for c in ("fps", "size", "parity", "prefix")]).withColumn("id", F.xxhash64("text_key")))
-    points = texts.where("size > 0").select("id", F.posexplode("fps").alias("family", "fp"))
-    # texts with one fingerprint are one point; the others of them hang on it by an edge each
-    points = points.withColumn("head", F.min("id").over(Window.partitionBy("family", "fp")))
-    edges = link_edges(points.where("id = head"), radius).union(points.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")))
-    shared = texts.where("size > 0").select(F.explode("prefix").alias("bucket"), "id", "size", *[F.col("parity")[k].alias(f"p{k}") for k in range(4)])
-    edges = edges.union(_bucket_edges(shared, lambda x, y: _may_reach(min_similarity, x[0], y[0], sum(np.bitwise_count(u ^ v).astype(np.int64) for u, v in zip(x[1:], y[1:])))))
-    label = components(edges)
-    sizes = staged(label.groupBy("root").agg(F.count("*").alias("n")))
-    members = staged(texts.join(label.withColumnRenamed("node", "id"), "id").join(sizes, "root").select("id", "root", F.col("text_key").alias("_k"), F.col("least").alias("_l"), F.ceil(F.col("n") / chunk).cast("int").alias("parts")))
-    held = rows.join(members, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_l")))
-    mine = F.pmod(F.col("id"), F.col("parts")).cast("int")
-    dealt = held.select("root", "id", "_text", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j")).select("root", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "id", "_text")
-
-    def verify(data: pa.Table) -> pa.Table:
-        ids, first = np.unique(np.asarray(data.column("id")), return_index=True)
-        bodies = column_bytes(data, "_text")
-        a, b = [], []
-        for root, reached in _similar_stars([_shingle_set(bodies[i], width) for i in first], min_similarity):
-            a.append(np.full(len(reached), ids[root]))
-            b.append(ids[reached])
-        empty = [np.empty(0, np.int64)]
-        return pa.table([pa.array(np.concatenate(x or empty)) for x in (a, b)], ["a", "b"])
-
-    links = dealt.groupBy("root", "p", "q").applyInArrow(verify, "a long, b long")
-    group = components(links).withColumnRenamed("node", "id")
+    worded = texts.where("size > 0").withColumn("fp", F.col("fps")[0])
+    first = staged(worded.groupBy("fp").agg(F.min("id").alias("id")))
+    label = components(_one_each(link_edges(first, radius))).withColumnRenamed("node", "id")
+    named = first.join(label, "id", "left").select("fp", F.coalesce("root", "id").alias("label"))
+    worded = staged(worded.join(named, "fp").drop("fp"))
+    # texts with one fingerprint are one point of a family; the labels of the others hang on its label
+    points = worded.select("id", "label", F.posexplode("fps").alias("family", "fp"))
+    heads = staged(points.groupBy("family", "fp").agg(F.min(F.struct("label", "id")).alias("h"), F.max("label").alias("top")).select("family", "fp", F.col("h.id").alias("id"), F.col("h.label").alias("label"), "top"))
+    mixed = heads.where("label < top").select("family", "fp", F.col("label").alias("a"))
+    hung = points.join(mixed, ["family", "fp"]).where("label > a").select("a", F.col("label").alias("b"))
+    shared = worded.select(F.explode("prefix").alias("bucket"), "id", "label", "size", *[F.col("parity")[k].alias(f"p{k}") for k in range(4)])
+    edges = link_edges(heads, radius).union(hung).union(_bucket_edges(shared, lambda x, y: _may_reach(min_similarity, x[0], y[0], sum(np.bitwise_count(u ^ v).astype(np.int64) for u, v in zip(x[1:], y[1:])))))
+    label = components(edges).withColumnRenamed("node", "label")
+    rooted = worded.join(label, "label", "left").withColumn("root", F.coalesce("root", "label"))
+    crowd = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
+    members = rooted.join(crowd, "root").select("id", "root", "text_key", "least", "size", "parity")
+    group = components(_linked_texts(rows, members, width=width, floor=min_similarity, chunk=chunk)).withColumnRenamed("node", "id")
     grouped = staged(texts.select("id", "text_key", "least").join(group, "id", "left").select("text_key", "least", F.coalesce("root", "id").alias("group")))
     heads = grouped.groupBy("group").agg(F.min(F.struct(F.coalesce("least", F.lit(np.iinfo(np.int64).max)).alias("o"), F.col("text_key").alias("keep_key"), F.col("least").alias("keep_id"))).alias("h"))
     return grouped.join(heads, "group").select("text_key", "least", "h.keep_key", "h.keep_id")
@@ -315,13 +401,14 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each group of copies and near copies, the one with the smallest id, with all its columns.
 
-    Rows equal in id and text count once.
+    Rows equal in id and text count once, whichever of them stays.  Null texts count as empty; a group whose ids
+    are all null keeps one row.  Names of other columns do not matter.
     """
     groups = near_duplicates(docs, doc_id=doc_id, text=text, **options)
-    keep = staged(groups.where(F.col("text_key") == F.col("keep_key")).select(F.col("text_key").alias("_k"), F.col("keep_id").alias("_i")))
-    key: Column = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    kept = docs.join(keep, (key == F.col("_k")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_i")), "left_semi")
-    rows = kept.select(F.col(doc_id).alias("i"), key.alias("k"))
-    if rows.count() > keep.count():  # some row is repeated whole: only then are rows brought together
-        kept = kept.withColumn("_k", key).dropDuplicates(["_k"]).drop("_k")
-    return kept
+    keep = staged(groups.where(F.col("text_key") == F.col("keep_key")).select("text_key", "keep_id"))
+    whole = docs.select(F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("text_key"), F.col(doc_id).cast("long").alias("keep_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = whole["text_key"].eqNullSafe(keep["text_key"]) & whole["keep_id"].eqNullSafe(keep["keep_id"])
+    kept = whole.join(keep, same, "left_semi")
+    if kept.count() > keep.count():  # some row is repeated whole: only then are rows brought together
+        kept = kept.dropDuplicates(["text_key"])
+    return kept.select("row.*")

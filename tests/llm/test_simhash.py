@@ -104,6 +104,31 @@ def test_near_duplicates_keep_one_of_each_group(spark, docs, doc_rows):
         assert kept == Counter([*least.values(), *[None] * (len(set(root)) - len(least))])
 
 
+def test_large_groups_that_hang_on_one_original_or_on_a_chain(spark):
+    rng = random.Random(12)
+    texts = []
+    for k in range(2):
+        base = [f"b{k}_{i}" for i in range(70)]
+        texts.append(" ".join(base))
+        for c in range(25):  # each near the original, not near each other
+            copy = list(base)
+            copy[rng.randrange(5, 65)] = f"c{k}_{c}"
+            texts.append(" ".join(copy))
+    chain = [f"k{i}" for i in range(80)]
+    for step in range(30):  # each near the next only
+        chain[step * 2 : step * 2 + 1] = [f"s{step}"]
+        texts.append(" ".join(chain))
+    texts += [" ".join(f"z{k}_{i}" for i in range(50)) for k in range(3)]
+    root = groups(len(texts), [(a, b) for a in range(len(texts)) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8])
+    rows = [(i, t, "a", 1, 2, 3) for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _k string, _i long, _l long, text_key long")
+    for chunk in (3, 10, 512):
+        got = s.drop_near_duplicates(frame, chunk=chunk)
+        assert got.columns == frame.columns
+        assert {r.doc_id for r in got.collect()} == set(root)
+
+
 def test_texts_that_differ_in_one_piece(spark):
     rng = random.Random(9)
     texts = []
