@@ -55,7 +55,7 @@ class WordEncoder:
 
     For a file with the splitting pattern above, the pieces of plain ASCII and Latin texts go through the
     library's merge model once and are kept; ``max_pieces`` bounds what one Python worker keeps.  All other
-    texts, and texts of other files, go through the library whole.
+    texts, those with the string of an added token, and texts of other files, go through the library whole.
     """
 
     def __init__(self, path: str, max_pieces: int = 500_000):
@@ -64,15 +64,16 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = spec.get("added_tokens") or []
+        self.added = [x["content"] for x in added]
         steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         first = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        self.known = (first.get("pattern", {}).get("Regex"), steps) == _SPLIT
+        self.known = (first.get("pattern", {}).get("Regex"), steps) == _SPLIT and not any(x.get("normalized") for x in added)
         self.pieces = _Pieces(self.tokenizer, max_pieces)
 
     def packed(self, text: str) -> bytes:
         """Ids of the text as 32-bit integers."""
-        if self.known and _PLAIN.fullmatch(text):
+        if self.known and _PLAIN.fullmatch(text) and not any(x in text for x in self.added):
             if text.isascii():
                 return b"".join(map(self.pieces.__getitem__, _ASCII.findall(text.lower())))
             if is_normalized("NFC", text):
@@ -94,14 +95,17 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
     """Encode whole texts and write them in ascending ``doc_id`` order; returns the folder.
 
     ``encoding`` is ``dictionary`` or ``delta`` for the id column.  Null texts are empty documents of one end
-    id; null document ids come first; repeated rows are written as often as they come.  An empty table gives
-    an empty folder of files.  Spark's writer does the commit, so a retried task leaves no second file.
+    id; null document ids come first; repeated rows are written as often as they come.  Rows of one id (or of
+    none) lie in the order of a hash of their texts, by which they are also spread over files; only rows equal in
+    id and text share a file.  An empty table gives an empty folder of files.  Other columns are not read.
+    Spark's writer does the commit, so a retried task leaves no second file.
     """
     if encoding not in ("dictionary", "delta"):
         raise ValueError("encoding is dictionary or delta")
     n = parts_for(docs, text, file_bytes)
     dealt = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    dealt = (dealt.repartitionByRange(n, F.col("doc_id").asc_nulls_first()) if n > 1 else dealt.coalesce(1)).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_text")
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("_text")]
+    dealt = (dealt.repartitionByRange(n, *order) if n > 1 else dealt.coalesce(1)).sortWithinPartitions(*order, "_text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
@@ -130,10 +134,16 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", tex
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: ``part, base, n_docs, n_tokens``; reads no ids.  Its size is the number of files."""
-    files = spark.read.parquet(path).groupBy("part").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return files.select("part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"), "n_docs", "n_tokens")
+    """One row per file: ``part, base, n_docs, n_tokens``; reads no ids.
+
+    Positions are summed within groups of 1,000 files first, so that the one sort without a partition key has a
+    thousandth of the files.
+    """
+    files = spark.read.parquet(path).groupBy("part").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).withColumn("g", F.expr("part div 1000"))
+    so_far = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = files.groupBy("g").agg(F.sum("n_tokens").alias("n_tokens")).select("g", so_far(Window.orderBy("g")).alias("below"))
+    inside = files.withColumn("inner", so_far(Window.partitionBy("g").orderBy("part")))
+    return inside.join(groups, "g").select("part", (F.col("below") + F.col("inner")).alias("base"), "n_docs", "n_tokens")
 
 
 def read_tokens(spark: SparkSession, path: str, *, with_ids: bool = True) -> DataFrame:

@@ -15,7 +15,6 @@ def test_round_trip(spark, docs, doc_rows, encoding):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     want, at = [], 0
     for i, text in sorted(((r[0], r[1] or "") for r in doc_rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
         ids = [*plain.encode(text, add_special_tokens=False).ids, 1]
@@ -38,13 +37,21 @@ def test_words_equal_library_encoding():
 
     path = public_tokenizers.path("word_bpe_49k.json")
     plain, own = Tokenizer.from_file(path), t.WordEncoder(path, max_pieces=3)
-    plain.encode_special_tokens = True
-    texts = ["", " ", "Don't stop's WE'LL 12a3 ###$$ it’s", "ΑΣ ΟΔΟΣ Ünï İstanbul ß ﬁ é ́a", "a b c\x85d\x1ce", "<|endoftext|> <|startoftext|>x", "日本語 テスト emoji 😀😀 ok", "x² ½ª º_a__b µ÷× İX ŉ ǅ Ȼ a\xa0b", "l'été D'ACCORD qu'il's", "tab\tnew\nline\r\n  two"]
+    texts = ["", " ", "Don't stop's WE'LL 12a3 ###$$ it’s", "ΑΣ ΟΔΟΣ Ünï İstanbul ß ﬁ é ́a", "a b c\x85d\x1ce", "<|endoftext|> <|startoftext|>x", "a <|endoftext|> b", "a<|endoftext|", "<|ENDOFTEXT|> é", "日本語 テスト emoji 😀😀 ok", "x² ½ª º_a__b µ÷× İX ŉ ǅ Ȼ a\xa0b", "l'été D'ACCORD qu'il's", "tab\tnew\nline\r\n  two"]
     for text in texts:
         assert own.known
         assert own.encode(text) == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_repeated_and_null_ids_are_spread(spark):
+    rows = [(None if k % 2 else 7, f"text number {k}") for k in range(400)]
+    out = t.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path("word_bpe_49k.json"), file_bytes=1000)
+    got = t.read_tokens(spark, out).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 200 + [7] * 200
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    assert spark.read.parquet(out).groupBy("part").count().agg({"count": "max"}).first()[0] < 150
+
+
 def test_empty_table(spark, no_docs):
     out = t.write_tokens(no_docs, public_tokenizers.path("word_bpe_49k.json"))
     assert t.with_crc(t.read_tokens(spark, out)).count() == 0
