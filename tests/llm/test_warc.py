@@ -37,6 +37,7 @@ def test_round_trip(spark):
         path = warc.write_archives(pages, file_bytes=100_000, min_revisit_bytes=least)
         got = warc.read_archives(spark, path)
         assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got.collect()), key=repr) == expected(rows, least)
+    assert all(f.path.endswith(".warc.zst") for f in spark.read.format("binaryFile").load(path).select("path").collect())
     html = {i: h or "" for i, _, h in rows if i is not None}
     assert all(bytes(r.payload).decode() == html[r.page_id] for r in got.where("record_type = 'response' and page_id is not null").collect())
 
@@ -52,6 +53,22 @@ def test_leading_dictionary_frame_and_single_records(spark):
     assert one.decompress(data[8 + size :]).startswith(b"WARC/1.1\r\n") and one.eof
 
 
+def test_revisits_name_the_record_they_refer_to(spark):
+    pages = spark.createDataFrame(make_rows(), "page_id long, url string, html string")
+    path = warc.write_archives(pages, file_bytes=50_000, date="2025-02-03T04:05:06Z")
+    heads = []
+    for r in spark.read.format("binaryFile").load(path).collect():
+        for record in warc._records(bytes(r.content)):
+            heads.append(dict(x.split(": ", 1) for x in record.partition(b"\r\n\r\n")[0].decode().split("\r\n")[1:] if ": " in x))
+    known = {h["WARC-Record-ID"]: h for h in heads}
+    revisits = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(revisits) > 40
+    for h in revisits:
+        to = known[h["WARC-Refers-To"]]
+        assert to["WARC-Type"] == "response" and to["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+        assert to["WARC-Target-URI"] == h["WARC-Refers-To-Target-URI"] and h["WARC-Refers-To-Date"] == to["WARC-Date"] == "2025-02-03T04:05:06Z"
+
+
 def test_few_and_no_records(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(spark, warc.write_archives(empty)).count() == 0
