@@ -1,9 +1,11 @@
 """Substring dedup: Rabin-Karp hashes of every fixed-length word window, counted across the corpus in Spark.
 
-Documents are dealt into blocks by a hash of their id.  A block sends each distinct window hash once, with
+Documents are dealt into blocks by a hash of their id.  A block sends each distinct 64-bit window hash once, with
 the least document id it has there, to the bucket that owns the hash range.  A bucket answers with one bit
-per hash: whether a smaller id has the same window.  The block then merges flagged windows into maximal
-removal intervals.  A window that all documents share costs one entry per block, so it is never a hot key.
+per hash: whether another block has it too.  Hashes found twice, here or elsewhere, are only candidates: their
+windows are told apart by a 128-bit digest of their words, which goes the same way and is answered by whether a
+smaller id has the same window.  The block then merges the windows that are to go into maximal removal
+intervals.  A window that all documents share costs one entry per block, so it is never a hot key.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, column_ids, parts_for, planes, unplanes
+from .common import column_bytes, column_ids, parts_for, planes, staged, unplanes
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -51,18 +53,40 @@ def _windows(words: list[list[bytes]], width: int) -> tuple[np.ndarray, np.ndarr
     return start, doc, h
 
 
-def _block(data: pa.Table, width: int):
-    """The block's documents in id order and its distinct window hashes, sorted, each with its first document."""
-    ids, texts = column_ids(data, "_id"), column_bytes(data, "_text")
-    order = np.lexsort((np.fromiter(map(len, texts), np.int64, len(texts)), ids))
-    words = [texts[i].split() for i in order]
-    start, doc, h = _windows(words, width)
-    by = np.argsort(h, kind="stable")
-    head = np.ones(len(h), bool)
-    head[1:] = h[by][1:] != h[by][:-1]
-    run = np.cumsum(head) - 1
-    first = doc[by][head]
-    return order, ids[order], words, start, doc, by, run, h[by][head], first
+class _Block:
+    """Documents in id order, their windows, and the distinct window hashes in order.
+
+    ``run`` is each window's place in ``hashes``, ``first`` the first document of each hash.
+    """
+
+    def __init__(self, data: pa.Table, width: int):
+        ids, texts = column_ids(data, "_id"), column_bytes(data, "_text")
+        self.order = np.lexsort((np.fromiter(map(len, texts), np.int64, len(texts)), ids))
+        self.ids, self.width = ids[self.order], width
+        self.words = [texts[i].split() for i in self.order]
+        self.sizes = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        self.start, self.doc, h = _windows(self.words, width)
+        by = np.argsort(h, kind="stable")
+        head = np.ones(len(h), bool)
+        head[1:] = h[by][1:] != h[by][:-1]
+        self.run = np.empty(len(h), np.int64)
+        self.run[by] = np.cumsum(head) - 1
+        self.hashes, self.first = h[by][head], self.doc[by][head]
+
+    def candidates(self, elsewhere: np.ndarray) -> np.ndarray:
+        """Windows whose hash another block has, or another id here."""
+        more = elsewhere.copy()
+        more[self.run[self.ids[self.doc] != self.ids[self.first[self.run]]]] = True
+        return np.flatnonzero(more[self.run])
+
+    def digests(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct 128-bit digests of these windows' words, in order, each window's place in them, and the least id of each."""
+        flat = [w for words in self.words for w in words]
+        raw = b"".join(xxhash.xxh3_128_digest(b" ".join(flat[i : i + self.width])) for i in self.start[windows].tolist())
+        names, place = np.unique(np.frombuffer(raw, "V16").view([("a", ">u8"), ("b", ">u8")]), return_inverse=True)
+        least = np.full(len(names), np.iinfo(np.int64).max)
+        np.minimum.at(least, place, self.ids[self.doc[windows]])
+        return names, place, least
 
 
 def _bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -70,57 +94,88 @@ def _bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(owner, np.arange(buckets + 1, dtype=np.uint64))
 
 
-def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 13, block_bytes: int = 4 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
+def _flags(replies: pa.Table, cut: np.ndarray, step: int) -> np.ndarray:
+    """The answers of a step's buckets, in the order of what was sent."""
+    out = np.zeros(cut[-1], bool)
+    for b, told, bits in zip(*(replies.column(c).to_pylist() for c in ("bucket", "step", "flags"))):
+        if told == step:
+            out[cut[b] : cut[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=cut[b + 1] - cut[b]).astype(bool)
+    return out
+
+
+_SENT = pa.schema([("bucket", pa.int32()), ("_block", pa.int32()), ("hashes", pa.binary()), ("rest", pa.binary()), ("ids", pa.binary())])
+_TOLD = pa.schema([("bucket", pa.int32()), ("_block", pa.int32()), ("step", pa.int32()), ("flags", pa.binary())])
+
+
+def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 13, block_bytes: int | None = None, bucket_bytes: int = 4 << 20) -> DataFrame:
     """Per document: ``doc_id, n_words, n_removed, kept_sha256, kept`` (the kept words, joined by blanks).
 
     A word goes if a window of ``width`` words over it also starts in a document with a smaller id, judged on
-    the input.  Null texts have no words.  A null id counts as larger than any other; equal ids do not remove
-    each other.  Windows are told apart by a 64-bit polynomial hash.  Other columns are not read.
+    the input.  Null and blank texts have no words; texts of fewer than ``width`` words have no window.  A null id
+    counts as larger than any other; equal ids do not remove each other, nor do null ones.  Rows without an id are
+    dealt by their text.  Windows are found by a 64-bit polynomial hash and told apart by a 128-bit digest of
+    their words.  ``block_bytes`` of text make a block: by default a 200,000th of all, but 4 MB at least and 32 MB
+    at most.  Other columns are not read.
     """
     total = parts_for(docs, text, 1)
-    blocks, buckets = -(-total // block_bytes), -(-total // bucket_bytes)
-    dealt = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text")).withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int"))
+    blocks, buckets = -(-total // (block_bytes or min(max(total // 200_000, 4 << 20), 32 << 20))), -(-total // bucket_bytes)
+    dealt = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
+    dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("_id", F.when(F.col("_id").isNull(), F.xxhash64("_text"))), F.lit(blocks)).cast("int"))
 
-    def send(key: tuple, data: pa.Table) -> pa.Table:
-        _, ids, _, _, _, _, _, hashes, first = _block(data, width)
-        cut = _bounds(hashes, buckets)
-        rows = []
+    def parcels(block: int, hashes: np.ndarray, rest: np.ndarray, ids: np.ndarray) -> pa.Table:
+        cut, rows = _bounds(hashes, buckets), []
         for b in np.flatnonzero(cut[1:] > cut[:-1]):
             part = slice(cut[b], cut[b + 1])
-            rows.append((int(b), key[0].as_py(), planes(np.diff(hashes[part], prepend=np.uint64(0))), planes(ids[first[part]])))
-        cols = list(zip(*rows)) or [[], [], [], []]
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["bucket", "_block", "hashes", "ids"])
-
-    def answer(data: pa.Table) -> pa.Table:
-        hashes = [np.cumsum(unplanes(x, np.uint64), dtype=np.uint64) for x in data.column("hashes").to_pylist()]
-        ids = np.concatenate([unplanes(x, np.int64) for x in data.column("ids").to_pylist()])
-        every = np.concatenate(hashes)
-        by = np.argsort(every, kind="stable")
-        head = np.flatnonzero(np.r_[True, every[by][1:] != every[by][:-1]])
-        least = np.minimum.reduceat(ids[by], head)
-        late = np.empty(len(every), bool)
-        late[by] = ids[by] > np.repeat(least, np.diff(np.r_[head, len(every)]))
-        cut = np.cumsum([len(h) for h in hashes])[:-1]
-        flags = [np.packbits(x).tobytes() for x in np.split(late, cut)]
-        return pa.table([data.column("bucket"), data.column("_block"), pa.array(flags, pa.binary())], ["bucket", "_block", "flags"])
+            rows.append((int(b), block, planes(np.diff(hashes[part], prepend=np.uint64(0))), rest[part].tobytes(), planes(ids[part])))
+        cols = list(zip(*rows)) or [[]] * 5
+        return pa.table([pa.array(c, f.type) for c, f in zip(cols, _SENT)], schema=_SENT)
+
+    def send(key: tuple, data: pa.Table) -> pa.Table:
+        block = _Block(data, width)
+        return parcels(key[0].as_py(), block.hashes, np.empty(len(block.hashes), "V0"), block.ids[block.first])
+
+    def send_words(key: tuple, data: pa.Table, replies: pa.Table) -> pa.Table:
+        if not data.num_rows:
+            return _SENT.empty_table()
+        block = _Block(data, width)
+        names, _, least = block.digests(block.candidates(_flags(replies, _bounds(block.hashes, buckets), 1)))
+        return parcels(key[0].as_py(), names["a"].astype(np.uint64), names["b"].astype(np.uint64), least)
+
+    def answer(step: int):
+        def reply(data: pa.Table) -> pa.Table:
+            hashes = [np.cumsum(unplanes(x, np.uint64), dtype=np.uint64) for x in data.column("hashes").to_pylist()]
+            ids = np.concatenate([unplanes(x, np.int64) for x in data.column("ids").to_pylist()])
+            every = np.concatenate(hashes)
+            if step == 1:
+                by = np.argsort(every, kind="stable")
+                new = every[by][1:] != every[by][:-1]
+            else:
+                rest = np.concatenate([np.frombuffer(x, np.uint64) for x in data.column("rest").to_pylist()])
+                by = np.lexsort((rest, every))
+                new = (every[by][1:] != every[by][:-1]) | (rest[by][1:] != rest[by][:-1])
+            head = np.flatnonzero(np.r_[True, new])
+            size = np.diff(np.r_[head, len(every)])
+            told = np.empty(len(every), bool)
+            if step == 1:
+                told[by] = np.repeat(size > 1, size)
+            else:
+                told[by] = ids[by] > np.repeat(np.minimum.reduceat(ids[by], head), size)
+            flags = [np.packbits(x).tobytes() for x in np.split(told, np.cumsum([len(h) for h in hashes])[:-1])]
+            return pa.table([data.column("bucket"), data.column("_block"), pa.array(np.full(len(flags), step, np.int32)), pa.array(flags, pa.binary())], schema=_TOLD)
+
+        return reply
 
     def cut_out(key: tuple, data: pa.Table, replies: pa.Table) -> pa.Table:
-        order, ids, words, start, doc, by, run, hashes, first = _block(data, width)
-        cut = _bounds(hashes, buckets)
-        late = np.zeros(len(hashes), bool)
-        for b, bits in zip(replies.column("bucket").to_pylist(), replies.column("flags").to_pylist()):
-            n = cut[b + 1] - cut[b]
-            late[cut[b] : cut[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
-        gone = np.empty(len(start), bool)
-        gone[by] = late[run] | (ids[doc[by]] > ids[first[run]])
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        total = int(sizes.sum())
-        begins = np.bincount(start[gone], minlength=total + 1)
-        ends = np.bincount(start[gone] + width, minlength=total + 1)
-        covered = np.cumsum(begins - ends)[:-1] > 0
+        block = _Block(data, width)
+        windows = block.candidates(_flags(replies, _bounds(block.hashes, buckets), 1))
+        names, place, least = block.digests(windows)
+        late = _flags(replies, _bounds(names["a"].astype(np.uint64), buckets), 2)
+        gone = block.start[windows[late[place] | (block.ids[block.doc[windows]] > least[place])]]
+        size = int(block.sizes.sum())
+        covered = np.cumsum(np.bincount(gone, minlength=size + 1) - np.bincount(gone + width, minlength=size + 1))[:-1] > 0
         removed, sums, kept = [], [], []
         at = 0
-        for w in words:
+        for w in block.words:
             drop = covered[at : at + len(w)]
             at += len(w)
             n = int(drop.sum())
@@ -128,9 +183,12 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             removed.append(n)
             sums.append(hashlib.sha256(left).hexdigest())
             kept.append(left)
-        back = data.column("_id").take(pa.array(order))
-        return pa.table([back, pa.array(sizes), pa.array(removed, pa.int64()), pa.array(sums), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
-
-    asked = dealt.groupBy("_block").applyInArrow(send, "bucket int, _block int, hashes binary, ids binary")
-    told = asked.groupBy("bucket").applyInArrow(answer, "bucket int, _block int, flags binary")
-    return dealt.groupBy("_block").cogroup(told.groupBy("_block")).applyInArrow(cut_out, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+        back = data.column("_id").take(pa.array(block.order))
+        return pa.table([back, pa.array(block.sizes), pa.array(removed, pa.int64()), pa.array(sums), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+
+    sent, told = "bucket int, _block int, hashes binary, rest binary, ids binary", "bucket int, _block int, step int, flags binary"
+    by_block = dealt.groupBy("_block")
+    first = by_block.applyInArrow(send, sent).groupBy("bucket").applyInArrow(answer(1), told)
+    first = staged(first.where(F.translate(F.hex("flags"), "0", "") != ""))  # read twice
+    second = by_block.cogroup(first.groupBy("_block")).applyInArrow(send_words, sent).groupBy("bucket").applyInArrow(answer(2), told)
+    return by_block.cogroup(first.union(second).groupBy("_block")).applyInArrow(cut_out, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
