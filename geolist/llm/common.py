@@ -71,6 +71,12 @@ def unplanes(blob: bytes, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(dtype).ravel()
 
 
+def hash_bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's range of sorted unsigned hashes begins, and the end."""
+    owner = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(owner, np.arange(buckets + 1, dtype=np.uint64))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: rows ``(node, root)``, root the least node reachable.
 

@@ -13,11 +13,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, components, staged
+from .common import column_bytes, components, hash_bounds, planes, staged, unplanes
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(float)
 
@@ -89,15 +90,15 @@ def _spanning(cols: tuple[np.ndarray, ...], near: Callable) -> Iterator[tuple[in
 def _bucket_edges(rows: DataFrame, near: Callable) -> DataFrame:
     """Edges ``a, b`` that connect the labels inside each bucket just as all pairs that are ``near`` would.
 
-    ``rows`` are ``bucket, id, label`` and long columns, which ``near`` gets as unsigned values of one member and
-    of many.  Each bucket is reduced to spanning edges in one pass over sorted rows; edges inside a label are not
+    ``rows`` are ``bucket, label`` and long columns, which ``near`` gets as unsigned values of one member and of
+    many.  Each bucket is reduced to spanning edges in one pass over sorted rows; edges inside a label are not
     sent, and each pair of labels goes once a piece.
     """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
-        def edges(bucket: np.ndarray, ids: np.ndarray, label: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def edges(bucket: np.ndarray, label: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
             cut = np.r_[0, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)]
             size = np.diff(cut)
             two = cut[:-1][size == 2]
@@ -116,7 +117,7 @@ def _bucket_edges(rows: DataFrame, near: Callable) -> DataFrame:
                 yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in pairs.T], ["a", "b"])
 
         for batch in batches:
-            cols = tuple(np.asarray(c).view(np.int64 if k < 3 else np.uint64) for k, c in enumerate(batch.columns))  # bits are counted on unsigned values
+            cols = tuple(np.asarray(c).view(np.int64 if k < 2 else np.uint64) for k, c in enumerate(batch.columns))  # bits are counted on unsigned values
             if not len(cols[0]):
                 continue
             held.append(cols)
@@ -129,7 +130,7 @@ def _bucket_edges(rows: DataFrame, near: Callable) -> DataFrame:
         if held:
             yield from edges(*(np.concatenate(x) for x in zip(*held)))
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket", "id").mapInArrow(link, "a long, b long")
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "label").mapInArrow(link, "a long, b long")
 
 
 def link_edges(points: DataFrame, radius: int) -> DataFrame:
@@ -142,7 +143,7 @@ def link_edges(points: DataFrame, radius: int) -> DataFrame:
     masks = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(covering_masks(radius))])
     family = F.col("family") if "family" in points.columns else F.lit(0)
     label = F.col("label") if "label" in points.columns else F.col("id")
-    rows = points.select("id", "fp", label.alias("label"), family.alias("f"), F.explode(masks).alias("m")).select(F.xxhash64("f", "m.t", "m.key").alias("bucket"), "id", "label", "fp")
+    rows = points.select("fp", label.alias("label"), family.alias("f"), F.explode(masks).alias("m")).select(F.xxhash64("f", "m.t", "m.key").alias("bucket"), "label", "fp")
     return _bucket_edges(rows, lambda x, y: np.bitwise_count(y[0] ^ x[0]) <= radius)
 
 
@@ -236,6 +237,55 @@ def _common_shingles(rows: DataFrame, width: int, texts: int = 10_000, most: int
     return h[order], n[order]
 
 
+def _shared_prefixes(texts: DataFrame, block_hashes: int = 1_000_000) -> DataFrame:
+    """``texts(id, size, parity, prefix)`` with those prefix shingles only that another text has in its prefix too.
+
+    Blocks of texts send their distinct hashes, sorted and packed, to the owner of each range of hashes, which
+    answers with one bit each; most shingles are met once and go no further.
+    """
+    total = texts.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    parts = max(1, -(-int(total) // block_hashes))
+    dealt = texts.select("id", "size", "parity", "prefix", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("_block")).groupBy("_block")
+
+    def hashes_of(data: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        lists = data.column("prefix").combine_chunks()
+        flat = np.asarray(lists.flatten()).view(np.uint64)
+        every, place, n = np.unique(flat, return_inverse=True, return_counts=True)
+        return np.asarray(pc.list_value_length(lists)), flat, place, np.stack([every, n.astype(np.uint64)])
+
+    def send(key: tuple, data: pa.Table) -> pa.Table:
+        every, n = hashes_of(data)[3]
+        cut, rows = hash_bounds(every, parts), []
+        for b in np.flatnonzero(cut[1:] > cut[:-1]):
+            part = slice(cut[b], cut[b + 1])
+            rows.append((int(b), key[0].as_py(), planes(np.diff(every[part], prepend=np.uint64(0))), np.packbits(n[part] > 1).tobytes()))
+        cols = list(zip(*rows)) or [[]] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["bucket", "_block", "hashes", "often"])
+
+    def answer(data: pa.Table) -> pa.Table:
+        pieces = [np.cumsum(unplanes(x, np.uint64), dtype=np.uint64) for x in data.column("hashes").to_pylist()]
+        often = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(h)) for x, h in zip(data.column("often").to_pylist(), pieces)]).astype(bool)
+        _, place, n = np.unique(np.concatenate(pieces), return_inverse=True, return_counts=True)
+        shared = often | (n[place] > 1)
+        bits = [np.packbits(x).tobytes() for x in np.split(shared, np.cumsum([len(h) for h in pieces])[:-1])]
+        return pa.table([data.column("bucket"), data.column("_block"), pa.array(bits, pa.binary())], ["bucket", "_block", "flags"])
+
+    def take(data: pa.Table, replies: pa.Table) -> pa.Table:
+        length, flat, place, (every, _) = hashes_of(data)
+        cut = hash_bounds(every, parts)
+        shared = np.zeros(len(every), bool)
+        for b, bits in zip(replies.column("bucket").to_pylist(), replies.column("flags").to_pylist()):
+            shared[cut[b] : cut[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=cut[b + 1] - cut[b]).astype(bool)
+        keep = shared[place]
+        owner = np.repeat(np.arange(len(length)), length)
+        cut = np.r_[0, np.cumsum(np.bincount(owner[keep], minlength=len(length)))].astype(np.int32)
+        kept = pa.ListArray.from_arrays(pa.array(cut), pa.array(flat[keep].view(np.int64)))
+        return pa.table([data.column("id"), data.column("size"), data.column("parity"), kept], ["id", "size", "parity", "prefix"])
+
+    told = dealt.applyInArrow(send, "bucket int, _block int, hashes binary, often binary").groupBy("bucket").applyInArrow(answer, "bucket int, _block int, flags binary")
+    return dealt.cogroup(told.groupBy("_block")).applyInArrow(take, "id long, size long, parity array<long>, prefix array<long>")
+
+
 def _alike(sets: list[np.ndarray], size: np.ndarray, parity: np.ndarray, x: int, others: np.ndarray, floor: float) -> Iterator[int]:
     """Those of ``others`` whose Jaccard similarity with ``x`` is ``floor`` or more."""
     for y in others[_may_reach(floor, size[others], size[x], np.bitwise_count(parity[others] ^ parity[x]).sum(1))]:
@@ -345,14 +395,14 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     return links.union(few.cogroup(mine).applyInArrow(across, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, min_similarity: float = 0.8, radius: int = 3, families: int = 8, chunk: int = 512) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, min_similarity: float = 0.8, radius: int = 3, families: int = 4, chunk: int = 512) -> DataFrame:
     """Distinct texts with their group: ``text_key`` (MD5), ``least`` (smallest doc id), ``keep_key, keep_id``.
 
     Two texts are near duplicates if the sets of their ``width``-word shingles (A-Z lower-cased) have Jaccard
     similarity of ``min_similarity`` or more; groups are connected by such links.  Candidates come from covering
     tables over ``families`` independent SimHashes of the words (one within ``radius`` is enough) and, since these
-    miss texts that differ in one piece, from every rarest-first prefix shingle that two texts share: that part
-    alone misses no link.  Its pairs are told apart by length and by 256 parity bits, bounds that every true link
+    miss texts that differ in one piece, from every rarest-first prefix shingle that two texts share (shingles met
+    once are left out first): that part alone misses no link.  Its pairs are told apart by length and by 256 parity bits, bounds that every true link
     meets.  The first family's tables are read first, with one edge a fingerprint, and label most of each crowded
     group; all tables and prefixes then only send edges between labels, so that edges grow with the texts and
     not with the tables.  Every candidate group is then verified by exact similarity (``_linked_texts``).  Null
@@ -380,18 +430,17 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     first = staged(worded.groupBy("fp").agg(F.min("id").alias("id")))
     label = components(_one_each(link_edges(first, radius))).withColumnRenamed("node", "id")
     named = first.join(label, "id", "left").select("fp", F.coalesce("root", "id").alias("label"))
-    worded = staged(worded.join(named, "fp").drop("fp"))
+    labels = staged(worded.select("id", "fp").join(named, "fp").select("id", "label"))
     # texts with one fingerprint are one point of a family; the labels of the others hang on its label
-    points = worded.select("id", "label", F.posexplode("fps").alias("family", "fp"))
-    heads = staged(points.groupBy("family", "fp").agg(F.min(F.struct("label", "id")).alias("h"), F.max("label").alias("top")).select("family", "fp", F.col("h.id").alias("id"), F.col("h.label").alias("label"), "top"))
-    mixed = heads.where("label < top").select("family", "fp", F.col("label").alias("a"))
-    hung = points.join(mixed, ["family", "fp"]).where("label > a").select("a", F.col("label").alias("b"))
-    shared = worded.select(F.explode("prefix").alias("bucket"), "id", "label", "size", *[F.col("parity")[k].alias(f"p{k}") for k in range(4)])
+    points = texts.select("id", "fps").join(labels, "id").select("label", F.posexplode("fps").alias("family", "fp"))
+    heads = staged(points.groupBy("family", "fp").agg(F.min("label").alias("label"), F.max("label").alias("top")))
+    hung = points.join(heads.where("label < top").withColumnRenamed("label", "a"), ["family", "fp"]).where("label > a").select("a", F.col("label").alias("b"))
+    shared = staged(_shared_prefixes(worded).where(F.size("prefix") > 0))
+    shared = shared.join(labels, "id").select(F.explode("prefix").alias("bucket"), "label", "size", *[F.col("parity")[k].alias(f"p{k}") for k in range(4)])
     edges = link_edges(heads, radius).union(hung).union(_bucket_edges(shared, lambda x, y: _may_reach(min_similarity, x[0], y[0], sum(np.bitwise_count(u ^ v).astype(np.int64) for u, v in zip(x[1:], y[1:])))))
-    label = components(edges).withColumnRenamed("node", "label")
-    rooted = worded.join(label, "label", "left").withColumn("root", F.coalesce("root", "label"))
+    rooted = labels.join(components(edges).withColumnRenamed("node", "label"), "label", "left").select("id", F.coalesce("root", "label").alias("root"))
     crowd = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
-    members = rooted.join(crowd, "root").select("id", "root", "text_key", "least", "size", "parity")
+    members = texts.select("id", "text_key", "least", "size", "parity").join(rooted.join(crowd, "root"), "id")
     group = components(_linked_texts(rows, members, width=width, floor=min_similarity, chunk=chunk)).withColumnRenamed("node", "id")
     grouped = staged(texts.select("id", "text_key", "least").join(group, "id", "left").select("text_key", "least", F.coalesce("root", "id").alias("group")))
     heads = grouped.groupBy("group").agg(F.min(F.struct(F.coalesce("least", F.lit(np.iinfo(np.int64).max)).alias("o"), F.col("text_key").alias("keep_key"), F.col("least").alias("keep_id"))).alias("h"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, column_ids, parts_for, planes, staged, unplanes
+from .common import column_bytes, column_ids, hash_bounds, parts_for, planes, staged, unplanes
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -89,11 +89,6 @@ class _Block:
         return names, place, least
 
 
-def _bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    owner = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    return np.searchsorted(owner, np.arange(buckets + 1, dtype=np.uint64))
-
-
 def _flags(replies: pa.Table, cut: np.ndarray, step: int) -> np.ndarray:
     """The answers of a step's buckets, in the order of what was sent."""
     out = np.zeros(cut[-1], bool)
@@ -123,7 +118,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("_id", F.when(F.col("_id").isNull(), F.xxhash64("_text"))), F.lit(blocks)).cast("int"))
 
     def parcels(block: int, hashes: np.ndarray, rest: np.ndarray, ids: np.ndarray) -> pa.Table:
-        cut, rows = _bounds(hashes, buckets), []
+        cut, rows = hash_bounds(hashes, buckets), []
         for b in np.flatnonzero(cut[1:] > cut[:-1]):
             part = slice(cut[b], cut[b + 1])
             rows.append((int(b), block, planes(np.diff(hashes[part], prepend=np.uint64(0))), rest[part].tobytes(), planes(ids[part])))
@@ -138,7 +133,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         if not data.num_rows:
             return _SENT.empty_table()
         block = _Block(data, width)
-        names, _, least = block.digests(block.candidates(_flags(replies, _bounds(block.hashes, buckets), 1)))
+        names, _, least = block.digests(block.candidates(_flags(replies, hash_bounds(block.hashes, buckets), 1)))
         return parcels(key[0].as_py(), names["a"].astype(np.uint64), names["b"].astype(np.uint64), least)
 
     def answer(step: int):
@@ -167,9 +162,9 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     def cut_out(key: tuple, data: pa.Table, replies: pa.Table) -> pa.Table:
         block = _Block(data, width)
-        windows = block.candidates(_flags(replies, _bounds(block.hashes, buckets), 1))
+        windows = block.candidates(_flags(replies, hash_bounds(block.hashes, buckets), 1))
         names, place, least = block.digests(windows)
-        late = _flags(replies, _bounds(names["a"].astype(np.uint64), buckets), 2)
+        late = _flags(replies, hash_bounds(names["a"].astype(np.uint64), buckets), 2)
         gone = block.start[windows[late[place] | (block.ids[block.doc[windows]] > least[place])]]
         size = int(block.sizes.sum())
         covered = np.cumsum(np.bincount(gone, minlength=size + 1) - np.bincount(gone + width, minlength=size + 1))[:-1] > 0
