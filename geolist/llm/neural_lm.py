@@ -1,22 +1,25 @@
 """Log-bilinear language model with noise-contrastive estimation, trained and applied in numpy.
 
-Symbols are the most frequent training tokens and, for all other tokens, classes by their last two bytes; a
-class spreads its probability over its own tokens by their smoothed counts.  Every input partition
-makes one local pass from the common parameters, and Spark averages them by their tokens; all training text
-takes part in each round.  Since symbols are few, batched matrix products give the exact normaliser of every context
-once, and each token's log-probability is then a few table look-ups.
+Symbols are the most frequent training tokens and, for all other tokens, kinds by their last two bytes; a kind
+spreads its probability over its own tokens by their smoothed counts.  The probability of a symbol is that of its
+class times that within its class, both log-bilinear in the two symbols before; classes are runs of the vocabulary
+by frequency, and every kind is a class of its own.  So two batched matrix products give the exact normaliser.
+
+Texts are dealt into blocks by their id and written once as numbers, one row a block.  In each round every block
+makes one local pass from the common parameters, and Spark sums what the blocks found; all training text takes
+part.  A block's pass depends on its own texts only, and the sums are exact, so the model depends neither on how the
+input is laid out nor on which task reads what.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column_bytes, crc_mod, parts_for, staged
@@ -24,213 +27,292 @@ from .common import column_bytes, crc_mod, parts_for, staged
 #: The end of a text, as a token: it has a blank, so no word equals it.
 END = b" end"
 SMOOTH = 0.1
+#: Parameters are handed over in whole multiples of this, so that their weighted sums are exact in any order.
+GRAIN = 2.0**-18
 
 
-def token_class(token: bytes, classes: int) -> int:
-    return zlib.crc32(token[-2:]) % classes
+def token_kind(token: bytes, kinds: int) -> int:
+    return zlib.crc32(token[-2:]) % kinds
 
 
-class _Symbols(dict):
-    """Token to symbol number; tokens outside the vocabulary get the number of their class."""
-
-    def __init__(self, vocabulary: list[bytes], classes: int):
-        super().__init__((w, i) for i, w in enumerate(vocabulary))
-        self.own, self.classes = len(vocabulary), classes
-
-    def __missing__(self, token: bytes) -> int:
-        return self.own + token_class(token, self.classes)
+def frequency_classes(counts: np.ndarray, classes: int) -> np.ndarray:
+    """Where each run of symbols, sorted by falling count, begins, and the end: runs of near equal sums of root counts."""
+    if not len(counts):
+        return np.zeros(1, np.int64)
+    mass = np.cumsum(np.sqrt(counts))
+    owner = np.minimum((mass - np.sqrt(counts) / 2) / mass[-1] * classes, classes - 1).astype(np.int64)
+    return np.r_[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]), len(counts)]
 
 
 @dataclass
 class LogBilinear:
-    """Parameters: context vectors ``r`` (one more for the start), position weights ``c``, target vectors ``q``, biases ``b``."""
+    """Parameters: context vectors ``r`` (one more for the start), position weights ``c``; vectors and biases of
+    the classes (``q1, b1``) and of the symbols within their class (``q2, b2``)."""
 
     r: np.ndarray
     c: np.ndarray
-    q: np.ndarray
-    b: np.ndarray
+    q1: np.ndarray
+    b1: np.ndarray
+    q2: np.ndarray
+    b2: np.ndarray
 
     @staticmethod
-    def start(unigram: np.ndarray, dim: int, order: int = 2, seed: int = 3) -> LogBilinear:
+    def start(output: Output, dim: int, order: int = 2, seed: int = 3) -> LogBilinear:
         rng = np.random.default_rng(seed)
-        k = len(unigram)
-        return LogBilinear(0.1 * rng.standard_normal((k + 1, dim)), np.ones((order, dim)), 0.1 * rng.standard_normal((k, dim)), np.log(unigram))
+        n = lambda *s: 0.1 * rng.standard_normal(s)
+        return LogBilinear(n(output.symbols + 1, dim), np.ones((order, dim)), n(len(output.class_p), dim), np.log(output.class_p), n(output.own, dim), np.log(output.inner_p))
+
+    def arrays(self) -> list[np.ndarray]:
+        return [getattr(self, f.name) for f in fields(self)]
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.r, self.c, self.q, self.b)])
+        return np.concatenate([x.ravel() for x in self.arrays()])
 
     def like(self, flat: np.ndarray) -> LogBilinear:
-        parts, at = [], 0
-        for x in (self.r, self.c, self.q, self.b):
-            parts.append(flat[at : at + x.size].reshape(x.shape))
-            at += x.size
-        return LogBilinear(*parts)
-
-    def train(self, target: np.ndarray, context: np.ndarray, noise: np.ndarray, *, seed: int, grown: list[np.ndarray] | None = None, batch: int = 2048, samples: int = 32, ratio: float = 16.0, rate: float = 0.1) -> LogBilinear:
-        """One pass of noise-contrastive estimation with AdaGrad; the noise words of a batch are shared by its tokens.
-
-        ``grown`` holds the sums of squared gradients, kept from piece to piece of one pass.
-        """
-        rng = np.random.default_rng(seed)
-        r, c, q, b = (x.astype(np.float32) for x in (self.r, self.c, self.q, self.b))
-        grown = [] if grown is None else grown
-        grown += [np.full(x.shape, 1e-6, np.float32) for x in (r, c, q, b)] if not grown else []
-        k, dim = q.shape
-        shift = np.log(ratio * noise).astype(np.float32)
-        cumulated = np.cumsum(noise)
-        lane = np.arange(dim)
-
-        def summed(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-            return np.bincount((index[:, None] * dim + lane).ravel(), rows.ravel(), size * dim).reshape(size, dim)
-
-        for at in range(0, len(target), batch):
-            w, h = target[at : at + batch], context[at : at + batch]
-            drawn = np.minimum(np.searchsorted(cumulated, rng.random(samples) * cumulated[-1]), k - 1)
-            seen = [r[h[:, i]] for i in range(len(c))]
-            state = sum(x * ci for x, ci in zip(seen, c))
-            qw, qn = q[w], q[drawn]
-            up = 1 / (1 + np.exp(np.einsum("ij,ij->i", state, qw) + b[w] - shift[w]))
-            down = (-ratio / samples) / (1 + np.exp(np.clip(shift[drawn] - b[drawn] - state @ qn.T, -30, 30)))
-            back = up[:, None] * qw + down @ qn
-            scale = 1.0 / len(w)
-            grad_q = summed(w, up[:, None] * state, k) + summed(drawn, down.T @ state, k)
-            grad_b = np.bincount(w, up, k) + np.bincount(drawn, down.sum(0), k)
-            grad_r = sum(summed(h[:, i], back * c[i], k + 1) for i in range(len(c)))
-            grad_c = np.stack([(back * x).sum(0) for x in seen])
-            for x, g, s in zip((r, c, q, b), (grad_r, grad_c, grad_q, grad_b), grown):
-                g = (g * scale).astype(np.float32)
-                s += g * g
-                x += rate * g / np.sqrt(s)
-        return LogBilinear(*(x.astype(np.float64) for x in (r, c, q, b)))
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Score tables of both context positions (bias in the first) and the log-normaliser of every context pair."""
-        one = (self.r * self.c[0]) @ self.q.T + self.b
-        two = (self.r * self.c[1]) @ self.q.T
-        top1, top2 = one.max(1), two.max(1)
-        # sum over w of exp(one[i, w] + two[j, w]) for all (j, i) is a matrix product
-        z = np.log(np.exp(two - top2[:, None]) @ np.exp(one - top1[:, None]).T + 1e-300) + top2[:, None] + top1[None, :]
-        return one, two, z
-
-
-def _contexts(symbols: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
+        cuts = np.cumsum([x.size for x in self.arrays()])[:-1]
+        return LogBilinear(*(p.reshape(x.shape) for p, x in zip(np.split(flat, cuts), self.arrays())))
+
+
+class Output:
+    """The fixed frame of the output: classes, the unigram of classes and of symbols within theirs, and noise tables."""
+
+    def __init__(self, own_counts: np.ndarray, kind_counts: np.ndarray, classes: int):
+        self.own, self.symbols = len(own_counts), len(own_counts) + len(kind_counts)
+        self.begins = frequency_classes(own_counts, classes)
+        runs = len(self.begins) - 1
+        size = np.diff(self.begins)
+        self.class_of = np.r_[np.repeat(np.arange(runs), size), runs + np.arange(len(kind_counts))]
+        mass = np.bincount(self.class_of, np.r_[own_counts, kind_counts] + 0.5, runs + len(kind_counts))
+        self.class_p = mass / mass.sum()
+        self.inner_p = (own_counts + 0.5) / mass[self.class_of[: self.own]]
+        self.single = np.r_[size == 1, np.ones(len(kind_counts), bool)]
+        # each class has a run of slots filled by its symbols in proportion, every symbol once at least
+        slots = np.maximum(1, np.round(self.inner_p * 16 * np.repeat(size, size))).astype(np.int64)
+        self.slots = np.repeat(np.arange(self.own), slots)
+        filled = np.bincount(self.class_of[: self.own], slots, runs) if runs else np.zeros(0)
+        self.slot_begin, self.slot_count = (np.cumsum(filled) - filled).astype(np.int64), filled.astype(np.int64)
+        self.noise_p = slots / np.repeat(filled, size)
+
+
+def train(model: LogBilinear, output: Output, target: np.ndarray, context: np.ndarray, *, seed: int, batch: int = 4096, samples: int = 32, ratio: float = 16.0, inner: int = 4, rate: float = 0.1) -> LogBilinear:
+    """One pass of noise-contrastive estimation with AdaGrad over classes and over symbols within them.
+
+    The noise classes of a batch are shared by its tokens; within classes each token draws ``inner`` of its own.
+    """
+    rng = np.random.default_rng(seed)
+    r, c, q1, b1, q2, b2 = (x.astype(np.float32) for x in model.arrays())
+    grown = [np.full(x.shape, 1e-6, np.float32) for x in (r, c, q1, b1, q2, b2)]
+    dim = q1.shape[1]
+    shift1 = np.log(ratio * output.class_p).astype(np.float32)
+    shift2 = np.log(inner * output.noise_p).astype(np.float32)
+    cumulated = np.cumsum(output.class_p)
+    lane = np.arange(dim)
+
+    def summed(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+        return np.bincount((index[:, None] * dim + lane).ravel(), rows.ravel(), size * dim).reshape(size, dim)
+
+    for at in range(0, len(target), batch):
+        w, h = target[at : at + batch], context[at : at + batch]
+        k = output.class_of[w]
+        drawn = np.minimum(np.searchsorted(cumulated, rng.random(samples) * cumulated[-1]), len(cumulated) - 1)
+        seen = [r[h[:, i]] for i in range(len(c))]
+        state = sum(x * ci for x, ci in zip(seen, c))
+        qk, qn = q1[k], q1[drawn]
+        up = 1 / (1 + np.exp(np.einsum("ij,ij->i", state, qk) + b1[k] - shift1[k]))
+        down = (-ratio / samples) / (1 + np.exp(np.clip(shift1[drawn] - b1[drawn] - state @ qn.T, -30, 30)))
+        back = up[:, None] * qk + down @ qn
+        grads = [None, None, summed(k, up[:, None] * state, len(q1)) + summed(drawn, down.T @ state, len(q1)), np.bincount(k, up, len(q1)) + np.bincount(drawn, down.sum(0), len(q1)), np.zeros_like(q2), np.zeros_like(b2)]
+        many = np.flatnonzero(~output.single[k])
+        if len(many):
+            x, own, kind = state[many], w[many], k[many]
+            noise = output.slots[output.slot_begin[kind, None] + (rng.random((len(many), inner)) * output.slot_count[kind, None]).astype(np.int64)]
+            every = np.concatenate([own[:, None], noise], 1)
+            q = q2[every]
+            s = np.einsum("id,ikd->ik", x, q) + b2[every] - shift2[every]
+            pull = -1 / (1 + np.exp(np.clip(-s, -30, 30)))
+            pull[:, 0] += 1
+            back[many] += np.einsum("ik,ikd->id", pull, q)
+            grads[4] = summed(every.ravel(), (pull[:, :, None] * x[:, None, :]).reshape(-1, dim), len(q2))
+            grads[5] = np.bincount(every.ravel(), pull.ravel(), len(q2))
+        grads[0] = sum(summed(h[:, i], back * c[i], len(r)) for i in range(len(c)))
+        grads[1] = np.stack([(back * x).sum(0) for x in seen])
+        scale = 1.0 / len(w)
+        for x, g, s in zip((r, c, q1, b1, q2, b2), grads, grown):
+            g = (g * scale).astype(np.float32)
+            s += g * g
+            x += rate * g / np.sqrt(s)
+    return LogBilinear(*(x.astype(np.float64) for x in (r, c, q1, b1, q2, b2)))
+
+
+def log_probabilities(model: LogBilinear, output: Output, target: np.ndarray, context: np.ndarray, batch: int = 32768) -> np.ndarray:
+    """Exact natural log-probability of each symbol after its context."""
+    r, c, q1, b1, q2, b2 = (x.astype(np.float32) for x in model.arrays())
+    # what a context symbol adds is made once a symbol, not once a token
+    shares = [r * ci for ci in c]
+    out = np.empty(len(target))
+    for at in range(0, len(target), batch):
+        w, h = target[at : at + batch], context[at : at + batch]
+        state = sum(x[h[:, i]] for i, x in enumerate(shares))
+        k = output.class_of[w]
+        logit = state @ q1.T + b1
+        logit -= logit.max(1)[:, None]
+        value = logit[np.arange(len(w)), k] - np.log(np.exp(logit).sum(1))
+        by = np.argsort(k, kind="stable")
+        cut = np.searchsorted(k[by], np.arange(len(output.begins)))
+        for j in np.flatnonzero((cut[1:] > cut[:-1]) & ~output.single[: len(output.begins) - 1]):
+            rows, (lo, hi) = by[cut[j] : cut[j + 1]], output.begins[j : j + 2]
+            inside = state[rows] @ q2[lo:hi].T + b2[lo:hi]
+            inside -= inside.max(1)[:, None]
+            value[rows] += inside[np.arange(len(rows)), w[rows] - lo] - np.log(np.exp(inside).sum(1))
+        out[at : at + batch] = value
+    return out
+
+
+def contexts(symbols: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
     """The two preceding symbols of every token of texts that lie end to end."""
-    first = np.zeros(len(symbols), bool)
     begin = np.cumsum(lengths) - lengths
-    first[begin] = True
     one = np.r_[start, symbols[:-1]]
     two = np.r_[start, start, symbols[:-2]][: len(symbols)]
-    one[first] = start
-    second = np.zeros(len(symbols), bool)
-    second[(begin + 1)[lengths > 1]] = True
-    two[first | second] = start
+    one[begin] = start
+    two[begin] = start
+    two[(begin + 1)[lengths > 1]] = start
     return np.stack([one, two], 1)
 
 
-def _tokens(texts: list[bytes]) -> list[list[bytes]]:
-    return [[*t.lower().split(), END] for t in texts]
+class _Places(dict):
+    """Numbers of tokens in the order of their first sight."""
+
+    def __missing__(self, token: bytes) -> int:
+        value = self[token] = len(self)
+        return value
+
+
+_BLOCK = "_block int, ids array<long>, held array<boolean>, lengths array<int>, codes binary, words array<binary>, n array<long>"
 
 
-def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", vocabulary: int = 448, classes: int = 64, dim: int = 16, rounds: int = 2, hold_out: int = 10, block_bytes: int = 12 << 20) -> DataFrame:
+def _encode(key: tuple, data: pa.Table) -> pa.Table:
+    """One row of a block: its texts in the order of id and text as numbers of its own tokens, and their training counts."""
+    bodies, ids, out = column_bytes(data, "_text"), data.column("doc_id").to_pylist(), data.column("held_out").to_pylist()
+    order = sorted(range(len(bodies)), key=lambda i: (ids[i] is None, ids[i] or 0, bodies[i]))
+    places, codes, lengths = _Places(), [], []
+    for i in order:
+        tokens = bodies[i].lower().split()
+        tokens.append(END)
+        codes.append(np.fromiter(map(places.__getitem__, tokens), np.int32, len(tokens)))
+        lengths.append(len(tokens))
+    held, flat = np.array([out[i] for i in order]), np.concatenate(codes)
+    counts = np.bincount(flat[np.repeat(~held, lengths)], minlength=len(places))
+    row = [[key[0].as_py()], [[ids[i] for i in order]], [held], [lengths], [flat.tobytes()], [list(places)], [counts]]
+    types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+    return pa.table([pa.array(x, t) for x, t in zip(row, types)], ["_block", "ids", "held", "lengths", "codes", "words", "n"])
+
+
+def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_vocabulary: int = 8192, kinds: int = 64, dim: int = 16, rounds: int = 2, hold_out: int = 10, block_bytes: int = 8 << 20, frequent: int = 50_000) -> DataFrame:
     """Score every whole text: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Tokens are A-Z lower-cased words between ASCII white space and one end.  Documents whose id has crc32 modulo
     ``hold_out`` of 0 are held out of counts and training; a null id is never held out.  Null and blank texts are
-    one end token.  ``base_score`` is the smoothed unigram log10 probability, ``score`` the model's.  Counts of all
-    distinct tokens stay in Spark: a block receives those of its own tokens only.  Repeated rows count as often
-    as they come; other columns are not read.
+    one end token.  ``base_score`` is the smoothed unigram log10 probability, ``score`` the model's.  An eighth of
+    the types, but 512 at least and ``max_vocabulary`` at most, have vectors of their own, in as many classes as the
+    root of their number.  Counts of all distinct tokens stay in Spark but for those of the ``frequent`` most frequent,
+    which every task gets; a block receives those of its own other tokens only.  Repeated rows count as often as
+    they come; rows without an id are dealt by their text; other columns are not read.
     """
     blocks = parts_for(docs, text, block_bytes)
     held = F.coalesce(crc_mod(doc_id, hold_out) == 0, F.lit(False))
     dealt = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).alias("_text"))
     dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("_text"))), F.lit(blocks)).cast("int"))
+    coded = staged(dealt.groupBy("_block").applyInArrow(_encode, _BLOCK))
 
-    def count(key: tuple, data: pa.Table) -> pa.Table:
-        counts: Counter = Counter()
-        out = data.column("held_out").to_pylist()
-        bodies = column_bytes(data, "_text")
-        for words in _tokens([t for t, h in zip(bodies, out) if not h]):
-            counts.update(words)
-        others = {w for words in _tokens([t for t, h in zip(bodies, out) if h]) for w in words}
-        words = [*counts, *(w for w in others if w not in counts)]
-        n = np.zeros(len(words), np.int64)
-        n[: len(counts)] = np.fromiter(counts.values(), np.int64, len(counts))
-        kind = np.fromiter((token_class(w, classes) for w in words), np.int32, len(words))
-        return pa.table([pa.array(np.full(len(words), key[0].as_py(), np.int32)), pa.array(words, pa.binary()), pa.array(kind), pa.array(n)], ["_block", "word", "kind", "n"])
-
-    found = dealt.groupBy("_block").applyInArrow(count, "_block int, word binary, kind int, n long")
-    same = Window.partitionBy("word")
-    counted = staged(found.select("_block", "word", "kind", F.sum("n").over(same).alias("c"), (F.min("_block").over(same) == F.col("_block")).alias("head")))
-    words = counted.where("head and c > 0")
+    words = coded.select(F.explode(F.arrays_zip("words", "n")).alias("z")).groupBy(F.col("z.words").alias("word")).agg(F.sum("z.n").alias("c")).where("c > 0")
+    kind = F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(kinds)).cast("int")
+    words = staged(words.withColumn("kind", kind))
     total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_all, n_types = int(total.n or 0), int(total.v)
-    top = words.orderBy(F.desc("c"), "word").select("word", "kind", "c").limit(vocabulary).collect()  # the vocabulary: bounded
-    own = [bytes(r.word) for r in top]
-    class_n, class_v = np.zeros(classes), np.zeros(classes)
+    top = words.orderBy(F.desc("c"), "word").select("word", "kind", "c").limit(frequent).collect()  # bounded by the parameter
+    own = top[: min(max_vocabulary, max(512, n_types // 8))]
+    kind_n, kind_v = np.zeros(kinds), np.zeros(kinds)
     for r in words.groupBy("kind").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
-        class_n[r.kind], class_v[r.kind] = r.n, r.v
-    for r in top:
-        class_n[r.kind] -= r.c
-        class_v[r.kind] -= 1
-    unigram = np.r_[[float(r.c) for r in top], class_n] + 0.5
-    unigram /= unigram.sum()
-    start = len(own) + classes
-    model = LogBilinear.start(unigram, dim)
+        kind_n[r.kind], kind_v[r.kind] = r.n, r.v
+    for r in own:
+        kind_n[r.kind] -= r.c
+        kind_v[r.kind] -= 1
+    output = Output(np.array([float(r.c) for r in own]), kind_n, int(np.ceil(np.sqrt(len(own)))))
+    symbol = {bytes(r.word): i for i, r in enumerate(own)}
+    counted = {bytes(r.word): r.c for r in top}
+    model = LogBilinear.start(output, dim)
+    start = output.symbols
+
+    def symbols_of(names: list[bytes]) -> np.ndarray:
+        """Symbols of distinct tokens."""
+        found = (symbol.get(w) for w in names)
+        return np.fromiter((len(own) + token_kind(w, kinds) if s is None else s for w, s in zip(names, found)), np.int64, len(names))
 
     def trainer(model: LogBilinear, turn: int):
-        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            symbol, new, seen, grown = _Symbols(own, classes), model, 0, []
+        def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, weight = 0.0, 0.0
             for batch in batches:
-                texts = [t for t, h in zip(column_bytes(batch, "_text"), batch.column("held_out").to_pylist()) if not h]
-                order = np.random.default_rng(len(texts)).permutation(len(texts))
-                for lo in range(0, len(texts), 1024):
-                    tokens = _tokens([texts[i] for i in order[lo : lo + 1024]])
-                    lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-                    flat = np.concatenate([np.fromiter(map(symbol.__getitem__, t), np.int64, len(t)) for t in tokens])
-                    new = new.train(flat, _contexts(flat, lengths, start), unigram, seed=1000 * turn + seen % 997, grown=grown, rate=0.1 / (1 + turn))
-                    seen += len(flat)
-            if seen:
-                values = new.flat()
-                yield pa.record_batch([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values * seen), pa.array(np.full(len(values), float(seen)))], ["i", "x", "w"])
-
-        return train
+                for b, held, lengths, codes, names in zip(*(batch.column(c) for c in ("_block", "held", "lengths", "codes", "words"))):
+                    lengths, learns = np.asarray(lengths.values), ~np.asarray(held.values)
+                    if not learns.any():
+                        continue
+                    flat = symbols_of(names.as_py())[np.frombuffer(codes.as_py(), np.int32)]
+                    h = contexts(flat, lengths, start)
+                    # batches are drawn from the whole block: texts in a drawn order
+                    begin = np.cumsum(lengths) - lengths
+                    turns = np.random.default_rng([turn, b.as_py()]).permutation(np.flatnonzero(learns))
+                    size = lengths[turns]
+                    at = np.repeat(begin[turns] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                    new = train(model, output, flat[at], h[at], seed=1000 * turn + b.as_py() % 997, rate=0.1 / (1 + turn))
+                    own_weight = -(-len(at) // 4096)
+                    total, weight = total + np.round(new.flat() / GRAIN) * GRAIN * own_weight, weight + own_weight
+            if weight:
+                for i, part in enumerate(np.array_split(total, max(1, len(total) // 4096))):
+                    yield pa.record_batch([pa.array([i], pa.int32()), pa.array([part], pa.list_(pa.float64())), pa.array([weight])], ["i", "x", "w"])
+
+        return passes
+
+    def added(data: pa.Table) -> pa.Table:
+        x = np.asarray(pa.concat_arrays([c.values if c.offset == 0 else c.flatten() for c in data.column("x").chunks])).reshape(data.num_rows, -1)
+        return pa.table([data.column("i")[:1], pa.array([x.sum(0) / sum(data.column("w").to_pylist())], pa.list_(pa.float64()))], ["i", "x"])
 
     for turn in range(rounds):
-        # where the texts are read, without a shuffle: a partition's pass goes on from text to text
-        passed = dealt.select("held_out", "_text").mapInArrow(trainer(model, turn), "i int, x double, w double")
-        mean = passed.groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).where("x is not null").toArrow()  # one number a parameter
-        flat = model.flat()
-        flat[np.asarray(mean.column("i"))] = np.asarray(mean.column("x"))
-        model = model.like(flat)
-
-    one, two, z = (x.astype(np.float32) for x in model.tables())
-    spread = class_n + SMOOTH * (class_v + 1)
+        # one row a task and 4096 parameters; one row a 4096 parameters reaches the driver
+        passed = coded.select("_block", "held", "lengths", "codes", "words").mapInArrow(trainer(model, turn), "i int, x array<double>, w double")
+        mean = passed.groupBy("i").applyInArrow(added, "i int, x array<double>").orderBy("i").collect()
+        if mean:
+            model = model.like(np.concatenate([r.x for r in mean]))
+
+    spread = kind_n + SMOOTH * (kind_v + 1)
     base_total = n_all + SMOOTH * (n_types + 1)
 
-    def score(key: tuple, data: pa.Table, counts: pa.Table) -> pa.Table:
-        symbol = _Symbols(own, classes)
-        known = counts.column("word").to_pylist()
-        c = np.asarray(counts.column("c")).astype(float)
-        place = {w: i for i, w in enumerate(known)}
-        sym = np.fromiter(map(symbol.__getitem__, known), np.int64, len(known))
-        kind = np.maximum(sym - len(own), 0)
-        inner = np.where(sym >= len(own), np.log10((c + SMOOTH) / spread[kind]), 0.0)
-        base = np.log10((c + SMOOTH) / base_total)
-        out: list[list] = [[], [], [], []]
-        bodies = column_bytes(data, "_text")
-        for lo in range(0, len(bodies), 512):
-            tokens = _tokens(bodies[lo : lo + 512])
-            lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-            at = np.concatenate([np.fromiter(map(place.__getitem__, t), np.int64, len(t)) for t in tokens])
-            s = sym[at]
-            h = _contexts(s, lengths, start)
-            log_p = (one[h[:, 0], s] + two[h[:, 1], s] - z[h[:, 1], h[:, 0]]).astype(float) / np.log(10) + inner[at]
+    def score(key: tuple, data: pa.Table, rare: pa.Table) -> pa.Table:
+        columns: list[list] = [[] for _ in range(7)]
+        for ids, held, lengths, codes, names in zip(*(data.column(c) for c in ("ids", "held", "lengths", "codes", "words"))):
+            lengths, names = np.asarray(lengths.values, dtype=np.int64), names.as_py()
+            c = np.fromiter((counted.get(w, 0) for w in names), float, len(names))
+            c[np.asarray(rare.column("pos"))] = np.asarray(rare.column("c"))
+            sym = symbols_of(names)
+            inner = np.where(sym >= len(own), np.log10((c + SMOOTH) / spread[np.maximum(sym - len(own), 0)]), 0.0)
+            base = np.log10((c + SMOOTH) / base_total)
+            at = np.frombuffer(codes.as_py(), np.int32)
+            flat = sym[at]
+            log_p = log_probabilities(model, output, flat, contexts(flat, lengths, start)) / np.log(10) + inner[at]
             begin = np.cumsum(lengths) - lengths
-            for column, values in zip(out, (lengths, np.add.reduceat((c[at] > 0).astype(np.int64), begin), np.add.reduceat(base[at], begin), np.add.reduceat(log_p, begin))):
-                column.append(values)
-        n, seen, first, second = (pa.array(np.concatenate(x)) if x else pa.array([], pa.float64()) for x in out)
-        return pa.table([data.column("doc_id"), data.column("held_out"), n.cast(pa.int64()), seen.cast(pa.int64()), pa.array(np.full(len(bodies), n_all, np.int64)), first, second], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            sums = [np.add.reduceat(x, begin) for x in ((c > 0).astype(np.int64)[at], base[at], log_p)]
+            for column, values in zip(columns, (ids.values, held.values, lengths, sums[0], np.full(len(lengths), n_all, np.int64), sums[1], sums[2])):
+                column.append(pa.array(values))
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        types = [pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2]
+        return pa.table([pa.chunked_array(x, t) for x, t in zip(columns, types)], names)
+
+    def unusual(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b, names in zip(batch.column("_block").to_pylist(), batch.column("words")):
+                names = names.as_py()
+                left = [i for i, w in enumerate(names) if w not in counted]
+                yield pa.record_batch([pa.array(np.full(len(left), b, np.int32)), pa.array(left, pa.int32()), pa.array([names[i] for i in left], pa.binary())], ["_block", "pos", "word"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    mine = counted.select("_block", "word", "c")
-    return dealt.groupBy("_block").cogroup(mine.groupBy("_block")).applyInArrow(score, schema)
+    rare = coded.select("_block", "words").mapInArrow(unusual, "_block int, pos int, word binary").join(words.select("word", "c"), "word").select("_block", "pos", "c")
+    return coded.drop("n").groupBy("_block").cogroup(rare.groupBy("_block")).applyInArrow(score, schema)
