@@ -17,27 +17,33 @@ from pyspark.sql import functions as F
 
 from .common import column_bytes, crc_mod
 
-#: Words per window and words between window starts.
-WINDOW, STRIDE = 24, 12
-#: Bytes of a word that its trigrams are taken from, and hash buckets of trigrams.
-WORD_BYTES, TRIGRAMS = 18, 2048
+#: Words per window and words between window starts: a passage of up to 17 words lies whole in some window.
+WINDOW, STRIDE = 24, 8
+#: Longer tokens (texts without blanks, say) are cut into pieces of so many bytes, each a word of its own.
+PIECE = 24
+#: Hash buckets of character trigrams.
+TRIGRAMS = 2048
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def words_of(text: bytes) -> list[bytes]:
+    """Lower-cased words of a whole text; none of its bytes is left out."""
+    words = text.lower().split()
+    if not words or max(map(len, words)) <= PIECE:
+        return words
+    return [w[i : i + PIECE] for w in words for i in range(0, len(w), PIECE)]
+
+
 def word_trigrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram buckets of each word (with a mark at both ends) and which of them are real."""
-    letters = np.zeros((len(words), WORD_BYTES + 2), np.uint8)
-    letters[:, 0] = 1
-    if words:
-        letters[:, 1:-1] = np.array(words, f"S{WORD_BYTES}").view(np.uint8).reshape(len(words), WORD_BYTES)
-    size = np.count_nonzero(letters, axis=1)
-    letters[np.arange(len(words)), np.minimum(size, WORD_BYTES + 1)] = 2
-    wide = letters.astype(np.int64)
-    code = (wide[:, :-2] * 9973 + wide[:, 1:-1] * 613 + wide[:, 2:] * 31) % TRIGRAMS
-    return code, letters[:, 2:] > 0
+    """Buckets of all trigrams of each word (with a mark at both ends), end to end, and the word of each."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    marked = np.frombuffer(b"\1" + b"\2\1".join(words) + b"\2", np.uint8).astype(np.int64)
+    owner = np.repeat(np.arange(len(words)), size)
+    at = np.arange(len(owner)) + 2 * owner
+    return (marked[at] * 9973 + marked[at + 1] * 613 + marked[at + 2] * 31) % TRIGRAMS, owner
 
 
 def cut_windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,12 +72,14 @@ class Reader:
     def inputs(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
         """Input vectors of distinct words."""
         known = np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words))
-        code, real = word_trigrams(words)
-        count = np.maximum(real.sum(1), 1)[:, None]
+        code, owner = word_trigrams(words)
+        count = np.bincount(owner, minlength=len(words))
         mean = np.zeros((len(words), self.p["chars"].shape[1]), np.float32)
-        for k in range(code.shape[1]):
-            mean += self.p["chars"][code[:, k]] * real[:, k, None]
-        return np.concatenate([self.p["words"][known], mean / count], 1).astype(np.float32), (known, code, real, count)
+        if len(code):
+            some = np.flatnonzero(count)
+            mean[some] = np.add.reduceat(self.p["chars"][code], (np.cumsum(count) - count)[some])
+        count = np.maximum(count, 1)[:, None]
+        return np.concatenate([self.p["words"][known], mean / count], 1).astype(np.float32), (known, code, owner, count)
 
     def _gru(self, pre: np.ndarray, rows: np.ndarray, mask: np.ndarray, way: str, keep: list | None) -> np.ndarray:
         """Hidden states (step, window, hidden); ``pre`` are projected inputs of distinct words."""
@@ -107,7 +115,7 @@ class Reader:
 
     def gradients(self, words: list[bytes], rows: np.ndarray, sizes: np.ndarray, target: np.ndarray, importance: np.ndarray) -> dict[str, np.ndarray]:
         """Gradient of the weighted logistic loss over a batch of windows."""
-        x, (known, code, real, count) = self.inputs(words)
+        x, (known, code, owner, count) = self.inputs(words)
         k: dict = {}
         logit = self.forward(x, rows, sizes, k)
         p, h_size = self.p, self.hidden
@@ -145,13 +153,12 @@ class Reader:
         g["words"], g["chars"] = np.zeros_like(p["words"]), np.zeros_like(p["chars"])
         np.add.at(g["words"], known, d_x[:, :word_dim])
         d_char = d_x[:, word_dim:] / count
-        for j in range(code.shape[1]):
-            np.add.at(g["chars"], code[:, j], d_char * real[:, j, None])
+        np.add.at(g["chars"], code, d_char[owner])
         return g
 
     def window_logits(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, tuple]:
         """Logits and documents of all overlapping windows of whole texts."""
-        words = [t.lower().split() for t in texts]
+        words = [words_of(t) for t in texts]
         place: dict[bytes, int] = {}
         for w in words:
             for x in w:
@@ -191,7 +198,7 @@ def train_reader(texts: list[bytes], labels: np.ndarray, *, epochs: int = 10, ba
     """Fit on whole texts with 0/1 labels."""
     seen = [Counter(), Counter()]
     for t, y in zip(texts, labels):
-        seen[int(y)].update(set(t.lower().split()))
+        seen[int(y)].update(set(words_of(t)))
     n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
     odds = {w: np.log((seen[1][w] + 1) / (n1 + 2)) - np.log((seen[0][w] + 1) / (n0 + 2)) for w, c in (seen[0] + seen[1]).items() if c >= 5}
     vocabulary = sorted(odds, key=lambda w: (-abs(odds[w]) * np.log1p(seen[0][w] + seen[1][w]), w))[:max_vocabulary]
@@ -229,10 +236,12 @@ def train_reader(texts: list[bytes], labels: np.ndarray, *, epochs: int = 10, ba
     return model
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", hold_out: tuple[int, int] = (4, 2), max_rows: int = 800) -> Reader:
-    """Train on at most ``max_rows`` documents of each label (documented bound), those with the least hash of id.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", hold_out: tuple[int, int] = (4, 2), max_rows: int = 800, max_bytes: int = 32 << 20) -> Reader:
+    """Train on at most ``max_rows`` documents of each label and ``max_bytes`` of text (documented bounds), those with the least hash of id.
 
-    Rows whose id has crc32 modulo ``hold_out[0]`` equal to ``hold_out[1]`` give no label.  Inputs are texts only.
+    Rows whose id has crc32 modulo ``hold_out[0]`` equal to ``hold_out[1]`` give no label; nor do null ids and
+    labels.  An id labelled both ways counts as toxic; of an id that comes with several texts the one with the
+    least hash is learnt, once.  Null texts are empty.  Inputs are texts only.
     """
     rows = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & (crc_mod(doc_id, hold_out[0]) != hold_out[1]))
     rows = rows.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
@@ -240,11 +249,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id",
     for y in (0, 1):
         some = rows.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
         picked = some if picked is None else picked.union(some)
-    got = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id").select("_id", "_y", "_text").toArrow()
-    texts, ids = column_bytes(got, "_text"), got.column("_id").to_pylist()
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
-    y = np.asarray(got.column("_y"))
-    return train_reader([texts[i] for i in order], y[order] if len(y) else np.zeros(0))
+    body = F.coalesce(F.col(text), F.lit(""))
+    found = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(body).alias("h"), body.alias("_text")).join(F.broadcast(picked), "_id")
+    sizes = found.groupBy("_id").agg(F.min(F.struct("h", F.octet_length("_text").alias("n"))).alias("m")).select("_id", "m.*", F.xxhash64("_id").alias("draw")).collect()  # 2 * max_rows at most
+    chosen, total = [], 0
+    for r in sorted(sizes, key=lambda r: (r.draw, r._id)):
+        if total + r.n <= max_bytes:
+            chosen.append((r._id, r.h))
+            total += r.n
+    if not chosen:
+        return train_reader([], np.zeros(0))
+    ids = F.broadcast(docs.sparkSession.createDataFrame(chosen, "_id long, h long"))
+    got = found.join(ids, ["_id", "h"]).groupBy("_id", "_y").agg(F.first("_text").alias("_text")).orderBy("_id").toArrow()
+    return train_reader(column_bytes(got, "_text"), np.asarray(got.column("_y")))
 
 
 def score_toxicity(docs: DataFrame, model: Reader, *, doc_id: str = "doc_id", text: str = "text", hold_out: tuple[int, int] = (4, 2), threshold: float = 0.3) -> DataFrame:

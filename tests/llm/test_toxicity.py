@@ -42,6 +42,65 @@ def test_gradients_match_finite_differences():
             assert own[i] == pytest.approx((up - down) / 2e-2, rel=0.05, abs=2e-5), k
 
 
+def test_no_byte_of_a_word_is_left_out():
+    rng = np.random.default_rng(2)
+    model = t.Reader([b"known"])
+    alone = b"abcdefghijklmnopqr"
+    scores = model.scores([alone + b"stu", alone + b"stv", alone, b"x" * 500 + b"y", b"x" * 501])
+    assert len(set(scores.tolist())) == 5
+    words = [bytes(rng.integers(97, 123, n).astype(np.uint8)) for n in (1, 2, 3, 17, 24)]
+    code, owner = t.word_trigrams(words)
+    for i, w in enumerate(words):
+        marked = b"\1" + w + b"\2"
+        assert code[owner == i].tolist() == [(a * 9973 + b * 613 + c * 31) % t.TRIGRAMS for a, b, c in zip(marked, marked[1:], marked[2:])]
+    assert b"".join(t.words_of(b"Ab " + b"Z" * 77)) == b"ab" + b"z" * 77
+
+
+def plain_score(model, text):
+    """The network of one text, window by window and step by step."""
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    words = t.words_of(text)
+    best = -np.inf
+    for lo in range(0, max(1, len(words) - t.WINDOW + t.STRIDE), t.STRIDE):
+        window = words[lo : lo + t.WINDOW]
+        if lo and not window:
+            continue
+        x = [model.inputs([w])[0][0] for w in window]
+        ways = []
+        for way in "fb":
+            h, out = np.zeros(model.hidden), []
+            for v in x if way == "f" else x[::-1]:
+                pre, u = v @ model.p[f"w{way}"] + model.p[f"b{way}"], model.p[f"u{way}"]
+                n = model.hidden
+                z, r = sig(pre[:n] + h @ u[:, :n]), sig(pre[n : 2 * n] + h @ u[:, n : 2 * n])
+                h = h + z * (np.tanh(pre[2 * n :] + (r * h) @ u[:, 2 * n :]) - h)
+                out.append(h)
+            ways.append(out if way == "f" else out[::-1])
+        both = np.array([np.concatenate(p) for p in zip(*ways)]).reshape(len(window), 2 * model.hidden)
+        near = np.tanh(both @ model.p["wa"] + model.p["ba"]) @ model.p["va"]
+        weight = np.exp(near) / np.exp(near).sum()
+        best = max(best, float((weight[:, None] * both).sum(0) @ model.p["wo"] + model.p["bo"][0]))
+    return sig(best)
+
+
+def test_scores_against_brute_force():
+    rng = np.random.default_rng(9)
+    texts, labels = make_texts(60, rng)
+    model = t.train_reader(texts, labels, epochs=2)
+    more = [t for t in texts[:25]] + [b"one", b"w1 " * 24, b"w1 w2 " * 13, b"long" * 40]
+    assert np.allclose(model.scores(more), [plain_score(model, x) for x in more], atol=1e-4)
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir("/root/testdata/sf0.01"), reason="needs the given tables")
+def test_held_out_labels_of_the_given_tables(spark):
+    from geolist.llm.queries import op4_toxicity
+
+    rows = op4_toxicity(spark, "/root/testdata/sf0.01").where("held_out").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("toxic is not null").select("score", "toxic").collect()
+    good, bad = ([r.score for r in rows if r.toxic == y] for y in (0, 1))
+    auc = np.mean([(b > g) + (b == g) / 2 for g in good for b in bad])
+    assert len(bad) > 5 and auc > 0.75
+
+
 def test_windows_overlap_and_cover():
     lengths = np.array([0, 1, 24, 25, 100])
     start, size, doc = t.cut_windows(lengths)
