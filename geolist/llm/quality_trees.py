@@ -126,7 +126,12 @@ class Trees:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 20_000) -> Trees:
-    """Fit on at most ``max_rows`` labelled documents, those with the least hash of their id (documented bound)."""
+    """Fit on at most ``max_rows`` labelled documents, those with the least hash of their id (documented bound).
+
+    Null ids and labels give no row; an id labelled both ways counts as good.  Of an id that comes more than once
+    one row of statistics is learnt, the least.  Null texts are empty.  Other columns are not read.  Without a
+    label all documents score one half.
+    """
     rows = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("double").alias("_y"))
     picked = rows.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     width = len(FEATURES)
@@ -134,47 +139,52 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             feats = np.array([text_stats(b)[1] for b in column_bytes(batch, "_text")], float).reshape(-1, width)
-            yield pa.record_batch([batch.column("_y"), pa.array(list(feats), pa.list_(pa.float64()))], ["_y", "_x"])
+            yield pa.record_batch([batch.column("_id"), batch.column("_y"), pa.array(list(feats), pa.list_(pa.float64()))], ["_id", "_y", "_x"])
 
-    got = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id").select("_text", "_y").mapInArrow(measure, "_y double, _x array<double>").toArrow()
+    found = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id").select("_id", "_text", "_y").mapInArrow(measure, "_id long, _y double, _x array<double>")
+    got = found.groupBy("_id").agg(F.min(F.struct("_y", "_x")).alias("m")).select("m.*").toArrow()
     x = np.array(got.column("_x").to_pylist(), float).reshape(-1, width)
     y = np.asarray(got.column("_y"))
     order = np.lexsort((*x.T, y)) if len(y) else np.arange(0)
     return Trees().fit(x[order], y[order], list(FEATURES.values()))
 
 
+def _verdicts(texts: list[bytes], model: Trees, min_words: int, max_repeat_percent: int, min_score: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Base counts, failure of the base rules, tree score and verdict of each text."""
+    both = [text_stats(b) for b in texts]
+    base = np.array([b for b, _ in both], np.int64).reshape(-1, len(STATS))
+    failed = (base[:, 0] < min_words) | (100 * base[:, 4] > max_repeat_percent * base[:, 0])
+    score = model.score(np.array([f for _, f in both], float).reshape(-1, len(FEATURES)))
+    return base, failed, score, ~failed & (score >= min_score)
+
+
 def quality_rules(docs: DataFrame, model: Trees, *, doc_id: str = "doc_id", text: str = "text", min_words: int = 50, max_repeat_percent: int = 50, min_score: float = 0.5) -> DataFrame:
     """``doc_id``, the base counts, ``base_failed``, ``quality_score`` and ``kept`` for every document.
 
     A null or empty text has no words and fails the base rules; null ids and repeated rows pass through, one
     result per row; other columns of ``docs`` are not read.
     """
-    names = [*STATS, "base_failed", "quality_score", "kept"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = [text_stats(b) for b in column_bytes(batch, "_text")]
-            base = np.array([b for b, _ in both], np.int64).reshape(-1, len(STATS))
-            feats = np.array([f for _, f in both], float).reshape(-1, len(FEATURES))
-            failed = (base[:, 0] < min_words) | (100 * base[:, 4] > max_repeat_percent * base[:, 0])
-            score = model.score(feats)
-            cols = [*base.T, failed, score, ~failed & (score >= min_score)]
-            yield pa.record_batch([batch.column("doc_id"), *(pa.array(np.ascontiguousarray(c)) for c in cols)], ["doc_id", *names])
+            base, *rest = _verdicts(column_bytes(batch, "_text"), model, min_words, max_repeat_percent, min_score)
+            yield pa.record_batch([batch.column("doc_id"), *(pa.array(np.ascontiguousarray(c)) for c in (*base.T, *rest))], ["doc_id", *STATS, "base_failed", "quality_score", "kept"])
 
     schema = "doc_id long, " + ", ".join(f"{s} long" for s in STATS) + ", base_failed boolean, quality_score double, kept boolean"
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(judge, schema)
 
 
 def drop_low_quality(docs: DataFrame, model: Trees, *, text: str = "text", min_words: int = 50, max_repeat_percent: int = 50, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
+    """The rows of ``docs`` that the rules keep, with all their columns, whatever these are called.
+
+    Null and empty texts go, as they have no words; repeated rows and rows with null ids are each judged by
+    their text.
+    """
     at = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = [text_stats(b) for b in column_bytes(batch, batch.schema.names[at])]
-            base = np.array([b for b, _ in both], np.int64).reshape(-1, len(STATS))
-            score = model.score(np.array([f for _, f in both], float).reshape(-1, len(FEATURES)))
-            good = (base[:, 0] >= min_words) & (100 * base[:, 4] <= max_repeat_percent * base[:, 0]) & (score >= min_score)
+            good = _verdicts(column_bytes(batch, batch.schema.names[at]), model, min_words, max_repeat_percent, min_score)[3]
             yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(keep, docs.schema)
