@@ -7,10 +7,47 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.geo import from_local
+from .neighbourhood import GREEN_LANDUSE, NIGHTLIFE, tag
 from .spatial import nearest_segment, planar_cell
 
-# Tag keys counted per cell.
+# Tag keys counted per cell, and road classes whose length and distance a cell has.
 POI_KEYS = ("amenity", "shop", "healthcare", "tourism")
+CELL_ROADS = ("motorway", "trunk", "primary", "secondary", "tertiary")
+
+
+def cell_flags() -> dict[str, Column]:
+    """Counted categories of a cell by an element's ``tags``; an element counts in each that holds."""
+    has = {k: F.coalesce(F.map_contains_key("tags", F.lit(k)), F.lit(False)) for k in POI_KEYS}
+    transit = (tag("public_transport") == "platform") | (tag("highway") == "bus_stop") | tag("railway").isin("station", "tram_stop") | (tag("amenity") == "bus_station")
+    green = tag("leisure").isin("park", "playground") | (tag("natural") == "wood") | tag("landuse").isin(*GREEN_LANDUSE)
+    return has | {"nightlife": tag("amenity").isin(*NIGHTLIFE), "transit": transit, "green": green}
+
+
+def cell_side(*, side: float | None = None, area: float | None = None) -> float:
+    """Side of a cell in metres, from its area in square metres if that is given and positive."""
+    out = math.sqrt(area) if area and area > 0 else side
+    if not out or out <= 0:
+        raise ValueError("a cell needs a positive side or area")
+    return out
+
+
+def area_mode(*, radius_km: float | None = None, half_km: float = 10.0) -> tuple[float, bool]:
+    """Half extent in metres and whether cells are cut to the circle: by radius if one is given, else by box."""
+    if radius_km and radius_km > 0:
+        return radius_km * 1000.0, True
+    if half_km <= 0:
+        raise ValueError("the half size of the box must be positive")
+    return half_km * 1000.0, False
+
+
+def cell_degrees(cells: DataFrame, lat0: Column, lon0: Column, *, half: float, cell: float) -> DataFrame:
+    """Add the centre ``lat, lon`` and the bounds ``south, west, north, east`` of cells in degrees."""
+    x0, y0 = F.col("ix") * cell - half, F.col("iy") * cell - half
+    lat, lon = from_local(x0 + cell / 2, y0 + cell / 2, lat0, lon0)
+    south, west = from_local(x0, y0, lat0, lon0)
+    north, east = from_local(x0 + cell, y0 + cell, lat0, lon0)
+    return cells.select("*", *[c.alias(n) for n, c in (("lat", lat), ("lon", lon), ("south", south), ("west", west), ("north", north), ("east", east))])
 
 
 def lattice(cities: DataFrame, *, half: float, cell: float, circle: bool = True) -> DataFrame:
@@ -43,12 +80,15 @@ def road_lengths(segments: DataFrame, *, half: float, cell: float) -> DataFrame:
     return segments.where(inside).groupBy("city", ix.alias("ix"), iy.alias("iy")).agg(F.sum(length).alias("road_m"), F.coalesce(F.avg("maxspeed"), F.lit(0.0)).alias("speed_mean"), F.count("maxspeed").alias("speed_n"))
 
 
-def grid_cells(cities: DataFrame, elements: DataFrame, roads: DataFrame, flags: dict[str, Column], *, half: float = 5000.0, cell: float = 300.0) -> DataFrame:
-    """One row per cell inside the circle: counts, densities per km2, road length and the nearest major road.
+def grid_cells(cities: DataFrame, elements: DataFrame, roads: DataFrame, flags: dict[str, Column] | None = None, *, half: float = 5000.0, cell: float = 300.0, circle: bool = True) -> DataFrame:
+    """One row per cell inside the circle: counts, densities per km2, major-road length and the nearest major road.
 
-    Cells without elements keep zeros; the nearest distance is null without a road near the cell.
+    ``roads`` with a column ``highway`` count by their class (``CELL_ROADS``); without one all count.  Cells
+    without elements keep zeros; the nearest distance is null without a road near the cell.
     """
-    cells = lattice(cities, half=half, cell=cell)
+    flags = flags or cell_flags()
+    roads = roads.where(F.col("highway").isin(*CELL_ROADS)) if "highway" in roads.columns else roads
+    cells = lattice(cities, half=half, cell=cell, circle=circle)
     counts = cell_counts(elements, flags, half=half, cell=cell)
     lengths = road_lengths(roads, half=half, cell=cell)
     buffer, index = max(2 * cell, 500.0), max(4 * cell, 1000.0)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import BOX_METRES_PER_DEGREE, haversine, segment_distance
+from ..functions.geo import BOX_METRES_PER_DEGREE, haversine, segment_distance, segments_of, to_local
 
 
 def _floor(c: Column) -> Column:
@@ -34,6 +34,28 @@ def radius_pairs(points: DataFrame, elements: DataFrame, radius: float, *, keep:
     return here.join(there, ["_cy", "_cx"]).withColumn("dist", dist).where(F.col("dist") <= radius).select("point_id", *kept, "dist")
 
 
+def geometry_pairs(points: DataFrame, lines: DataFrame, radius: float, *, keep: list[str] | None = None) -> DataFrame:
+    """All ``points(point_id, lat, lon)`` with ``lines(line_id, geometry, ...)`` within ``radius`` metres of any part, and ``dist``.
+
+    ``geometry`` is an array of ``struct(lat, lon)``; one vertex is a point, none matches nothing.  Segments are laid
+    into the cells of their box; distances are measured on a plane around the point.
+    """
+    kept = keep if keep is not None else [c for c in lines.columns if c != "geometry"]
+    cell = radius / BOX_METRES_PER_DEGREE
+    reach = F.lit(radius) / (F.lit(BOX_METRES_PER_DEGREE) * F.cos(F.radians(F.least(F.abs("lat") + F.lit(cell), F.lit(89.0)))))
+    span = lambda low, high: F.sequence(_floor(low / cell), _floor(high / cell))
+    here = points.where("lat is not null and lon is not null").select("point_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.explode(span(F.col("lat") - cell, F.col("lat") + cell)).alias("_cy"), span(F.col("lon") - reach, F.col("lon") + reach).alias("_cols"))
+    here = here.select("*", F.explode("_cols").alias("_cx")).drop("_cols")
+    parts = F.when(F.size("geometry") == 1, F.array(F.struct(F.get("geometry", F.lit(0)).alias("a"), F.get("geometry", F.lit(0)).alias("b")))).otherwise(segments_of(F.col("geometry")))
+    side = lambda f, k: f(F.col(f"_s.a.{k}"), F.col(f"_s.b.{k}"))
+    there = lines.select(*kept, F.explode(parts).alias("_s")).select("*", F.explode(span(side(F.least, "lat"), side(F.greatest, "lat"))).alias("_cy"), span(side(F.least, "lon"), side(F.greatest, "lon")).alias("_cols"))
+    there = there.select("*", F.explode("_cols").alias("_cx")).drop("_cols")
+    ends = [to_local(F.col(f"_s.{e}.lat"), F.col(f"_s.{e}.lon"), F.col("_lat"), F.col("_lon")) for e in "ab"]
+    dist = segment_distance(F.lit(0.0), F.lit(0.0), *ends[0], *ends[1])
+    met = here.join(there, ["_cy", "_cx"]).withColumn("dist", dist).where(F.col("dist") <= radius)
+    return met.groupBy("point_id", *kept).agg(F.min("dist").alias("dist"))
+
+
 def planar_cell(x: Column, y: Column, half: float, cell: float) -> tuple[Column, Column, Column]:
     """Column, row and membership of half-open planar cells over the square of ``half`` metres around a centre."""
     n = -(-2 * half // cell)
@@ -45,17 +67,16 @@ def nearest_segment(points: DataFrame, segments: DataFrame, *, half: float, inde
     """Nearest of ``segments(city, seg_id, x1, y1, x2, y2, ...)`` for each of ``points(city, point_id, x, y)``.
 
     A segment is a candidate if its box, grown by ``buffer`` and clamped into the index grid, touches the 3 x 3
-    index cells around the point.  Ties go to the lowest ``seg_id``.  Returns ``city, point_id, seg_id, dist``;
-    points without a candidate are absent.
+    index cells around the point: its cells are grown by one on each side, and a point is looked up once, in its
+    own cell.  Ties go to the lowest ``seg_id``.  Returns ``city, point_id, seg_id, dist``; points without a
+    candidate are absent.
     """
     n = int(-(-2 * half // index_cell))
     clamp = lambda c: F.least(F.lit(n - 1), F.greatest(F.lit(0), _floor((c + half) / index_cell)))
-    spans = [F.sequence(clamp(F.least(f"{a}1", f"{a}2") - buffer), clamp(F.greatest(f"{a}1", f"{a}2") + buffer)) for a in "xy"]
+    spans = [F.sequence(clamp(F.least(f"{a}1", f"{a}2") - buffer) - 1, clamp(F.greatest(f"{a}1", f"{a}2") + buffer) + 1) for a in "xy"]
     near = segments.select("city", "seg_id", "x1", "y1", "x2", "y2", F.explode(spans[0]).alias("_cx"), spans[1].alias("_ys"))
     near = near.select("city", "seg_id", "x1", "y1", "x2", "y2", "_cx", F.explode("_ys").alias("_cy"))
-    around = [F.filter(F.sequence(_floor((F.col(a) + half) / index_cell) - 1, _floor((F.col(a) + half) / index_cell) + 1), lambda i: (i >= 0) & (i < n)) for a in "xy"]
-    here = points.select("city", "point_id", "x", "y", F.explode(around[0]).alias("_cx"), around[1].alias("_ys"))
-    here = here.select("city", "point_id", "x", "y", "_cx", F.explode("_ys").alias("_cy"))
+    here = points.select("city", "point_id", "x", "y", *[_floor((F.col(a) + half) / index_cell).alias(f"_c{a}") for a in "xy"])
     d = segment_distance(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
     best = F.min(F.struct(d.alias("dist"), F.col("seg_id").alias("seg_id")))
     return here.join(near, ["city", "_cx", "_cy"]).groupBy("city", "point_id").agg(best.alias("b")).select("city", "point_id", "b.seg_id", "b.dist")
@@ -85,14 +106,13 @@ def transit_access(points: DataFrame, stops: DataFrame, *, radius: float, cell_d
 def nearest_station(points: DataFrame, stations: DataFrame, *, cell_deg: float = 0.2, max_rings: int = 6, ring_rule: bool = False) -> DataFrame:
     """Nearest of ``stations(station_id, lat, lon)`` within the box of ``max_rings`` cells; ties to the lowest id.
 
-    ``ring_rule`` looks at rings 0 to 2 and then only up to the first ring with a station.  Stations are keyed
-    by cell and points by the cells around theirs, so neither side has to fit in memory.
+    ``ring_rule`` looks at rings 0 to 2 and then only up to the first ring with a station.  Stations, the few, are
+    laid into all cells that they serve; a point is looked up once, in its own cell.
     """
     cy, cx = _floor(F.col("lat") / cell_deg), _floor(F.col("lon") / cell_deg)
-    here = points.select("point_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), cy.alias("py"), cx.alias("px"))
+    here = points.select("point_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), cy.alias("_cy"), cx.alias("_cx"))
     side = lambda c: F.explode(F.sequence(F.col(c) - max_rings, F.col(c) + max_rings))
-    here = here.select("*", side("py").alias("_cy")).select("*", side("px").alias("_cx"))
-    there = stations.select("station_id", "lat", "lon", cy.alias("_cy"), cx.alias("_cx"))
+    there = stations.select("station_id", "lat", "lon", cy.alias("py"), cx.alias("px")).select("*", side("py").alias("_cy")).select("*", side("px").alias("_cx"))
     met = here.join(there, ["_cy", "_cx"]).withColumn("dist", haversine(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon")))
     if ring_rule:
         from pyspark.sql import Window

@@ -9,9 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-AMENITIES = ["bar", "pharmacy", "doctors", "school", "bus_station", "police", "hospital"]
+AMENITIES = ["bar", "pharmacy", "doctors", "school", "bus_station", "police", "hospital", "kindergarten", "university", "pub"]
 SHOPS = ["supermarket", "bakery", "convenience"]
 HIGHWAYS = ["bus_stop", "primary", "residential", "secondary"]
+LEISURE = ["park", "playground", "pitch", "garden"]
+LANDUSE = ["forest", "retail", "grass", "meadow", "industrial", "recreation_ground", "village_green"]
+NATURAL = ["wood", "water"]
+RAILWAYS = ["rail", "station", "tram_stop", "disused"]
+PLATFORMS = ["platform", "stop_position"]
+LIT = ["yes", "no", "limited", "yes", "24/7"]
+ROADS = ["primary", "residential", "motorway", "tertiary", "service", "secondary", "trunk"]
 OSM_TYPES = ["node", "way", "relation"]
 
 
@@ -46,15 +53,15 @@ def _pick(names: list[str], i: Column) -> Column:
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map elements from ``events``: city, local and geographic position, type and tags."""
     i, kind = F.col("event_id"), F.col("event_type")
-    pair = lambda k, v: F.create_map(F.lit(k), v)
-    tags = F.when(kind == "view", pair("amenity", _pick(AMENITIES, i))).when(kind == "click", pair("shop", _pick(SHOPS, i))).when(kind == "purchase", pair("healthcare", F.lit("yes"))).when(kind == "signup", pair("tourism", F.lit("hotel"))).otherwise(pair("highway", _pick(HIGHWAYS, i)))
-    return table(spark, sf_dir, "events").select(i.alias("element_id"), (i % 5).alias("city"), _x(i).alias("x"), _y(i).alias("y"), _lat(i).alias("lat"), _lon(i).alias("lon"), _pick(OSM_TYPES, i).alias("osm_type"), kind.alias("kind"), "value", tags.alias("tags"))
+    tags = {"amenity": ("view", _pick(AMENITIES, i)), "shop": ("click", _pick(SHOPS, i)), "landuse": ("click", _pick(LANDUSE, i)), "healthcare": ("purchase", F.lit("yes")), "leisure": ("purchase", _pick(LEISURE, i)), "tourism": ("signup", F.lit("hotel")), "natural": ("signup", _pick(NATURAL, i)), "railway": ("signup", _pick(RAILWAYS, i)), "highway": ("error", _pick(HIGHWAYS, i)), "lit": ("error", _pick(LIT, i)), "public_transport": ("error", _pick(PLATFORMS, i))}
+    given = F.map_filter(F.create_map(*[c for k, (own, v) in tags.items() for c in (F.lit(k), F.when(kind == own, v))]), lambda _, v: v.isNotNull())
+    return table(spark, sf_dir, "events").select(i.alias("element_id"), (i % 5).alias("city"), _x(i).alias("x"), _y(i).alias("y"), _lat(i).alias("lat"), _lon(i).alias("lon"), _pick(OSM_TYPES, i).alias("osm_type"), kind.alias("kind"), "value", given.alias("tags"))
 
 
 def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Street segments from ``part``."""
     i = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select(i.alias("seg_id"), (i % 5).alias("city"), _x(i).alias("x1"), _y(i).alias("y1"), (_x(i) + (i * 31 % 401) - 200).alias("x2"), (_y(i) + (i * 17 % 401) - 200).alias("y2"), F.col("p_brand").alias("street"), F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("double")).alias("maxspeed"))
+    return table(spark, sf_dir, "part").select(i.alias("seg_id"), (i % 5).alias("city"), _x(i).alias("x1"), _y(i).alias("y1"), (_x(i) + (i * 31 % 401) - 200).alias("x2"), (_y(i) + (i * 17 % 401) - 200).alias("y2"), F.col("p_brand").alias("street"), _pick(ROADS, i).alias("highway"), F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("double")).alias("maxspeed"))
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,8 +120,8 @@ def _case(kind: str, value: str) -> str:
 _E, _P, _C, _S = "event_id::BIGINT", "p_partkey::BIGINT", "c_custkey::BIGINT", "s_suppkey::BIGINT"
 _N = "n_nationkey::BIGINT"
 SQL = {
-    "el": f"el AS (SELECT event_id AS element_id, event_id % 5 AS city, {_sx(_E)} AS x, {_sy(_E)} AS y, {_slat(_E)} AS lat, {_slon(_E)} AS lon, {_spick(OSM_TYPES, _E)} AS osm_type, event_type AS kind, value, {_case('view', _spick(AMENITIES, _E))} AS amenity, {_case('click', _spick(SHOPS, _E))} AS shop, {_case('purchase', repr('yes'))} AS healthcare, {_case('signup', repr('hotel'))} AS tourism, {_case('error', _spick(HIGHWAYS, _E))} AS highway FROM events)",
-    "st": f"st AS (SELECT p_partkey AS seg_id, p_partkey % 5 AS city, {_sx(_P)} AS x1, {_sy(_P)} AS y1, {_sx(_P)} + (p_partkey * 31 % 401) - 200 AS x2, {_sy(_P)} + (p_partkey * 17 % 401) - 200 AS y2, p_brand AS street, CASE WHEN p_size % 3 <> 0 THEN p_size::DOUBLE END AS maxspeed FROM part)",
+    "el": f"el AS (SELECT event_id AS element_id, event_id % 5 AS city, {_sx(_E)} AS x, {_sy(_E)} AS y, {_slat(_E)} AS lat, {_slon(_E)} AS lon, {_spick(OSM_TYPES, _E)} AS osm_type, event_type AS kind, value, {_case('view', _spick(AMENITIES, _E))} AS amenity, {_case('click', _spick(SHOPS, _E))} AS shop, {_case('purchase', repr('yes'))} AS healthcare, {_case('signup', repr('hotel'))} AS tourism, {_case('error', _spick(HIGHWAYS, _E))} AS highway, {_case('purchase', _spick(LEISURE, _E))} AS leisure, {_case('click', _spick(LANDUSE, _E))} AS landuse, {_case('signup', _spick(NATURAL, _E))} AS nature, {_case('signup', _spick(RAILWAYS, _E))} AS railway, {_case('error', _spick(LIT, _E))} AS lit, {_case('error', _spick(PLATFORMS, _E))} AS public_transport FROM events)",
+    "st": f"st AS (SELECT p_partkey AS seg_id, p_partkey % 5 AS city, {_sx(_P)} AS x1, {_sy(_P)} AS y1, {_sx(_P)} + (p_partkey * 31 % 401) - 200 AS x2, {_sy(_P)} + (p_partkey * 17 % 401) - 200 AS y2, p_brand AS street, {_spick(ROADS, _P)} AS highway, CASE WHEN p_size % 3 <> 0 THEN p_size::DOUBLE END AS maxspeed FROM part)",
     "li": f"li AS (SELECT c_custkey AS point_id, c_custkey % 5 AS city, {_sx(_C)} AS x, {_sy(_C)} AS y, {_slat(_C)} AS lat, {_slon(_C)} AS lon, c_acctbal AS balance FROM customer)",
     "sp": f"sp AS (SELECT s_suppkey AS stop_id, {_slat(_S)} AS lat, {_slon(_S)} AS lon FROM supplier)",
     "sn": f"sn AS (SELECT {_N} AS station_id, {_slat(_N)} AS lat, {_slon(_N)} AS lon FROM nation)",
@@ -135,8 +142,8 @@ def segment_sql(px: str, py: str, s: str) -> str:
     return f"sqrt({ex} * {ex} + {ey} * {ey})"
 
 
-def near_sql(points: str, half: float, index: float, buffer: float) -> str:
-    """Nearest segment of ``st`` for ``points(city, point_id, x, y)`` by the 3 x 3 rule: ``city, point_id, seg_id, dist``."""
+def near_sql(points: str, half: float, index: float, buffer: float, where: str = "true") -> str:
+    """Nearest segment of ``st`` (with a condition) for ``points(city, point_id, x, y)`` by the 3 x 3 rule: ``city, point_id, seg_id, dist``."""
     n = int(-(-2 * half // index))
 
     def clamp(e: str) -> str:
@@ -144,4 +151,4 @@ def near_sql(points: str, half: float, index: float, buffer: float) -> str:
 
     q = lambda a: f"floor(({points}.{a} + {half}) / {index})"
     touch = " AND ".join(f"{clamp(f'least(st.{a}1, st.{a}2) - {buffer}')} <= least({q(a)} + 1, {n - 1}) AND {clamp(f'greatest(st.{a}1, st.{a}2) + {buffer}')} >= greatest({q(a)} - 1, 0)" for a in "xy")
-    return f"SELECT city, point_id, seg_id, dist FROM (SELECT {points}.city, point_id, seg_id, {segment_sql(f'{points}.x', f'{points}.y', 'st')} AS dist, row_number() OVER (PARTITION BY {points}.city, point_id ORDER BY {segment_sql(f'{points}.x', f'{points}.y', 'st')}, seg_id) AS rn FROM {points} JOIN st ON {points}.city = st.city AND {touch}) WHERE rn = 1"
+    return f"SELECT city, point_id, seg_id, dist FROM (SELECT {points}.city, point_id, seg_id, {segment_sql(f'{points}.x', f'{points}.y', 'st')} AS dist, row_number() OVER (PARTITION BY {points}.city, point_id ORDER BY {segment_sql(f'{points}.x', f'{points}.y', 'st')}, seg_id) AS rn FROM {points} JOIN st ON {points}.city = st.city AND {touch} AND {where}) WHERE rn = 1"

@@ -91,7 +91,8 @@ _PERSONAS = f"WITH {_LISTED}, {_PCT}, ro AS (SELECT id, city, pct, {', '.join(f'
 @query(f"{_PERSONAS} SELECT id, persona, round(score, 6) AS score FROM ps")
 def persona_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, factors = _persona_rows(spark, sf_dir)
-    each = rows.select("id", F.explode(scores.persona_array(factors, F.col("confidence"))).alias("p"))
+    # the outer form: the plain one adds a filter that repeats the whole expression
+    each = rows.select("id", F.explode_outer(scores.persona_scores(factors, F.col("confidence"))).alias("p"))
     return each.select("id", "p.persona", F.round("p.score", 6).alias("score"))
 
 

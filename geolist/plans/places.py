@@ -29,37 +29,32 @@ def r6(*names: str) -> list[Column]:
     return [F.round(n, 6).alias(n) for n in names]
 
 
-def cell_flags() -> dict[str, Column]:
-    """Counted categories of a cell; an element counts in each that holds."""
-    t = neighbourhood.tag
-    has = {k: F.coalesce(F.map_contains_key("tags", F.lit(k)), F.lit(False)) for k in grid.POI_KEYS}
-    return has | {"nightlife": t("amenity").isin(*neighbourhood.NIGHTLIFE), "transit": (t("highway") == "bus_stop") | (t("amenity") == "bus_station")}
-
-
 _CELLS = "ce AS (SELECT c::BIGINT AS city, a::INT AS ix, b::INT AS iy, -5000.0::DOUBLE + a * 300.0::DOUBLE + 150 AS x, -5000.0::DOUBLE + b * 300.0::DOUBLE + 150 AS y, b * 1000000 + a AS point_id FROM range(5) r(c), range(34) s(a), range(34) t(b) WHERE x * x + y * y <= 25000000)"
 _INSIDE = "x >= -5000 AND y >= -5000 AND floor((x + 5000) / 300) < 34 AND floor((y + 5000) / 300) < 34"
-_FLAGS = {"amenity": "amenity IS NOT NULL", "shop": "shop IS NOT NULL", "healthcare": "healthcare IS NOT NULL", "tourism": "tourism IS NOT NULL", "nightlife": "amenity IN ('bar', 'pub', 'nightclub')", "transit": "highway = 'bus_stop' OR amenity = 'bus_station'"}
+_FLAGS = {"amenity": "amenity IS NOT NULL", "shop": "shop IS NOT NULL", "healthcare": "healthcare IS NOT NULL", "tourism": "tourism IS NOT NULL", "nightlife": "amenity IN ('bar', 'pub', 'nightclub')", "transit": "public_transport = 'platform' OR highway = 'bus_stop' OR railway IN ('station', 'tram_stop') OR amenity = 'bus_station'", "green": f"leisure IN ('park', 'playground') OR nature = 'wood' OR landuse IN {grid.GREEN_LANDUSE}"}
 _COUNTS = "co AS (SELECT city, floor((x + 5000) / 300)::INT AS ix, floor((y + 5000) / 300)::INT AS iy, " + ", ".join(f"count(*) FILTER (WHERE {p}) AS {k}_count" for k, p in _FLAGS.items()) + f" FROM el WHERE {_INSIDE} GROUP BY ALL)"
-_MID = "SELECT *, (x1 + x2) / 2 AS x, (y1 + y2) / 2 AS y FROM st"
+_MAJOR = f"st.highway IN {grid.CELL_ROADS}"
+_MID = f"SELECT *, (x1 + x2) / 2 AS x, (y1 + y2) / 2 AS y FROM st WHERE {_MAJOR}"
 _ROADS = f"ro AS (SELECT city, floor((x + 5000) / 300)::INT AS ix, floor((y + 5000) / 300)::INT AS iy, sum(sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2))) AS road_m, coalesce(avg(maxspeed), 0) AS speed_mean, count(maxspeed) AS speed_n FROM ({_MID}) WHERE {_INSIDE} GROUP BY ALL)"
-_GRID = f"WITH {SQL['el']}, {SQL['st']}, {_CELLS}, {_COUNTS}, {_ROADS}, ne AS ({near_sql('ce', HALF, 1200.0, 600.0)}), gr AS (SELECT ce.city, ce.ix, ce.iy, " + ", ".join(f"coalesce({k}_count, 0) AS {k}_count, round(coalesce({k}_count, 0) / 0.09, 6) AS {k}_per_km2" for k in _FLAGS) + ", round(coalesce(road_m, 0), 6) AS road_m, round(coalesce(speed_mean, 0), 6) AS speed_mean, coalesce(speed_n, 0) AS speed_n, round(dist, 6) AS road_nearest_m FROM ce LEFT JOIN co USING (city, ix, iy) LEFT JOIN ro USING (city, ix, iy) LEFT JOIN ne ON ne.city = ce.city AND ne.point_id = ce.point_id)"
+_GRID = f"WITH {SQL['el']}, {SQL['st']}, {_CELLS}, {_COUNTS}, {_ROADS}, ne AS ({near_sql('ce', HALF, 1200.0, 600.0, _MAJOR)}), gr AS (SELECT ce.city, ce.ix, ce.iy, " + ", ".join(f"coalesce({k}_count, 0) AS {k}_count, round(coalesce({k}_count, 0) / 0.09, 6) AS {k}_per_km2" for k in _FLAGS) + ", round(coalesce(road_m, 0), 6) AS road_m, round(coalesce(speed_mean, 0), 6) AS speed_mean, coalesce(speed_n, 0) AS speed_n, round(dist, 6) AS road_nearest_m, round(48.0 + ce.city + ce.y / 111320, 6) AS lat, round(9.0 + ce.x / (111320 * cos(radians(48.0 + ce.city))), 6) AS lon, round(48.0 + ce.city + (ce.y - 150) / 111320, 6) AS south, round(9.0 + (ce.x + 150) / (111320 * cos(radians(48.0 + ce.city))), 6) AS east FROM ce LEFT JOIN co USING (city, ix, iy) LEFT JOIN ro USING (city, ix, iy) LEFT JOIN ne ON ne.city = ce.city AND ne.point_id = ce.point_id)"
 
 
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.grid_cells(base.cities(spark), base.elements(spark, sf_dir), base.streets(spark, sf_dir), cell_flags(), half=HALF, cell=CELL)
+    return grid.grid_cells(base.cities(spark), base.elements(spark, sf_dir), base.streets(spark, sf_dir), half=HALF, cell=CELL)
 
 
 @query(f"{_GRID} SELECT * FROM gr")
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [k for k in _FLAGS]
     dense = [c for k in names for c in (F.col(f"{k}_count"), F.round(f"{k}_per_km2", 6).alias(f"{k}_per_km2"))]
-    return _grid(spark, sf_dir).select("city", "ix", "iy", *dense, *r6("road_m", "speed_mean"), "speed_n", *r6("road_nearest_m"))
+    placed = grid.cell_degrees(_grid(spark, sf_dir), 48.0 + F.col("city"), F.lit(9.0), half=HALF, cell=CELL)
+    return placed.select("city", "ix", "iy", *dense, *r6("road_m", "speed_mean"), "speed_n", *r6("road_nearest_m", "lat", "lon", "south", "east"))
 
 
-@query(f"WITH {SQL['el']}, {_COUNTS} SELECT city, ix, iy, amenity_count, shop_count, nightlife_count, transit_count FROM co")
+@query(f"WITH {SQL['el']}, {_COUNTS} SELECT city, ix, iy, amenity_count, shop_count, nightlife_count, transit_count, green_count FROM co")
 def grid_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells with any element, without the lattice."""
-    return grid.cell_counts(base.elements(spark, sf_dir), cell_flags(), half=HALF, cell=CELL).select("city", "ix", "iy", "amenity_count", "shop_count", "nightlife_count", "transit_count")
+    return grid.cell_counts(base.elements(spark, sf_dir), grid.cell_flags(), half=HALF, cell=CELL).select("city", "ix", "iy", "amenity_count", "shop_count", "nightlife_count", "transit_count", "green_count")
 
 
 _SUM = ", ".join(f"sum({c})::{'BIGINT' if t == 'l' else 'DOUBLE'} AS {c}_total, count(CASE WHEN {c} > 0 THEN 1 END) AS {c}_cells, round(avg(CASE WHEN {c} > 0 THEN {c} END), 6) AS {c}_mean, round(median(CASE WHEN {c} > 0 THEN {c} END)::DOUBLE, 6) AS {c}_median, max(CASE WHEN {c} > 0 THEN {c} END) AS {c}_max" for c, t in (("amenity_count", "l"), ("transit_count", "l")))
@@ -118,8 +113,9 @@ def local_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _D = haversine_sql("li", "el")
-_AROUND = {"amenity_any": ("amenity IS NOT NULL", 800), "shop_any": ("shop IS NOT NULL", 800), "healthcare_any": ("healthcare IS NOT NULL", 800), "tourism_any": ("tourism IS NOT NULL", 800), "nightlife": ("amenity IN ('bar', 'pub', 'nightclub')", 800), "platform": ("false", 800), "bus_stop": ("highway = 'bus_stop'", 800), "rail_stop": ("false", 800), "bus_station": ("amenity = 'bus_station'", 800), "park": ("false", 1000), "wood": ("false", 1000), "green_landuse": ("false", 1000), "major_road_ways": ("osm_type = 'way' AND highway IN ('motorway', 'trunk', 'primary', 'secondary')", 300)}
-_POI = {"supermarket": "shop = 'supermarket'", "bakery": "shop = 'bakery'", "pharmacy": "amenity = 'pharmacy'", "doctors": "amenity = 'doctors'", "hospital": "amenity = 'hospital'", "school": "amenity = 'school'", "police": "amenity = 'police'", "kindergarten": "false", "park": "false", "playground": "false"}
+_AROUND = {"amenity_any": ("amenity IS NOT NULL", 800), "shop_any": ("shop IS NOT NULL", 800), "healthcare_any": ("healthcare IS NOT NULL", 800), "tourism_any": ("tourism IS NOT NULL", 800), "nightlife": ("amenity IN ('bar', 'pub', 'nightclub')", 800), "platform": ("public_transport = 'platform'", 800), "bus_stop": ("highway = 'bus_stop'", 800), "rail_stop": ("railway IN ('station', 'tram_stop')", 800), "bus_station": ("amenity = 'bus_station'", 800), "park": ("leisure IN ('park', 'playground')", 1000), "wood": ("nature = 'wood'", 1000), "green_landuse": (f"landuse IN {neighbourhood.GREEN_LANDUSE}", 1000), "major_road_ways": ("osm_type = 'way' AND highway IN ('motorway', 'trunk', 'primary', 'secondary')", 300)}
+_POI = {**{k: f"shop = '{k}'" for k in ("supermarket", "convenience", "bakery")}, **{k: f"amenity = '{k}'" for k in ("pharmacy", "doctors", "hospital", "school", "kindergarten", "police", "university")}, **{k: f"leisure = '{k}'" for k in ("park", "playground")}, "rail_station": "railway IN ('station', 'tram_stop')"}
+_NEAREST = ("supermarket", "pharmacy", "doctors", "hospital", "school", "kindergarten", "police", "park", "playground", "rail_station")
 _PAIRS = f"WITH {SQL['el']}, {SQL['li']}, pa AS (SELECT li.point_id, el.*, {_D} AS dist FROM li JOIN el ON li.city = el.city WHERE {_D} <= 2000)"
 
 
@@ -148,10 +144,18 @@ def radius_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _POI_AGG = ", ".join(f"count(*) FILTER (WHERE {p}) AS {k}_count, min(CASE WHEN {p} THEN dist END) AS nearest_{k}_m" for k, p in _POI.items())
 
 
-@query(f"{_PAIRS} SELECT point_id, {', '.join(f'coalesce({k}_count, 0) AS {k}_count, round(nearest_{k}_m, 3) AS nearest_{k}_m' for k in ('supermarket', 'pharmacy', 'school', 'police'))} FROM li LEFT JOIN (SELECT point_id, {_POI_AGG} FROM pa GROUP BY 1) USING (point_id)")
+@query(f"{_PAIRS} SELECT point_id, {', '.join(f'coalesce({k}_count, 0) AS {k}_count' for k in _POI)}, {', '.join(f'round(nearest_{k}_m, 3) AS nearest_{k}_m' for k in _NEAREST)} FROM li LEFT JOIN (SELECT point_id, {_POI_AGG} FROM pa GROUP BY 1) USING (point_id)")
 def poi_counts_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = ("supermarket", "pharmacy", "school", "police")
-    return _metrics(spark, sf_dir).select("point_id", *[c for k in keys for c in (F.col(f"{k}_count"), F.round(f"nearest_{k}_m", 3).alias(f"nearest_{k}_m"))])
+    return _metrics(spark, sf_dir).select("point_id", *[f"{k}_count" for k in _POI], *[F.round(f"nearest_{k}_m", 3).alias(f"nearest_{k}_m") for k in _NEAREST])
+
+
+_MAJOR_WAY = f"osm_type = 'way' AND highway IN {neighbourhood.MAJOR_ROADS}"
+
+
+@query(f"{_PAIRS} SELECT point_id, coalesce(highway_total, 0) AS highway_total, coalesce(highway_lit, 0) AS highway_lit, coalesce(rail_ways, 0) AS rail_ways, round(rail_m, 3) AS nearest_rail_m, round(major_m, 3) AS nearest_major_road_m FROM li LEFT JOIN (SELECT point_id, count(*) FILTER (WHERE osm_type = 'way' AND highway IS NOT NULL AND dist <= 250) AS highway_total, count(*) FILTER (WHERE osm_type = 'way' AND lit = 'yes' AND dist <= 250) AS highway_lit, count(*) FILTER (WHERE osm_type = 'way' AND railway = 'rail' AND dist <= 1500) AS rail_ways, min(CASE WHEN osm_type = 'way' AND railway = 'rail' AND dist <= 1500 THEN dist END) AS rail_m, min(CASE WHEN {_MAJOR_WAY} AND dist <= 300 THEN dist END) AS major_m FROM pa GROUP BY 1) USING (point_id)")
+def lighting_rail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lit and other highways, rail ways and the nearest rail and major road."""
+    return _metrics(spark, sf_dir).select("point_id", "highway_total", "highway_lit", "rail_ways", F.round("nearest_rail_m", 3).alias("nearest_rail_m"), F.round("nearest_major_road_m", 3).alias("nearest_major_road_m"))
 
 
 @query(f"{_PAIRS} SELECT point_id, coalesce(n, 0) AS major_road_ways, round(v, 6) AS speed_mean FROM li LEFT JOIN (SELECT point_id, count(*) FILTER (WHERE osm_type = 'way' AND highway IN ('primary', 'secondary') AND dist <= 300) AS n, avg(CASE WHEN osm_type = 'way' AND highway IN ('primary', 'secondary') AND dist <= 300 THEN value END) AS v FROM pa GROUP BY 1) USING (point_id)")
@@ -180,10 +184,10 @@ def _dis(d: str, d0: float) -> str:
     return f"coalesce(exp(-{d} / {d0}), 0.0)"
 
 
-_EXTRA = f"pp AS (SELECT li.point_id, {', '.join(f'coalesce({k}_count, 0) AS {k}_count, nearest_{k}_m' for k in _POI)}, coalesce(ways, 0) AS ways, major_m, coalesce(hw, 0) AS hw FROM li LEFT JOIN (SELECT point_id, {_POI_AGG}, count(*) FILTER (WHERE osm_type = 'way' AND highway IN ('primary', 'secondary') AND dist <= 300) AS ways, min(CASE WHEN osm_type = 'way' AND highway IN ('primary', 'secondary') AND dist <= 300 THEN dist END) AS major_m, count(*) FILTER (WHERE osm_type = 'way' AND highway IS NOT NULL AND dist <= 250) AS hw FROM pa GROUP BY 1) q USING (point_id)), ss AS (SELECT point_id, 0.35 * {_sat('supermarket_count', 6)} + 0.20 * {_sat('bakery_count', 8)} + 0.25 * {_sat('pharmacy_count', 6)} + 0.20 * {_sat('doctors_count', 6)} AS w, greatest(0.55 * {_sat('school_count', 6)}, 0.6 * {_dis('nearest_school_m', 1200)}) AS e, greatest(0.35 * {_sat('pharmacy_count', 6)} + 0.35 * {_sat('doctors_count', 8)} + 0.30 * {_sat('hospital_count', 2)}, 0.7 * {_dis('nearest_hospital_m', 5000)}) AS h, 0.0 AS g, 0.35 * {_dis('nearest_police_m', 4000)} AS s, 0.5 / (1 + ways / 6) + 0.3 * {_dis('major_m', 1500)} AS q FROM pp)"
+_EXTRA = f"pp AS (SELECT li.point_id, {', '.join(f'coalesce({k}_count, 0) AS {k}_count, nearest_{k}_m' for k in _POI)}, coalesce(ways, 0) AS ways, major_m, rail_m, coalesce(hw, 0) AS hw, coalesce(hl, 0) AS hl FROM li LEFT JOIN (SELECT point_id, {_POI_AGG}, count(*) FILTER (WHERE {_MAJOR_WAY} AND dist <= 300) AS ways, min(CASE WHEN {_MAJOR_WAY} AND dist <= 300 THEN dist END) AS major_m, min(CASE WHEN osm_type = 'way' AND railway = 'rail' AND dist <= 1500 THEN dist END) AS rail_m, count(*) FILTER (WHERE osm_type = 'way' AND highway IS NOT NULL AND dist <= 250) AS hw, count(*) FILTER (WHERE osm_type = 'way' AND lit = 'yes' AND dist <= 250) AS hl FROM pa GROUP BY 1) q USING (point_id)), ss AS (SELECT point_id, 0.35 * {_sat('supermarket_count', 6)} + 0.20 * {_sat('bakery_count', 8)} + 0.25 * {_sat('pharmacy_count', 6)} + 0.20 * {_sat('doctors_count', 6)} AS w, greatest(0.55 * {_sat('school_count', 6)} + 0.45 * {_sat('kindergarten_count', 6)}, 0.6 * {_dis('nearest_school_m', 1200)}) AS e, greatest(0.35 * {_sat('pharmacy_count', 6)} + 0.35 * {_sat('doctors_count', 8)} + 0.30 * {_sat('hospital_count', 2)}, 0.7 * {_dis('nearest_hospital_m', 5000)}) AS h, greatest(0.55 * {_sat('park_count', 8)} + 0.45 * {_sat('playground_count', 8)}, {_dis('nearest_park_m', 1200)}) AS g, 0.65 * (CASE WHEN hw > 0 THEN hl / hw ELSE 0 END) + 0.35 * {_dis('nearest_police_m', 4000)} AS s, 0.5 / (1 + ways / 6) + 0.3 * {_dis('major_m', 1500)} + 0.2 * {_dis('rail_m', 1500)} AS q FROM pp)"
 
 
-@query(f"{_PAIRS}, {_EXTRA} SELECT point_id, round(w, 6) AS walkability, round(e, 6) AS education, round(h, 6) AS healthcare, round(g::DOUBLE, 6) AS green_quality, round(s, 6) AS safety, round(q, 6) AS quiet, round(0.40 * e + 0.35 * g + 0.25 * q, 6) AS family FROM ss")
+@query(f"{_PAIRS}, {_EXTRA} SELECT point_id, round(w, 6) AS walkability, round(e, 6) AS education, round(h, 6) AS healthcare, round(g, 6) AS green_quality, round(s, 6) AS safety, round(q, 6) AS quiet, round(0.40 * e + 0.35 * g + 0.25 * q, 6) AS family FROM ss")
 def extra_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _metrics(spark, sf_dir)
     return m.select("point_id", *[F.round(v, 6).alias(k) for k, v in scores.extra_scores({c: F.col(c) for c in m.columns}).items()])
@@ -192,6 +196,20 @@ def extra_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STOPS = "dp AS (SELECT l_suppkey AS stop_id, count(*) AS total, count(*) FILTER (WHERE t BETWEEN 25200 AND 32399) AS peak_am, count(*) FILTER (WHERE t BETWEEN 57600 AND 68399) AS peak_pm FROM (SELECT l_suppkey, (l_orderkey * 37 % 100000) % 86400 AS t FROM lineitem) GROUP BY 1)"
 
 
+_GEOM = f"gm AS (SELECT {base._P} AS line_id, {base._slat(base._P)} AS la, {base._slon(base._P)} AS lo, {base._slat(base._P)} + ({base._P} * 17 % 401 - 200)::DOUBLE / 60000.0::DOUBLE AS lb, {base._slon(base._P)} + ({base._P} * 31 % 401 - 200)::DOUBLE / 60000.0::DOUBLE AS lp FROM part WHERE p_partkey % 4 > 0)"
+_LOCAL = "(SELECT point_id, line_id, (lo - lon) * 111320 * cos(radians(lat)) AS x1, (la - lat) * 111320 AS y1, (lp - lon) * 111320 * cos(radians(lat)) AS x2, (lb - lat) * 111320 AS y2 FROM li JOIN gm ON abs(la - lat) < 1 AND abs(lo - lon) < 1)"
+
+
+@query(f"WITH {SQL['li']}, {_GEOM}, pr AS (SELECT point_id, {base.segment_sql('0.0::DOUBLE', '0.0::DOUBLE', 's')} AS d FROM {_LOCAL} s) SELECT point_id, count(*) AS lines, round(min(d), 3) AS nearest_m FROM pr WHERE d <= 900 GROUP BY 1")
+def radius_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with any part within 900 m of a listing, by distance to their geometry."""
+    i = F.col("p_partkey")
+    end = F.struct((base._lat(i) + (i * 17 % 401 - 200).cast("double") / 60000.0).alias("lat"), (base._lon(i) + (i * 31 % 401 - 200).cast("double") / 60000.0).alias("lon"))
+    lines = table(spark, sf_dir, "part").where("p_partkey % 4 > 0").select(i.alias("line_id"), F.array(F.struct(base._lat(i).alias("lat"), base._lon(i).alias("lon")), end).alias("geometry"))
+    met = spatial.geometry_pairs(base.listings(spark, sf_dir).select("point_id", "lat", "lon"), lines, 900.0)
+    return met.groupBy("point_id").agg(F.count("*").alias("lines"), F.round(F.min("dist"), 3).alias("nearest_m"))
+
+
 @query(f"WITH {SQL['li']}, {SQL['sp']}, {_STOPS}, ss AS (SELECT sp.lat, sp.lon, coalesce(total, 0) AS total, coalesce(peak_am, 0) AS peak_am, coalesce(peak_pm, 0) AS peak_pm FROM sp LEFT JOIN dp USING (stop_id)), bx AS (SELECT *, 800.0::DOUBLE / 111000 AS a, 800.0::DOUBLE / greatest(1.0, 111000 * cos(radians(lat))) AS b FROM li), mt AS (SELECT bx.point_id, total, peak_am, peak_pm, {haversine_sql('bx', 'ss')} AS d FROM bx JOIN ss ON floor(ss.lat / 0.01) BETWEEN floor((bx.lat - a) / 0.01) AND floor((bx.lat + a) / 0.01) AND floor(ss.lon / 0.01) BETWEEN floor((bx.lon - b) / 0.01) AND floor((bx.lon + b) / 0.01)) SELECT point_id, round(min(d), 3) AS nearest_stop_m, count(*) FILTER (WHERE d <= 800) AS stops_in_radius, coalesce(sum(total) FILTER (WHERE d <= 800), 0)::BIGINT AS total, coalesce(sum(peak_am) FILTER (WHERE d <= 800), 0)::BIGINT AS peak_am, coalesce(sum(peak_pm) FILTER (WHERE d <= 800), 0)::BIGINT AS peak_pm FROM li LEFT JOIN mt USING (point_id) GROUP BY 1")
 def transit_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     stops = neighbourhood.stop_departures(base.stops(spark, sf_dir), base.stop_times(spark, sf_dir), keys=["stop_id"])
