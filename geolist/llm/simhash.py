@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import column_bytes, components, hash_bounds, planes, staged, unplanes
 
+#: Bits of the parities that candidate pairs are bounded by.
+_PARITY = 512
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(float)
 
 
@@ -238,52 +240,61 @@ def _common_shingles(rows: DataFrame, width: int, texts: int = 10_000, most: int
 
 
 def _shared_prefixes(texts: DataFrame, block_hashes: int = 1_000_000) -> DataFrame:
-    """``texts(id, size, parity, prefix)`` with those prefix shingles only that another text has in its prefix too.
+    """``texts(id, label, size, parity, prefix)`` with those prefix shingles only that a text of another label has too.
 
-    Blocks of texts send their distinct hashes, sorted and packed, to the owner of each range of hashes, which
-    answers with one bit each; most shingles are met once and go no further.
+    Blocks of texts send their distinct hashes, sorted and packed, each with its label, to the owner of each range of
+    hashes, which answers with one bit each; a shingle that is met under one label goes no further.
     """
     total = texts.agg(F.sum(F.size("prefix"))).first()[0] or 0
     parts = max(1, -(-int(total) // block_hashes))
-    dealt = texts.select("id", "size", "parity", "prefix", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("_block")).groupBy("_block")
+    dealt = texts.select("id", "label", "size", "parity", "prefix", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("_block")).groupBy("_block")
 
-    def hashes_of(data: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def hashes_of(data: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         lists = data.column("prefix").combine_chunks()
-        flat = np.asarray(lists.flatten()).view(np.uint64)
-        every, place, n = np.unique(flat, return_inverse=True, return_counts=True)
-        return np.asarray(pc.list_value_length(lists)), flat, place, np.stack([every, n.astype(np.uint64)])
+        length, flat = np.asarray(pc.list_value_length(lists)), np.asarray(lists.flatten()).view(np.uint64)
+        every, place = np.unique(flat, return_inverse=True)
+        label = np.repeat(np.asarray(data.column("label")), length)
+        low, high = np.full(len(every), np.iinfo(np.int64).max), np.full(len(every), np.iinfo(np.int64).min)
+        np.minimum.at(low, place, label)
+        np.maximum.at(high, place, label)
+        return length, flat, place, every, np.stack([low, high])
 
     def send(key: tuple, data: pa.Table) -> pa.Table:
-        every, n = hashes_of(data)[3]
+        *_, every, (low, high) = hashes_of(data)
         cut, rows = hash_bounds(every, parts), []
         for b in np.flatnonzero(cut[1:] > cut[:-1]):
             part = slice(cut[b], cut[b + 1])
-            rows.append((int(b), key[0].as_py(), planes(np.diff(every[part], prepend=np.uint64(0))), np.packbits(n[part] > 1).tobytes()))
-        cols = list(zip(*rows)) or [[]] * 4
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["bucket", "_block", "hashes", "often"])
+            rows.append((int(b), key[0].as_py(), planes(np.diff(every[part], prepend=np.uint64(0))), planes(low[part]), np.packbits(low[part] < high[part]).tobytes()))
+        cols = list(zip(*rows)) or [[]] * 5
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "_block", "hashes", "labels", "mixed"])
 
     def answer(data: pa.Table) -> pa.Table:
         pieces = [np.cumsum(unplanes(x, np.uint64), dtype=np.uint64) for x in data.column("hashes").to_pylist()]
-        often = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(h)) for x, h in zip(data.column("often").to_pylist(), pieces)]).astype(bool)
-        _, place, n = np.unique(np.concatenate(pieces), return_inverse=True, return_counts=True)
-        shared = often | (n[place] > 1)
+        label = np.concatenate([unplanes(x, np.int64) for x in data.column("labels").to_pylist()])
+        mixed = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(h)) for x, h in zip(data.column("mixed").to_pylist(), pieces)]).astype(bool)
+        every = np.concatenate(pieces)
+        by = np.argsort(every, kind="stable")
+        head = np.flatnonzero(np.r_[True, every[by][1:] != every[by][:-1]])
+        size = np.diff(np.r_[head, len(every)])
+        shared = np.empty(len(every), bool)
+        shared[by] = np.repeat((np.minimum.reduceat(label[by], head) < np.maximum.reduceat(label[by], head)) | np.logical_or.reduceat(mixed[by], head), size)
         bits = [np.packbits(x).tobytes() for x in np.split(shared, np.cumsum([len(h) for h in pieces])[:-1])]
         return pa.table([data.column("bucket"), data.column("_block"), pa.array(bits, pa.binary())], ["bucket", "_block", "flags"])
 
     def take(data: pa.Table, replies: pa.Table) -> pa.Table:
-        length, flat, place, (every, _) = hashes_of(data)
+        length, flat, place, every, _ = hashes_of(data)
         cut = hash_bounds(every, parts)
         shared = np.zeros(len(every), bool)
         for b, bits in zip(replies.column("bucket").to_pylist(), replies.column("flags").to_pylist()):
             shared[cut[b] : cut[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=cut[b + 1] - cut[b]).astype(bool)
         keep = shared[place]
         owner = np.repeat(np.arange(len(length)), length)
-        cut = np.r_[0, np.cumsum(np.bincount(owner[keep], minlength=len(length)))].astype(np.int32)
-        kept = pa.ListArray.from_arrays(pa.array(cut), pa.array(flat[keep].view(np.int64)))
-        return pa.table([data.column("id"), data.column("size"), data.column("parity"), kept], ["id", "size", "parity", "prefix"])
+        ends = np.cumsum(np.bincount(owner[keep], minlength=len(length)))
+        kept = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(flat[keep].view(np.int64)))
+        return pa.table([data.column("label"), data.column("size"), data.column("parity"), kept], ["label", "size", "parity", "prefix"]).filter(pa.array(np.diff(np.r_[0, ends]) > 0))
 
-    told = dealt.applyInArrow(send, "bucket int, _block int, hashes binary, often binary").groupBy("bucket").applyInArrow(answer, "bucket int, _block int, flags binary")
-    return dealt.cogroup(told.groupBy("_block")).applyInArrow(take, "id long, size long, parity array<long>, prefix array<long>")
+    told = dealt.applyInArrow(send, "bucket int, _block int, hashes binary, labels binary, mixed binary").groupBy("bucket").applyInArrow(answer, "bucket int, _block int, flags binary")
+    return dealt.cogroup(told.groupBy("_block")).applyInArrow(take, "label long, size long, parity array<long>, prefix array<long>")
 
 
 def _alike(sets: list[np.ndarray], size: np.ndarray, parity: np.ndarray, x: int, others: np.ndarray, floor: float) -> Iterator[int]:
@@ -341,7 +352,8 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     """
     sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("s")).select("root", F.ceil(F.greatest(F.col("n") / chunk, F.col("s") / 4_000_000)).cast("int").alias("parts"))
     members = staged(members.join(sizes, "root").select("id", "root", "parts", F.pmod("id", F.col("parts")).cast("int").alias("i"), "parity", F.col("text_key").alias("_k"), F.col("least").alias("_l")))
-    fetch = lambda some: rows.join(some, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_l")))
+    held = rows.join(members, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_l"))).select("root", "i", "parts", "id", "_text")
+    held = staged(held)
     big = members.where("parts > 1")
 
     def majority(data: pa.Table) -> pa.Table:
@@ -351,9 +363,9 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
 
     every = lambda col: F.explode(F.sequence(F.lit(0), F.col(col) - 1))
     centre = big.where("i = 0").groupBy("root").applyInArrow(majority, "root long, most array<long>, parts int").select("root", "most", every("parts").alias("i"))
-    apart = sum(F.bit_count(F.col("parity")[k].bitwiseXOR(F.col("most")[k])) for k in range(4))
+    apart = sum(F.bit_count(F.col("parity")[k].bitwiseXOR(F.col("most")[k])) for k in range(_PARITY // 64))
     heads = big.join(centre, ["root", "i"]).groupBy("root").agg(F.min(F.struct(apart.alias("far"), "id")).alias("h")).select(F.col("h.id").alias("id"))
-    heads = staged(fetch(members.join(heads, "id", "left_semi")).select("root", "parts", "id", "_text"))
+    heads = staged(held.join(heads, "id", "left_semi").select("root", "parts", "id", "_text")).select("root", "id", "_text", every("parts").alias("i"))
 
     def sets_of(*tables: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
         found = {}
@@ -368,8 +380,7 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
         pairs = [(ids[root], ids[y]) for root, reached in _similar_stars(sets, floor) for y in reached] if len(ids) else []
         return pa.table([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=_LINKS)
 
-    texts = fetch(members).select("root", "i", "id", "_text")
-    links = staged(texts.groupBy("root", "i").cogroup(heads.select("root", "id", "_text", every("parts").alias("i")).groupBy("root", "i")).applyInArrow(within, "a long, b long"))
+    links = staged(held.select("root", "i", "id", "_text").groupBy("root", "i").cogroup(heads.groupBy("root", "i")).applyInArrow(within, "a long, b long"))
     group = components(links).withColumnRenamed("node", "id").withColumnRenamed("root", "label")
     labelled = staged(big.join(group, "id", "left").withColumn("label", F.coalesce("label", "id")))
     counts = labelled.groupBy("root", "label").agg(F.count("*").alias("n"))
@@ -377,8 +388,9 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     most = staged(most.where("rest > 0"))
     if most.isEmpty():
         return links
-    open_ = staged(fetch(labelled.join(most, "root")).select("root", "i", "parts", "rest", "id", "label", "main", F.col("_text")))
-    left = open_.where("label <> main").withColumn("j", F.pmod(F.xxhash64("id"), F.col("rest")).cast("int"))
+    marks = staged(labelled.select("root", "id", "label").join(most, "root").drop("root"))
+    open_ = held.join(marks, "id")
+    left = staged(open_.where("label <> main").withColumn("j", F.pmod(F.xxhash64("id"), F.col("rest")).cast("int")))
 
     def across(few: pa.Table, mine: pa.Table) -> pa.Table:
         if not few.num_rows or not mine.num_rows:
@@ -401,11 +413,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     Two texts are near duplicates if the sets of their ``width``-word shingles (A-Z lower-cased) have Jaccard
     similarity of ``min_similarity`` or more; groups are connected by such links.  Candidates come from covering
     tables over ``families`` independent SimHashes of the words (one within ``radius`` is enough) and, since these
-    miss texts that differ in one piece, from every rarest-first prefix shingle that two texts share (shingles met
-    once are left out first): that part alone misses no link.  Its pairs are told apart by length and by 256 parity bits, bounds that every true link
-    meets.  The first family's tables are read first, with one edge a fingerprint, and label most of each crowded
-    group; all tables and prefixes then only send edges between labels, so that edges grow with the texts and
-    not with the tables.  Every candidate group is then verified by exact similarity (``_linked_texts``).  Null
+    miss texts that differ in one piece, from every rarest-first prefix shingle that two texts share (those met
+    under one label are left out first): that part misses no link.  Its pairs are told apart by length and by
+    512 parity bits, bounds that every true link meets.  The first family's tables are read first, with one edge a
+    fingerprint, and label most of each crowded group; the other tables, and after them the prefixes, then only send
+    edges between labels, so that edges grow with the texts and not with the tables.  Every candidate group is then verified by exact similarity (``_linked_texts``).  Null
     and blank texts have no shingles: each distinct one is a group of its own (null counts as empty).
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -420,7 +432,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                 own.append(np.array(word_prints(Counter(t.lower().split()), families), np.uint64))
                 shingles = _shingle_set(t, width)
                 size.append(len(shingles))
-                parity.append(_parity(shingles, 256))
+                parity.append(_parity(shingles, _PARITY))
                 prefix.append(_prefix(shingles, common, often, min_similarity) if len(shingles) else shingles)
             yield pa.record_batch([batch.column("text_key"), batch.column("doc_id"), longs(own), pa.array(size, pa.int64()), longs(parity), longs(prefix)], ["text_key", "doc_id", "fps", "size", "parity", "prefix"])
 
@@ -435,10 +447,15 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     points = texts.select("id", "fps").join(labels, "id").select("label", F.posexplode("fps").alias("family", "fp"))
     heads = staged(points.groupBy("family", "fp").agg(F.min("label").alias("label"), F.max("label").alias("top")))
     hung = points.join(heads.where("label < top").withColumnRenamed("label", "a"), ["family", "fp"]).where("label > a").select("a", F.col("label").alias("b"))
-    shared = staged(_shared_prefixes(worded).where(F.size("prefix") > 0))
-    shared = shared.join(labels, "id").select(F.explode("prefix").alias("bucket"), "label", "size", *[F.col("parity")[k].alias(f"p{k}") for k in range(4)])
-    edges = link_edges(heads, radius).union(hung).union(_bucket_edges(shared, lambda x, y: _may_reach(min_similarity, x[0], y[0], sum(np.bitwise_count(u ^ v).astype(np.int64) for u, v in zip(x[1:], y[1:])))))
-    rooted = labels.join(components(edges).withColumnRenamed("node", "label"), "label", "left").select("id", F.coalesce("root", "label").alias("root"))
+
+    def merged(edges: DataFrame) -> DataFrame:
+        return staged(labels.join(components(edges).withColumnRenamed("node", "label"), "label", "left").select("id", F.coalesce("root", "label").alias("label")))
+
+    labels = merged(link_edges(heads, radius).union(hung))
+    shared = staged(_shared_prefixes(worded.select("id", "size", "parity", "prefix").join(labels, "id")))
+    shared = shared.select(F.explode("prefix").alias("bucket"), "label", "size", *[F.col("parity")[k].alias(f"p{k}") for k in range(_PARITY // 64)])
+    labels = merged(_bucket_edges(shared, lambda x, y: _may_reach(min_similarity, x[0], y[0], sum(np.bitwise_count(u ^ v).astype(np.int64) for u, v in zip(x[1:], y[1:])))))
+    rooted = labels.withColumnRenamed("label", "root")
     crowd = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
     members = texts.select("id", "text_key", "least", "size", "parity").join(rooted.join(crowd, "root"), "id")
     group = components(_linked_texts(rows, members, width=width, floor=min_similarity, chunk=chunk)).withColumnRenamed("node", "id")
