@@ -28,6 +28,7 @@ KEYWORDS = {
 }
 
 _BLANK = "[ \\t-\\r\\u00A0]+"
+# Fixed value: the numbers that a text can hold, grouped or plain.
 _TOKEN = r"[-+]?\d{1,3}(?:[.\s]\d{3})+(?:[.,]\d+)?|[-+]?\d+(?:[.,]\d+)?"
 
 
@@ -45,16 +46,44 @@ def clean(c: Column) -> Column:
     return _none_if_empty(F.trim(F.regexp_replace(c, _BLANK, " ")))
 
 
-def slugify(c: Column) -> Column:
-    """ASCII slug with underscores; Latin letters lose their marks, letters without an ASCII base go.
+def ascii_letters(c: Column) -> Column:
+    """Latin letters without their marks; letters without an ASCII base go.
 
     Covers the precomposed Latin letters of western European languages by table; ``slugify_any`` takes the rest.
     """
     marked = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿŠšŽž"
     plain = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyySsZz"
-    ascii_ = F.regexp_replace(F.translate(c, marked, plain), "[^\\x00-\\x7F]", "")
-    slug = F.lower(F.regexp_replace(F.regexp_replace(ascii_, "[^a-zA-Z0-9]+", "_"), "^_+|_+$", ""))
-    return F.when(c.isNotNull(), F.coalesce(_none_if_empty(slug), F.lit("field")))
+    return F.regexp_replace(F.translate(c, marked, plain), "[^\\x00-\\x7F]", "")
+
+
+def _underscored(c: Column) -> Column:
+    return F.lower(F.regexp_replace(F.regexp_replace(ascii_letters(c), "[^a-zA-Z0-9]+", "_"), "^_+|_+$", ""))
+
+
+def slugify(c: Column) -> Column:
+    """ASCII slug with underscores, ``field`` where nothing is left."""
+    return F.when(c.isNotNull(), F.coalesce(_none_if_empty(_underscored(c)), F.lit("field")))
+
+
+def sanitize_run_id(c: Column) -> Column:
+    """Run id of lower-case ASCII letters, digits and single underscores; empty for null and blank ones."""
+    return _underscored(F.trim(F.coalesce(c, F.lit(""))))
+
+
+def chunk_prefix(file_name: Column) -> Column:
+    """What stands before the four-digit number of a chunk file, without trailing underscores; null for other names."""
+    return _none_if_empty(F.regexp_replace(F.regexp_extract(file_name, r"^(.+)\d{4}\.jsonl?$", 1), "_+$", ""))
+
+
+def chunk_index(file_name: Column) -> Column:
+    """The four-digit number of a chunk file, null for other names."""
+    return _found(file_name, r"^.+(\d{4})\.jsonl?$")
+
+
+def run_of_prefix(prefix: Column, constant: str = "expose_analysis") -> Column:
+    """Run id of a chunk prefix without its constant part; null where nothing else is left."""
+    rest = F.regexp_replace(prefix, f"^{constant}_", "")
+    return F.when(prefix != constant, _none_if_empty(sanitize_run_id(rest)))
 
 
 def slugify_any(c: Column) -> Column:
@@ -73,15 +102,23 @@ def slugify_city(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(out, "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
+def _decoded(c: Column) -> Column:
+    return F.coalesce(F.try_url_decode(c), c)
+
+
+def _encoded(c: Column) -> Column:
+    """Percent-encoding of forms: blanks are ``+``; letters, digits and ``_.-~`` stay."""
+    return F.replace(F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def canonical_url(c: Column) -> Column:
-    """Drop tracking keys from the query; other pairs keep order, repeats and blank values."""
+    """Drop tracking keys from the query; other pairs keep order, repeats and blank values, in one form of encoding."""
     base = F.regexp_extract(c, r"^([^?#]*)", 1)
     query = F.regexp_extract(c, r"^[^?#]*\?([^#]*)", 1)
     fragment = F.regexp_extract(c, r"(#.*)$", 1)
-    key = lambda p: F.split_part(p, F.lit("="), F.lit(1))
-    kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~key(p).isin(*TRACKING_KEYS) & ~key(p).startswith(TRACKING_PREFIX))
-    whole = F.transform(kept, lambda p: F.when(F.instr(p, "=") > 0, p).otherwise(F.concat(p, F.lit("="))))
-    joined = F.array_join(whole, "&")
+    pairs = F.transform(F.filter(F.split(query, "&"), lambda p: p != ""), lambda p: F.struct(_decoded(F.split_part(p, F.lit("="), F.lit(1))).alias("k"), F.when(F.instr(p, "=") > 0, _decoded(F.substr(p, F.instr(p, "=") + 1))).otherwise("").alias("v")))
+    kept = F.filter(pairs, lambda p: ~p.k.isin(*TRACKING_KEYS) & ~p.k.startswith(TRACKING_PREFIX))
+    joined = F.array_join(F.transform(kept, lambda p: F.concat(_encoded(p.k), F.lit("="), _encoded(p.v))), "&")
     return F.concat(base, F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise(""), fragment)
 
 
@@ -89,7 +126,7 @@ def query_value(c: Column, key: str) -> Column:
     """The last value of a query key, null without it."""
     query = F.regexp_extract(c, r"^[^?#]*\?([^#]*)", 1)
     own = F.filter(F.split(query, "&"), lambda p: p.startswith(key + "="))
-    return F.substring(F.element_at(F.when(F.size(own) > 0, own), -1), len(key) + 2, 1 << 20)
+    return F.substr(F.element_at(F.when(F.size(own) > 0, own), -1), F.lit(len(key) + 2))
 
 
 def url_path(c: Column) -> Column:
@@ -107,28 +144,61 @@ def trailing_id(c: Column) -> Column:
     return _found(url_path(c), r"(?:^|[-/])(\d+)/?$")
 
 
+def listing_id(c: Column) -> Column:
+    """The last part of the path if it is digits, which ``im`` may lead."""
+    return _found(url_path(c), r"/((?:im)?\d+)/?$")
+
+
 def trailing_slug(c: Column) -> Column:
     """The first part of the path, ``unknown`` without one."""
     return F.coalesce(_found(url_path(c), r"^/?([^/]+)"), F.lit("unknown"))
 
 
+def is_digits(c: Column) -> Column:
+    return F.coalesce(c.rlike("^[0-9]+$"), F.lit(False))
+
+
+def _without_dots(path: Column) -> Column:
+    """An absolute path without its ``.`` and ``..`` segments."""
+    parts = F.split(path, "/")
+    empty = F.expr("cast(array() as array<string>)")
+    walked = F.aggregate(F.slice(parts, 2, F.size(parts)), empty, lambda acc, p: F.when(p == ".", acc).when(p == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(p))))
+    folder = F.element_at(parts, -1).isin(".", "..")
+    return F.when(F.instr(path, "/.") > 0, F.concat(F.lit("/"), F.array_join(walked, "/"), F.when(folder & (F.size(walked) > 0), "/").otherwise(""))).otherwise(path)
+
+
 def resolve_url(base: Column, href: Column) -> Column:
-    """Absolute form of ``href`` on a page: scheme, ``//``, ``/``, ``?``, ``#`` and relative forms (no dot segments)."""
+    """Absolute form of ``href`` on a page: scheme, ``//``, ``/``, ``?``, ``#`` and relative forms, dot segments resolved."""
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
-    folder = F.concat(root, F.coalesce(_found(url_path(base), r"^(.*/)"), F.lit("/")))
+    folder = F.coalesce(_found(url_path(base), r"^(.*/)"), F.lit("/"))
+    own, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
     return (
         F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/"), F.concat(root, href))
+        .when(href.startswith("/"), F.concat(root, _without_dots(own), rest))
         .when(href.startswith("?"), F.concat(page, href))
         .when(href.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), href))
         .when(href == "", base)
-        .otherwise(F.concat(folder, href))
+        .otherwise(F.concat(root, _without_dots(F.concat(folder, own)), rest))
     )
 
 
+def nested(value: Column, *keys: str, kind: str = "string") -> Column:
+    """Value below a chain of keys of a VARIANT, null where any of them is missing or no object."""
+    return F.try_variant_get(value, "$" + "".join(f"['{k}']" for k in keys), kind)
+
+
+def contains_any(c: Column, needles: Sequence[str]) -> Column:
+    """Whether the text contains any needle, whatever the case; no needles match all."""
+    low = F.lower(c)
+    hit = F.lit(not needles)
+    for n in needles:
+        hit = hit | low.contains(n.lower())
+    return F.coalesce(hit, F.lit(False))
+
+
 def is_redirect_page(html: Column) -> Column:
     low = F.lower(F.coalesce(html, F.lit("")))
     return low.contains(REDIRECT_MARKS[0]) | low.contains(REDIRECT_MARKS[1])

@@ -1,30 +1,33 @@
 """Listing pages to records: one small Arrow job walks the markup, everything after it is columns.
 
 The walker knows the few selector shapes that listing pages need: a tag, an id, a class, an attribute prefix,
-pairs of ``dt`` and ``dd``, and lists or text below a heading.
+pairs of ``dt`` and ``dd``, cards of a value and a label, and lists or text below a heading.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean, expose_id, is_challenge, resolve_url, slugify
+from ..functions.text import clean, expose_id, is_challenge, number_token, parse_number, resolve_url, slugify
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-SCHEMA = "title string, h1 string, jsonld array<string>, pairs array<struct<k:string,v:string>>, lists array<struct<head:string,k:string,v:string>>, texts array<struct<head:string,body:string>>, links array<string>, images array<string>, chips array<string>, marked map<string,string>"
+SCHEMA = "title string, h1 string, jsonld array<string>, pairs array<struct<k:string,v:string>>, lists array<struct<head:string,k:string,v:string>>, texts array<struct<head:string,body:string>>, links array<string>, images array<string>, chips array<string>, marked map<string,string>, cards array<struct<k:string,v:string>>"
 
 
 class _Walker(HTMLParser):
     """Collects the parts of one page; ``fields`` maps a name to ``('id' | 'class' | 'attr', value)``."""
 
-    def __init__(self, fields: dict[str, tuple[str, str]]):
+    def __init__(self, fields: dict[str, tuple[str, str]], cards_id: str):
         super().__init__(convert_charrefs=True)
-        self.fields = fields
+        self.fields, self.cards_id = fields, cards_id
+        self.cards: list[tuple[str, str]] = []
+        self.boxes: list[tuple[int, list[str]]] = []
         self.open: list[tuple[str, list, str | None]] = []
         self.found: dict[str, list[str]] = {}
         self.jsonld: list[str] = []
@@ -56,7 +59,10 @@ class _Walker(HTMLParser):
         if tag == "dl":
             self.term = None
         if tag not in VOID:
-            kind = a.get("type", "") if tag == "script" else "print" if any(c.endswith("-print") for c in classes) else name
+            if tag == "li" or (self.open and self.open[-1][2] == "\0cards"):
+                self.boxes.append((len(self.open), []))  # a list item or card gathers the texts of its blocks
+            name = "\0cards" if a.get("id") == self.cards_id else name
+            kind = a.get("type", "") if tag == "script" else "print" if any(c.endswith("-print") for c in (*classes, a.get("id", ""))) else name
             self.open.append((tag, [], kind))
 
     def handle_data(self, data: str) -> None:
@@ -74,6 +80,13 @@ class _Walker(HTMLParser):
                 return
 
     def _close(self, tag: str, text: str, kind: str | None) -> None:
+        parts: list[str] = []
+        if self.boxes and self.boxes[-1][0] == len(self.open):
+            parts = self.boxes.pop()[1]
+            if len(parts) > 1 and self.open and self.open[-1][2] == "\0cards":
+                self.cards.append((parts[-1], parts[0]))
+        elif tag == "div" and text and self.boxes and self.boxes[-1][0] == len(self.open) - 1:
+            self.boxes[-1][1].append(text)
         if tag == "script":
             if kind == "application/ld+json" and text:
                 self.jsonld.append(text)
@@ -88,10 +101,12 @@ class _Walker(HTMLParser):
             if self.term not in (k for k, _ in self.pairs):
                 self.pairs.append((self.term, text))
             self.term = ""
+        elif tag == "li" and self.head and len(parts) > 1:
+            self.lists.append((self.head, parts[0], parts[1]))
         elif tag == "li" and self.head and ":" in text:
             k, v = text.split(":", 1)
             self.lists.append((self.head, k.strip(), v.strip()))
-        elif tag in ("p", "div") and self.head and text and kind != "print" and self.head not in (h for h, _ in self.texts):
+        elif tag in ("p", "div") and not self.boxes and self.head and text and kind != "print" and self.head not in (h for h, _ in self.texts):
             self.texts.append((self.head, text))
         if kind == "\0chip" and text:
             self.chips.append(text)
@@ -106,10 +121,10 @@ class _Walker(HTMLParser):
         first = lambda k: (self.found.get(k) or [None])[0] or None
         as_dicts = lambda rows, names: [dict(zip(names, r)) for r in rows]
         marked = [(k, first(k)) for k in self.fields if first(k)]
-        return first("title"), first("h1"), self.jsonld, as_dicts(self.pairs, "kv"), as_dicts(self.lists, ("head", "k", "v")), as_dicts(self.texts, ("head", "body")), self.links, self.images, self.chips, marked
+        return first("title"), first("h1"), self.jsonld, as_dicts(self.pairs, "kv"), as_dicts(self.lists, ("head", "k", "v")), as_dicts(self.texts, ("head", "body")), self.links, self.images, self.chips, marked, as_dicts(self.cards, "kv")
 
 
-def walk_pages(pages: DataFrame, *, html: str = "html", fields: dict[str, tuple[str, str]] | None = None, keep: list[str] | None = None) -> DataFrame:
+def walk_pages(pages: DataFrame, *, html: str = "html", fields: dict[str, tuple[str, str]] | None = None, keep: list[str] | None = None, cards_id: str = "expose-info-details") -> DataFrame:
     """Add the parts of each page (see ``SCHEMA``) to ``keep`` columns; null html gives empty parts."""
     fields = fields or {}
     kept = keep if keep is not None else [c for c in pages.columns if c != html]
@@ -117,8 +132,8 @@ def walk_pages(pages: DataFrame, *, html: str = "html", fields: dict[str, tuple[
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_Walker(fields).row(h or "") for h in batch.column("_html").to_pylist()]
-            cols = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 10, _TYPES)]
+            rows = [_Walker(fields, cards_id).row(h or "") for h in batch.column("_html").to_pylist()]
+            cols = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(_NAMES), _TYPES)]
             yield pa.record_batch([*(batch.column(c) for c in kept), *cols], [*kept, *_NAMES])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.select(*kept).schema)
@@ -126,8 +141,8 @@ def walk_pages(pages: DataFrame, *, html: str = "html", fields: dict[str, tuple[
 
 
 _S = pa.string()
-_NAMES = ["title", "h1", "jsonld", "pairs", "lists", "texts", "links", "images", "chips", "marked"]
-_TYPES = [_S, _S, pa.list_(_S), pa.list_(pa.struct([("k", _S), ("v", _S)])), pa.list_(pa.struct([("head", _S), ("k", _S), ("v", _S)])), pa.list_(pa.struct([("head", _S), ("body", _S)])), pa.list_(_S), pa.list_(_S), pa.list_(_S), pa.map_(_S, _S)]
+_NAMES = ["title", "h1", "jsonld", "pairs", "lists", "texts", "links", "images", "chips", "marked", "cards"]
+_TYPES = [_S, _S, pa.list_(_S), pa.list_(pa.struct([("k", _S), ("v", _S)])), pa.list_(pa.struct([("head", _S), ("k", _S), ("v", _S)])), pa.list_(pa.struct([("head", _S), ("body", _S)])), pa.list_(_S), pa.list_(_S), pa.list_(_S), pa.map_(_S, _S), pa.list_(pa.struct([("k", _S), ("v", _S)]))]
 
 
 def sorted_set(a: Column) -> Column:
@@ -149,6 +164,29 @@ def pair_map(pairs: Column) -> Column:
     return F.map_from_entries(F.aggregate(first, F.expr("cast(array() as array<struct<k:string,v:string>>)"), lambda acc, p: F.when(F.exists(acc, lambda q: q.k == p.k), acc).otherwise(F.concat(acc, F.array(p)))))
 
 
+def section_map(lists: Column, heading: str) -> Column:
+    """Slug keys of the list items below the headings that contain ``heading``; the first of equal keys wins."""
+    return pair_map(F.filter(lists, lambda p: F.lower(p["head"]).contains(heading.lower())))
+
+
+def section_text(texts: Column, heading: str) -> Column:
+    """The first block of text below a heading that contains ``heading``, null without one."""
+    return F.get(F.filter(texts, lambda p: F.lower(p["head"]).contains(heading.lower())), F.lit(0))["body"]
+
+
+def numeric_fields(fields: Column) -> Column:
+    """``<key>_num`` of the values that hold a number."""
+    numbers = F.map_filter(F.transform_values(fields, lambda _, v: parse_number(number_token(v))), lambda _, v: v.isNotNull())
+    return F.transform_keys(numbers, lambda k, _: F.concat(k, F.lit("_num")))
+
+
+def listing_links(pages: DataFrame, *, url: str = "url", html: str = "html", pattern: str = r"<a\s[^>]*?href=[\"']([^\"']*)[\"']", keep: str = ".*") -> DataFrame:
+    """Distinct absolute links of pages, without query and fragment, whose href matches ``keep``: page columns and ``link``."""
+    own = [c for c in pages.columns if c not in (url, html)]
+    hrefs = pages.select(*own, url, F.explode(F.regexp_extract_all(html, F.lit(pattern), F.lit(1))).alias("_h")).where(F.col("_h").rlike(keep))
+    return hrefs.select(*own, F.regexp_extract(resolve_url(F.col(url), F.col("_h")), "^([^?#]*)", 1).alias("link")).distinct()
+
+
 def jsonld_fields(jsonld: Column) -> Column:
     """Struct of ``ld_*`` texts from the first listing and the first web page among JSON-LD objects and graphs."""
     parsed = F.filter(F.transform(jsonld, F.try_parse_json), lambda v: v.isNotNull())
@@ -175,9 +213,10 @@ def jsonld_fields(jsonld: Column) -> Column:
     )
 
 
-def listing_records(pages: DataFrame, *, url: str = "url", html: str = "html", fields: dict[str, tuple[str, str]] | None = None) -> DataFrame:
-    """Structured listings of pages: ids, texts, pairs, features, links, images, JSON-LD and the challenge flag."""
-    walked = walk_pages(pages, html=html, fields=fields)
+def listing_records(pages: DataFrame, *, url: str = "url", html: str = "html", fields: dict[str, tuple[str, str]] | None = None, cards_id: str = "expose-info-details") -> DataFrame:
+    """Structured listings of pages: ids, texts, pairs, details of cards and headed lists with their numbers, features,
+    links, images, JSON-LD and the challenge flag."""
+    walked = walk_pages(pages, html=html, fields=fields, cards_id=cards_id)
     at = F.col(url)
     ld = jsonld_fields(F.col("jsonld"))
     return walked.select(
@@ -189,25 +228,27 @@ def listing_records(pages: DataFrame, *, url: str = "url", html: str = "html", f
         sorted_set(F.transform("links", lambda x: resolve_url(at, x))).alias("documents"),
         absolute_images(at, F.col("images")).alias("images"),
         F.col("marked"),
+        pair_map(F.concat("cards", F.transform("lists", lambda p: F.struct(p.k.alias("k"), p.v.alias("v"))))).alias("details"),
+        F.transform("texts", lambda p: F.struct(p["head"].alias("head"), p.body.alias("body"))).alias("texts"),
         ld.alias("ld"),
         is_challenge(F.col("title"), F.col("h1")).alias("challenge"),
-    )
+    ).withColumn("numbers", numeric_fields(F.col("details")))
 
 
 def merged_attributes(*maps: Column) -> Column:
     """Attribute maps in rising precedence: a later map overrides an earlier one, key by key."""
-    out = maps[0]
-    for m in maps[1:]:
-        out = F.map_concat(F.map_filter(out, lambda k, _, m=m: ~F.map_contains_key(m, k)), m)
-    return out
+    def over(low: Column, high: Column) -> Column:
+        return F.map_concat(F.map_filter(low, lambda k, _: ~F.map_contains_key(high, k)), high)
+
+    return reduce(over, maps)
 
 
 def ids_and_coordinates(html: Column, *, listing_key: str = "[A-Za-z0-9]+-ID", provider_key: str = "Anbieter-ID") -> Column:
     """Struct of the portal's ids and the coordinates set in page scripts; coordinates are null unless both parse."""
     number = lambda k: F.regexp_extract(html, k + r"\s*=\s*['\"]?(-?[0-9]+\.?[0-9]*)", 1).try_cast("double")
     lat, lon = number("latitude"), number("longitude")
-    digits = lambda k: F.nullif(F.regexp_extract(html, k + r"[^0-9<]*([0-9]+)", 1), F.lit(""))
-    return F.struct(digits(listing_key).alias("listing_id"), digits(provider_key).alias("provider_id"), F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("latitude"), lon.alias("longitude"))).alias("coordinates"))
+    word = lambda k, chars: F.nullif(F.regexp_extract(html, f"(?i){k}:\\s*({chars}+)", 1), F.lit(""))
+    return F.struct(word(listing_key, "[0-9]").alias("listing_id"), word(provider_key, "[A-Za-z0-9-]").alias("provider_id"), F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("latitude"), lon.alias("longitude"))).alias("coordinates"))
 
 
 def total_count(html: Column, pattern: str = r"([0-9][0-9.]*)\s+Eigentumswohnungen") -> Column:

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Score of a rule label, threshold grid, bias of a label that never or always holds.
@@ -15,20 +15,79 @@ THRESHOLDS = [round(0.10 + 0.05 * i, 2) for i in range(17)]
 CERTAIN = 20.0
 
 
+# Map column of a record, prefix of its features, and the keys that count (none: all).
+FAMILIES: dict[str, tuple[str, tuple[str, ...]]] = {
+    "listing": ("listing.", ()),
+    "scores": ("osm.score.", ()),
+    "metrics": ("osm.metric.", ()),
+    "air": ("air.", ("uba_station_dist_m",)),
+    "gtfs": ("gtfs.", ("nearest_stop_m", "stops_within_radius", "departures_within_radius_total", "departures_within_radius_peak_am", "departures_within_radius_peak_pm")),
+    "noise": ("noise.", ("lden_db", "lnight_db")),
+    "keywords": ("kw.", ()),
+}
+
+
 def numeric_features(df: DataFrame, key: str, groups: dict[str, str]) -> DataFrame:
-    """Long ``key, feature, value`` from map columns; ``groups`` maps a column to its name prefix; only finite values."""
-    parts = [df.select(key, F.explode(c).alias("k", "v")).select(key, F.concat(F.lit(p), "k").alias("feature"), F.col("v").cast("double").alias("value")) for c, p in groups.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where("value is not null and not isnan(value) and abs(value) < double('infinity')")
+    """Long ``key, feature, value`` from map columns; ``groups`` maps a column to its name prefix; only finite values.
+
+    All maps are read in one pass over the rows.
+    """
+    named = lambda c, p: F.transform(F.map_entries(F.transform_values(c, lambda _, v: v.cast("double"))), lambda e: F.struct(F.concat(F.lit(p), e.key).alias("feature"), e.value.alias("value")))
+    none = F.expr("cast(array() as array<struct<feature:string,value:double>>)")
+    every = F.concat(*[F.coalesce(named(c, p), none) for c, p in groups.items()])
+    return df.select(key, F.explode(every).alias("e")).select(key, "e.feature", "e.value").where("value is not null and not isnan(value) and abs(value) < double('infinity')")
+
+
+def assemble_features(records: DataFrame, key: str, *, price_percentile: str = "price_pct", confidence: str = "confidence") -> DataFrame:
+    """All features of records, long: the maps of ``FAMILIES`` that are there, price percentile and confidence.
+
+    Of listing fields only numeric ones (``*_num``) count; an unknown or zero confidence is a half.
+    """
+    here = {c: f for c, f in FAMILIES.items() if c in records.columns}
+    ready = records
+    for c, (_, keys) in here.items():
+        if c == "listing":
+            ready = ready.withColumn(c, F.map_filter(c, lambda k, _: k.endswith("_num")))
+        elif keys:
+            ready = ready.withColumn(c, F.map_filter(c, lambda k, _, keys=keys: k.isin(*keys)))
+    known = F.coalesce(F.when(F.col(confidence) != 0, F.col(confidence)), F.lit(0.5))
+    extra = F.create_map(F.lit("listing.price_m2_pct_in_city"), F.col(price_percentile).cast("double"), F.lit("geo.confidence_0_1"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), known.cast("double"))))
+    return numeric_features(ready.withColumn("_extra", extra), key, {c: p for c, (p, _) in here.items()} | {"_extra": ""})
+
+
+def feature_index(features: DataFrame) -> DataFrame:
+    """``feature, i`` of all distinct names in their order, from 0; as many rows as there are names."""
+    return features.select("feature").distinct().withColumn("i", F.row_number().over(Window.orderBy("feature")) - 1)
+
+
+def sparse_vectors(features: DataFrame, index: DataFrame, key: str) -> DataFrame:
+    """``key, indices, values``: the features that a row has, by rising number; all others are 0."""
+    numbered = features.join(index, "feature").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("e"))
+    return numbered.select(key, F.col("e.i").alias("indices"), F.col("e.value").alias("values"))
+
+
+def dense(indices: Column, values: Column, size: int) -> Column:
+    """Array of ``size`` values with zeros where a sparse vector has none."""
+    at = F.map_from_arrays(indices, values)
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at(at, i), F.lit(0.0)))
+
+
+def weak_labels(personas: Column, *, threshold: float = LABEL_SCORE) -> Column:
+    """0/1 map of labels from an array of ``persona, score``: 1 from the threshold on."""
+    return F.map_from_entries(F.transform(personas, lambda p: F.struct(p.persona, (p.score >= threshold).cast("int"))))
+
+
+def scale_stats(train: DataFrame, names: list[str]) -> DataFrame:
+    """``feature, mean, std`` of columns over the training rows: population deviation, 1 where a column does not vary."""
+    value = lambda n: F.coalesce(F.col(n).cast("double"), F.lit(0.0))
+    row = train.agg(*[F.struct(F.lit(n).alias("feature"), F.coalesce(F.avg(value(n)), F.lit(0.0)).alias("mean"), F.stddev_pop(value(n)).alias("std")).alias(f"s{i}") for i, n in enumerate(names)])
+    each = row.select(F.explode(F.array(*[f"s{i}" for i in range(len(names))])).alias("s")).select("s.*")
+    return each.withColumn("std", F.when(F.col("std") >= 1e-9, F.col("std")).otherwise(1.0))
 
 
 def standard_scale(train: DataFrame, names: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation of columns over the training rows (1 where a column does not vary)."""
-    aggs = [f(F.coalesce(F.col(n), F.lit(0.0))).alias(f"{t}_{i}") for i, n in enumerate(names) for t, f in (("m", F.avg), ("s", F.stddev_pop))]
-    row = train.agg(*aggs).first()
-    return {n: (row[f"m_{i}"] or 0.0, row[f"s_{i}"] if (row[f"s_{i}"] or 0) >= 1e-9 else 1.0) for i, n in enumerate(names)}
+    """``scale_stats`` by name, for ``scaled``: as many rows as there are columns."""
+    return {r.feature: (r["mean"], r["std"]) for r in scale_stats(train, names).collect()}
 
 
 def scaled(names: list[str], scale: dict[str, tuple[float, float]]) -> Column:
@@ -64,9 +123,14 @@ class LabelModel:
         return 1 / (1 + F.exp(-(dot + F.lit(self.bias))))
 
 
-def fit_labels(train: DataFrame, labels: list[str], *, features: str = "features", weight: str = "weight", l2: float = 1.0, iterations: int = 200) -> list[LabelModel]:
-    """One weighted L2 logistic regression per label, bias free; labels that never or always hold get a fixed bias."""
-    total = train.agg(F.sum(weight).alias("w"), *[F.avg(c).alias(c) for c in labels]).first()
+def fit_labels(train: DataFrame, labels: list[str], *, features: str = "features", weight: str = "weight", l2: float = 1.0, iterations: int = 200, min_rows: int = 10) -> list[LabelModel]:
+    """One weighted L2 logistic regression per label, bias free; labels that never or always hold get a fixed bias.
+
+    Fewer than ``min_rows`` training rows are an error.
+    """
+    total = train.agg(F.count("*").alias("n"), F.sum(weight).alias("w"), *[F.avg(c).alias(c) for c in labels]).first()
+    if total.n < min_rows:
+        raise ValueError(f"{total.n} training rows are too few")
     size = train.select(F.size(features)).first()
     width = size[0] if size else 0
     ready = train.withColumn("_x", array_to_vector(features)).select("_x", weight, *[F.col(c).cast("double").alias(c) for c in labels]).persist()

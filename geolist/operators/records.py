@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import is_error_body, is_redirect_page
+from ..functions.text import chunk_prefix, contains_any, is_digits, is_error_body, is_redirect_page, nested, run_of_prefix
 
 
 def first_seen(df: DataFrame, key: str, *order: str | Column) -> DataFrame:
@@ -68,6 +68,38 @@ def request_key(*params: Column) -> Column:
     return F.sha2(F.encode(F.to_json(F.struct(*[p.alias(f"p{i}") for i, p in enumerate(params)])), "utf-8"), 256)
 
 
+def infer_runs(files: DataFrame, *, name: str = "file_name", by: list[str] | None = None, constant: str = "expose_analysis") -> DataFrame:
+    """The run of chunk files (per ``by``): the id of their most common prefix, the least one on ties."""
+    named = files.withColumn("_p", chunk_prefix(F.col(name))).where("_p is not null")
+    counts = named.groupBy(*(by or []), "_p").agg(F.count("*").alias("_n"))
+    best = counts.groupBy(*(by or [])).agg(F.min(F.struct((-F.col("_n")).alias("o"), F.col("_p").alias("p"))).alias("b"))
+    return best.select(*(by or []), run_of_prefix(F.col("b.p"), constant).alias("run"))
+
+
+def numeric_ids(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose id is digits only."""
+    return df.where(is_digits(F.col(key)))
+
+
+def name_filter(df: DataFrame, name: str, needles: list[str], *, order: str, first: int | None = None) -> DataFrame:
+    """Rows whose name contains any of the needles, the first ones in the given order if a number is asked for."""
+    some = df.where(contains_any(F.col(name), needles))
+    return some.orderBy(order).limit(first) if first else some
+
+
+def union_links(*links: DataFrame) -> DataFrame:
+    """Links of several pages, regions or buckets, each once."""
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
+
+
+def by_name(df: DataFrame, name: str, *ties: str) -> DataFrame:
+    """Rows in the order of the lower-cased name."""
+    return df.orderBy(F.lower(name), *ties)
+
+
 def label_pool(rows: DataFrame, labelled: DataFrame, *, key: str, k: int, seed: int = 42) -> DataFrame:
     """``k`` unlabelled rows in a draw that depends only on seed and key, sorted by key."""
     draw = F.md5(F.encode(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), "utf-8"))
@@ -89,9 +121,14 @@ def new_per_bucket(links: DataFrame, *, bucket: str, url: str = "url") -> DataFr
 
 
 def field_profile(records: DataFrame, json: str, *, section: str = "root") -> DataFrame:
-    """Per top-level field of JSON objects: count, presence, types, longest text or list, least and greatest number."""
+    """Per field of JSON objects: count, presence, types, longest text or list, least and greatest number.
+
+    The section ``root`` has the top-level fields, any other those of the object under that key; presence is
+    counted over all records either way.
+    """
     total = records.where(F.try_parse_json(json).isNotNull()).count()
-    parsed = records.select(F.try_parse_json(json).alias("v")).where("v is not null")
+    whole = F.try_parse_json(json)
+    parsed = records.select((whole if section == "root" else nested(whole, section, kind="variant")).alias("v")).where("v is not null and schema_of_variant(v) like 'OBJECT%'")
     fields = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("v").outer())).select(F.col("key").alias("field"), F.col("value").alias("x")).where("field is not null")
     kind = F.schema_of_variant("x")
     name = F.when(kind.startswith("OBJECT"), "dict").when(kind.startswith("ARRAY"), "list").when(kind == "BOOLEAN", "bool").when(kind == "BIGINT", "int").when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), "float").when(kind == "STRING", "str").otherwise("null")

@@ -6,6 +6,8 @@ common table expressions.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,16 @@ ROADS = ["primary", "residential", "motorway", "tertiary", "service", "secondary
 OSM_TYPES = ["node", "way", "relation"]
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The shared folder of the cluster; a temporary one only in local mode, where there is one machine."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        base = "file://" + tempfile.mkdtemp(prefix="geolist-")
+    return base.rstrip("/")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

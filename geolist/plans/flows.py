@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,8 @@ from ..functions.text import suggested_type
 from ..operators import records
 from ..sources import readers
 from ..streaming.dedupe import stream_new_records
-from .base import table
+from .base import shared_base, table
+from .texts import canonical_sql
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -28,21 +28,22 @@ def query(sql: str | None = None):
     return add
 
 
-_ATTACH = "sc AS (SELECT l_orderkey AS k, first(l_extendedprice ORDER BY l_linenumber DESC, l_partkey DESC, l_extendedprice DESC) AS p FROM lineitem WHERE l_orderkey % 3 > 0 GROUP BY 1)"
+_ATTACH = "sc AS (SELECT doc_id AS k, max(quality * 10 + toxic)::BIGINT AS p FROM labels GROUP BY 1)"
 
 
 def _attached(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = table(spark, sf_dir, "lineitem").where("l_orderkey % 3 > 0").select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_linenumber").cast("long") * 100_000_000 + F.col("l_partkey")).alias("pos"), F.col("l_extendedprice").alias("payload"))
-    stored = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, "v1").alias("stored"))
-    return records.attach_scores(stored, scores, key="o_orderkey", order="pos", payload="payload", stored_hash="stored", new_hash="v1")
+    """Documents with the last label of each; those without a label are missing."""
+    scores = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") * 10 + F.col("toxic")).cast("long").alias("pos")).withColumn("payload", F.col("pos"))
+    stored = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 5 == 0, "v1").alias("stored"))
+    return records.attach_scores(stored, scores, key="doc_id", order="pos", payload="payload", stored_hash="stored", new_hash="v1")
 
 
-@query(f"WITH {_ATTACH} SELECT o_orderkey, CASE WHEN k IS NULL THEN 'missing' WHEN o_orderkey % 5 = 0 THEN 'skipped' ELSE 'updated' END AS outcome, CASE WHEN o_orderkey % 5 > 0 THEN p END AS payload FROM orders LEFT JOIN sc ON k = o_orderkey")
+@query(f"WITH {_ATTACH} SELECT doc_id, CASE WHEN k IS NULL THEN 'missing' WHEN doc_id % 5 = 0 THEN 'skipped' ELSE 'updated' END AS outcome, CASE WHEN doc_id % 5 > 0 THEN p END AS payload FROM documents LEFT JOIN sc ON k = doc_id")
 def attach_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _attached(spark, sf_dir).select("o_orderkey", "outcome", "payload")
+    return _attached(spark, sf_dir).select("doc_id", "outcome", "payload")
 
 
-@query(f"WITH {_ATTACH} SELECT count(*) AS seen, count(*) FILTER (WHERE k IS NOT NULL AND o_orderkey % 5 > 0) AS updated, count(*) FILTER (WHERE k IS NOT NULL AND o_orderkey % 5 = 0) AS skipped, count(*) FILTER (WHERE k IS NULL) AS missing FROM orders LEFT JOIN sc ON k = o_orderkey")
+@query(f"WITH {_ATTACH} SELECT count(*) AS seen, count(*) FILTER (WHERE k IS NOT NULL AND doc_id % 5 > 0) AS updated, count(*) FILTER (WHERE k IS NOT NULL AND doc_id % 5 = 0) AS skipped, count(*) FILTER (WHERE k IS NULL) AS missing FROM documents LEFT JOIN sc ON k = doc_id")
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.run_counters(_attached(spark, sf_dir))
 
@@ -53,10 +54,11 @@ def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.pending_by_version(table(spark, sf_dir, "orders").select("o_orderkey"), stored, key="o_orderkey", version="l_linenumber", current=4)
 
 
-@query("SELECT DISTINCT user_id FROM events WHERE event_type = 'error' EXCEPT SELECT user_id FROM events WHERE event_type = 'purchase'")
+@query("WITH e AS (SELECT user_id || '|' || strftime(ts, '%Y-%m-%d') AS key, event_type FROM events) SELECT key FROM e WHERE event_type = 'error' EXCEPT SELECT key FROM e WHERE event_type = 'purchase'")
 def reprocess_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    return records.to_reprocess(e.where("event_type = 'error'"), e.where("event_type = 'purchase'"), "user_id")
+    """Users and days with an error and no purchase."""
+    e = table(spark, sf_dir, "events").select(F.concat_ws("|", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("key"), "event_type")
+    return records.to_reprocess(e.where("event_type = 'error'"), e.where("event_type = 'purchase'"), "key")
 
 
 @query("SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN 'old' END, 'new') AS enrichment FROM orders")
@@ -79,11 +81,17 @@ def cached_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("city").agg(F.count("*").alias("rows_"), F.count_if("fresh").alias("computed"))
 
 
-@query("SELECT grp, pos, url FROM (SELECT user_id % 7 AS grp, (event_id % 50)::BIGINT AS pos, 'u' || (event_id % 50) AS url, row_number() OVER (PARTITION BY 'u' || (event_id % 50) ORDER BY user_id % 7, event_id % 50) AS n FROM (SELECT DISTINCT user_id % 7 AS user_id, event_id % 50 AS event_id FROM events)) WHERE n = 1")
+@query("WITH d AS (SELECT DISTINCT l_suppkey AS grp, l_partkey FROM lineitem), p AS (SELECT grp, 'u' || l_partkey AS url, (row_number() OVER (PARTITION BY grp ORDER BY l_partkey) - 1)::INT AS pos FROM d) SELECT grp, pos, url FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY grp, pos) AS n FROM p) WHERE n = 1")
 def link_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = table(spark, sf_dir, "events").select((F.col("user_id") % 7).alias("grp"), (F.col("event_id") % 50).alias("i")).distinct()
-    groups = pairs.groupBy("grp").agg(F.array_sort(F.collect_list("i")).alias("is")).select("grp", F.transform("is", lambda i: F.concat(F.lit("u"), i.cast("string"))).alias("urls"))
-    return readers.link_pairs(groups, group="grp", urls="urls").select("grp", F.substring("url", 2, 9).cast("long").alias("pos"), "url")
+    """Parts as links of their suppliers' lists, each kept where it appears first."""
+    groups = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("grp")).agg(F.array_sort(F.collect_set("l_partkey")).alias("is"))
+    return readers.link_pairs(groups.select("grp", F.transform("is", lambda i: F.concat(F.lit("u"), i.cast("string"))).alias("urls")), group="grp", urls="urls").select("grp", "pos", "url")
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) WHERE n = 1")
+def first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first event of each user."""
+    return records.first_seen(table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts"), "user_id", "ts", "event_id").select("user_id", "event_id", "event_type")
 
 
 @query("WITH f AS (SELECT c_nationkey, count(DISTINCT o_custkey) AS found FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1), e AS (SELECT c_nationkey, CASE WHEN c_nationkey % 5 > 0 THEN count(*) END AS expected FROM customer GROUP BY 1) SELECT c_nationkey, expected, coalesce(found, 0) AS found, coalesce(found, 0) = expected AS matches FROM e LEFT JOIN f USING (c_nationkey)")
@@ -111,13 +119,35 @@ def reason_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.top_reasons(table(spark, sf_dir, "events").withColumnRenamed("event_type", "reason"), "reason")
 
 
-@query("SELECT p_partkey, ['json', 'boolean', 'numeric', 'text', 'unknown', 'text'][p_partkey % 6 + 1] AS db_type FROM part")
+_SETS = [["list", "str"], ["bool"], ["int", "float"], ["str"], ["null"], ["int", "str"], ["dict"], ["bool", "int"]]
+
+
+@query(f"WITH t AS (SELECT p_partkey, {_SETS!r}[p_partkey % {len(_SETS)} + 1] AS t FROM part) SELECT p_partkey, CASE WHEN list_has_any(t, ['dict', 'list']) THEN 'json' WHEN list_contains(t, 'bool') AND NOT list_has_any(t, ['int', 'float', 'str']) THEN 'boolean' WHEN list_has_any(t, ['int', 'float']) AND NOT list_contains(t, 'str') THEN 'numeric' WHEN list_contains(t, 'str') THEN 'text' ELSE 'unknown' END AS db_type FROM t")
 def suggested_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = F.array(*[F.array(*map(F.lit, s)) for s in (["list", "str"], ["bool"], ["int", "float"], ["str"], ["null"], ["int", "str"])])
-    t = F.element_at(sets, (F.col("p_partkey") % 6 + 1).cast("int"))
+    t = F.element_at(F.array(*[F.array(*map(F.lit, s)) for s in _SETS]), (F.col("p_partkey") % len(_SETS) + 1).cast("int"))
     return table(spark, sf_dir, "part").select("p_partkey", suggested_type(t).alias("db_type"))
 
 
+_FIELDS = [("root", "key", "o_orderkey", "int"), ("root", "price", "o_totalprice", "float"), ("root", "status", "CASE WHEN o_orderkey % 4 > 0 THEN o_orderstatus END", "str"), ("root", "urgent", "o_orderkey % 2 = 0", "bool"), ("root", "tags", "[o_orderstatus, o_orderpriority]", "list"), ("root", "data", "1", "dict"), ("data", "rooms", "o_custkey % 9", "int"), ("data", "note", "CASE WHEN o_custkey % 3 = 0 THEN o_orderpriority END", "str")]
+
+
+def _profile_sql(section: str, field: str, value: str, kind: str) -> str:
+    number = f"{value}" if kind in ("int", "float") else "NULL"
+    return f"SELECT '{section}' AS section, '{field}' AS field, count({value}) AS count, round(100.0 * count({value}) / count(*), 6) AS presence_pct, '{kind}' AS types, {f'max(length({value}))' if kind == 'str' else 'NULL'}::INT AS max_str_len, {'2' if kind == 'list' else 'NULL'}::INT AS max_list_len, min({number})::DOUBLE AS min_num, max({number})::DOUBLE AS max_num FROM orders"
+
+
+@query(" UNION ALL ".join(_profile_sql(*f) for f in _FIELDS))
+def record_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of whole records and of their ``data`` object: presence, types, lengths and ranges."""
+    made = {"root": [], "data": []}
+    for section, field, value, kind in _FIELDS:
+        if kind != "dict":
+            made[section].append((F.array("o_orderstatus", "o_orderpriority") if kind == "list" else F.expr(value)).alias(field))
+    rows = table(spark, sf_dir, "orders").select(F.to_json(F.struct(*made["root"], F.struct(*made["data"]).alias("data"))).alias("json"))
+    both = records.field_profile(rows, "json").unionByName(records.field_profile(rows, "json", section="data"))
+    return both.withColumn("presence_pct", F.round("presence_pct", 6))
+
+
 @query("SELECT user_id, max_by(value, event_id) AS value FROM events GROUP BY 1")
 def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.last_wins(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), "user_id", "event_id").select("user_id", "value")
@@ -130,13 +160,12 @@ def done_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(F.md5(F.encode(F.concat_ws("|", "url", sha), "utf-8")).alias("done")).groupBy("done").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"SELECT DISTINCT {canonical_sql('url')} || '|' || sha256(coalesce(html, '')) AS done_key FROM pages")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages table as a stream, run twice: the second run adds nothing."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="geolist-stream-")
-    work = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    """The pages table as a stream, run twice: each record key comes once, and the second run adds nothing."""
+    work = f"{shared_base(spark)}/stream-{uuid.uuid4().hex}"
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     pages.write.parquet(f"{work}/in")
     for _ in range(2):
         stream_new_records(spark, f"{work}/in", "page_id long, url string, html string", f"{work}/out", f"{work}/state")
-    return spark.read.parquet(f"{work}/out").select("page_id", "done_key")
+    return spark.read.parquet(f"{work}/out").select("done_key")

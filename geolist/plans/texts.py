@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -51,12 +51,50 @@ def slugify_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", T.slugify_city(name).alias("slug"))
 
 
-_KEPT = "list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND string_split(p, '=')[1] NOT IN ('referrer', 'ref', 'icmp') AND NOT starts_with(p, 'utm_'))"
+_FULL_URL = "CASE WHEN contains(url, '?') THEN url || '&q=a%20b*~c+d&x=%C3%BC&utm_medium=z&e' ELSE url END"
+_PAIRS = "list_transform(list_filter(string_split(regexp_extract(u, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> ''), lambda p: {'k': url_decode(replace(split_part(p, '=', 1), '+', ' ')), 'v': CASE WHEN contains(p, '=') THEN url_decode(replace(substr(p, instr(p, '=') + 1), '+', ' ')) ELSE '' END})"
+_KEPT = f"list_transform(list_filter({_PAIRS}, lambda p: p.k NOT IN ('referrer', 'ref', 'icmp') AND NOT starts_with(p.k, 'utm_')), lambda p: replace(url_encode(p.k), '%20', '+') || '=' || replace(url_encode(p.v), '%20', '+'))"
 
 
-@query(f"SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) || CASE WHEN len({_KEPT}) > 0 THEN '?' || array_to_string(list_transform({_KEPT}, lambda p: CASE WHEN contains(p, '=') THEN p ELSE p || '=' END), '&') ELSE '' END || regexp_extract(url, '(#.*)$', 1) AS canonical FROM pages")
+def canonical_sql(u: str) -> str:
+    return f"(SELECT regexp_extract(u, '^([^?#]*)', 1) || CASE WHEN len({_KEPT}) > 0 THEN '?' || array_to_string({_KEPT}, '&') ELSE '' END || regexp_extract(u, '(#.*)$', 1) FROM (SELECT {u} AS u))"
+
+
+@query(f"SELECT page_id, {canonical_sql(_FULL_URL)} AS canonical FROM pages")
 def canonical_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", T.canonical_url(F.col("url")).alias("canonical"))
+    u = F.when(F.col("url").contains("?"), F.concat("url", F.lit("&q=a%20b*~c+d&x=%C3%BC&utm_medium=z&e"))).otherwise(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", T.canonical_url(u).alias("canonical"))
+
+
+_CHUNK = "CASE WHEN o_orderkey % 10 = 0 THEN 'failed.jsonl' ELSE 'expose_analysis_Run-' || (o_custkey % 7) || '__' || lpad((o_orderkey % 10000)::VARCHAR, 4, '0') || '.jsonl' END"
+
+
+@query(f"WITH f AS (SELECT o_orderpriority, nullif(rtrim(regexp_extract({_CHUNK}, '^(.+)\\d{{4}}\\.jsonl?$', 1), '_'), '') AS p FROM orders), c AS (SELECT o_orderpriority, p, count(*) AS n FROM f WHERE p IS NOT NULL GROUP BY 1, 2) SELECT o_orderpriority, lower(trim(regexp_replace(replace(p, 'expose_analysis_', ''), '[^a-zA-Z0-9]+', '_', 'g'), '_')) AS run FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY n DESC, p) AS k FROM c) WHERE k = 1")
+def run_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run of each group of chunk files, from their most common prefix."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    name = F.when(k % 10 == 0, "failed.jsonl").otherwise(F.concat(F.lit("expose_analysis_Run-"), (c % 7).cast("string"), F.lit("__"), F.lpad((k % 10000).cast("string"), 4, "0"), F.lit(".jsonl")))
+    return records.infer_runs(table(spark, sf_dir, "orders").select("o_orderpriority", name.alias("file_name")), by=["o_orderpriority"])
+
+
+_LURL = "'https://x.example' || CASE c_custkey % 4 WHEN 0 THEN '/stadt-' || c_nationkey || '/im' || c_custkey || '/' WHEN 1 THEN '/ort/' || c_custkey || '?a=1' WHEN 2 THEN '/ort/x' || c_custkey ELSE '' END"
+
+
+@query(f"WITH u AS (SELECT c_custkey, regexp_extract(regexp_extract({_LURL}, '^https://[^/?#]*(.*)$', 1), '^[^?#]*', 0) AS p FROM customer), i AS (SELECT c_custkey, nullif(regexp_extract(p, '/((?:im)?\\d+)/?$', 1), '') AS listing_id, coalesce(nullif(regexp_extract(p, '^/?([^/]+)', 1), ''), 'unknown') AS slug FROM u) SELECT *, coalesce(regexp_full_match(listing_id, '[0-9]+'), false) AS digits FROM i")
+def listing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, s = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    path = F.when(c % 4 == 0, F.concat(F.lit("/stadt-"), F.col("c_nationkey").cast("string"), F.lit("/im"), s, F.lit("/"))).when(c % 4 == 1, F.concat(F.lit("/ort/"), s, F.lit("?a=1"))).when(c % 4 == 2, F.concat(F.lit("/ort/x"), s)).otherwise("")
+    u = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("https://x.example"), path).alias("u"))
+    ids = u.select("c_custkey", T.listing_id(F.col("u")).alias("listing_id"), T.trailing_slug(F.col("u")).alias("slug"))
+    return ids.withColumn("digits", T.is_digits(F.col("listing_id")))
+
+
+@query(f"WITH u AS (SELECT c_custkey, regexp_extract({_LURL}, '/([^/?#]*)/?(?:[?#].*)?$', 1) AS id FROM customer) SELECT c_custkey, id FROM u WHERE regexp_full_match(id, '[0-9]+')")
+def digit_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the records whose id is all digits."""
+    c, s = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    own = F.when(c % 4 == 0, F.concat(F.lit("im"), s)).when(c % 4 == 1, s).when(c % 4 == 2, F.concat(F.lit("x"), s)).otherwise("x.example")
+    return records.numeric_ids(table(spark, sf_dir, "customer").select("c_custkey", own.alias("id")), "id")
 
 
 _EXPOSE = "CASE page_id % 4 WHEN 0 THEN 'https://x.example/expose/' || page_id || '/a?q=1' WHEN 1 THEN url || '&exposeId=' || page_id WHEN 2 THEN 'https://x.example/s?expose_id=' || page_id || 'x' ELSE url END"
@@ -73,22 +111,20 @@ def expose_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return u.select("page_id", T.expose_id(F.col("u")).alias("expose_id"), T.trailing_id(F.col("u")).alias("trailing_id"))
 
 
-_HREF = "['/a/b', '//h.example/x', 'c.html', '?p=2', '#top', 'https://y.example/z', 'mailto:a@b.example', ''][page_id % 8 + 1]"
+_HREFS = ["/a/b", "//h.example/x", "c.html", "?p=2", "#top", "https://y.example/z", "mailto:a@b.example", "", "/a/../b/.", "../up/./d?z=../1"]
+_HREF = f"{_HREFS!r}[page_id % 10 + 1]"
 
 
-@query(f"WITH u AS (SELECT page_id, url, {_HREF} AS h, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) AS root FROM pages) SELECT page_id, CASE WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN h WHEN starts_with(h, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*:)', 1) || h WHEN starts_with(h, '/') THEN root || h WHEN starts_with(h, '?') THEN regexp_extract(url, '^([^?#]*)', 1) || h WHEN starts_with(h, '#') THEN regexp_extract(url, '^([^#]*)', 1) || h WHEN h = '' THEN url ELSE root || coalesce(nullif(regexp_extract(regexp_extract(url, '^[^?#]*', 0)[length(root) + 1:], '^(.*/)', 1), ''), '/') || h END AS resolved FROM u")
+@query(f"WITH u AS (SELECT page_id, url, {_HREF} AS h, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) AS root FROM pages), v AS (SELECT *, coalesce(nullif(regexp_extract(regexp_extract(url, '^[^?#]*', 0)[length(root) + 1:], '^(.*/)', 1), ''), '/') AS folder FROM u) SELECT page_id, CASE WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN h WHEN starts_with(h, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*:)', 1) || h WHEN h = '/a/../b/.' THEN root || '/b/' WHEN starts_with(h, '../') THEN root || coalesce(nullif(regexp_replace(folder, '[^/]+/$', ''), ''), '/') || 'up/d?z=../1' WHEN starts_with(h, '/') THEN root || h WHEN starts_with(h, '?') THEN regexp_extract(url, '^([^?#]*)', 1) || h WHEN starts_with(h, '#') THEN regexp_extract(url, '^([^#]*)', 1) || h WHEN h = '' THEN url ELSE root || folder || h END AS resolved FROM v")
 def url_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["/a/b", "//h.example/x", "c.html", "?p=2", "#top", "https://y.example/z", "mailto:a@b.example", ""]
-    href = F.element_at(F.array(*map(F.lit, names)), (F.col("page_id") % 8 + 1).cast("int"))
+    href = F.element_at(F.array(*map(F.lit, _HREFS)), (F.col("page_id") % 10 + 1).cast("int"))
     return table(spark, sf_dir, "pages").select("page_id", T.resolve_url(F.col("url"), href).alias("resolved"))
 
 
 @query("WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS h FROM pages), r AS (SELECT DISTINCT page_id, regexp_extract(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || h, '^([^?#]*)', 1) AS link FROM a WHERE starts_with(h, '/') AND NOT starts_with(h, '//')) SELECT page_id, count(*) AS links, min(link) AS first_link, max(link) AS last_link FROM r GROUP BY 1")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site links of pages: anchors that match, absolute, without query and fragment, distinct."""
-    hrefs = table(spark, sf_dir, "pages").select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).alias("h"))
-    own = hrefs.where(F.col("h").startswith("/") & ~F.col("h").startswith("//"))
-    links = own.select("page_id", F.regexp_extract(T.resolve_url(F.col("url"), F.col("h")), "^([^?#]*)", 1).alias("link")).distinct()
+    links = html.listing_links(table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep="^/(?!/)")
     return links.groupBy("page_id").agg(F.count("*").alias("links"), F.min("link").alias("first_link"), F.max("link").alias("last_link"))
 
 
@@ -119,9 +155,15 @@ def _number_text() -> Column:
 _TOK = "[-+]?\\d{1,3}(?:[.\\s]\\d{3})+(?:[.,]\\d+)?|[-+]?\\d+(?:[.,]\\d+)?"
 
 
-@query(f"WITH t AS (SELECT doc_id, {_NUM} AS t FROM documents) SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '1.234,56' WHEN 1 THEN regexp_extract(t, '\\d{{1,2}}\\.\\d{{1,2}}\\.\\d{{2,4}}') WHEN 2 THEN doc_id::VARCHAR WHEN 3 THEN NULL WHEN 4 THEN doc_id || ',5' END AS token FROM t")
+def _token_sql(t: str) -> str:
+    """A date, else the first marked number without a letter on either side."""
+    marked = f"regexp_replace(replace({t}, chr(160), ' '), '({_TOK})', chr(1) || '\\1' || chr(2), 'g')"
+    return f"coalesce(nullif(regexp_extract(replace({t}, chr(160), ' '), '\\b(\\d{{1,2}}\\.\\d{{1,2}}\\.\\d{{2,4}})\\b', 1), ''), nullif(regexp_extract({marked}, '(?:^|[^\\p{{L}}])' || chr(1) || '([^' || chr(2) || ']*)' || chr(2) || '(?:$|[^\\p{{L}}])', 1), ''))"
+
+
+@query(f"WITH t AS (SELECT doc_id, {_NUM} AS t, text FROM documents) SELECT doc_id, {_token_sql('t')} AS token, {_token_sql('text')} AS text_token FROM t")
 def number_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", T.number_token(_number_text()).alias("token"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.number_token(_number_text()).alias("token"), T.number_token(F.col("text")).alias("text_token"))
 
 
 _P = "CASE o_orderkey % 7 WHEN 0 THEN floor(o_totalprice)::BIGINT::VARCHAR WHEN 1 THEN '1.' || lpad((o_orderkey % 1000)::VARCHAR, 3, '0') WHEN 2 THEN '12.' || (100 + o_custkey % 900) || ',5' WHEN 3 THEN '1.250.000' WHEN 4 THEN (o_custkey % 90) || ',25' WHEN 5 THEN '12,345.5' ELSE 'abc' END"
@@ -152,13 +194,17 @@ def _address() -> Column:
     return F.when(c % 5 == 0, F.concat(F.lit("Haupt Str. "), s, F.lit("a, "), z, F.lit(" Berlin, Mitte"))).when(c % 5 == 1, F.concat(F.lit("Mitte, "), z, F.lit(" Bad  Ort"))).when(c % 5 == 2, F.concat(z, F.lit(" Köln Die vollständige Adresse folgt"))).when(c % 5 == 3, "Am 7. Tor, Hof").otherwise("")
 
 
-@query("SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'Haupt Str.' WHEN 3 THEN 'Am 7. Tor' END AS street, CASE c_custkey % 5 WHEN 0 THEN c_custkey || 'a' END AS housenumber, CASE WHEN c_custkey % 5 < 3 THEN (10000 + c_custkey)::VARCHAR END AS postcode, CASE c_custkey % 5 WHEN 0 THEN 'Berlin' WHEN 1 THEN 'Bad Ort' WHEN 2 THEN 'Köln' END AS city, CASE c_custkey % 5 WHEN 1 THEN 'Mitte' END AS district FROM customer")
+_CUT = "regexp_replace({0}, '(?i)\\bDie vollständige Adresse.*$', '')"
+_PARTS = f"a AS (SELECT c_custkey, {_ADDR} AS raw FROM customer), c AS (SELECT c_custkey, raw, trim(regexp_replace({_CUT.format('trim(raw)')}, '[ \\t-\\r]+', ' ', 'g')) AS t FROM a), p AS (SELECT *, nullif(regexp_extract(t, '\\b(\\d{{5}})\\b', 1), '') AS postcode FROM c), q AS (SELECT *, CASE WHEN postcode IS NULL THEN t ELSE trim(t[:instr(t, postcode) - 1], ' ,') END AS before, CASE WHEN postcode IS NOT NULL THEN trim(t[instr(t, postcode) + 5:], ' ,') END AS after FROM p), l AS (SELECT *, trim(split_part(before, ',', 1)) AS lead FROM q)"
+
+
+@query(f"WITH {_PARTS} SELECT c_custkey, CASE WHEN regexp_matches(lead, '\\d') THEN CASE WHEN regexp_matches(lead, '^.+? +\\d+[a-zA-Z]?$') THEN trim(regexp_extract(lead, '^(.+?) +(\\d+[a-zA-Z]?)$', 1)) ELSE lead END END AS street, CASE WHEN regexp_matches(lead, '\\d') THEN nullif(regexp_extract(lead, '^(.+?) +(\\d+[a-zA-Z]?)$', 2), '') END AS housenumber, postcode, nullif(trim(split_part(after, ',', 1)), '') AS city, CASE WHEN NOT regexp_matches(lead, '\\d') THEN nullif(lead, '') END AS district FROM l")
 def parse_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "customer").select("c_custkey", T.parse_address(_address()).alias("a"))
     return a.select("c_custkey", "a.street", "a.housenumber", "a.postcode", "a.city", "a.district")
 
 
-@query("SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'Berlin' WHEN 1 THEN 'Bad  Ort' WHEN 2 THEN 'Köln' END AS city FROM customer")
+@query(f"SELECT c_custkey, nullif(trim(split_part(trim(split_part(trim(regexp_extract(trim(raw), '\\b\\d{{5}}\\b(.*)$', 1), ' ,'), ',', 1)), ' Die vollständige', 1)), '') AS city FROM (SELECT c_custkey, {_ADDR} AS raw FROM customer)")
 def city_from_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", T.city_from_address(_address()).alias("city"))
 
@@ -206,7 +252,7 @@ def gtfs_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", T.gtfs_seconds(t).alias("seconds"))
 
 
-@query("SELECT event_type, count(*) FILTER (WHERE s = 'yes') AS lit_yes, count(*) FILTER (WHERE s = 'no') AS lit_no, count(*) FILTER (WHERE s = 'other') AS lit_other FROM (SELECT event_type, ['yes', 'yes', 'no', 'no', 'other', 'other'][event_id % 6 + 1] AS s FROM events) GROUP BY 1")
+@query("WITH r AS (SELECT event_type, lower(trim([' Yes', '1', 'NO', 'false', 'limited', ''][event_id % 6 + 1])) AS s FROM events) SELECT event_type, count(*) FILTER (WHERE s IN ('yes', 'true', '1')) AS lit_yes, count(*) FILTER (WHERE s IN ('no', 'false', '0')) AS lit_no, count(*) FILTER (WHERE s NOT IN ('yes', 'true', '1', 'no', 'false', '0')) AS lit_other FROM r GROUP BY 1")
 def lit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.element_at(F.array(*map(F.lit, [" Yes", "1", "NO", "false", "limited", ""])), (F.col("event_id") % 6 + 1).cast("int"))
     e = table(spark, sf_dir, "events").select("event_type", T.lit_state(raw).alias("s"))
@@ -227,7 +273,83 @@ def content_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", sha.alias("html_sha256"), T.short_sha1(F.col("url")).alias("url_sha1"), T.done_key(F.col("url"), sha).alias("done_key"))
 
 
-@query("SELECT conv_id, string_agg(coalesce(text, ''), ' ' ORDER BY turn) AS body FROM conversations WHERE turn < 3 GROUP BY 1")
+@query("SELECT conv_id, string_agg(coalesce(text, ''), ' ' ORDER BY turn, text) AS body FROM conversations GROUP BY 1")
 def listing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").where("turn < 3").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))).alias("t"))
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))).alias("t"))
     return c.select("conv_id", F.array_join(F.transform("t", lambda x: x.text), " ").alias("body"))
+
+
+@query("SELECT doc_id, md5(coalesce(source, '') || ' ' || coalesce(CASE WHEN doc_id % 3 > 0 THEN lang END, '') || ' ' || coalesce(text, '')) AS body_md5 FROM documents")
+def composed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, description and place of a record as one text, missing parts as blanks."""
+    body = T.listing_text(F.col("source"), F.when(F.col("doc_id") % 3 > 0, F.col("lang")), F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.encode(body, "utf-8")).alias("body_md5"))
+
+
+@query("SELECT page_id, 1000 + page_id % 1000 AS total, least(greatest(page_id % 40, page_id % 23), ceil((1000 + page_id % 1000) / 20.0))::INT AS pages FROM pages")
+def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Announced total and number of result pages, from marks in the markup."""
+    p = F.col("page_id")
+    s = lambda c: c.cast("string")
+    body = F.concat("html", F.lit("<b>1."), F.lpad(s(p % 1000), 3, "0"), F.lit(' Eigentumswohnungen</b><a data-p="'), s(p % 40), F.lit('">x</a><a href="?p='), s(p % 23), F.lit('">y</a>'))
+    rows = table(spark, sf_dir, "pages").select("page_id", body.alias("html"))
+    total = html.total_count(F.col("html"))
+    return rows.select("page_id", total.cast("long").alias("total"), html.page_count(F.col("html"), total, 20).alias("pages"))
+
+
+@query("SELECT page_id, page_id || '' AS listing_id, 'p-' || (page_id % 9) AS provider_id, CASE WHEN page_id % 3 > 0 THEN 48.0::DOUBLE + page_id % 7 END AS latitude, CASE WHEN page_id % 3 > 0 THEN -9.5::DOUBLE END AS longitude FROM pages")
+def page_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Portal ids and coordinates that page scripts set; both coordinates or none."""
+    p, s = F.col("page_id"), F.col("page_id").cast("string")
+    script = F.concat(F.lit("latitude = "), (48 + p % 7).cast("string"), F.lit(".0;"), F.when(p % 3 > 0, " longitude = -9.5;").otherwise(""))
+    body = F.concat("html", F.lit("<p>Portal-ID: "), s, F.lit(" Anbieter-ID: p-"), (p % 9).cast("string"), F.lit("</p><script>"), script, F.lit("</script>"))
+    got = table(spark, sf_dir, "pages").select("page_id", html.ids_and_coordinates(body, listing_key="Portal-ID").alias("i"))
+    return got.select("page_id", "i.listing_id", "i.provider_id", "i.coordinates.latitude", "i.coordinates.longitude")
+
+
+@query("SELECT c_custkey, (c_custkey % 1000) || ',5 m²' AS wohnflaeche, c_mktsegment AS art, c_custkey % 1000 + 0.5::DOUBLE AS area, 'Text zu ' || c_name AS about, 4 AS n_details FROM customer")
+def listing_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards, headed lists with their numbers and headed texts of listing pages built from customers."""
+    s = (F.col("c_custkey") % 1000).cast("string")
+    page = F.concat(F.lit('<div id="expose-info-details"><div><div>'), s, F.lit(",5 m²</div><div>Wohnfläche</div></div><div><div> </div></div></div><h2>Details</h2><ul><li><div>Art</div><div>"), "c_mktsegment", F.lit("</div></li><li>Etage: 3</li><li><div>nur eins</div></li></ul><h3>Kosten im Monat</h3><ul><li><div>Miete</div><div>1.250 EUR</div></li></ul><h2>Lage</h2><div id='extendedText-print'>Druck</div><div class='x-print'>Druck</div><p>Text zu "), "c_name", F.lit("</p><p>mehr</p>"))
+    out = html.listing_records(table(spark, sf_dir, "customer").select("c_custkey", F.lit("https://x.example/").alias("url"), page.alias("html")))
+    return out.select("c_custkey", F.col("details.wohnflache").alias("wohnflaeche"), F.col("details.art").alias("art"), F.col("numbers.wohnflache_num").alias("area"), html.section_text(F.col("texts"), "lage").alias("about"), F.size("details").alias("n_details"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'ld' WHEN p_partkey % 2 = 0 THEN 'dl' ELSE 'base' END AS name, p_brand AS brand, CASE WHEN p_partkey % 2 = 0 THEN p_type END AS kind FROM part")
+def attribute_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes of a record in rising precedence: base, pairs, structured data."""
+    p = F.col("p_partkey")
+    some = lambda c, m: F.when(c, m).otherwise(F.expr("cast(map() as map<string,string>)"))
+    base = F.create_map(F.lit("name"), F.lit("base"), F.lit("brand"), F.col("p_brand"))
+    merged = html.merged_attributes(base, some(p % 2 == 0, F.create_map(F.lit("name"), F.lit("dl"), F.lit("kind"), F.col("p_type"))), some(p % 3 == 0, F.create_map(F.lit("name"), F.lit("ld"))))
+    return table(spark, sf_dir, "part").select("p_partkey", merged.alias("m")).select("p_partkey", "m.name", "m.brand", F.try_element_at("m", F.lit("kind")).alias("kind"))
+
+
+@query("SELECT event_id, json_extract(props, '$.k')::INT AS k, NULL::VARCHAR AS deep FROM events")
+def nested_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null-safe look-up below a chain of keys."""
+    v = F.try_parse_json("props")
+    return table(spark, sf_dir, "events").select("event_id", T.nested(v, "k", kind="int").alias("k"), T.nested(v, "k", "x", "y").alias("deep"))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 're') OR contains(lower(p_name), 'an') ORDER BY p_partkey LIMIT 40")
+def name_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 40 parts whose name has one of the needles, whatever the case."""
+    return records.name_filter(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", ["RE", "an"], order="p_partkey", first=40)
+
+
+@query("SELECT street, row_number() OVER (ORDER BY lower(street)) AS place FROM (SELECT DISTINCT p_brand AS street FROM part)")
+def streets_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streets in the order of their lower-cased names; their place comes from the sorted list of the few names."""
+    names = table(spark, sf_dir, "part").select(F.col("p_brand").alias("street")).distinct()
+    ordered = records.by_name(names, "street")
+    place = F.row_number().over(Window.orderBy(F.lower("street")))
+    return ordered.select("street", place.cast("long").alias("place"))
+
+
+@query("SELECT l_suppkey AS grp, 'u' || l_partkey AS link FROM lineitem WHERE l_linenumber <= 3 UNION SELECT l_suppkey, 'u' || l_partkey FROM lineitem WHERE l_linenumber >= 3")
+def link_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of two crawls, each once."""
+    rows = table(spark, sf_dir, "lineitem").select("l_linenumber", F.col("l_suppkey").alias("grp"), F.concat(F.lit("u"), F.col("l_partkey").cast("string")).alias("link"))
+    return records.union_links(*[rows.where(c).select("grp", "link") for c in ("l_linenumber <= 3", "l_linenumber >= 3")])

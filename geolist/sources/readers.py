@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CITY_SCHEMA = "name string, lat double, lon double"
@@ -29,13 +33,35 @@ def parse_repaired(text: Column) -> Column:
     return F.try_parse_json(F.regexp_replace(text, "[\\x00-\\x1F]", " "))
 
 
-def read_broken_items(spark: SparkSession, path: str, *, start: str = '{"url"') -> DataFrame:
-    """``{items: [...]}`` files that may be cut off: every piece that parses is a record, broken ones are skipped."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.split("value", "(?=" + start.replace("{", "\\{") + ")").alias("p"))
-    piece = whole.select("file", F.posexplode("p").alias("pos", "t")).where(F.col("t").startswith(start))
-    cut = F.regexp_replace("t", r"(?s)^(.*\})[\s,\]]*\}?\s*$", "$1")
-    tries = [F.try_parse_json(F.rtrim(F.regexp_replace("t", r"[\s,\]]+$", ""))), F.try_parse_json(cut), F.try_parse_json(F.regexp_replace("t", r"(?s)\]\s*\}\s*$", ""))]
-    return piece.select("file", "pos", F.coalesce(*tries).alias("record")).where("record is not null")
+def _items(text: str) -> Iterator[str]:
+    """The objects of an ``{"items": [...]}`` text that can be decoded; after a broken one it goes on at the next brace."""
+    decoder = json.JSONDecoder()
+    start = text.find("[")
+    at = text.find("{", start + 1) if start >= 0 else -1
+    while at >= 0:
+        try:
+            item, end = decoder.raw_decode(text, at)
+        except ValueError:
+            end, item = at + 1, None
+        if isinstance(item, dict):
+            yield json.dumps(item, ensure_ascii=False)
+        at = text.find("{", end)
+
+
+def read_broken_items(spark: SparkSession, path: str) -> DataFrame:
+    """``{items: [...]}`` files that may be cut off or broken: ``file, pos, record`` of every object that can be decoded.
+
+    One file is one task's work; a record that is broken is skipped, and reading goes on at the next brace.
+    """
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, text in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist()):
+                found = list(_items(text or ""))
+                yield pa.record_batch([pa.array([file] * len(found), pa.string()), pa.array(range(len(found)), pa.int32()), pa.array(found, pa.string())], ["file", "pos", "text"])
+
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    return whole.mapInArrow(parse, "file string, pos int, text string").select("file", "pos", F.try_parse_json("text").alias("record"))
 
 
 def read_cities(spark: SparkSession, path: str) -> DataFrame:
@@ -89,15 +115,19 @@ def label_records(lines: DataFrame, personas: list[str], *, key: str = "expose_i
 
 
 def link_pairs(groups: DataFrame, *, group: str, urls: str, wanted: list[str] | None = None) -> DataFrame:
-    """(group, url) pairs of nested dumps in order, the first appearance of a url over all groups only."""
+    """(group, url) pairs of nested dumps with their place, the first appearance of a url over all groups only."""
     df = groups.where(F.col(group).isin(*wanted)) if wanted else groups
     pairs = df.select(group, F.posexplode(urls).alias("pos", "url"))
-    first = Window.partitionBy("url").orderBy(group, "pos")
-    return pairs.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(group, "pos", "url")
+    return pairs.groupBy("url").agg(F.min(F.struct(group, "pos")).alias("f")).select(f"f.{group}", "f.pos", "url")
+
+
+def find_files(spark: SparkSession, glob: str) -> DataFrame:
+    """``path, file_name, modified, bytes`` of the files of a glob; contents are not read."""
+    files = spark.read.format("binaryFile").load(glob)
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
 
 
 def newest_run(spark: SparkSession, glob: str) -> str | None:
     """Folder of the most recently modified file below a glob."""
-    files = spark.read.format("binaryFile").load(glob).select("path", "modificationTime")
-    row = files.agg(F.max_by("path", "modificationTime").alias("p")).first()
+    row = find_files(spark, glob).agg(F.max(F.struct("modified", "path")).alias("m")).select(F.col("m.path").alias("p")).first()
     return row.p.rsplit("/", 1)[0] if row and row.p else None

@@ -2,17 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import chunk_index, chunk_prefix
+
 
 def write_jsonl(df: DataFrame, path: str, *, records_per_file: int = 1000, compression: str = "none") -> None:
     df.write.option("maxRecordsPerFile", records_per_file).option("compression", compression).json(path)
 
 
-def write_by_run(df: DataFrame, path: str, *, file_name: str = "file_name", pattern: str = r"^(.*?)[_-]?\d*\.jsonl") -> None:
-    """JSON grouped by the run that the file name carries."""
-    df.withColumn("run", F.regexp_extract(file_name, pattern, 1)).write.partitionBy("run").json(path)
+def grouped_lines(lines: DataFrame, *, value: str = "value", file_name: str = "file_name", naming: str = "run", constant: str = "", max_records: int | None = None) -> DataFrame:
+    """JSON lines with the folder and file they go to: ``folder, name, record``; ``record`` is null for broken lines.
+
+    ``naming`` is ``run`` (run folder and chunk number), ``flat`` (short file name) or ``original``; ``constant`` is
+    cut from the front of names.  Of a file the first ``max_records`` good lines stay, in the order of ``line_no``.
+    """
+    stem = F.regexp_replace(file_name, r"\.jsonl?$", "")
+    short = lambda c: F.coalesce(F.nullif(F.regexp_replace(c, f"^{constant}_?", ""), F.lit("")), c) if constant else c
+    name = F.col(file_name)
+    failed = F.regexp_extract(name, r"^(.+?)_?failed\.jsonl?$", 1)
+    prefix = chunk_prefix(name)
+    forms = {
+        "run": (F.when(prefix.isNotNull(), short(prefix)).when(failed != "", short(failed)).otherwise(""), F.when(prefix.isNotNull(), chunk_index(name)).when(failed != "", "failed").otherwise(short(stem))),
+        "flat": (F.lit(""), short(stem)),
+        "original": (F.lit(""), stem),
+    }
+    folder, out = forms[naming]
+    rows = lines.where(F.trim(value) != "").select(*[c for c in lines.columns if c != value], folder.alias("folder"), out.alias("name"), F.try_parse_json(value).alias("record"))
+    if max_records is not None:
+        nth = F.count_if(F.col("record").isNotNull()).over(Window.partitionBy(file_name).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumn("_n", nth).where(F.col("_n") <= max_records).drop("_n")
+    return rows
+
+
+def write_by_run(lines: DataFrame, path: str, **options) -> dict[str, int]:
+    """Write ``grouped_lines`` as JSON under ``folder=/name=``; returns the numbers of records and of broken lines."""
+    seen = Observation()
+    rows = grouped_lines(lines, **options).observe(seen, F.count("record").alias("records"), F.count_if(F.col("record").isNull()).alias("decode_errors"))
+    rows.where("record is not null").select("folder", "name", F.to_json("record").alias("value")).write.partitionBy("folder", "name").text(path)
+    return dict(seen.get)
+
+
+# Columns of the slim table of scores.
+SLIM = ("expose_id", "url", "address", "lat", "lon", "geocode_method", "geocode_precision", "living_standard_score_0_100", "amenities_score_0_1", "transit_score_0_1", "green_score_0_1", "nightlife_score_0_1", "traffic_score_0_1", "amenity_total", "transit_total", "green_total", "major_road_ways", "major_road_maxspeed_kmh_avg")
+
+
+def slim(df: DataFrame) -> DataFrame:
+    """The slim columns in their order; those that are missing are null."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in SLIM])
 
 
 def formatted(df: DataFrame, formats: dict[str, str]) -> DataFrame:
