@@ -44,12 +44,13 @@ def assemble_features(records: DataFrame, key: str, *, price_percentile: str = "
     Of listing fields only numeric ones (``*_num``) count; an unknown or zero confidence is a half.
     """
     here = {c: f for c, f in FAMILIES.items() if c in records.columns}
-    ready = records
-    for c, (_, keys) in here.items():
+
+    def counted(c: str, keys: tuple[str, ...]) -> Column:
         if c == "listing":
-            ready = ready.withColumn(c, F.map_filter(c, lambda k, _: k.endswith("_num")))
-        elif keys:
-            ready = ready.withColumn(c, F.map_filter(c, lambda k, _, keys=keys: k.isin(*keys)))
+            return F.map_filter(c, lambda k, _: k.endswith("_num"))
+        return F.map_filter(c, lambda k, _: k.isin(*keys)) if keys else F.col(c)
+
+    ready = records.withColumns({c: counted(c, keys) for c, (_, keys) in here.items()})
     known = F.coalesce(F.when(F.col(confidence) != 0, F.col(confidence)), F.lit(0.5))
     extra = F.create_map(F.lit("listing.price_m2_pct_in_city"), F.col(price_percentile).cast("double"), F.lit("geo.confidence_0_1"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), known.cast("double"))))
     return numeric_features(ready.withColumn("_extra", extra), key, {c: p for c, (p, _) in here.items()} | {"_extra": ""})

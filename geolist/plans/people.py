@@ -115,7 +115,16 @@ def persona_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.groupBy(F.col("p.persona").alias("persona")).agg(F.count("*").alias("n"))
 
 
-@query()
+def _explained_sql() -> str:
+    """Leading factors of each persona: by falling share of the score, ties in the order of the weights."""
+    tops = []
+    for name in scores.PERSONAS:
+        parts = ", ".join(f"{{'o': -({_F[f]}) * {w}, 'i': {i}, 'f': '{f}'}}" for i, (f, w) in enumerate(scores.PERSONAS[name].items()))
+        tops.append(f"WHEN '{name}' THEN array_to_string(list_transform(list_filter(list_sort([{parts}])[1:3], lambda x: x.o < 0), lambda x: x.f), ',')")
+    return "CASE persona " + " ".join(tops) + " END"
+
+
+@query(f"{_PERSONAS}, tp AS (SELECT id, persona, score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, place) AS k FROM ps WHERE round(score, 9) >= 0.1) WHERE k = 1) SELECT ro.id, coalesce(persona, 'unknown') AS primary_persona, round(coalesce(score, 0.0), 6) AS primary_score, {_explained_sql()} AS top_factors FROM ro LEFT JOIN tp USING (id)")
 def persona_explained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Primary persona with its leading factors."""
     first = F.get("top", F.lit(0))
@@ -169,11 +178,82 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.numeric_features(maps, "doc_id", {"listing": "", "words": "kw."})
 
 
-@query("SELECT 'chars' AS feature, round(avg(n_chars), 6) AS mean, round(stddev_pop(n_chars), 6) AS std FROM documents WHERE ('0x' || sha256('42:' || doc_id)[1:4])::INT / 65535.0::DOUBLE < 0.8")
+def _feature_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as records with maps of all feature families, with gaps."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    pairs = lambda **kv: F.create_map(*[x for n, v in kv.items() for x in (F.lit(n), v.cast("double"))])
+    return table(spark, sf_dir, "orders").select(
+        k.alias("id"),
+        pairs(price_num=F.col("o_totalprice"), rooms_num=F.when(k % 3 > 0, k % 6), rooms=k % 6).alias("listing"),
+        pairs(transit=k % 101 / 101.0, quiet=c % 97 / 97.0).alias("scores"),
+        pairs(shop_any=c % 40).alias("metrics"),
+        F.when(k % 5 == 0, pairs(uba_station_dist_m=c % 9000, other=k)).alias("air"),
+        pairs(nearest_stop_m=F.when(k % 2 == 0, c % 800), stops_within_radius=k % 9, line=k).alias("gtfs"),
+        pairs(lden_db=F.when(k % 7 > 0, 40 + k % 30), height=k).alias("noise"),
+        pairs(student=k % 5 / 5.0).alias("keywords"),
+        F.when(k % 4 > 0, c % 100 / 100.0).alias("price_pct"),
+        (c % 12 / 10.0).alias("confidence"),
+    )
+
+
+_FEATURES = {"listing.price_num": "o_totalprice", "listing.rooms_num": "CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 6 END", "osm.score.transit": "(o_orderkey % 101) / 101.0::DOUBLE", "osm.score.quiet": "(o_custkey % 97) / 97.0::DOUBLE", "osm.metric.shop_any": "o_custkey % 40", "air.uba_station_dist_m": "CASE WHEN o_orderkey % 5 = 0 THEN o_custkey % 9000 END", "gtfs.nearest_stop_m": "CASE WHEN o_orderkey % 2 = 0 THEN o_custkey % 800 END", "gtfs.stops_within_radius": "o_orderkey % 9", "noise.lden_db": "CASE WHEN o_orderkey % 7 > 0 THEN 40 + o_orderkey % 30 END", "kw.student": "(o_orderkey % 5) / 5.0::DOUBLE", "listing.price_m2_pct_in_city": "CASE WHEN o_orderkey % 4 > 0 THEN (o_custkey % 100) / 100.0::DOUBLE END", "geo.confidence_0_1": "least(1.0, coalesce(nullif((o_custkey % 12) / 10.0::DOUBLE, 0), 0.5))"}
+_LONG = "fe AS (SELECT * FROM (" + " UNION ALL ".join(f"SELECT o_orderkey AS id, '{f}' AS feature, ({v})::DOUBLE AS value FROM orders" for f, v in _FEATURES.items()) + ") WHERE value IS NOT NULL)"
+
+
+@query(f"WITH {_LONG} SELECT id, feature, round(value, 9) AS value FROM fe")
+def feature_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feature families of records, long."""
+    return learn.assemble_features(_feature_records(spark, sf_dir), "id").select("id", "feature", F.round("value", 9).alias("value"))
+
+
+@query(f"WITH {_LONG} SELECT feature, (row_number() OVER (ORDER BY feature) - 1)::INT AS i FROM (SELECT DISTINCT feature FROM fe)")
+def feature_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learn.feature_index(learn.assemble_features(_feature_records(spark, sf_dir), "id"))
+
+
+@query(f"WITH {_LONG}, ix AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS i FROM (SELECT DISTINCT feature FROM fe)) SELECT id, string_agg(i::VARCHAR, ',' ORDER BY i) AS indices, round(sum(value * (i + 1)), 6) AS weighted, count(*) AS n FROM fe JOIN ix USING (feature) GROUP BY 1")
+def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse vectors of records over the feature index, and their product with 1, 2, 3, ... by the dense form."""
+    features = learn.assemble_features(_feature_records(spark, sf_dir), "id")
+    vectors = learn.sparse_vectors(features, learn.feature_index(features), "id")
+    dense = learn.dense(F.col("indices"), F.col("values"), len(_FEATURES))
+    weighted = F.aggregate(F.zip_with(dense, F.sequence(F.lit(1), F.lit(len(_FEATURES))), lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x)
+    summed = vectors.withColumn("weighted", F.round(weighted, 6)).withColumn("n", F.size("indices").cast("long"))
+    return summed.select("id", F.array_join(F.transform("indices", lambda i: i.cast("string")), ",").alias("indices"), "weighted", "n")
+
+
+@query(f"{_PERSONAS}, wl AS (SELECT id, persona, (score >= 0.55)::INT AS label FROM ps), ha AS (SELECT id, persona, CASE WHEN id % 10 = 3 THEN (persona = 'student')::INT ELSE label END AS label FROM wl) SELECT persona, sum(label)::BIGINT AS positive, count(*) AS n FROM ha GROUP BY 1")
+def weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels from rule scores, replaced by manual ones where these are given."""
+    rows, factors = _persona_rows(spark, sf_dir)
+    weak = rows.select("id", scores.persona_scores(factors, F.col("confidence")).alias("p")).select("id", learn.weak_labels(F.col("p")).alias("weak"))
+    names = list(scores.PERSONAS)
+    manual = table(spark, sf_dir, "orders").where("o_orderkey % 10 = 3").select(F.col("o_orderkey").alias("id"), F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.lit(int(n == "student")) for n in names])).alias("labels"))
+    each = learn.pick_labels(weak, manual, key="id").select(F.explode("labels").alias("persona", "label"))
+    return each.groupBy("persona").agg(F.sum("label").cast("long").alias("positive"), F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 1 THEN 9.5 WHEN o_custkey % 90 > 0 AND o_totalprice > 0 THEN round(o_totalprice / (o_custkey % 90), 6) END::DOUBLE AS price_m2 FROM orders")
+def price_per_m2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given price per square metre, else price by area where both are positive."""
+    k, area = F.col("o_orderkey"), (F.col("o_custkey") % 90).cast("double")
+    value = scores.price_per_m2(F.when(k % 5 == 1, 9.5).when(k % 5 == 2, 0.0), F.col("o_totalprice"), area)
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(value, 6).alias("price_m2"))
+
+
+@query("SELECT c_custkey, coalesce(nullif(lower(trim(CASE WHEN c_custkey % 3 = 0 THEN ' ' || c_mktsegment || ' ' WHEN c_custkey % 3 = 1 THEN '  ' END)), ''), lower(trim(c_name))) AS city FROM customer")
+def city_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first source that names a city."""
+    c = F.col("c_custkey")
+    first = F.when(c % 3 == 0, F.concat(F.lit(" "), "c_mktsegment", F.lit(" "))).when(c % 3 == 1, "  ")
+    return table(spark, sf_dir, "customer").select("c_custkey", normalize.city_key(first, F.col("c_name")).alias("city"))
+
+
+@query("SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std FROM (SELECT avg(n_chars) AS mean, stddev_pop(n_chars) AS std, 'n_chars' AS feature FROM documents WHERE ('0x' || sha256('42:' || doc_id)[1:4])::INT / 65535.0::DOUBLE < 0.8 UNION ALL SELECT avg(doc_id % 9), stddev_pop(doc_id % 9), 'rest' FROM documents WHERE ('0x' || sha256('42:' || doc_id)[1:4])::INT / 65535.0::DOUBLE < 0.8 UNION ALL SELECT 3.0, 1.0, 'flat')")
 def scaler_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").where(split_name(F.col("doc_id").cast("string"), 42) == "train")
-    mean, std = learn.standard_scale(d, ["n_chars"])["n_chars"]
-    return d.agg(F.lit("chars").alias("feature"), F.round(F.lit(mean), 6).alias("mean"), F.round(F.lit(std), 6).alias("std"))
+    stats = learn.scale_stats(d.select("n_chars", (F.col("doc_id") % 9).alias("rest"), F.lit(3.0).alias("flat")), ["n_chars", "rest", "flat"])
+    return stats.select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
 @query()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, scores
 from ..operators import grid, neighbourhood, spatial
+from ..sources import readers
 from . import base
 from .base import SQL, haversine_sql, near_sql, table
 
@@ -263,6 +264,55 @@ def geocode_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbourhood.geocode_cascade(want, base.addresses(spark, sf_dir), fallback, sample=20).select("id", *r6("lat", "lon"), "method", "status")
 
 
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 = 0 THEN 'geocode_failed' WHEN o_orderkey % 6 = 1 THEN 'overpass_failed' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 4 > 0 AND o_orderkey % 6 = 1 THEN 'timeout' END AS error FROM orders")
+def enrichment_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of records: no position, no map data (with the error), or ok."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders")
+    placed = o.select(k.alias("id"), F.when(k % 4 > 0, 50.0).alias("lat"), F.lit("ok").alias("status"))
+    lost = o.where("o_orderkey % 6 = 1").select(k.alias("id"), F.explode(F.array(F.lit("timeout"), F.lit("unreachable"))).alias("error"))
+    return neighbourhood.enrichment_status(placed, lost).select("id", "status", "error")
+
+
+@query(f"SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'way' ELSE 'node' END AS osm_type, round({base._slat(base._E)}, 6) AS lat, round({base._slon(base._E)}, 6) AS lon, event_type AS tag, event_id % 4 AS vertices FROM events")
+def map_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements out of query answers: own position or centre, tags and geometry."""
+    i = F.col("event_id")
+    point = F.struct(base._lat(i).alias("lat"), base._lon(i).alias("lon"))
+    own = i % 3 > 0
+    line = F.transform(F.filter(F.sequence(F.lit(1), F.lit(3)), lambda j: j <= i % 4), lambda j: F.struct((j * 1.0).alias("lat"), (j * 2.0).alias("lon")))
+    element = F.struct(F.when(own, "node").otherwise("way").alias("type"), i.alias("id"), F.when(own, point["lat"]).alias("lat"), F.when(own, point["lon"]).alias("lon"), F.when(~own, point).alias("center"), F.create_map(F.lit("kind"), F.col("event_type")).alias("tags"), line.alias("geometry"))
+    answers = table(spark, sf_dir, "events").groupBy((i % 997).alias("answer")).agg(F.collect_list(element).alias("elements"))
+    out = readers.elements(answers)
+    return out.select(F.col("osm_id").alias("event_id"), "osm_type", *r6("lat", "lon"), F.col("tags.kind").alias("tag"), F.size("geometry").cast("long").alias("vertices"))
+
+
+@query(f"SELECT n_nationkey::BIGINT AS station_id, 'DE' || n_nationkey AS code, n_name AS name, round({base._slat(base._N)}, 6) AS lat FROM nation WHERE n_nationkey % 4 > 0")
+def station_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active stations out of a columnar payload."""
+    i, s = F.col("n_nationkey").cast("long"), lambda c: c.cast("string")
+    names = ["station code", "station active to", "station id", "station name", "station city", "station latitude", "station longitude"]
+    row = F.array(F.concat(F.lit("DE"), s(i)), F.when(i % 4 == 0, "2001-01-01").when(i % 4 == 1, ""), s(i), F.col("n_name"), F.lit("x"), s(base._lat(i)), s(base._lon(i)))
+    payload = table(spark, sf_dir, "nation").select(F.array(*map(F.lit, names)).alias("indices"), F.create_map(s(i), row).alias("data"))
+    return readers.stations(payload).select("station_id", "code", "name", *r6("lat"))
+
+
+@query(f"WITH nd AS (SELECT p_partkey AS member_id, {base._slat('p_partkey')} AS lat, {base._slon('p_partkey')} AS lon FROM part WHERE p_size > 5) SELECT l_suppkey AS relation_id, round((min(lat) + max(lat)) / 2, 6) AS lat, round((min(lon) + max(lon)) / 2, 6) AS lon FROM lineitem JOIN nd ON l_partkey = member_id GROUP BY 1")
+def relation_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centre of the box of a relation's members."""
+    p = F.col("p_partkey")
+    at = table(spark, sf_dir, "part").where("p_size > 5").select(p.alias("member_id"), base._lat(p).alias("lat"), base._lon(p).alias("lon"))
+    members = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("relation_id"), F.col("l_partkey").alias("member_id"))
+    return readers.relation_centres(members, at).select("relation_id", *r6("lat", "lon"))
+
+
+@query(f"WITH {SQL['li']} SELECT point_id, round(CASE WHEN point_id % 3 > 0 THEN lat ELSE 48.0 + city END, 6) AS lat FROM li")
+def own_or_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing's own latitude, else its city's."""
+    li = base.listings(spark, sf_dir)
+    return li.select("point_id", F.round(geo.own_or_centre(F.when(F.col("point_id") % 3 > 0, F.col("lat")), 48.0 + F.col("city")), 6).alias("lat"))
+
+
 @query(f"WITH {SQL['li']}, ce AS (SELECT ['den', 'night'][p_partkey % 2 + 1] AS band, (p_partkey // 2 % 50)::INT AS row, (p_partkey // 100 % 20)::INT AS col, avg(CASE WHEN p_size <> 7 THEN p_retailprice END) AS v FROM part GROUP BY ALL) SELECT point_id, band, round(v, 6) AS value FROM li JOIN ce ON ce.row = floor((5000 - y) / 200)::INT AND ce.col = floor((x + 5000) / 500)::INT")
 def raster_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")

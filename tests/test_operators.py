@@ -161,3 +161,86 @@ def test_fit_labels(spark):
     best = {r.label: (r.threshold, r.f1) for r in learn.threshold_sweep(scored).collect()}
     assert best["a"][1] > 0.95 and best["b"] == (pytest.approx(0.1), 1.0)
     assert {r.label for r in learn.evaluate(scored, learn.threshold_sweep(scored)).collect()} == {"a", "b", "c", "micro", "macro"}
+
+
+def test_broken_items_go_on_at_the_next_brace(spark, tmp_path):
+    good = {"id": 1, "a": [{"b": 1}, {"c": 2}], "t": "x } y"}
+    (tmp_path / "a.json").write_text('{"items": [' + json.dumps(good) + ', {"id": 2, "bad": nope}, {"other": "first"}, {"id": 3, "cut": "o', encoding="utf-8")
+    (tmp_path / "b.json").write_text('{"items": []}', encoding="utf-8")
+    got = readers.read_broken_items(spark, str(tmp_path)).select("pos", F.to_json("record").alias("r")).orderBy("pos").collect()
+    assert [json.loads(r.r) for r in got] == [good, {"other": "first"}]
+
+
+def test_timetables_and_files(spark, tmp_path):
+    for feed, rows in (("north", "s1,1.5\n"), ("south", "s1,2.5\ns2,3.5\n")):
+        (tmp_path / feed).mkdir()
+        (tmp_path / feed / "stops.txt").write_text("\ufeffstop_id,stop_lat\n" + rows, encoding="utf-8")
+    got = readers.read_gtfs(spark, str(tmp_path), "stops")
+    assert {(r.feed, r.stop_id, r.stop_lat) for r in got.collect()} == {("north", "s1", "1.5"), ("south", "s1", "2.5"), ("south", "s2", "3.5")}
+    import os
+
+    os.utime(tmp_path / "north" / "stops.txt", (1, 1))
+    assert readers.newest_run(spark, f"{tmp_path}/*/*.txt").endswith("/south")
+    assert readers.find_files(spark, f"{tmp_path}/*/*.txt").count() == 2
+
+
+def test_run_grouping(spark, tmp_path):
+    lines = [("run_b_0001.jsonl", i, json.dumps({"i": i})) for i in range(5)] + [("run_b_0001.jsonl", 5, "{broken"), ("run_b_0001.jsonl", 6, " "), ("run_b_failed.jsonl", 0, '{"i": 9}'), ("notes.jsonl", 0, '{"i": 7}')]
+    df = spark.createDataFrame(lines, "file_name string, line_no int, value string")
+    seen = writers.write_by_run(df, str(tmp_path / "run"), constant="run")
+    assert seen == {"records": 7, "decode_errors": 1}
+    back = {(str(r.folder), str(r.name)) for r in spark.read.text(str(tmp_path / "run")).select("folder", "name").distinct().collect()}
+    assert back == {("b", "0001"), ("b", "failed"), ("None", "notes")}
+    rows = writers.grouped_lines(df, naming="flat", constant="run", max_records=2).where("record is not null")
+    assert {(r.name, r["count"]) for r in rows.groupBy("name").count().collect()} == {("b_0001", 2), ("b_failed", 1), ("notes", 1)}
+    assert {r.name for r in writers.grouped_lines(df, naming="original").select("name").distinct().collect()} == {"run_b_0001", "run_b_failed", "notes"}
+
+
+def test_slim_counters_and_copies(spark, tmp_path):
+    df = spark.createDataFrame([("7", 1.5)], "expose_id string, lat double")
+    assert writers.slim(df).columns == list(writers.SLIM) and writers.slim(df).first().url is None
+    for run in ("a", "b"):
+        writers.write_counters(spark.createDataFrame([(3, 1)], "seen long, updated long"), str(tmp_path / "runs"), run)
+    assert {(r.run, r.seen) for r in spark.read.parquet(str(tmp_path / "runs")).collect()} == {("a", 3), ("b", 3)}
+    writers.write_compressed_copy(df, str(tmp_path / "copy"))
+    assert spark.read.parquet(str(tmp_path / "copy")).count() == 1
+
+
+def test_compressed_lines(spark, tmp_path):
+    import zstandard
+
+    (tmp_path / "x.jsonl.zst").write_bytes(zstandard.ZstdCompressor().compress(b'{"a": 1}\n\nnope\n[1]\n{"a": 2}\n'))
+    got = readers.read_jsonl(spark, str(tmp_path / "x.jsonl.zst")).select(F.variant_get("record", "$.a", "int").alias("a")).collect()
+    assert sorted(r.a for r in got) == [1, 2]
+
+
+def test_too_few_training_rows(spark):
+    few = spark.createDataFrame([([1.0], 1.0, i % 2) for i in range(9)], "features array<double>, weight double, y int")
+    with pytest.raises(ValueError):
+        learn.fit_labels(few, ["y"])
+
+
+def test_geometry_pairs(spark):
+    rng = random.Random(7)
+    pts = [(i, 52 + rng.random() * 0.05, 13 + rng.random() * 0.05) for i in range(60)] + [(900, None, 1.0)]
+    lines = [(i, [(52 + rng.random() * 0.05, 13 + rng.random() * 0.05) for _ in range(i % 4)]) for i in range(40)]
+    got = spatial.geometry_pairs(spark.createDataFrame(pts, "point_id long, lat double, lon double"), spark.createDataFrame(lines, "line_id long, geometry array<struct<lat:double,lon:double>>"), 700.0)
+    want = set()
+    for p, lat, lon in pts[:-1]:
+        flat = lambda v: ((v[1] - lon) * 111320 * math.cos(math.radians(lat)), (v[0] - lat) * 111320)  # noqa: B023, E731
+        for i, g in lines:
+            xy = [flat(v) for v in g]
+            for (x1, y1), (x2, y2) in zip(xy, xy[1:]) if len(xy) > 1 else [(v, v) for v in xy]:
+                dx, dy = x2 - x1, y2 - y1
+                t = max(0, min(1, -(x1 * dx + y1 * dy) / (dx * dx + dy * dy))) if dx or dy else 0
+                if math.hypot(x1 + t * dx, y1 + t * dy) <= 700:
+                    want.add((p, i))
+    assert {(r.point_id, r.line_id) for r in got.collect()} == want and len(want) > 50 and no_nested_loop(got)
+
+
+def test_cells_by_area_and_mode():
+    assert grid.cell_side(side=300.0) == 300.0 and grid.cell_side(side=300.0, area=10_000.0) == 100.0
+    assert grid.area_mode(radius_km=5) == (5000.0, True) and grid.area_mode(half_km=2) == (2000.0, False)
+    for bad in (lambda: grid.cell_side(side=0.0), lambda: grid.area_mode(half_km=0)):
+        with pytest.raises(ValueError):
+            bad()
