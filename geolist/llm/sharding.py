@@ -88,10 +88,12 @@ def histogram_shards(docs: DataFrame, shards: int = 8, *, doc_id: str = "doc_id"
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row of ``docs``.
 
     ``size`` is the text's UTF-8 bytes plus 1 (null: 1).  The law ``bytes`` holds: shard sizes differ from the
-    mean by the tolerance and at most one row.  After the one exchange, rows of a shard are numbered from 0
-    through its cells: a cell is a range of text hashes cut again by id hash, so even one text that fills a
-    third of the table is spread over many cells.  ``grown_shard`` is null under this law.  Null ids and
-    repeated rows are kept; rows equal in id and text share a key.  Other columns are not read.
+    mean by the tolerance and at most one row.  Equal texts lie in one shard, but for a group of copies larger than
+    the tolerance that a shard's border meets: near-equal bytes go before whole groups there, and the group is cut
+    by id hash.  After the one exchange, rows of a shard are numbered from 0 through its cells: a cell is a range of
+    text hashes cut again by id hash, into as many ranges as the most frequent text needs, so that no cell
+    holds much more than ``cell_rows`` rows.  ``grown_shard`` is null under this law.  Null ids and repeated rows are
+    kept; rows equal in id and text share a key and a cell.  An empty table gives no rows.  Other columns are not read.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     keys = docs.select(
@@ -103,7 +105,8 @@ def histogram_shards(docs: DataFrame, shards: int = 8, *, doc_id: str = "doc_id"
     )
     keys = staged(keys)  # one pass over the texts; every probe round reads these few numbers only
     bounds = splitters(keys.select("k1", "k2", F.col("size").alias("weight")), shards, tolerance=tolerance)
-    across, down = max(16, -(-keys.count() // cell_rows)), 16
+    most = keys.groupBy("k1").agg(F.count("*").alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("top")).first()
+    across, down = (max(16, -(-(n or 0) // cell_rows)) for n in (most.all, most.top))
     cell = F.expr(f"(k1 div {(1 << KEY_BITS) // across + 1}L) * {down} + (k2 div {(1 << KEY_BITS) // down + 1}L)")
     placed = keys.withColumn("shard", _above(bounds)).withColumn("cell", cell)
     in_cell = Window.partitionBy("shard", "cell").orderBy("k1", "k2", "doc_id", "text_crc32")

@@ -25,6 +25,21 @@ def test_near_equal_bytes_with_a_hot_text(spark):
     assert cold.count() == 4000 - 1334
 
 
+def test_shards_are_runs_of_an_exact_sort(docs):
+    """Shard borders against cumulated bytes of all rows, sorted on the driver."""
+    whole = docs.select("doc_id", F.expr("octet_length(coalesce(text, '')) + 1").alias("size"), sharding._key(F.coalesce("text", F.lit(""))).alias("k1"), sharding._key(F.col("doc_id")).alias("k2"), F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("c"))
+    rows = sorted((r.k1, r.k2, r.size, r.doc_id, r.c) for r in whole.where("doc_id is not null").collect())
+    found = {(r.doc_id, r.text_crc32): r.shard for r in sharding.histogram_shards(docs.where("doc_id is not null"), 4, tolerance=0.01).collect()}
+    order = [found[i, c] for _, _, _, i, c in rows]
+    assert order == sorted(order)
+    total, below = sum(r[2] for r in rows), 0
+    biggest = max(r[2] for r in rows)
+    for (_, _, size, _, _), a, b in zip(rows, order, order[1:]):
+        below += size
+        for border in range(a + 1, b + 1):
+            assert abs(below - total * border / 4) <= 0.01 * total / 4 + biggest
+
+
 def test_small_texts_stay_together(spark):
     rows = spark.range(20000).select(F.col("id").alias("doc_id"), (F.col("id") % 5000).cast("string").alias("text"))
     got = sharding.histogram_shards(rows)
