@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,19 +12,41 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Folders made by this process, for ``drop_staged``.
+_MADE: list[str] = []
 #: The ASCII white space that separates words: blank and \x09-\x0D.
 SPACES = "\x20\t\n\x0b\x0c\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder name below ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+def shared_base(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset and one machine does all work."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("geolist.local.checkpoint", None)
     if not base:
-        base = spark.conf.get("geolist.local.checkpoint", None)
-        if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="geolist-checkpoint-")
-            spark.conf.set("geolist.local.checkpoint", base)
-    return f"{base.rstrip('/')}/geolist-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        base = "file://" + tempfile.mkdtemp(prefix="geolist-checkpoint-")
+        spark.conf.set("geolist.local.checkpoint", base)
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A fresh folder name below ``shared_base``, noted for ``drop_staged``."""
+    path = f"{shared_base(spark)}/geolist-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def drop_staged(spark: SparkSession, keep: Iterable[str] = ()) -> int:
+    """Delete the folders that this process has made below the shared folder, but for those to ``keep``; returns their number.
+
+    Results are lazy and read these folders, so call it when the results are written.
+    """
+    gone = [path for path in _MADE if path not in set(keep)]
+    for path in gone:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _MADE.remove(path)
+    return len(gone)
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -39,6 +62,13 @@ def parts_for(df: DataFrame, text: str, bytes_each: int) -> int:
     return max(1, -(-int(total) // bytes_each))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, so that a worker holds few texts and what it makes of them at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def column_bytes(data: pa.RecordBatch | pa.Table, name: str) -> list[bytes]:
     """A string column as a list of bytes objects; null is empty."""
     col = data.column(name)

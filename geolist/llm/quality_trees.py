@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes
+from .common import column_bytes, slices
 
 #: Characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -137,7 +137,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
     width = len(FEATURES)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             feats = np.array([text_stats(b)[1] for b in column_bytes(batch, "_text")], float).reshape(-1, width)
             yield pa.record_batch([batch.column("_id"), batch.column("_y"), pa.array(list(feats), pa.list_(pa.float64()))], ["_id", "_y", "_x"])
 
@@ -166,7 +166,7 @@ def quality_rules(docs: DataFrame, model: Trees, *, doc_id: str = "doc_id", text
     """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             base, *rest = _verdicts(column_bytes(batch, "_text"), model, min_words, max_repeat_percent, min_score)
             yield pa.record_batch([batch.column("doc_id"), *(pa.array(np.ascontiguousarray(c)) for c in (*base.T, *rest))], ["doc_id", *STATS, "base_failed", "quality_score", "kept"])
 
@@ -183,7 +183,7 @@ def drop_low_quality(docs: DataFrame, model: Trees, *, text: str = "text", min_w
     at = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             good = _verdicts(column_bytes(batch, batch.schema.names[at]), model, min_words, max_repeat_percent, min_score)[3]
             yield batch.filter(pa.array(good))
 

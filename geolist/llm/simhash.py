@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, components, hash_bounds, planes, staged, unplanes
+from .common import column_bytes, components, hash_bounds, planes, slices, staged, unplanes
 
 #: Bits of the parities that candidate pairs are bounded by.
 _PARITY = 512
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     """``doc_id, fp`` (signed 64-bit) of every whole text, A-Z lower-cased; null and blank texts give 0."""
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = [shingle_print(t.lower().split(), width) for t in column_bytes(batch, "_text")]
             yield pa.record_batch([batch.column("doc_id"), _signed(out)], ["doc_id", "fp"])
 
@@ -239,7 +239,7 @@ def _common_shingles(rows: DataFrame, width: int, texts: int = 10_000, most: int
     return h[order], n[order]
 
 
-def _shared_prefixes(texts: DataFrame, block_hashes: int = 1_000_000) -> DataFrame:
+def _shared_prefixes(texts: DataFrame, block_hashes: int = 500_000) -> DataFrame:
     """``texts(id, label, size, parity, prefix)`` with those prefix shingles only that a text of another label has too.
 
     Blocks of texts send their distinct hashes, sorted and packed, each with its label, to the owner of each range of
@@ -350,7 +350,7 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     other again; only those left over meet every piece.  So a text moves twice and once more for every piece's
     worth of left-over texts, and no task holds more than two pieces.
     """
-    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("s")).select("root", F.ceil(F.greatest(F.col("n") / chunk, F.col("s") / 4_000_000)).cast("int").alias("parts"))
+    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("s")).select("root", F.ceil(F.greatest(F.col("n") / chunk, F.col("s") / 1_000_000)).cast("int").alias("parts"))
     members = staged(members.join(sizes, "root").select("id", "root", "parts", F.pmod("id", F.col("parts")).cast("int").alias("i"), "parity", F.col("text_key").alias("_k"), F.col("least").alias("_l")))
     held = rows.join(members, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_l"))).select("root", "i", "parts", "id", "_text")
     held = staged(held)
@@ -426,7 +426,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = lambda xs: pa.array([x.view(np.int64) for x in xs], pa.list_(pa.int64()))
-        for batch in batches:
+        for batch in slices(batches):
             own, size, parity, prefix = [], [], [], []
             for t in column_bytes(batch, "_text"):
                 own.append(np.array(word_prints(Counter(t.lower().split()), families), np.uint64))

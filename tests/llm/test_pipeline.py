@@ -33,6 +33,25 @@ def test_stages(spark, sf_dir, docs):
     assert cp.run(spark, sf_dir).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
 
 
+def test_clashing_names(spark, sf_dir, docs):
+    names = ["_k", "_i", "_d", "_h", "_w", "_b", "_row", "row", "label", "root", "text_key", "kept"]
+    frame = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("*", *[f"'x' as {n}" for n in names])
+    for name, stage in cp.STAGES[:-1]:
+        frame = cp.common.staged(stage(spark, frame, sf_dir))
+        assert frame.columns == [*docs.columns, *names], name
+    assert frame.count()
+
+
+def test_staged_folders_can_be_dropped(spark):
+    from geolist.llm import common
+
+    kept = common.staged(spark.range(3))
+    path = common._MADE[-1]
+    common.staged(spark.range(4))
+    assert common.drop_staged(spark, keep=[path]) > 0
+    assert kept.count() == 3 and common._MADE == [path]
+
+
 def test_empty(spark, tmp_path, docs):
     spark.createDataFrame([], docs.schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
