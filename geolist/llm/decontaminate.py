@@ -127,8 +127,11 @@ def mark_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents without a verified passage, with all their columns."""
+    """The documents without a verified passage, with all their columns, whatever these are called.
+
+    Null and empty texts hold no passage and stay; repeated rows stay or go together.
+    """
     doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
-    bad = find_leaks(docs, items, **options).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_h"))
-    return docs.join(bad, same, "left_anti")
+    bad = find_leaks(docs, items, **options).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    whole = docs.select(F.col(doc_id).cast("long").alias("own_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("own_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return whole.join(bad, F.col("own_id").eqNullSafe(F.col("bad_id")) & (F.col("own_hash") == F.col("bad_hash")), "left_anti").select("row.*")

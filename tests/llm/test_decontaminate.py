@@ -100,6 +100,14 @@ def test_blocks_find_every_pair_within_the_radius(spark):
     assert set(pairs) <= found
 
 
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, ITEMS[0][1], *"abcdefg"), (2, "clean", *"abcdefg"), (None, None, *"abcdefg")], "doc_id long, text string, _d string, _h string, _w string, own_id string, bad_id string, row string, text_hash string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    left = d.drop_leaks(docs, items)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {2, None}
+    assert d.mark_leaks(docs, items).where("contaminated").count() == 1
+
+
 def test_empty_tables(spark, no_docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert d.mark_leaks(no_docs, items).count() == 0
