@@ -53,7 +53,7 @@ def find_exponent(sources: DataFrame, budget: int, *, max_repeats: float | None,
 
 
 def _with_copies(docs: DataFrame, rows: DataFrame, *, budget_share: float, max_repeats: float | None, min_entropy: float | None, seed: int) -> DataFrame:
-    """``docs(doc_id, source, n_tokens, ...)`` with ``exponent, quota, block, copies``; ``rows`` has the same first three."""
+    """``docs(doc_id, source, n_tokens, draw, ...)`` with ``exponent, quota, block, copies``; ``rows`` has the same first four."""
     sources = staged(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs")))
     budget = int(budget_share * (sources.agg(F.sum("tokens")).first()[0] or 0))
     step = find_exponent(sources, budget, max_repeats=max_repeats, min_entropy=min_entropy)
@@ -65,7 +65,7 @@ def _with_copies(docs: DataFrame, rows: DataFrame, *, budget_share: float, max_r
         F.floor(F.round(power / F.lit(z) * F.lit(float(budget)), 3)).cast("long").alias("quota"),
         F.ceil(F.sqrt("n_docs")).cast("long").alias("n_blocks"),
     ).select("*", F.expr("quota div tokens").alias("passes"), F.expr("quota % tokens").alias("rest"))
-    number = F.coalesce("doc_id", F.lit(-1)).cast("string")
+    number = F.coalesce(F.col("doc_id").cast("string"), "draw")
 
     def placed(df: DataFrame) -> DataFrame:
         return df.join(quotas, F.col("source").eqNullSafe(F.col("_s"))).withColumn("block", _draw(F.lit(f"{seed}|block"), number) % F.col("n_blocks"))
@@ -80,7 +80,7 @@ def _with_copies(docs: DataFrame, rows: DataFrame, *, budget_share: float, max_r
 
 
 def _measured(docs: DataFrame, doc_id: str, text: str, source: str, *more) -> DataFrame:
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.greatest(F.size(words_of(text)), F.lit(1)).cast("long").alias("n_tokens"), *more)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.greatest(F.size(words_of(text)), F.lit(1)).cast("long").alias("n_tokens"), F.when(F.col(doc_id).isNull(), F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8"))).alias("draw"), *more)
 
 
 def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", budget_share: float = 1.0, max_repeats: float | None = 1.5, min_entropy: float | None = None, seed: int = 17) -> DataFrame:
@@ -89,7 +89,8 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
     Tokens are words between ASCII white space; a text without words counts one token.  ``budget_share`` of all
     tokens is the budget.  ``copies`` is how often the mix takes the document; the copies of a source hold its
     ``quota`` of tokens to within one document.  A null source is a source of its own; null texts have one
-    token; rows with the same id are drawn one after the other in the order of their block.  A source of
+    token; rows with the same id are drawn one after the other in the order of their block, rows without an id are
+    drawn by the MD5 of their text.  Other columns do not matter; an empty table gives no rows.  A source of
     n documents has about sqrt(n) blocks of sqrt(n) documents, so no task ever sorts a whole source.
     """
     rows = staged(_measured(docs, doc_id, text, source))
@@ -109,7 +110,7 @@ def mix_sql(table: str, *, max_repeats: float = 1.5, seed: int = 17) -> str:
     """The same for DuckDB, with the budget of all tokens."""
     draw = lambda s: f"('0x' || md5({s})[1:15])::BIGINT"
     return f"""
-WITH r AS (SELECT doc_id, source, greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1)::BIGINT AS n_tokens FROM {table}),
+WITH r AS (SELECT doc_id, source, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS num, greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1)::BIGINT AS n_tokens FROM {table}),
 s AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, count(*) AS n_docs FROM r GROUP BY 1),
 b AS (SELECT sum(tokens)::BIGINT AS budget FROM s),
 g AS (SELECT k, max(pow(tokens::DOUBLE, k / {STEPS}.0::DOUBLE) / tokens) / sum(pow(tokens::DOUBLE, k / {STEPS}.0::DOUBLE)) * any_value(budget) AS top
@@ -118,10 +119,10 @@ e AS (SELECT coalesce(min(k) FILTER (WHERE top <= {max_repeats}), {STEPS}) AS k
 z AS (SELECT sum(pow(tokens::DOUBLE, k / {STEPS}.0::DOUBLE)) AS z FROM s, e),
 q AS (SELECT source, tokens, k / {STEPS}.0::DOUBLE AS exponent, floor(round(pow(tokens::DOUBLE, k / {STEPS}.0::DOUBLE) / z * budget, 3))::BIGINT AS quota,
       ceil(sqrt(n_docs::DOUBLE))::BIGINT AS n_blocks FROM s, e, z, b),
-p AS (SELECT r.*, q.tokens, q.quota, q.exponent, {draw(f"'{seed}|block|' || coalesce(doc_id, -1)")} % n_blocks AS block
+p AS (SELECT r.*, q.tokens, q.quota, q.exponent, {draw(f"'{seed}|block|' || num")} % n_blocks AS block
       FROM r JOIN q ON r.source IS NOT DISTINCT FROM q.source),
 f AS (SELECT source, block, coalesce(sum(t) OVER (PARTITION BY source ORDER BY {draw(f"'{seed}|turn|' || coalesce(source, '') || '|' || block")}, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled
       FROM (SELECT source, block, sum(n_tokens) AS t FROM p GROUP BY 1, 2)),
-u AS (SELECT p.*, filled + sum(n_tokens) OVER (PARTITION BY p.source, p.block ORDER BY {draw(f"'{seed}|doc|' || coalesce(doc_id, -1)")}, doc_id, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n_tokens AS upto
+u AS (SELECT p.*, filled + sum(n_tokens) OVER (PARTITION BY p.source, p.block ORDER BY {draw(f"'{seed}|doc|' || num")}, doc_id, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n_tokens AS upto
       FROM p JOIN f ON p.source IS NOT DISTINCT FROM f.source AND p.block = f.block)
 SELECT doc_id, source, n_tokens, exponent, quota, block, (quota // tokens + (upto < quota % tokens)::BIGINT)::BIGINT AS copies FROM u"""
