@@ -72,4 +72,4 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_temperature_mix": mixing.mix_sql("documents")}
+ORACLE_SQL: dict[str, str] = {"op8_temperature_mix": mixing.mix_sql("documents"), "op9_substring_dedup": substring_dedup.REPEATS_SQL}

@@ -187,3 +187,14 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     first = staged(first.where(F.translate(F.hex("flags"), "0", "") != ""))  # read twice
     second = by_block.cogroup(first.groupBy("_block")).applyInArrow(send_words, sent).groupBy("bucket").applyInArrow(answer(2), told)
     return by_block.cogroup(first.union(second).groupBy("_block")).applyInArrow(cut_out, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+
+
+#: The same for DuckDB over ``documents``, without the kept texts.
+REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+f AS (SELECT g, min(doc_id) AS d FROM x GROUP BY g HAVING count(*) > 1),
+e AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM x JOIN f USING (g) WHERE d < doc_id),
+a AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+k AS (SELECT doc_id, count(e.p) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE e.p IS NULL) AS kept FROM a LEFT JOIN e USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)"""
