@@ -48,3 +48,28 @@ def test_monotone_and_learns():
         line = np.tile(other, (200, 1))
         line[:, 1] = grid
         assert (np.diff(model.score(line)) >= -1e-12).all()
+
+
+def walked(model, x):
+    """Score of one document, node by node."""
+    total = model.base
+    for f, cut, value in zip(model.feature, model.threshold, model.value):
+        node = 0
+        while node < len(f):
+            node = 2 * node + (2 if x[f[node]] > cut[node] else 1)
+        total += value[node - len(f)]
+    return 1 / (1 + np.exp(-total))
+
+
+def test_verdict_against_a_walk_through_the_trees(spark, docs, doc_rows):
+    model = q.fit_quality(docs, labels_for(spark, doc_rows))
+    want = []
+    for i, text, *_ in doc_rows:
+        (n, *_, repeat), x = q.text_stats((text or "").encode())
+        score = walked(model, x)
+        want.append((i is not None, i or 0, round(score, 9), bool(n >= 50 and 100 * repeat <= 50 * n and score >= 0.5)))
+    got = q.quality_rules(docs, model).collect()
+    assert sorted((r.doc_id is not None, r.doc_id or 0, round(r.quality_score, 9), r.kept) for r in got) == sorted(want)
+    left = q.drop_low_quality(docs, model).collect()
+    assert sorted((r.doc_id is not None, r.doc_id or 0) for r in left) == sorted(w[:2] for w in want if w[3])
+    assert 0 < len(left) < len(doc_rows)
