@@ -1,10 +1,9 @@
 """Substring dedup: Rabin-Karp hashes of every fixed-length word window, counted across the corpus in Spark.
 
-Documents are dealt into blocks by a hash of their id.  A block sends each distinct 64-bit window hash once, with
-the least document id it has there, to the bucket that owns the hash range.  A bucket answers with one bit
-per hash: whether another block has it too.  Hashes found twice, here or elsewhere, are only candidates: their
-windows are told apart by a 128-bit digest of their words, which goes the same way and is answered by whether a
-smaller id has the same window.  The block then merges the windows that are to go into maximal removal
+Documents are dealt into blocks by a hash of their id.  A block sends each distinct 64-bit window hash once to the
+bucket that owns the hash range.  A bucket answers with one bit per hash: whether another block has it too.  Hashes found twice, here or elsewhere, are only candidates: their
+windows are told apart by a 128-bit digest of their words, which goes the same way with the least document id of the
+block and is answered by whether a smaller id has the same window.  The block then merges the windows that are to go into maximal removal
 intervals.  A window that all documents share costs one entry per block, so it is never a hot key.
 """
 
@@ -19,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, column_ids, hash_bounds, parts_for, planes, staged, unplanes
+from .common import column_bytes, column_ids, hash_bounds, parts_for, planes, unplanes
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -121,13 +120,13 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         cut, rows = hash_bounds(hashes, buckets), []
         for b in np.flatnonzero(cut[1:] > cut[:-1]):
             part = slice(cut[b], cut[b + 1])
-            rows.append((int(b), block, planes(np.diff(hashes[part], prepend=np.uint64(0))), rest[part].tobytes(), planes(ids[part])))
+            rows.append((int(b), block, planes(np.diff(hashes[part], prepend=np.uint64(0))), rest[part].tobytes(), planes(ids[part]) if len(ids) else b""))
         cols = list(zip(*rows)) or [[]] * 5
         return pa.table([pa.array(c, f.type) for c, f in zip(cols, _SENT)], schema=_SENT)
 
     def send(key: tuple, data: pa.Table) -> pa.Table:
         block = _Block(data, width)
-        return parcels(key[0].as_py(), block.hashes, np.empty(len(block.hashes), "V0"), block.ids[block.first])
+        return parcels(key[0].as_py(), block.hashes, np.empty(0, np.uint64), np.empty(0, np.int64))
 
     def send_words(key: tuple, data: pa.Table, replies: pa.Table) -> pa.Table:
         if not data.num_rows:
@@ -139,12 +138,12 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     def answer(step: int):
         def reply(data: pa.Table) -> pa.Table:
             hashes = [np.cumsum(unplanes(x, np.uint64), dtype=np.uint64) for x in data.column("hashes").to_pylist()]
-            ids = np.concatenate([unplanes(x, np.int64) for x in data.column("ids").to_pylist()])
             every = np.concatenate(hashes)
             if step == 1:
                 by = np.argsort(every, kind="stable")
                 new = every[by][1:] != every[by][:-1]
             else:
+                ids = np.concatenate([unplanes(x, np.int64) for x in data.column("ids").to_pylist()])
                 rest = np.concatenate([np.frombuffer(x, np.uint64) for x in data.column("rest").to_pylist()])
                 by = np.lexsort((rest, every))
                 new = (every[by][1:] != every[by][:-1]) | (rest[by][1:] != rest[by][:-1])
@@ -184,7 +183,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     sent, told = "bucket int, _block int, hashes binary, rest binary, ids binary", "bucket int, _block int, step int, flags binary"
     by_block = dealt.groupBy("_block")
     first = by_block.applyInArrow(send, sent).groupBy("bucket").applyInArrow(answer(1), told)
-    first = staged(first.where(F.translate(F.hex("flags"), "0", "") != ""))  # read twice
+    first = first.where(F.translate(F.hex("flags"), "0", "") != "")  # used twice; one job, so texts are dealt once
     second = by_block.cogroup(first.groupBy("_block")).applyInArrow(send_words, sent).groupBy("bucket").applyInArrow(answer(2), told)
     return by_block.cogroup(first.union(second).groupBy("_block")).applyInArrow(cut_out, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
