@@ -93,7 +93,7 @@ def test_scores_against_brute_force(docs, doc_rows):
             kind_n[lm.token_kind(name(t), 4)] += c
             kind_v[lm.token_kind(name(t), 4)] += 1
     output = lm.Output(np.array([float(counts[t]) for t in own]), kind_n, int(np.ceil(np.sqrt(len(own)))))
-    model = lm.LogBilinear.start(output, 16)
+    model = lm.LogBilinear.start(output, 12)
     for r in doc_rows:
         t = tokens(r[1])
         if len(t) > 300:
