@@ -37,7 +37,7 @@ def slugify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.encode(T.slugify(F.col("text")), "utf-8")).alias("slug_md5"))
 
 
-@query()
+@query("SELECT doc_id, md5(coalesce(nullif(lower(trim(regexp_replace(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g'), '[^a-zA-Z0-9]+', '_', 'g'), '_')), ''), 'field')) AS slug_md5 FROM documents")
 def slugify_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.encode(T.slugify_any(F.col("text")), "utf-8")).alias("slug_md5"))
 
@@ -137,7 +137,10 @@ def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return walked.select("page_id", T.clean(F.col("title")).alias("title"))
 
 
-@query()
+_PLAIN_TEXT = "nullif(trim(regexp_replace(" + _UNESC.format("{0}") + ", '[ \\t-\\r]+', ' ', 'g')), '')"
+
+
+@query(f"WITH p AS (SELECT page_id, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) AS root, html, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t, regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1) AS ad FROM pages), l AS (SELECT page_id, count(DISTINCT u) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS u FROM p) WHERE u <> '' GROUP BY 1) SELECT page_id, NULL::VARCHAR AS expose_id, coalesce({_PLAIN_TEXT.format('h')}, {_PLAIN_TEXT.format('t')}) AS name, n::INT AS n_documents, 0 AS n_images, 0 AS n_attributes, NULL::VARCHAR AS ld_name, {_PLAIN_TEXT.format('ad')} AS intro, coalesce(lower({_PLAIN_TEXT.format('t')}) = 'ich bin kein roboter', false) OR coalesce(lower({_PLAIN_TEXT.format('h')}) = 'ich bin kein roboter', false) AS challenge FROM p LEFT JOIN l USING (page_id)")
 def listing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured records of whole pages, flattened to counts and keys."""
     out = html.listing_records(table(spark, sf_dir, "pages"), fields={"intro": ("class", "ad")})
