@@ -347,8 +347,8 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     ``root`` a group.  A group that fits a piece is compared whole.  A larger one is dealt into pieces that are
     each compared within, and with the group's head: the text nearest to the majority of its parity bits, which
     the copies of one original share.  Texts that so far hang together with most of the group need not meet each
-    other again; only those left over meet every piece.  So a text moves twice and once more for every piece's
-    worth of left-over texts, and no task holds more than two pieces.
+    other again; only those left over meet every piece, by sketches first and by text where these allow a link.  No
+    task holds more than two pieces.
     """
     sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("s")).select("root", F.ceil(F.greatest(F.col("n") / chunk, F.col("s") / 1_000_000)).cast("int").alias("parts"))
     members = staged(members.join(sizes, "root").select("id", "root", "parts", F.pmod("id", F.col("parts")).cast("int").alias("i"), "parity", F.col("text_key").alias("_k"), F.col("least").alias("_l")))
@@ -389,22 +389,43 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     if most.isEmpty():
         return links
     marks = staged(labelled.select("root", "id", "label").join(most, "root").drop("root"))
-    open_ = held.join(marks, "id")
-    left = staged(open_.where("label <> main").withColumn("j", F.pmod(F.xxhash64("id"), F.col("rest")).cast("int")))
 
-    def across(few: pa.Table, mine: pa.Table) -> pa.Table:
-        if not few.num_rows or not mine.num_rows:
-            return _LINKS.empty_table()
-        ids, sets = sets_of(few, mine)
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [_shingle_set(t, width) for t in column_bytes(batch, "_text")]
+            made = [pa.array([len(x) for x in sets], pa.int64()), pa.array([_parity(x, 2048).tobytes() for x in sets], pa.binary())]
+            yield pa.record_batch([*(batch.column(c) for c in ("root", "i", "parts", "id")), *made], ["root", "i", "parts", "id", "size", "sketch"])
+
+    # who may meet at all is told by short sketches; only the texts of those move again
+    short = held.mapInArrow(sketch, "root long, i int, parts int, id long, size long, sketch binary")
+    open_ = staged(short.join(marks, "id").withColumn("j", F.pmod(F.xxhash64("id"), F.col("rest")).cast("int")))
+    own = ["id", "label", "size", "sketch"]
+    few = open_.where("label <> main").select("root", "j", every("parts").alias("i"), F.lit(True).alias("few"), *own)
+    both = few.unionByName(open_.select("root", "i", every("rest").alias("j"), F.lit(False).alias("few"), *own))
+
+    def meet(data: pa.Table) -> pa.Table:
+        few = np.asarray(data.column("few"))
+        size, label = np.asarray(data.column("size")), np.asarray(data.column("label"))
+        bits = np.frombuffer(b"".join(data.column("sketch").to_pylist()), np.uint64).reshape(len(few), -1)
+        mine, may = np.flatnonzero(~few), np.zeros(len(few), bool)
+        for x in np.flatnonzero(few):
+            near = mine[(label[mine] != label[x]) & _may_reach(floor, size[mine], size[x], np.bitwise_count(bits[mine] ^ bits[x]).sum(1))]
+            may[near] = True
+            may[x] |= len(near) > 0
+        return data.select(["root", "i", "j", "few", "id", "label"]).filter(pa.array(may))
+
+    may = staged(both.groupBy("root", "i", "j").applyInArrow(meet, "root long, i int, j int, few boolean, id long, label long"))
+
+    def across(data: pa.Table) -> pa.Table:
+        ids, sets = sets_of(data)
         label = np.empty(len(ids), np.int64)
-        for data in (few, mine):
-            label[np.searchsorted(ids, np.asarray(data.column("id")))] = np.asarray(data.column("label"))
-        pairs = [(ids[x], ids[y]) for x, y in _cross_links(sets, label, np.searchsorted(ids, np.unique(np.asarray(few.column("id")))), floor)]
+        label[np.searchsorted(ids, np.asarray(data.column("id")))] = np.asarray(data.column("label"))
+        some = np.searchsorted(ids, np.unique(np.asarray(data.column("id"))[np.asarray(data.column("few"))]))
+        pairs = [(ids[x], ids[y]) for x, y in _cross_links(sets, label, some, floor)]
         return pa.table([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=_LINKS)
 
-    few = left.select("root", "j", every("parts").alias("i"), "id", "label", "_text").groupBy("root", "i", "j")
-    mine = open_.select("root", "i", every("rest").alias("j"), "id", "label", "_text").groupBy("root", "i", "j")
-    return links.union(few.cogroup(mine).applyInArrow(across, "a long, b long"))
+    met = may.join(held.select("id", "_text"), "id").groupBy("root", "i", "j").applyInArrow(across, "a long, b long")
+    return links.union(met)
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, min_similarity: float = 0.8, radius: int = 3, families: int = 4, chunk: int = 512) -> DataFrame:
