@@ -77,9 +77,9 @@ def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings from ``customer``."""
-    i = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(i.alias("point_id"), (i % 5).alias("city"), _x(i).alias("x"), _y(i).alias("y"), _lat(i).alias("lat"), _lon(i).alias("lon"), F.col("c_acctbal").alias("balance"))
+    """Listings from ``customer``, at other places than the streets."""
+    i = F.col("c_custkey") + 12345
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("point_id"), (i % 5).alias("city"), _x(i).alias("x"), _y(i).alias("y"), _lat(i).alias("lat"), _lon(i).alias("lon"), F.col("c_acctbal").alias("balance"))
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +129,7 @@ def _case(kind: str, value: str) -> str:
     return f"CASE WHEN event_type = '{kind}' THEN {value} END"
 
 
-_E, _P, _C, _S = "event_id::BIGINT", "p_partkey::BIGINT", "c_custkey::BIGINT", "s_suppkey::BIGINT"
+_E, _P, _C, _S = "event_id::BIGINT", "p_partkey::BIGINT", "(c_custkey::BIGINT + 12345)", "s_suppkey::BIGINT"
 _N = "n_nationkey::BIGINT"
 SQL = {
     "el": f"el AS (SELECT event_id AS element_id, event_id % 5 AS city, {_sx(_E)} AS x, {_sy(_E)} AS y, {_slat(_E)} AS lat, {_slon(_E)} AS lon, {_spick(OSM_TYPES, _E)} AS osm_type, event_type AS kind, value, {_case('view', _spick(AMENITIES, _E))} AS amenity, {_case('click', _spick(SHOPS, _E))} AS shop, {_case('purchase', repr('yes'))} AS healthcare, {_case('signup', repr('hotel'))} AS tourism, {_case('error', _spick(HIGHWAYS, _E))} AS highway, {_case('purchase', _spick(LEISURE, _E))} AS leisure, {_case('click', _spick(LANDUSE, _E))} AS landuse, {_case('signup', _spick(NATURAL, _E))} AS nature, {_case('signup', _spick(RAILWAYS, _E))} AS railway, {_case('error', _spick(LIT, _E))} AS lit, {_case('error', _spick(PLATFORMS, _E))} AS public_transport FROM events)",

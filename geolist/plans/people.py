@@ -124,11 +124,11 @@ def _explained_sql() -> str:
     return "CASE persona " + " ".join(tops) + " END"
 
 
-@query(f"{_PERSONAS}, tp AS (SELECT id, persona, score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, place) AS k FROM ps WHERE round(score, 9) >= 0.1) WHERE k = 1) SELECT ro.id, coalesce(persona, 'unknown') AS primary_persona, round(coalesce(score, 0.0), 6) AS primary_score, {_explained_sql()} AS top_factors FROM ro LEFT JOIN tp USING (id)")
+@query(f"{_PERSONAS}, tp AS (SELECT id, persona, score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, place) AS k FROM ps WHERE round(score, 9) >= 0.1) WHERE k = 1) SELECT ro.id, coalesce(persona, 'unknown') AS primary_persona, round(coalesce(score, 0.0), 9) AS primary_score, {_explained_sql()} AS top_factors FROM ro LEFT JOIN tp USING (id)")
 def persona_explained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Primary persona with its leading factors."""
     first = F.get("top", F.lit(0))
-    return _ranked(spark, sf_dir).select("id", F.coalesce(first["persona"], F.lit("unknown")).alias("primary_persona"), F.coalesce(F.round(first["score"], 6), F.lit(0.0)).alias("primary_score"), F.array_join(first["top_factors"], ",").alias("top_factors"))
+    return _ranked(spark, sf_dir).select("id", F.coalesce(first["persona"], F.lit("unknown")).alias("primary_persona"), F.coalesce(F.round(first["score"], 9), F.lit(0.0)).alias("primary_score"), F.array_join(first["top_factors"], ",").alias("top_factors"))
 
 
 @query("SELECT CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'val' ELSE 'test' END AS split, count(*) AS n FROM (SELECT ('0x' || sha256('7:' || doc_id)[1:4])::INT / 65535.0::DOUBLE AS u FROM documents) GROUP BY 1")
@@ -211,14 +211,14 @@ def feature_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.feature_index(learn.assemble_features(_feature_records(spark, sf_dir), "id"))
 
 
-@query(f"WITH {_LONG}, ix AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS i FROM (SELECT DISTINCT feature FROM fe)) SELECT id, string_agg(i::VARCHAR, ',' ORDER BY i) AS indices, round(sum(value * (i + 1)), 6) AS weighted, count(*) AS n FROM fe JOIN ix USING (feature) GROUP BY 1")
+@query(f"WITH {_LONG}, ix AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS i FROM (SELECT DISTINCT feature FROM fe)) SELECT id, string_agg(i::VARCHAR, ',' ORDER BY i) AS indices, round(sum(value * (i + 1)), 2) AS weighted, count(*) AS n FROM fe JOIN ix USING (feature) GROUP BY 1")
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse vectors of records over the feature index, and their product with 1, 2, 3, ... by the dense form."""
     features = learn.assemble_features(_feature_records(spark, sf_dir), "id")
     vectors = learn.sparse_vectors(features, learn.feature_index(features), "id")
     dense = learn.dense(F.col("indices"), F.col("values"), len(_FEATURES))
     weighted = F.aggregate(F.zip_with(dense, F.sequence(F.lit(1), F.lit(len(_FEATURES))), lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x)
-    summed = vectors.withColumn("weighted", F.round(weighted, 6)).withColumn("n", F.size("indices").cast("long"))
+    summed = vectors.withColumn("weighted", F.round(weighted, 2)).withColumn("n", F.size("indices").cast("long"))
     return summed.select("id", F.array_join(F.transform("indices", lambda i: i.cast("string")), ",").alias("indices"), "weighted", "n")
 
 
@@ -233,12 +233,12 @@ def weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.groupBy("persona").agg(F.sum("label").cast("long").alias("positive"), F.count("*").alias("n"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 1 THEN 9.5 WHEN o_custkey % 90 > 0 AND o_totalprice > 0 THEN round(o_totalprice / (o_custkey % 90), 6) END::DOUBLE AS price_m2 FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 1 THEN 9.5 WHEN o_custkey % 90 > 0 AND o_totalprice > 0 THEN round(o_totalprice / (o_custkey % 90), 9) END::DOUBLE AS price_m2 FROM orders")
 def price_per_m2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Given price per square metre, else price by area where both are positive."""
     k, area = F.col("o_orderkey"), (F.col("o_custkey") % 90).cast("double")
     value = scores.price_per_m2(F.when(k % 5 == 1, 9.5).when(k % 5 == 2, 0.0), F.col("o_totalprice"), area)
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(value, 6).alias("price_m2"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(value, 9).alias("price_m2"))
 
 
 @query("SELECT c_custkey, coalesce(nullif(lower(trim(CASE WHEN c_custkey % 3 = 0 THEN ' ' || c_mktsegment || ' ' WHEN c_custkey % 3 = 1 THEN '  ' END)), ''), lower(trim(c_name))) AS city FROM customer")
