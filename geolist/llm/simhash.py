@@ -485,17 +485,20 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     return grouped.join(heads, "group").select("text_key", "least", "h.keep_key", "h.keep_id")
 
 
-def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", broadcast_rows: int = 1_000_000, **options) -> DataFrame:
     """One document of each group of copies and near copies, the one with the smallest id, with all its columns.
 
+    The keys of what stays (24 bytes each) are sent to the texts while there are at most ``broadcast_rows`` of them.
     Rows equal in id and text count once, whichever of them stays.  Null texts count as empty; a group whose ids
     are all null keeps one row.  Names of other columns do not matter.
     """
     groups = near_duplicates(docs, doc_id=doc_id, text=text, **options)
     keep = staged(groups.where(F.col("text_key") == F.col("keep_key")).select("text_key", "keep_id"))
+    n = keep.count()
+    keep = F.broadcast(keep) if n <= broadcast_rows else keep
     whole = docs.select(F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("text_key"), F.col(doc_id).cast("long").alias("keep_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     same = whole["text_key"].eqNullSafe(keep["text_key"]) & whole["keep_id"].eqNullSafe(keep["keep_id"])
     kept = whole.join(keep, same, "left_semi")
-    if kept.count() > keep.count():  # some row is repeated whole: only then are rows brought together
+    if kept.count() > n:  # some row is repeated whole: only then are rows brought together
         kept = kept.dropDuplicates(["text_key"])
     return kept.select("row.*")
