@@ -14,6 +14,7 @@ input is laid out nor on which task reads what.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, crc_mod, parts_for, staged
+from .common import column_bytes, crc_mod, parts_for, planes, staged, unplanes
 
 #: The end of a text, as a token: it has a blank, so no word equals it.
 END = b" end"
@@ -205,6 +206,11 @@ class _Places(dict):
 _BLOCK = "_block int, ids array<long>, held array<boolean>, lengths array<int>, codes binary, words array<binary>, n array<long>"
 
 
+def _owners(tokens: list[bytes], buckets: int) -> np.ndarray:
+    """The bucket that counts each token."""
+    return np.fromiter(map(zlib.crc32, tokens), np.int64, len(tokens)) % buckets
+
+
 def _encode(key: tuple, data: pa.Table) -> pa.Table:
     """One row of a block: its texts in the order of id and text as numbers of its own tokens, and their training counts."""
     bodies, ids, out = column_bytes(data, "_text"), data.column("doc_id").to_pylist(), data.column("held_out").to_pylist()
@@ -222,15 +228,15 @@ def _encode(key: tuple, data: pa.Table) -> pa.Table:
     return pa.table([pa.array(x, t) for x, t in zip(row, types)], ["_block", "ids", "held", "lengths", "codes", "words", "n"])
 
 
-def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_vocabulary: int = 4096, kinds: int = 32, dim: int = 12, rounds: int = 2, hold_out: int = 10, block_bytes: int = 8 << 20, frequent: int = 50_000) -> DataFrame:
+def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_vocabulary: int = 4096, kinds: int = 32, dim: int = 12, rounds: int = 2, hold_out: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
     """Score every whole text: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Tokens are A-Z lower-cased words between ASCII white space and one end.  Documents whose id has crc32 modulo
     ``hold_out`` of 0 are held out of counts and training; a null id is never held out.  Null and blank texts are
     one end token.  ``base_score`` is the smoothed unigram log10 probability, ``score`` the model's.  An eighth of
     the types, but 512 at least and ``max_vocabulary`` at most, have vectors of their own, in as many classes as the
-    root of their number.  Counts of all distinct tokens stay in Spark but for those of the ``frequent`` most frequent,
-    which every task gets; a block receives those of its own other tokens only.  Repeated rows count as often as
+    root of their number.  Counts of all distinct tokens stay in Spark: blocks send their tokens in packs to the owner
+    of a token's hash, which adds them up and answers each pack with its counts.  Repeated rows count as often as
     they come; rows without an id are dealt by their text; other columns are not read.
     """
     blocks = parts_for(docs, text, block_bytes)
@@ -239,22 +245,46 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("_text"))), F.lit(blocks)).cast("int"))
     coded = staged(dealt.groupBy("_block").applyInArrow(_encode, _BLOCK))
 
-    words = coded.select(F.explode(F.arrays_zip("words", "n")).alias("z")).groupBy(F.col("z.words").alias("word")).agg(F.sum("z.n").alias("c")).where("c > 0")
-    kind = F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(kinds)).cast("int")
-    words = staged(words.withColumn("kind", kind))
-    total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    n_all, n_types = int(total.n or 0), int(total.v)
-    top = words.orderBy(F.desc("c"), "word").select("word", "kind", "c").limit(frequent).collect()  # bounded by the parameter
-    own = top[: min(max_vocabulary, max(512, n_types // 8))]
-    kind_n, kind_v = np.zeros(kinds), np.zeros(kinds)
-    for r in words.groupBy("kind").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
-        kind_n[r.kind], kind_v[r.kind] = r.n, r.v
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b, names, n in zip(batch.column("_block").to_pylist(), batch.column("words"), batch.column("n")):
+                names, n, rows = names.as_py(), np.asarray(n.values), []
+                owner = _owners(names, blocks)
+                by = np.argsort(owner, kind="stable")
+                cut = np.searchsorted(owner[by], np.arange(blocks + 1))
+                for k in np.flatnonzero(cut[1:] > cut[:-1]):
+                    own = by[cut[k] : cut[k + 1]]
+                    rows.append((int(k), b, b"\n".join([names[i] for i in own]), planes(n[own])))
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["bucket", "_block", "words", "n"])
+
+    def add_up(data: pa.Table) -> pa.Table:
+        packs = [(b, w.split(b"\n"), unplanes(n, np.int64)) for b, w, n in zip(*(data.column(c).to_pylist() for c in ("_block", "words", "n")))]
+        totals: Counter = Counter()
+        for _, names, n in packs:
+            for w, k in zip(names, n.tolist()):
+                totals[w] += k
+        rows = [(b, planes(np.fromiter(map(totals.__getitem__, names), np.int64, len(names))), None, None, None, None) for b, names, _ in packs]
+        seen = [(w, c) for w, c in totals.items() if c]
+        kind = np.fromiter((token_kind(w, kinds) for w, _ in seen), np.int64, len(seen))
+        count = np.fromiter((c for _, c in seen), np.int64, len(seen))
+        top = sorted(seen, key=lambda x: (-x[1], x[0]))[:max_vocabulary]
+        rows.append((None, None, np.bincount(kind, count, kinds).astype(np.int64), np.bincount(kind, minlength=kinds), [w for w, _ in top], [c for _, c in top]))
+        types = [pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.int64())]
+        bucket = pa.array([data.column("bucket")[0].as_py()] * len(rows), pa.int32())
+        return pa.table([bucket, *(pa.array(c, t) for c, t in zip(zip(*rows), types))], ["bucket", "_block", "counts", "kind_n", "kind_v", "top", "top_n"])
+
+    packed = coded.select("_block", "words", "n").mapInArrow(pack, "bucket int, _block int, words binary, n binary")
+    told = staged(packed.groupBy("bucket").applyInArrow(add_up, "bucket int, _block int, counts binary, kind_n array<long>, kind_v array<long>, top array<binary>, top_n array<long>"))
+    sums = told.where("_block is null").agg(*[F.sum(F.col(c)[k]).alias(f"{c}{k}") for c in ("kind_n", "kind_v") for k in range(kinds)]).first()
+    kind_n, kind_v = (np.array([sums[f"{c}{k}"] or 0 for k in range(kinds)], float) for c in ("kind_n", "kind_v"))
+    n_all, n_types = int(kind_n.sum()), int(kind_v.sum())
+    each = told.where("_block is null").select(F.explode(F.arrays_zip("top", "top_n")).alias("t")).select(F.col("t.top").alias("word"), F.col("t.top_n").alias("c"))
+    own = each.orderBy(F.desc("c"), "word").limit(min(max_vocabulary, max(512, n_types // 8))).collect()  # the vocabulary: bounded
     for r in own:
-        kind_n[r.kind] -= r.c
-        kind_v[r.kind] -= 1
+        kind_n[token_kind(bytes(r.word), kinds)] -= r.c
+        kind_v[token_kind(bytes(r.word), kinds)] -= 1
     output = Output(np.array([float(r.c) for r in own]), kind_n, int(np.ceil(np.sqrt(len(own)))))
     symbol = {bytes(r.word): i for i, r in enumerate(own)}
-    counted = {bytes(r.word): r.c for r in top}
     model = LogBilinear.start(output, dim)
     start = output.symbols
 
@@ -301,12 +331,13 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     spread = kind_n + SMOOTH * (kind_v + 1)
     base_total = n_all + SMOOTH * (n_types + 1)
 
-    def score(key: tuple, data: pa.Table, rare: pa.Table) -> pa.Table:
+    def score(key: tuple, data: pa.Table, replies: pa.Table) -> pa.Table:
         columns: list[list] = [[] for _ in range(7)]
         for ids, held, lengths, codes, names in zip(*(data.column(c) for c in ("ids", "held", "lengths", "codes", "words"))):
             lengths, names = np.asarray(lengths.values, dtype=np.int64), names.as_py()
-            c = np.fromiter((counted.get(w, 0) for w in names), float, len(names))
-            c[np.asarray(rare.column("pos"))] = np.asarray(rare.column("c"))
+            counts = dict(zip(replies.column("bucket").to_pylist(), replies.column("counts").to_pylist()))
+            c = np.empty(len(names))
+            c[np.argsort(_owners(names, blocks), kind="stable")] = np.concatenate([unplanes(counts[k], np.int64) for k in sorted(counts)])
             sym = symbols_of(names)
             inner = np.where(sym >= len(own), np.log10((c + SMOOTH) / spread[np.maximum(sym - len(own), 0)]), 0.0)
             base = np.log10((c + SMOOTH) / base_total)
@@ -321,13 +352,6 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         types = [pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2]
         return pa.table([pa.chunked_array(x, t) for x, t in zip(columns, types)], names)
 
-    def unusual(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b, names in zip(batch.column("_block").to_pylist(), batch.column("words")):
-                names = names.as_py()
-                left = [i for i, w in enumerate(names) if w not in counted]
-                yield pa.record_batch([pa.array(np.full(len(left), b, np.int32)), pa.array(left, pa.int32()), pa.array([names[i] for i in left], pa.binary())], ["_block", "pos", "word"])
-
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    rare = coded.select("_block", "words").mapInArrow(unusual, "_block int, pos int, word binary").join(words.select("word", "c"), "word").select("_block", "pos", "c")
-    return coded.drop("n").groupBy("_block").cogroup(rare.groupBy("_block")).applyInArrow(score, schema)
+    replies = told.where("_block is not null").select("_block", "bucket", "counts")
+    return coded.drop("n").groupBy("_block").cogroup(replies.groupBy("_block")).applyInArrow(score, schema)

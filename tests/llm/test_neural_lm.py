@@ -20,7 +20,7 @@ def held(i):
 
 def test_counts_and_base_score(docs, doc_rows):
     for size in (12 << 20, 5000):
-        got = lm.score_documents(docs.selectExpr("*", "1 as word", "2 as score"), block_bytes=size, max_vocabulary=40, frequent=60, rounds=1).collect()
+        got = lm.score_documents(docs.selectExpr("*", "1 as word", "2 as score"), block_bytes=size, max_vocabulary=40, rounds=1).collect()
         counts = Counter(t for r in doc_rows if not held(r[0]) for t in tokens(r[1]))
         n, v = sum(counts.values()), len(counts)
         want = []
