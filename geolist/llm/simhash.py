@@ -347,8 +347,9 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     ``root`` a group.  A group that fits a piece is compared whole.  A larger one is dealt into pieces that are
     each compared within, and with the group's head: the text nearest to the majority of its parity bits, which
     the copies of one original share.  Texts that so far hang together with most of the group need not meet each
-    other again; only those left over meet every piece, by sketches first and by text where these allow a link.  No
-    task holds more than two pieces.
+    other again.  Of every other cluster one text meets all pieces, which brings the parts of a cluster together, and
+    then each text that is still outside does: by sketches first, and by text where these allow a link.  No task
+    holds more than two pieces.
     """
     sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("s")).select("root", F.ceil(F.greatest(F.col("n") / chunk, F.col("s") / 1_000_000)).cast("int").alias("parts"))
     members = staged(members.join(sizes, "root").select("id", "root", "parts", F.pmod("id", F.col("parts")).cast("int").alias("i"), "parity", F.col("text_key").alias("_k"), F.col("least").alias("_l")))
@@ -381,28 +382,12 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
         return pa.table([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=_LINKS)
 
     links = staged(held.select("root", "i", "id", "_text").groupBy("root", "i").cogroup(heads.groupBy("root", "i")).applyInArrow(within, "a long, b long"))
-    group = components(links).withColumnRenamed("node", "id").withColumnRenamed("root", "label")
-    labelled = staged(big.join(group, "id", "left").withColumn("label", F.coalesce("label", "id")))
-    counts = labelled.groupBy("root", "label").agg(F.count("*").alias("n"))
-    most = counts.groupBy("root").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all")).select("root", F.col("m.label").alias("main"), F.ceil((F.col("all") - F.col("m.n")) / chunk).cast("int").alias("rest"))
-    most = staged(most.where("rest > 0"))
-    if most.isEmpty():
-        return links
-    marks = staged(labelled.select("root", "id", "label").join(most, "root").drop("root"))
-
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [_shingle_set(t, width) for t in column_bytes(batch, "_text")]
             made = [pa.array([len(x) for x in sets], pa.int64()), pa.array([_parity(x, 2048).tobytes() for x in sets], pa.binary())]
             yield pa.record_batch([*(batch.column(c) for c in ("root", "i", "parts", "id")), *made], ["root", "i", "parts", "id", "size", "sketch"])
 
-    # who may meet at all is told by short sketches; only the texts of those move again
-    short = held.mapInArrow(sketch, "root long, i int, parts int, id long, size long, sketch binary")
-    open_ = staged(short.join(marks, "id").withColumn("j", F.pmod(F.xxhash64("id"), F.col("rest")).cast("int")))
-    own = ["id", "label", "size", "sketch"]
-    few = open_.where("label <> main").select("root", "j", every("parts").alias("i"), F.lit(True).alias("few"), *own)
-    both = few.unionByName(open_.select("root", "i", every("rest").alias("j"), F.lit(False).alias("few"), *own))
-
     def meet(data: pa.Table) -> pa.Table:
         few = np.asarray(data.column("few"))
         size, label = np.asarray(data.column("size")), np.asarray(data.column("label"))
@@ -414,8 +399,6 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
             may[x] |= len(near) > 0
         return data.select(["root", "i", "j", "few", "id", "label"]).filter(pa.array(may))
 
-    may = staged(both.groupBy("root", "i", "j").applyInArrow(meet, "root long, i int, j int, few boolean, id long, label long"))
-
     def across(data: pa.Table) -> pa.Table:
         ids, sets = sets_of(data)
         label = np.empty(len(ids), np.int64)
@@ -424,8 +407,28 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
         pairs = [(ids[x], ids[y]) for x, y in _cross_links(sets, label, some, floor)]
         return pa.table([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=_LINKS)
 
-    met = may.join(held.select("id", "_text"), "id").groupBy("root", "i", "j").applyInArrow(across, "a long, b long")
-    return links.union(met)
+    # who may meet at all is told by short sketches; only the texts of those move again
+    short = staged(held.where("parts > 1").mapInArrow(sketch, "root long, i int, parts int, id long, size long, sketch binary"))
+    own = ["id", "label", "size", "sketch"]
+    # first one text of each cluster outside the main one meets the group, then every text that is still outside
+    for only_heads in (True, False):
+        group = components(links).withColumnRenamed("node", "id").withColumnRenamed("root", "label")
+        labelled = staged(short.join(group, "id", "left").withColumn("label", F.coalesce("label", "id")))
+        counts = labelled.groupBy("root", "label").agg(F.count("*").alias("n"), F.min("id").alias("head"))
+        main = counts.groupBy("root").agg(F.max(F.struct("n", "label")).alias("m")).select("root", F.col("m.label").alias("main"))
+        outside = counts.join(main, "root").where("label <> main")
+        some = outside.select(F.col("head").alias("id")) if only_heads else labelled.select("id", "label").join(outside.select("label"), "label").select("id")
+        few = staged(labelled.join(some, "id"))
+        rest = staged(few.groupBy("root").agg(F.ceil(F.count("*") / chunk).cast("int").alias("rest")))
+        if rest.isEmpty():
+            break
+        asked = few.join(rest, "root").withColumn("j", F.pmod(F.xxhash64("id"), F.col("rest")).cast("int"))
+        asked = asked.select("root", "j", every("parts").alias("i"), F.lit(True).alias("few"), *own)
+        every_one = labelled.join(rest, "root").select("root", "i", every("rest").alias("j"), F.lit(False).alias("few"), *own)
+        may = staged(asked.unionByName(every_one).groupBy("root", "i", "j").applyInArrow(meet, "root long, i int, j int, few boolean, id long, label long"))
+        met = may.join(held.select("id", "_text"), "id").groupBy("root", "i", "j").applyInArrow(across, "a long, b long")
+        links = staged(links.union(met))
+    return links
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, min_similarity: float = 0.8, radius: int = 3, families: int = 4, chunk: int = 512) -> DataFrame:
