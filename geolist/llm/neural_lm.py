@@ -95,7 +95,7 @@ class Output:
         self.noise_p = slots / np.repeat(filled, size)
 
 
-def train(model: LogBilinear, output: Output, target: np.ndarray, context: np.ndarray, *, seed: int, batch: int = 2048, samples: int = 32, ratio: float = 16.0, inner: int = 2, rate: float = 0.2) -> LogBilinear:
+def train(model: LogBilinear, output: Output, target: np.ndarray, context: np.ndarray, *, seed: int, batch: int = 4096, samples: int = 32, ratio: float = 16.0, inner: int = 2, rate: float = 0.2) -> LogBilinear:
     """One pass of noise-contrastive estimation with AdaGrad over classes and over symbols within them.
 
     The noise classes of a batch are shared by its tokens; within classes each token draws ``inner`` of its own.
@@ -228,7 +228,7 @@ def _encode(key: tuple, data: pa.Table) -> pa.Table:
     return pa.table([pa.array(x, t) for x, t in zip(row, types)], ["_block", "ids", "held", "lengths", "codes", "words", "n"])
 
 
-def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_vocabulary: int = 4096, kinds: int = 32, dim: int = 12, rounds: int = 2, hold_out: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_vocabulary: int = 2048, kinds: int = 32, dim: int = 12, rounds: int = 2, hold_out: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
     """Score every whole text: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Tokens are A-Z lower-cased words between ASCII white space and one end.  Documents whose id has crc32 modulo
