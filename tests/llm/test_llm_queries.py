@@ -14,7 +14,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given t
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     res = con.execute(ORACLE_SQL[name])
     names = [d[0] for d in res.description]
     got = QUERIES[name](spark, SF)
