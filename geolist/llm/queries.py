@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, merkle, mixing, neural_lm, prefix_trie, quality_trees, sharding, simhash, substring_dedup, token_files, toxicity, warc
+from . import decontaminate, merkle, mixing, neural_lm, prefix_trie, quality_trees, rtree_join, sharding, simhash, substring_dedup, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaky_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op11_rtree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rtree_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_temperature_mix": op8_temperature_mix,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_rtree_join": op11_rtree_join,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

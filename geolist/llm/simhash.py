@@ -340,6 +340,17 @@ def _cross_links(sets: list[np.ndarray], label: np.ndarray, few: np.ndarray, flo
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each ``id`` a task, so that repeated rows of one text do not all travel."""
+    seen: set[int] = set()
+    for batch in batches:
+        fresh = []
+        for i in batch.column("id").to_pylist():
+            fresh.append(i not in seen)
+            seen.add(i)
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: float, chunk: int) -> DataFrame:
     """Edges ``a, b`` of exact similarity that connect the texts of each candidate group as all its links would.
 
@@ -354,7 +365,7 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("s")).select("root", F.ceil(F.greatest(F.col("n") / chunk, F.col("s") / 1_000_000)).cast("int").alias("parts"))
     members = staged(members.join(sizes, "root").select("id", "root", "parts", F.pmod("id", F.col("parts")).cast("int").alias("i"), "parity", F.col("text_key").alias("_k"), F.col("least").alias("_l")))
     held = rows.join(members, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_l"))).select("root", "i", "parts", "id", "_text")
-    held = staged(held)
+    held = staged(held.mapInArrow(_first_of_each, held.schema))
     big = members.where("parts > 1")
 
     def majority(data: pa.Table) -> pa.Table:
