@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, scores
-from ..operators import grid, neighbourhood, spatial
+from ..operators import around, grid, neighbourhood, spatial
 from ..sources import readers
 from . import base
 from .base import SQL, haversine_sql, near_sql, table
@@ -124,16 +124,23 @@ def _around_counts(prefix: str = "") -> str:
     return ", ".join(f"count(*) FILTER (WHERE ({p}) AND dist <= {r}) AS {k}" for k, (p, r) in _AROUND.items())
 
 
-def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All counts and distances of listings in one spatial join."""
+def _way_flags() -> tuple[dict, dict]:
+    """Counts and nearest distances of ways: lit and other highways, rails, major roads."""
+    way, t = F.col("osm_type") == "way", neighbourhood.tag
+    counts = {"highway_total": (way & t("highway").isNotNull(), 250.0), "highway_lit": (way & (t("lit") == "yes"), 250.0), "rail_ways": (way & (t("railway") == "rail"), 1500.0)}
+    nearest = {"nearest_rail_m": (way & (t("railway") == "rail"), 1500.0), "nearest_major_road_m": (way & t("highway").isin(*neighbourhood.MAJOR_ROADS), 300.0)}
+    return counts, nearest
+
+
+def _poi_flags() -> tuple[dict, dict]:
+    """Counts and nearest distances of points of interest."""
     poi = neighbourhood.poi_flags()
-    way = F.col("osm_type") == "way"
-    t = neighbourhood.tag
-    counts = neighbourhood.neighbourhood_flags() | {f"{k}_count": (p, 2000.0) for k, (p, _, _) in poi.items()}
-    counts |= {"highway_total": (way & t("highway").isNotNull(), 250.0), "highway_lit": (way & (t("lit") == "yes"), 250.0), "rail_ways": (way & (t("railway") == "rail"), 1500.0)}
-    nearest = {f"nearest_{k}_m": (p, 2000.0) for k, (p, _, near) in poi.items() if near}
-    nearest |= {"nearest_rail_m": (way & (t("railway") == "rail"), 1500.0), "nearest_major_road_m": (way & t("highway").isin(*neighbourhood.MAJOR_ROADS), 300.0)}
-    return neighbourhood.counts_around(base.listings(spark, sf_dir).select("point_id", "lat", "lon"), base.elements(spark, sf_dir).select("osm_type", "tags", "lat", "lon"), counts, nearest=nearest)
+    return {f"{k}_count": (p, 2000.0) for k, (p, _, _) in poi.items()}, {f"nearest_{k}_m": (p, 2000.0) for k, (p, _, near) in poi.items() if near}
+
+
+def _metrics(spark: SparkSession, sf_dir: str, counts: dict, nearest: dict) -> DataFrame:
+    li, el = base.listings(spark, sf_dir).select("point_id", "lat", "lon"), base.elements(spark, sf_dir).select("osm_type", "tags", "lat", "lon")
+    return neighbourhood.counts_around(li, el, counts, nearest=nearest)
 
 
 @query(f"{_PAIRS} SELECT point_id, {', '.join(f'coalesce({k}, 0) AS {k}' for k in _AROUND)} FROM li LEFT JOIN (SELECT point_id, {_around_counts()} FROM pa GROUP BY 1) USING (point_id)")
@@ -147,7 +154,7 @@ _POI_AGG = ", ".join(f"count(*) FILTER (WHERE {p}) AS {k}_count, min(CASE WHEN {
 
 @query(f"{_PAIRS} SELECT point_id, {', '.join(f'coalesce({k}_count, 0) AS {k}_count' for k in _POI)}, {', '.join(f'round(nearest_{k}_m, 3) AS nearest_{k}_m' for k in _NEAREST)} FROM li LEFT JOIN (SELECT point_id, {_POI_AGG} FROM pa GROUP BY 1) USING (point_id)")
 def poi_counts_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(spark, sf_dir).select("point_id", *[f"{k}_count" for k in _POI], *[F.round(f"nearest_{k}_m", 3).alias(f"nearest_{k}_m") for k in _NEAREST])
+    return _metrics(spark, sf_dir, *_poi_flags()).select("point_id", *[f"{k}_count" for k in _POI], *[F.round(f"nearest_{k}_m", 3).alias(f"nearest_{k}_m") for k in _NEAREST])
 
 
 _MAJOR_WAY = f"osm_type = 'way' AND highway IN {neighbourhood.MAJOR_ROADS}"
@@ -156,7 +163,7 @@ _MAJOR_WAY = f"osm_type = 'way' AND highway IN {neighbourhood.MAJOR_ROADS}"
 @query(f"{_PAIRS} SELECT point_id, coalesce(highway_total, 0) AS highway_total, coalesce(highway_lit, 0) AS highway_lit, coalesce(rail_ways, 0) AS rail_ways, round(rail_m, 3) AS nearest_rail_m, round(major_m, 3) AS nearest_major_road_m FROM li LEFT JOIN (SELECT point_id, count(*) FILTER (WHERE osm_type = 'way' AND highway IS NOT NULL AND dist <= 250) AS highway_total, count(*) FILTER (WHERE osm_type = 'way' AND lit = 'yes' AND dist <= 250) AS highway_lit, count(*) FILTER (WHERE osm_type = 'way' AND railway = 'rail' AND dist <= 1500) AS rail_ways, min(CASE WHEN osm_type = 'way' AND railway = 'rail' AND dist <= 1500 THEN dist END) AS rail_m, min(CASE WHEN {_MAJOR_WAY} AND dist <= 300 THEN dist END) AS major_m FROM pa GROUP BY 1) USING (point_id)")
 def lighting_rail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lit and other highways, rail ways and the nearest rail and major road."""
-    return _metrics(spark, sf_dir).select("point_id", "highway_total", "highway_lit", "rail_ways", F.round("nearest_rail_m", 3).alias("nearest_rail_m"), F.round("nearest_major_road_m", 3).alias("nearest_major_road_m"))
+    return _metrics(spark, sf_dir, *_way_flags()).select("point_id", "highway_total", "highway_lit", "rail_ways", F.round("nearest_rail_m", 3).alias("nearest_rail_m"), F.round("nearest_major_road_m", 3).alias("nearest_major_road_m"))
 
 
 @query(f"{_PAIRS} SELECT point_id, coalesce(n, 0) AS major_road_ways, round(v, 6) AS speed_mean FROM li LEFT JOIN (SELECT point_id, count(*) FILTER (WHERE osm_type = 'way' AND highway IN ('primary', 'secondary') AND dist <= 300) AS n, avg(CASE WHEN osm_type = 'way' AND highway IN ('primary', 'secondary') AND dist <= 300 THEN value END) AS v FROM pa GROUP BY 1) USING (point_id)")
@@ -190,13 +197,40 @@ _EXTRA = f"pp AS (SELECT li.point_id, {', '.join(f'coalesce({k}_count, 0) AS {k}
 
 @query(f"{_PAIRS}, {_EXTRA} SELECT point_id, round(w, 6) AS walkability, round(e, 6) AS education, round(h, 6) AS healthcare, round(g, 6) AS green_quality, round(s, 6) AS safety, round(q, 6) AS quiet, round(0.40 * e + 0.35 * g + 0.25 * q, 6) AS family FROM ss")
 def extra_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = _metrics(spark, sf_dir)
+    counts, nearest = (a | b for a, b in zip(_poi_flags(), _way_flags()))
+    counts["major_road_ways"] = neighbourhood.neighbourhood_flags()["major_road_ways"]
+    m = _metrics(spark, sf_dir, counts, nearest)
     return m.select("point_id", *[F.round(v, 6).alias(k) for k, v in scores.extra_scores({c: F.col(c) for c in m.columns}).items()])
 
 
 _STOPS = "dp AS (SELECT l_suppkey AS stop_id, count(*) AS total, count(*) FILTER (WHERE t BETWEEN 25200 AND 32399) AS peak_am, count(*) FILTER (WHERE t BETWEEN 57600 AND 68399) AS peak_pm FROM (SELECT l_suppkey, (l_orderkey * 37 % 100000) % 86400 AS t FROM lineitem) GROUP BY 1)"
 
 
+def _way_sql() -> str:
+    """``wd``: elements with their distance to each listing of the city: ways by their line of two vertices, others by their place."""
+    end = {"lat": f"el.lat + ((element_id::BIGINT) * 17 % 401 - 200)::DOUBLE / 60000.0::DOUBLE", "lon": f"el.lon + ((element_id::BIGINT) * 31 % 401 - 200)::DOUBLE / 60000.0::DOUBLE"}
+    local = f"(SELECT point_id, el.*, {haversine_sql('li', 'el')} AS straight, (el.lon - li.lon) * 111320 * cos(radians(li.lat)) AS x1, (el.lat - li.lat) * 111320 AS y1, ({end['lon']} - li.lon) * 111320 * cos(radians(li.lat)) AS x2, ({end['lat']} - li.lat) * 111320 AS y2 FROM li JOIN el ON li.city = el.city)"
+    return f"wd AS (SELECT s.*, CASE WHEN osm_type = 'way' THEN {base.segment_sql('0.0::DOUBLE', '0.0::DOUBLE', 's')} ELSE straight END AS dist FROM {local} s)"
+
+
+_ROAD = f"osm_type = 'way' AND highway IN {neighbourhood.MAJOR_ROADS}"
+
+
+@query(f"WITH {SQL['el']}, {SQL['li']}, {_way_sql()}, ag AS (SELECT point_id, count(*) FILTER (WHERE amenity IS NOT NULL AND dist <= 800) AS amenity_any, count(*) FILTER (WHERE landuse IN {neighbourhood.GREEN_LANDUSE} AND dist <= 1000) AS green_landuse, count(*) FILTER (WHERE {_ROAD} AND dist <= 300) AS major_road_ways, count(*) FILTER (WHERE osm_type = 'way' AND railway = 'rail' AND dist <= 1500) AS rail_ways, min(CASE WHEN osm_type = 'way' AND railway = 'rail' AND dist <= 1500 THEN dist END) AS rail, min(CASE WHEN {_ROAD} AND dist <= 300 THEN dist END) AS road, avg(CASE WHEN {_ROAD} AND dist <= 300 THEN value END) AS speed FROM wd WHERE dist <= 1500 GROUP BY 1) SELECT point_id, coalesce(amenity_any, 0) AS amenity_any, coalesce(green_landuse, 0) AS green_landuse, coalesce(major_road_ways, 0) AS major_road_ways, coalesce(rail_ways, 0) AS rail_ways, round(rail, 3) AS nearest_rail_m, round(road, 3) AS nearest_major_road_m, round(speed, 6) AS speed_mean FROM li LEFT JOIN ag USING (point_id)")
+def geometry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, nearest distances and a mean where ways are lines: one counts wherever any part of it is in the circle."""
+    i = F.col("element_id")
+    end = F.struct((F.col("lat") + (i * 17 % 401 - 200).cast("double") / 60000.0).alias("lat"), (F.col("lon") + (i * 31 % 401 - 200).cast("double") / 60000.0).alias("lon"))
+    line = F.when(F.col("osm_type") == "way", F.array(F.struct("lat", "lon"), end))
+    el = base.elements(spark, sf_dir).select("osm_type", "tags", "value", "lat", "lon", line.alias("geometry"))
+    flags, (ways, nearest) = neighbourhood.neighbourhood_flags(), _way_flags()
+    road, reach = flags["major_road_ways"]
+    counts = {k: flags[k] for k in ("amenity_any", "green_landuse", "major_road_ways")} | {"rail_ways": ways["rail_ways"]}
+    li = base.listings(spark, sf_dir).select("point_id", "lat", "lon")
+    got = neighbourhood.counts_around(li, el, counts, nearest=nearest, means={"speed_mean": (road, F.col("value"), reach)})
+    return got.select("point_id", *counts, F.round("nearest_rail_m", 3).alias("nearest_rail_m"), F.round("nearest_major_road_m", 3).alias("nearest_major_road_m"), *r6("speed_mean"))
+
+
 _GEOM = f"gm AS (SELECT {base._P} AS line_id, {base._slat(base._P)} AS la, {base._slon(base._P)} AS lo, {base._slat(base._P)} + ({base._P} * 17 % 401 - 200)::DOUBLE / 60000.0::DOUBLE AS lb, {base._slon(base._P)} + ({base._P} * 31 % 401 - 200)::DOUBLE / 60000.0::DOUBLE AS lp FROM part WHERE p_partkey % 4 > 0)"
 _LOCAL = "(SELECT point_id, line_id, (lo - lon) * 111320 * cos(radians(lat)) AS x1, (la - lat) * 111320 AS y1, (lp - lon) * 111320 * cos(radians(lat)) AS x2, (lb - lat) * 111320 AS y2 FROM li JOIN gm ON abs(la - lat) < 1 AND abs(lo - lon) < 1)"
 
@@ -223,10 +257,11 @@ def stop_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbourhood.stop_departures(base.stops(spark, sf_dir), base.stop_times(spark, sf_dir), keys=["stop_id"]).select("stop_id", "total", "peak_am", "peak_pm")
 
 
-@query(f"WITH {SQL['li']}, {SQL['sn']}, mt AS (SELECT li.point_id, station_id, {haversine_sql('li', 'sn')} AS d FROM li JOIN sn ON abs(floor(sn.lat / 0.2) - floor(li.lat / 0.2)) <= 6 AND abs(floor(sn.lon / 0.2) - floor(li.lon / 0.2)) <= 6) SELECT point_id, station_id, round(d, 3) AS dist FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, station_id) AS rn FROM mt) WHERE rn = 1")
+@query(f"WITH {SQL['li']}, {SQL['sn']}, mt AS (SELECT li.point_id, station_id, {haversine_sql('li', 'sn')} AS d FROM li CROSS JOIN sn) SELECT point_id, station_id, round(d, 3) AS dist FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, station_id) AS rn FROM mt) WHERE rn = 1")
 def nearest_station(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = spatial.nearest_station(base.listings(spark, sf_dir), base.stations(spark, sf_dir))
-    return out.select("point_id", "station_id", F.round("dist", 3).alias("dist"))
+    """Every listing's true nearest station, however far."""
+    out = around.nearest(base.listings(spark, sf_dir), base.stations(spark, sf_dir).withColumnRenamed("station_id", "target_id"))
+    return out.select("point_id", F.col("target_id").alias("station_id"), F.round("dist", 3).alias("dist"))
 
 
 @query(f"WITH {SQL['li']}, {SQL['sn']}, mt AS (SELECT li.point_id, station_id, greatest(abs(floor(sn.lat / 0.2) - floor(li.lat / 0.2)), abs(floor(sn.lon / 0.2) - floor(li.lon / 0.2))) AS ring, {haversine_sql('li', 'sn')} AS d FROM li JOIN sn ON abs(floor(sn.lat / 0.2) - floor(li.lat / 0.2)) <= 6 AND abs(floor(sn.lon / 0.2) - floor(li.lon / 0.2)) <= 6), rr AS (SELECT *, min(ring) OVER (PARTITION BY point_id) AS f FROM mt) SELECT point_id, station_id FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, station_id) AS rn FROM rr WHERE ring <= greatest(2, f)) WHERE rn = 1")
