@@ -6,8 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from ..sources.scratch import shared_dir, staged
+from .ranking import ranked
 
 # Score of a rule label, threshold grid, bias of a label that never or always holds.
 LABEL_SCORE = 0.55
@@ -57,8 +62,8 @@ def assemble_features(records: DataFrame, key: str, *, price_percentile: str = "
 
 
 def feature_index(features: DataFrame) -> DataFrame:
-    """``feature, i`` of all distinct names in their order, from 0; as many rows as there are names."""
-    return features.select("feature").distinct().withColumn("i", F.row_number().over(Window.orderBy("feature")) - 1)
+    """``feature, i`` of all distinct names in their order, from 0; names are numbered by sorted ranges."""
+    return ranked(staged(features.select("feature").distinct()), [], ["feature"], "i").select("feature", F.col("i").cast("int").alias("i"))
 
 
 def sparse_vectors(features: DataFrame, index: DataFrame, key: str) -> DataFrame:
@@ -73,6 +78,80 @@ def dense(indices: Column, values: Column, size: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at(at, i), F.lit(0.0)))
 
 
+def feature_scale(features: DataFrame, rows: int) -> DataFrame:
+    """``feature, mean, std, varies`` over ``rows`` rows of which ``features`` holds the values that are there; missing ones are 0.
+
+    Population deviation, 1 where a feature does not vary.
+    """
+    own = features.groupBy("feature").agg(F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
+    share = F.col("n") / F.lit(rows)
+    spread = F.sqrt(F.greatest(F.lit(0.0), share * (F.col("v") + F.col("m") * F.col("m") * (1 - share))))
+    return own.select("feature", (share * F.col("m")).alias("mean"), F.when(spread >= 1e-9, spread).otherwise(1.0).alias("std"), (spread >= 1e-9).alias("varies"))
+
+
+def vector_table(features: DataFrame, index: DataFrame, key: str) -> DataFrame:
+    """``key, vector`` as ``SparseVector`` of the features that a row has; the table is written once, in the form of vectors."""
+    size = index.count()
+    parts = sparse_vectors(features, index, key).select(key, F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"), F.col("indices").cast("array<int>").alias("indices"), "values").alias("vector"))
+    path = shared_dir(features.sparkSession)
+    parts.write.parquet(path)
+    schema = StructType([parts.schema[key], StructField("vector", VectorUDT())])
+    return features.sparkSession.read.schema(schema).parquet(path)
+
+
+@dataclass
+class SparseModel:
+    """Weights of one label for raw feature values by name, and the bias that stands for what a zero contributes."""
+
+    label: str
+    weights: dict[str, float]
+    bias: float
+
+
+def fit_sparse(features: DataFrame, labels: DataFrame, names: list[str], *, key: str = "id", weight: str = "weight", l2: float = 1.0, iterations: int = 200, min_rows: int = 10) -> list[SparseModel]:
+    """One weighted L2 logistic regression per label of ``names`` over long ``features(key, feature, value)``.
+
+    ``labels(key, weight, <names>)`` are the training rows; features are standardised over them.  Vectors stay
+    sparse: they are divided by the deviation only, and as the bias is free, moving the mean changes nothing but the
+    bias, which is set right afterwards.  The penalty is on the weights of standardised features.  Labels that never
+    or always hold get a fixed bias, features that do not vary no weight.
+    """
+    total = labels.agg(F.count("*").alias("n"), F.sum(weight).alias("w"), *[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first()
+    if total.n < min_rows:
+        raise ValueError(f"{total.n} training rows are too few")
+    own = staged(features.join(labels.select(key), key, "left_semi").select(key, "feature", "value"))
+    scale = staged(feature_scale(own, total.n).where("varies"))
+    index = staged(feature_index(scale))
+    divided = own.join(scale, "feature").select(key, "feature", (F.col("value") / F.col("std")).alias("value"))
+    vectors = vector_table(divided, index, key)
+    size = index.count()
+    ready = labels.select(key, weight, *[F.col(c).cast("double").alias(c) for c in names]).join(vectors, key, "left")
+    empty = F.from_json(F.lit(f'{{"v": {{"type": 0, "size": {size}, "indices": [], "values": []}}}}'), StructType([StructField("v", VectorUDT())]))["v"]
+    ready = ready.withColumn("vector", F.coalesce("vector", empty)).persist()
+    known = [(r.feature, r["mean"], r["std"]) for r in index.join(scale, "feature").orderBy("i").select("feature", "mean", "std").collect()]
+    models = []
+    for c in names:
+        share = total[c] or 0.0
+        if share in (0.0, 1.0):
+            models.append(SparseModel(c, {}, CERTAIN if share else -CERTAIN))
+            continue
+        fit = LogisticRegression(featuresCol="vector", labelCol=c, weightCol=weight, regParam=l2 / total.w, elasticNetParam=0.0, standardization=False, maxIter=iterations, tol=1e-9).fit(ready)
+        models.append(SparseModel(c, {f: float(w) / s for (f, _, s), w in zip(known, fit.coefficients)}, float(fit.intercept)))
+    ready.unpersist()
+    return models
+
+
+def sparse_predictions(features: DataFrame, rows: DataFrame, models: list[SparseModel], *, key: str = "id") -> DataFrame:
+    """Long ``key, label, truth, p`` for ``rows(key, <labels>)``: weights meet features by name, as a join."""
+    spark = features.sparkSession
+    weights = spark.createDataFrame([(m.label, f, w) for m in models for f, w in m.weights.items()], "label string, feature string, w double")
+    dot = features.join(weights, "feature").groupBy(key, "label").agg(F.sum(F.col("value") * F.col("w")).alias("dot"))
+    each = F.array(*[F.struct(F.lit(m.label).alias("label"), F.lit(m.bias).alias("bias"), F.col(m.label).cast("int").alias("truth")) for m in models])
+    asked = rows.select(key, F.explode(each).alias("r")).select(key, "r.*")
+    p = 1 / (1 + F.exp(-(F.coalesce("dot", F.lit(0.0)) + F.col("bias"))))
+    return asked.join(dot, [key, "label"], "left").select(key, "label", "truth", p.alias("p"))
+
+
 def weak_labels(personas: Column, *, threshold: float = LABEL_SCORE) -> Column:
     """0/1 map of labels from an array of ``persona, score``: 1 from the threshold on."""
     return F.map_from_entries(F.transform(personas, lambda p: F.struct(p.persona, (p.score >= threshold).cast("int"))))

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import staged
+from .ranking import running
+
 
 def midrank_percentile(df: DataFrame, group: str, value: str, name: str = "percentile") -> DataFrame:
     """Add the mid-rank percentile of ``value`` in its group, in [0, 1]; one value gives 0.5, null stays null.
 
-    Values are counted per group first, so the window sees each distinct value once.
+    Values are counted per group first; how many rows of the group lie below a value is a running sum over sorted
+    ranges, so a group of any number of distinct values spreads over all tasks.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_k"))
-    w = Window.partitionBy(group).orderBy(value)
-    ranked = counts.select(F.col(group).alias("_g"), F.col(value).alias("_v"), F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_hi"), "_k", F.sum("_k").over(Window.partitionBy(group)).alias("_n"))
-    middle = (F.col("_hi") - F.col("_k") + F.col("_hi") - 1) / 2 / (F.col("_n") - 1)
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("_g"), F.col(value).alias("_v")).agg(F.count("*").alias("_k"))
+    counts = staged(counts)
+    sizes = counts.groupBy(F.col("_g").alias("_h")).agg(F.sum("_k").alias("_n"))
+    ranked = running(counts, ["_g"], ["_v"], {"_lo": "_k"}).join(sizes, F.col("_g").eqNullSafe(F.col("_h")))
+    middle = (2 * F.col("_lo") + F.col("_k") - 1) / 2 / (F.col("_n") - 1)
     ranked = ranked.select("_g", "_v", F.when(F.col("_n") <= 1, 0.5).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), middle))).alias(name))
     return df.join(ranked, F.col(group).eqNullSafe(F.col("_g")) & (F.col(value) == F.col("_v")), "left").drop("_g", "_v")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import chunk_prefix, contains_any, is_digits, is_error_body, is_redirect_page, nested, run_of_prefix
+from ..sources.scratch import staged
 
 
 def first_seen(df: DataFrame, key: str, *order: str | Column) -> DataFrame:
@@ -64,6 +65,34 @@ def cached_results(requests: DataFrame, cache: DataFrame, compute, *, key: str)
     return requests.join(cache.unionByName(fresh), key), fresh
 
 
+def stored_results(requests: DataFrame, path: str, compute, *, key: str, version: str) -> DataFrame:
+    """Results of all requests from the stored table at ``path``, after computing what it lacks for this data ``version``.
+
+    The table is parted by version and by the set of keys that a run computed; a run writes its part by dynamic
+    overwrite, so a run that was cut off is repeated into the same part and the other parts stay as they are.  Only keys
+    without a result of this version are computed, each once; a new version computes all, and older results stay
+    for whoever still asks for them.  ``compute`` gets the distinct missing requests and returns ``key`` and its results.
+    """
+    spark = requests.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = lambda: folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    stored = lambda: spark.read.parquet(path).where(F.col("data_version") == version).drop("data_version", "run")
+    missing = requests.where(F.col(key).isNotNull())
+    if there():
+        missing = missing.join(stored().select(key), key, "left_anti")
+    missing = staged(missing.dropDuplicates([key]))
+    asked = missing.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(key)).alias("h")).first()
+    if asked.n:
+        fresh = compute(missing).withColumn("data_version", F.lit(version)).withColumn("run", F.lit(f"{asked.n}-{asked.h & (2**64 - 1):016x}"))
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("data_version", "run").parquet(path)
+    return requests.join(stored(), key, "left") if there() else requests
+
+
+def place_key(lat: Column, lon: Column, *radii: float, digits: int = 4) -> Column:
+    """Key of a request around a place: coordinates at ``digits`` decimals, and the radii."""
+    return request_key(F.round(lat, digits), F.round(lon, digits), *[F.lit(float(r)) for r in radii])
+
+
 def request_key(*params: Column) -> Column:
     return F.sha2(F.encode(F.to_json(F.struct(*[p.alias(f"p{i}") for i, p in enumerate(params)])), "utf-8"), 256)
 

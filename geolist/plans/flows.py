@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import suggested_type
 from ..operators import records
-from ..sources import readers
+from ..sources import readers, writers
+from ..sources.scratch import shared_dir, staged
 from ..streaming.dedupe import stream_new_records
 from .base import shared_base, table
 from .texts import canonical_sql
@@ -81,6 +82,27 @@ def cached_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("city").agg(F.count("*").alias("rows_"), F.count_if("fresh").alias("computed"))
 
 
+@query("SELECT c_nationkey::BIGINT AS city, v AS version, count(*) AS rows_, round(sum(round((c_custkey % 500 / 100.0)::DOUBLE, 1) * 2), 6) AS total FROM customer, (VALUES ('v1'), ('v2')) t(v) GROUP BY ALL")
+def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results around places from a stored table: computed once, found again in a second run, computed anew for new data."""
+    place = (F.col("c_custkey") % 500 / 100.0).cast("double")
+    asked = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("city"), F.round(place, 1).alias("at"))
+    asked = asked.withColumn("key", records.place_key(F.col("at"), F.lit(9.0), 800.0, 1000.0))
+    path = shared_dir(spark)
+    run = lambda version: records.stored_results(asked, path, lambda missing: missing.select("key", (F.col("at") * 2).alias("value")), key="key", version=version)
+    run("v1")
+    both = run("v1").withColumn("version", F.lit("v1")).unionByName(run("v2").withColumn("version", F.lit("v2")))
+    return both.groupBy("city", "version").agg(F.count("*").alias("rows_"), F.round(F.sum("value"), 6).alias("total"))
+
+
+@query("SELECT chunk, count(*) AS records, min(o_orderkey) AS first, max(o_orderkey) AS last FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 + 1 AS chunk FROM orders) GROUP BY 1")
+def numbered_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in numbered chunks of exactly a thousand."""
+    rows = staged(table(spark, sf_dir, "orders").select("o_orderkey"))
+    chunks = writers.numbered_chunks(rows, ["o_orderkey"]).groupBy("chunk")
+    return chunks.agg(F.count("*").alias("records"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+
+
 @query("WITH d AS (SELECT DISTINCT l_suppkey AS grp, l_partkey FROM lineitem), p AS (SELECT grp, 'u' || l_partkey AS url, (row_number() OVER (PARTITION BY grp ORDER BY l_partkey) - 1)::INT AS pos FROM d) SELECT grp, pos, url FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY grp, pos) AS n FROM p) WHERE n = 1")
 def link_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as links of their suppliers' lists, each kept where it appears first."""

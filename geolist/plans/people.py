@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scores
 from ..functions.text import KEYWORDS, split_name
 from ..operators import learn, normalize
+from ..sources.scratch import staged
 from .base import table
 
 QUERIES: dict = {}
@@ -24,13 +25,13 @@ def query(sql: str | None = None):
     return add
 
 
-_LISTED = "ls AS (SELECT o_orderkey AS id, c_nationkey::BIGINT AS city, round(o_totalprice / 1000)::DOUBLE AS price FROM orders LEFT JOIN customer ON o_custkey = c_custkey)"
+_LISTED = "ls AS (SELECT o_orderkey AS id, c_nationkey::BIGINT AS city, o_totalprice::DOUBLE AS price FROM orders LEFT JOIN customer ON o_custkey = c_custkey)"
 
 
 def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as listings: price in its city, with ties."""
+    """Orders as listings: price in its city."""
     c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("long").alias("city"))
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", F.round(F.col("o_totalprice") / 1000).alias("price"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_totalprice").cast("double").alias("price"))
     return o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("id", "city", "price")
 
 
@@ -266,3 +267,20 @@ def persona_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     thresholds = learn.threshold_sweep(learn.predictions(ready.where("split = 'val'"), models, key="doc_id"))
     out = learn.evaluate(learn.predictions(ready.where("split = 'test'"), models, key="doc_id"), thresholds)
     return out.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@query()
+def persona_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All twelve personas learnt from their rule labels on the assembled feature families, as sparse vectors.
+
+    Thresholds are chosen on a tenth of the records, another tenth is reported.
+    """
+    features = staged(learn.assemble_features(_feature_records(spark, sf_dir), "id"))
+    rows, factors = _persona_rows(spark, sf_dir)
+    weak = rows.select("id", "confidence", learn.weak_labels(scores.persona_scores(factors, F.col("confidence"))).alias("weak"))
+    names = list(scores.PERSONAS)
+    labelled = staged(weak.select("id", learn.sample_weight(F.col("confidence")).alias("weight"), F.pmod(F.xxhash64("id"), F.lit(10)).alias("part"), *[F.col("weak")[n].alias(n) for n in names]))
+    models = learn.fit_sparse(features, labelled.where("part < 8"), names)
+    scored = lambda part: learn.sparse_predictions(features, labelled.where(F.col("part") == part), models)
+    out = learn.evaluate(scored(9), learn.threshold_sweep(scored(8)))
+    return out.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import staged
+
 CITY_SCHEMA = "name string, lat double, lon double"
 
 
@@ -69,11 +71,35 @@ def read_cities(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", comment="#", schema=CITY_SCHEMA, mode="FAILFAST")
 
 
-def read_gtfs(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A timetable table of all unpacked feeds below ``path`` with its ``feed``; a byte-order mark is dropped."""
-    df = spark.read.csv(f"{path}/*/{table}.txt", header=True)
-    df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
-    return df.withColumn("feed", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+def read_gtfs(spark: SparkSession, path: str, table: str, columns: list[str] | None = None) -> DataFrame:
+    """A timetable table of all unpacked feeds below ``path``: the named columns as text, and ``feed``.
+
+    Every file's values are read by its own header, whose order and columns may differ; a column that a feed lacks
+    is null, a feed that lacks the table is an error.  Without ``columns`` all that any feed has come, by name.  A
+    byte-order mark, blanks around names and blank lines are dropped, so are lines that repeat their file's header;
+    values may be quoted but hold no line breaks.
+    """
+    feed = lambda c: F.element_at(F.split(c, "/"), -2)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{path}/*").select("path")
+    lacking = files.groupBy(feed(F.col("path")).alias("feed")).agg(F.max(F.col("path").endswith(f"/{table}.txt")).alias("has")).where("NOT has").orderBy("feed").limit(5).collect()
+    if lacking:
+        raise ValueError(f"no {table}.txt in " + ", ".join(r.feed for r in lacking))
+    lines = spark.read.text(f"{path}/*/{table}.txt").select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), "value")
+    first = lines.where("_at = 0").withColumn("_row", F.monotonically_increasing_id()).groupBy("_file").agg(F.min_by("value", "_row").alias("_head"))
+    first = staged(first)
+    width = first.agg(F.max(F.size(F.split("_head", ",")))).first()[0] or 1
+    cells = "STRUCT<" + ", ".join(f"c{i}: STRING" for i in range(width)) + ">"
+    split = lambda c: F.from_csv(c, cells, {"escape": '"'})
+    listed = lambda c: F.array(*[split(c)[f"c{i}"] for i in range(width)])
+    names = F.transform(listed(F.regexp_replace("_head", "^\ufeff", "")), lambda n: F.trim(n))
+    heads = staged(first.select(F.col("_file").alias("_f"), "_head", names.alias("_names")))
+    if columns is None:
+        columns = [r.n for r in heads.select(F.explode("_names").alias("n")).where("n <> ''").distinct().orderBy("n").collect()]
+    rows = lines.join(heads, F.col("_file") == F.col("_f")).where((F.col("value") != F.col("_head")) & (F.trim("value") != ""))
+    rows = rows.select("_file", "_names", listed(F.col("value")).alias("_cells"))
+    value = lambda n: F.get("_cells", F.array_position("_names", F.lit(n)).cast("int") - 1)
+    known = lambda n: F.when(F.array_contains("_names", n), value(n))
+    return rows.select(*[known(n).alias(n) for n in columns], feed(F.col("_file")).alias("feed"))
 
 
 def elements(documents: DataFrame, column: str = "elements") -> DataFrame:

@@ -6,12 +6,48 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import chunk_index, chunk_prefix
+from .scratch import staged
 
 
 def write_jsonl(df: DataFrame, path: str, *, records_per_file: int = 1000, compression: str = "none") -> None:
     df.write.option("maxRecordsPerFile", records_per_file).option("compression", compression).json(path)
 
 
+def numbered_chunks(df: DataFrame, order: list[str], *, records_per_file: int = 1000) -> DataFrame:
+    """Add ``chunk`` (from 1) and ``place`` (from 0): the rows in ``order``, cut every ``records_per_file`` over all partitions.
+
+    ``df`` must be a written table.
+    """
+    from ..operators.ranking import ranked
+
+    placed = ranked(df, [], order, "place")
+    return placed.withColumn("chunk", (F.floor(F.col("place") / records_per_file) + 1).cast("long"))
+
+
+def write_chunks(df: DataFrame, path: str, run: str, order: list[str], *, records_per_file: int = 1000) -> int:
+    """Write ``df`` as JSON lines in files ``<run>_0001.jsonl``, ... of exactly ``records_per_file`` records (the last may be shorter).
+
+    Records are numbered in ``order`` by sorted ranges.  Each chunk is written whole by one task and then given its
+    name, which moves no data; returns the number of files.  An empty table gives no file.
+    """
+    spark = df.sparkSession
+    columns = df.columns
+    chunks = numbered_chunks(staged(df), order, records_per_file=records_per_file)
+    lines = chunks.select("chunk", "place", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
+    drafts = f"{path}/_drafts"
+    lines.repartition("chunk").sortWithinPartitions("chunk", "place").select("chunk", "value").write.partitionBy("chunk").text(drafts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    made = 0
+    for status in fs.globStatus(hadoop.Path(f"{drafts}/chunk=*/part-*")) or []:
+        number = int(status.getPath().getParent().getName().split("=")[1])
+        if not fs.rename(status.getPath(), hadoop.Path(f"{path}/{run}_{number:04d}.jsonl")):
+            raise OSError(f"chunk {number} could not be named")
+        made += 1
+    fs.delete(hadoop.Path(drafts), True)
+    return made
+
+
 def grouped_lines(lines: DataFrame, *, value: str = "value", file_name: str = "file_name", naming: str = "run", constant: str = "", max_records: int | None = None) -> DataFrame:
     """JSON lines with the folder and file they go to: ``folder, name, record``; ``record`` is null for broken lines.
 
