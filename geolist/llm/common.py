@@ -56,6 +56,11 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def light(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df`` marked to be sent to all machines if it has at most ``rows`` (narrow) rows, else as it is."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def parts_for(df: DataFrame, text: str, bytes_each: int) -> int:
     """How many pieces of about ``bytes_each`` bytes of ``text`` the table makes (1 at least)."""
     total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, components, slices, staged
+from .common import column_bytes, components, light, slices, staged
 from .simhash import _linked_texts, _shared_prefixes, _shingle_set
 
 #: Coordinates of a point, groups of a slice, slices that a set can do without.
@@ -246,16 +246,16 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
 
     # first a few branches of each set, in pieces and then one set of each label, so that crowds have few labels
     some = sets.select("id", "size", "parity", F.slice("prefix", 1, 2).alias("few")).where(F.size("few") > 0)
-    early = lambda: some.join(labels, "id").select(F.explode("few").alias("bucket"), "label", "size", "parity")
+    early = lambda: some.join(light(labels), "id").select(F.explode("few").alias("bucket"), "label", "size", "parity")
     labels = merged(labels, branch_edges(staged(early()), percent, exact=False))
     one = early().groupBy("bucket", "label").agg(F.min(F.struct("size", "parity")).alias("m")).select("bucket", "label", "m.size", "m.parity")
     labels = merged(labels, branch_edges(staged(one), percent, exact=False))
     # then every branch under which two labels meet
-    shared = staged(_shared_prefixes(sets.where(F.size("prefix") > 0).select("id", "size", "parity", "prefix").join(labels, "id")))
+    shared = staged(_shared_prefixes(sets.where(F.size("prefix") > 0).select("id", "size", "parity", "prefix").join(light(labels), "id")))
     labels = merged(labels, branch_edges(staged(shared.select(F.explode("prefix").alias("bucket"), "label", "size", "parity")), percent, exact=True))
     rooted = labels.withColumnRenamed("label", "root")
     crowd = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
-    members = sets.select("id", "text_key", "least", "size", "parity").join(rooted.join(crowd, "root"), "id")
+    members = sets.select("id", "text_key", "least", "size", "parity").join(light(rooted.join(crowd, "root")), "id")
     group = components(_linked_texts(rows, members, width=width, floor=percent / 100 - 1e-9, chunk=chunk)).withColumnRenamed("node", "id")
     grouped = staged(sets.select("id", "set_key", "least").join(group, "id", "left").select("set_key", "least", F.coalesce("root", "id").alias("group")))
     heads = grouped.groupBy("group").agg(F.min("least").alias("component_id"))

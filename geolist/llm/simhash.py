@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, components, hash_bounds, planes, slices, staged, unplanes
+from .common import column_bytes, components, hash_bounds, light, planes, slices, staged, unplanes
 
 #: Bits of the parities that candidate pairs are bounded by.
 _PARITY = 512
@@ -364,7 +364,8 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     """
     sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("s")).select("root", F.ceil(F.greatest(F.col("n") / chunk, F.col("s") / 1_000_000)).cast("int").alias("parts"))
     members = staged(members.join(sizes, "root").select("id", "root", "parts", F.pmod("id", F.col("parts")).cast("int").alias("i"), "parity", F.col("text_key").alias("_k"), F.col("least").alias("_l")))
-    held = rows.join(members, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_l"))).select("root", "i", "parts", "id", "_text")
+    asked = light(members.drop("parity"))
+    held = rows.join(asked, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_l"))).select("root", "i", "parts", "id", "_text")
     held = staged(held.mapInArrow(_first_of_each, held.schema))
     big = members.where("parts > 1")
 
