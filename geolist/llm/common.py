@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -49,9 +50,25 @@ def drop_staged(spark: SparkSession, keep: Iterable[str] = ()) -> int:
     return len(gone)
 
 
-def staged(df: DataFrame) -> DataFrame:
+def free_since(spark: SparkSession, mark: int, *, keep: str = "") -> None:
+    """Delete the tables staged since there were ``mark`` of them, but for that at ``keep``, and let go of finished shuffles.
+
+    For tables whose last reader has been written.  Spark removes the shuffle files of a finished step when the driver
+    happens to collect its garbage; this asks for it.
+    """
+    drop_staged(spark, keep=[*_MADE[:mark], keep])
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def mark_staged() -> int:
+    """How many staged tables there are, for ``free_since``."""
+    return len(_MADE)
+
+
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = shared_dir(df.sparkSession)
+    path = path or shared_dir(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -122,13 +139,16 @@ def components(edges: DataFrame) -> DataFrame:
     lost executor costs one round.  Minima are combined before each shuffle; joins are left to adaptive
     execution, which splits hubs.
     """
+    spark, mark = edges.sparkSession, mark_staged()
     both = staged(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     label = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
     while True:
         seen = both.join(label.select(F.col("node").alias("b"), F.col("root").alias("r")), "b").groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
         jump = label.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = staged(label.join(seen, "node").join(jump, "root").select("node", F.col("root").alias("old"), F.least("root", "r", "up").alias("root")))
+        path = shared_dir(spark)
+        new = staged(label.join(seen, "node").join(jump, "root").select("node", F.col("root").alias("old"), F.least("root", "r", "up").alias("root")), path)
         if not new.where("root < old").limit(1).count():
+            free_since(spark, mark, keep=path)
             return new.select("node", "root")
         hook = new.groupBy(F.col("old").alias("node")).agg(F.min("root").alias("h"))
         label = staged(new.join(hook, "node", "left").select("node", F.least("root", "h").alias("root")))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, components, hash_bounds, light, planes, slices, staged, unplanes
+from .common import column_bytes, components, free_since, hash_bounds, light, mark_staged, planes, shared_dir, slices, staged, unplanes
 
 #: Bits of the parities that candidate pairs are bounded by.
 _PARITY = 512
@@ -424,6 +424,7 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
     own = ["id", "label", "size", "sketch"]
     # first one text of each cluster outside the main one meets the group, then every text that is still outside
     for only_heads in (True, False):
+        mark = mark_staged()
         group = components(links).withColumnRenamed("node", "id").withColumnRenamed("root", "label")
         labelled = staged(short.join(group, "id", "left").withColumn("label", F.coalesce("label", "id")))
         counts = labelled.groupBy("root", "label").agg(F.count("*").alias("n"), F.min("id").alias("head"))
@@ -439,7 +440,9 @@ def _linked_texts(rows: DataFrame, members: DataFrame, *, width: int, floor: flo
         every_one = labelled.join(rest, "root").select("root", "i", every("rest").alias("j"), F.lit(False).alias("few"), *own)
         may = staged(asked.unionByName(every_one).groupBy("root", "i", "j").applyInArrow(meet, "root long, i int, j int, few boolean, id long, label long"))
         met = may.join(held.select("id", "_text"), "id").groupBy("root", "i", "j").applyInArrow(across, "a long, b long")
-        links = staged(links.union(met))
+        path = shared_dir(rows.sparkSession)
+        links = staged(links.union(met), path)
+        free_since(rows.sparkSession, mark, keep=path)
     return links
 
 
@@ -456,6 +459,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     edges between labels, so that edges grow with the texts and not with the tables.  Every candidate group is then verified by exact similarity (``_linked_texts``).  Null
     and blank texts have no shingles: each distinct one is a group of its own (null counts as empty).
     """
+    spark, mark = docs.sparkSession, mark_staged()
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.unhex(F.md5(body)).alias("text_key"), F.col(doc_id).cast("long").alias("doc_id"), body.alias("_text"))
     common, often = _common_shingles(rows, width)
@@ -495,7 +499,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     crowd = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
     members = texts.select("id", "text_key", "least", "size", "parity").join(rooted.join(crowd, "root"), "id")
     group = components(_linked_texts(rows, members, width=width, floor=min_similarity, chunk=chunk)).withColumnRenamed("node", "id")
-    grouped = staged(texts.select("id", "text_key", "least").join(group, "id", "left").select("text_key", "least", F.coalesce("root", "id").alias("group")))
+    path = shared_dir(spark)
+    grouped = staged(texts.select("id", "text_key", "least").join(group, "id", "left").select("text_key", "least", F.coalesce("root", "id").alias("group")), path)
+    free_since(spark, mark, keep=path)
     heads = grouped.groupBy("group").agg(F.min(F.struct(F.coalesce("least", F.lit(np.iinfo(np.int64).max)).alias("o"), F.col("text_key").alias("keep_key"), F.col("least").alias("keep_id"))).alias("h"))
     return grouped.join(heads, "group").select("text_key", "least", "h.keep_key", "h.keep_id")
 
