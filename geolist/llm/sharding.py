@@ -1,9 +1,10 @@
 """Histogram sort into shards of near-equal bytes, with DataFrame functions only.
 
-Rows are ordered by ``(hash of the text, hash of the id)``.  Exact byte counts below evenly spaced probe keys
+Rows are ordered by ``(hash of the text, hash of the id, hash of the row's place)``.  Exact byte counts below evenly spaced probe keys
 are taken across all partitions, and the probes are refined inside the cells that hold a splitter until every
 splitter is within the tolerance.  Then the rows are exchanged once.  Splitters are looked for between texts
-first, so equal texts stay together; only a group of copies larger than the tolerance is cut, by id hash.
+first, so equal texts stay together; only a group of copies larger than the tolerance is cut, by id hash, and rows
+that repeat an id and its text are cut among each other by their place in the written table of keys.
 """
 
 from __future__ import annotations
@@ -33,28 +34,32 @@ def _histogram(keys: DataFrame, cells: list[tuple[int, int, int]], key: str, pro
     return {(r.c, r.p): int(r.w) for r in counted.collect()}  # at most cells x probes rows
 
 
-def splitters(keys: DataFrame, parts: int, *, tolerance: float = 0.002, probes: int = 256) -> list[tuple[int, int]]:
-    """``parts - 1`` boundaries ``(k1, k2)``: a row is above one if ``(k1, k2) >= boundary``.
+def splitters(keys: DataFrame, parts: int, *, tolerance: float = 0.002, probes: int = 256, names: tuple[str, ...] = ("k1", "k2", "k3")) -> list[tuple[int, ...]]:
+    """``parts - 1`` boundaries over the keys ``names``: a row is above one if its keys are equal to it or come after.
 
-    ``keys`` has ``k1, k2`` and the exact ``weight``.  Each round reads only counts: at most ``parts * probes``
-    numbers reach the driver.  Rows that agree in both keys cannot be told apart and stay together.
+    ``keys`` has the keys and the exact ``weight``.  Each round reads only counts: at most ``parts * probes`` numbers
+    reach the driver.  A splitter inside a group of rows that agree in a key is looked for in the next key.
     """
     total = int(keys.agg(F.sum("weight")).first()[0] or 0)
     slack = tolerance * total / parts
-    found: dict[int, tuple[int, int]] = {}
-    # a search: splitter number -> (low, width of the cell, bytes below low, first key or None)
-    open_ = {i: (0, 1 << KEY_BITS, 0, None) for i in range(1, parts)}
+    rest = lambda fixed: fixed + (0,) * (len(names) - len(fixed))
+    found: dict[int, tuple[int, ...]] = {}
+    # a search: splitter number -> (low, width of the cell, bytes below low, keys that are fixed)
+    open_: dict[int, tuple[int, int, int, tuple]] = {i: (0, 1 << KEY_BITS, 0, ()) for i in range(1, parts)}
     while open_:
         groups: dict[tuple, list[int]] = {}
-        for i, (low, width, below, first) in open_.items():
-            groups.setdefault((first, low, width, below), []).append(i)
-        by_first: dict = {}
+        for i, (low, width, below, fixed) in open_.items():
+            groups.setdefault((fixed, low, width, below), []).append(i)
+        by_fixed: dict = {}
         for g in groups:
-            by_first.setdefault(g[0], []).append(g)
-        for first, cells in by_first.items():
-            source, key = (keys, "k1") if first is None else (keys.where(F.col("k1") == F.lit(first)), "k2")
+            by_fixed.setdefault(g[0], []).append(g)
+        for fixed, cells in by_fixed.items():
+            source = keys
+            for name, value in zip(names, fixed):
+                source = source.where(F.col(name) == F.lit(value))
+            last = len(fixed) == len(names) - 1
             step = {g: max(1, g[2] // probes) for g in cells}
-            counts = _histogram(source, [(g[1], step[g], n) for n, g in enumerate(cells)], key, probes)
+            counts = _histogram(source, [(g[1], step[g], n) for n, g in enumerate(cells)], names[len(fixed)], probes)
             for n, g in enumerate(cells):
                 _, low, _, below = g
                 edges = [below]
@@ -63,24 +68,26 @@ def splitters(keys: DataFrame, parts: int, *, tolerance: float = 0.002, probes:
                 for i in groups[g]:
                     goal = total * i / parts
                     best = min(range(probes + 1), key=lambda p: abs(edges[p] - goal))
-                    place = low + best * step[g]
-                    if abs(edges[best] - goal) <= slack or (step[g] == 1 and first is not None):
-                        found[i] = (place, 0) if first is None else (first, place)
+                    if abs(edges[best] - goal) <= slack or (step[g] == 1 and last):
+                        found[i] = rest((*fixed, low + best * step[g]))
                         del open_[i]
                         continue
                     p = next(p for p in range(probes) if edges[p + 1] >= goal)
                     if step[g] > 1:
-                        open_[i] = (low + p * step[g], step[g], edges[p], first)
-                    else:  # one text is larger than the tolerance: go on inside its group of copies
-                        open_[i] = (0, 1 << KEY_BITS, edges[p], low + p)
+                        open_[i] = (low + p * step[g], step[g], edges[p], fixed)
+                    else:  # the rows of one key are larger than the tolerance: go on inside them
+                        open_[i] = (0, 1 << KEY_BITS, edges[p], (*fixed, low + p))
     return [found[i] for i in range(1, parts)]
 
 
-def _above(boundaries: list[tuple[int, int]]) -> Column:
+def _above(boundaries: list[tuple[int, ...]], names: tuple[str, ...] = ("k1", "k2", "k3")) -> Column:
     """How many boundaries lie at or below the row."""
     n = F.lit(0)
-    for a, b in boundaries:
-        n = n + ((F.col("k1") > a) | ((F.col("k1") == a) & (F.col("k2") >= b))).cast("int")
+    for bound in boundaries:
+        reached = F.lit(True)
+        for name, value in reversed(list(zip(names, bound))):
+            reached = (F.col(name) > value) | ((F.col(name) == value) & reached)
+        n = n + reached.cast("int")
     return n
 
 
@@ -90,10 +97,11 @@ def histogram_shards(docs: DataFrame, shards: int = 8, *, doc_id: str = "doc_id"
     ``size`` is the text's UTF-8 bytes plus 1 (null: 1).  The law ``bytes`` holds: shard sizes differ from the
     mean by the tolerance and at most one row.  Equal texts lie in one shard, but for a group of copies larger than
     the tolerance that a shard's border meets: near-equal bytes go before whole groups there, and the group is cut
-    by id hash.  After the one exchange, rows of a shard are numbered from 0 through its cells: a cell is a range of
-    text hashes cut again by id hash, into as many ranges as the most frequent text needs, so that no cell
-    holds much more than ``cell_rows`` rows.  ``grown_shard`` is null under this law.  Null ids and repeated rows are
-    kept; rows equal in id and text share a key and a cell.  An empty table gives no rows.  Other columns are not read.
+    by id hash, rows without an id or with one id by their place.  After the one exchange, rows of a shard are
+    numbered from 0 through its cells: a cell is a range of text hashes cut again by id hash and by place, into as
+    many ranges as the most frequent text and the most frequent row need, so that no cell holds much more than
+    ``cell_rows`` rows.  ``grown_shard`` is null under this law.  Null ids and repeated rows are kept; which of equal
+    rows goes where is left open.  An empty table gives no rows.  Other columns are not read.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     keys = docs.select(
@@ -103,13 +111,16 @@ def histogram_shards(docs: DataFrame, shards: int = 8, *, doc_id: str = "doc_id"
         _key(body).alias("k1"),
         _key(F.col(doc_id).cast("long")).alias("k2"),
     )
-    keys = staged(keys)  # one pass over the texts; every probe round reads these few numbers only
-    bounds = splitters(keys.select("k1", "k2", F.col("size").alias("weight")), shards, tolerance=tolerance)
-    most = keys.groupBy("k1").agg(F.count("*").alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("top")).first()
-    across, down = (max(16, -(-(n or 0) // cell_rows)) for n in (most.all, most.top))
-    cell = F.expr(f"(k1 div {(1 << KEY_BITS) // across + 1}L) * {down} + (k2 div {(1 << KEY_BITS) // down + 1}L)")
+    # one pass over the texts; every probe round reads these few numbers only
+    keys = staged(keys.withColumn("k3", _key(F.monotonically_increasing_id())))
+    bounds = splitters(keys.select("k1", "k2", "k3", F.col("size").alias("weight")), shards, tolerance=tolerance)
+    same = keys.groupBy("k1", "k2").agg(F.count("*").alias("n")).groupBy("k1").agg(F.sum("n").alias("n"), F.max("n").alias("same"))
+    most = same.agg(F.sum("n").alias("all"), F.max("n").alias("top"), F.max("same").alias("same")).first()
+    across, down, deep = (max(least, -(-(n or 0) // cell_rows)) for n, least in ((most.all, 16), (most.top, 16), (most.same, 1)))
+    piece = lambda key, n: f"({key} div {(1 << KEY_BITS) // n + 1}L)"
+    cell = F.expr(f"({piece('k1', across)} * {down} + {piece('k2', down)}) * {deep} + {piece('k3', deep)}")
     placed = keys.withColumn("shard", _above(bounds)).withColumn("cell", cell)
-    in_cell = Window.partitionBy("shard", "cell").orderBy("k1", "k2", "doc_id", "text_crc32")
+    in_cell = Window.partitionBy("shard", "cell").orderBy("k1", "k2", "k3", "doc_id", "text_crc32")
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     bases = placed.groupBy("shard", "cell").agg(F.count("*").alias("n")).select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = placed.withColumn("at", F.row_number().over(in_cell) - 1)

@@ -25,11 +25,23 @@ def test_near_equal_bytes_with_a_hot_text(spark):
     assert cold.count() == 4000 - 1334
 
 
+def test_near_equal_bytes_with_half_the_table_one_row(spark):
+    """Rows that repeat one text, half of them without an id, the others with one id."""
+    one = F.when(F.col("id") % 4 == 0, F.lit(None)).when(F.col("id") % 4 == 2, F.lit(-5)).otherwise(F.col("id"))
+    rows = spark.range(4000).select(one.cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.lit("same " * 40)).otherwise(F.concat(F.col("id").cast("string"), F.repeat(F.lit("y"), (F.col("id") % 300).cast("int")))).alias("text"))
+    got = sharding.histogram_shards(rows, cell_rows=100)
+    sizes = got.groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.max("slot").alias("s")).collect()
+    mean = sum(r.b for r in sizes) / 8
+    assert len(sizes) == 8 and sum(r.n for r in sizes) == 4000 and all(r.s == r.n - 1 for r in sizes)
+    assert all(abs(r.b - mean) <= 2 * (0.002 * mean + 310) for r in sizes)
+    assert got.where("doc_id is null").count() == 1000
+
+
 def test_shards_are_runs_of_an_exact_sort(docs):
     """Shard borders against cumulated bytes of all rows, sorted on the driver."""
     whole = docs.select("doc_id", F.expr("octet_length(coalesce(text, '')) + 1").alias("size"), sharding._key(F.coalesce("text", F.lit(""))).alias("k1"), sharding._key(F.col("doc_id")).alias("k2"), F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("c"))
-    rows = sorted((r.k1, r.k2, r.size, r.doc_id, r.c) for r in whole.where("doc_id is not null").collect())
-    found = {(r.doc_id, r.text_crc32): r.shard for r in sharding.histogram_shards(docs.where("doc_id is not null"), 4, tolerance=0.01).collect()}
+    rows = sorted((r.k1, r.k2, r.size, r.doc_id, r.c) for r in whole.where("doc_id is not null or length(text) > 5").fillna(-1, ["doc_id"]).collect())
+    found = {(-1 if r.doc_id is None else r.doc_id, r.text_crc32): r.shard for r in sharding.histogram_shards(docs.where("doc_id is not null or length(text) > 5"), 4, tolerance=0.01).collect()}
     order = [found[i, c] for _, _, _, i, c in rows]
     assert order == sorted(order)
     total, below = sum(r[2] for r in rows), 0
