@@ -31,14 +31,12 @@ _NO_ID = -(1 << 63)
 def train_dictionary(pages: DataFrame, *, page_id: str = "page_id", html: str = "html", max_records: int = 1000, max_bytes: int = 16 << 20, size: int = 64 << 10) -> bytes:
     """A dictionary from at most ``max_records`` distinct records (least hash of id and payload) and ``max_bytes`` of them.
 
-    Records are chosen by hashes and lengths alone; only payloads that are chosen move.  Fewer than 8 usable
-    records give an empty dictionary: the records are then compressed without one.
+    Records are chosen by hashes and lengths alone, as a bounded top list over all of them at every size; only
+    payloads that are chosen move.  Null and empty pages are no records.  Fewer than 8 usable records give an empty
+    dictionary: the records are then compressed without one.
     """
     full = pages.where(F.octet_length(html) > 0).select(F.col(page_id).cast("long").alias("i"), F.xxhash64(html).alias("h"), F.col(html).cast("binary").alias("body"))
     short = full.select("i", "h", F.length("body").alias("n"), F.xxhash64("i", "h").alias("draw"))
-    rows = pages.count()
-    if rows > 64 * max_records:  # 32 times as many as asked for pass, in the mean
-        short = short.where(F.pmod("draw", F.lit(rows // (32 * max_records))) == 0)
     chosen, total = [], 0
     for r in short.select("draw", "i", "h", "n").distinct().orderBy("draw", "i", "h").limit(max_records).collect():  # four numbers a record
         if total + r.n <= max_bytes:

@@ -74,3 +74,11 @@ def test_few_and_no_records(spark):
     assert warc.read_archives(spark, warc.write_archives(empty)).count() == 0
     few = spark.createDataFrame([(1, "u", "a"), (2, "u", "a")], "page_id long, url string, html string")
     assert sorted(r.record_type for r in warc.read_archives(spark, warc.write_archives(few)).collect()) == ["response", "revisit"]
+
+
+def test_dictionary_from_few_usable_pages_among_many(spark):
+    from pyspark.sql import functions as F
+
+    body = F.when(F.col("id") % 3200 == 0, F.concat(F.lit("<html><body>page number "), F.col("id").cast("string"), F.repeat(F.lit(" common words of all pages"), 8), F.lit("</body></html>"))).when(F.col("id") % 2 == 0, "")
+    pages = spark.range(640_000).select(F.col("id").alias("page_id"), F.lit("http://x/").alias("url"), body.alias("html"))
+    assert len(warc.train_dictionary(pages)) > 500
