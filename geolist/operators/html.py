@@ -20,6 +20,10 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 SCHEMA = "title string, h1 string, jsonld array<string>, pairs array<struct<k:string,v:string>>, lists array<struct<head:string,k:string,v:string>>, texts array<struct<head:string,body:string>>, links array<string>, images array<string>, chips array<string>, marked map<string,string>, cards array<struct<k:string,v:string>>"
 
 
+def clean_text(text: str) -> str:
+    return " ".join(text.split())
+
+
 class _Walker(HTMLParser):
     """Collects the parts of one page; ``fields`` maps a name to ``('id' | 'class' | 'attr', value)``."""
 
@@ -30,6 +34,7 @@ class _Walker(HTMLParser):
         self.boxes: list[tuple[int, list[str]]] = []
         self.open: list[tuple[str, list, str | None]] = []
         self.found: dict[str, list[str]] = {}
+        self.pictured: set[str] = set()
         self.jsonld: list[str] = []
         self.pairs: list[tuple[str, str]] = []
         self.lists: list[tuple[str, str, str]] = []
@@ -44,8 +49,14 @@ class _Walker(HTMLParser):
         a = {k: v or "" for k, v in attrs}
         if tag == "a" and "href" in a:
             self.links.append(a["href"])
-        if tag == "img" and a.get("src"):
-            self.images.append(a["src"])
+        if tag == "img":
+            if a.get("src"):
+                self.images.append(a["src"])
+            for _, _, kind in self.open:  # a marked element's first image speaks for it
+                if kind in self.fields and kind not in self.pictured:
+                    self.pictured.add(kind)
+                    if clean_text(a.get("alt", "")) and not self.found.get(kind):
+                        self.found[kind] = [clean_text(a["alt"])]
         name = None
         classes = a.get("class", "").split()
         for field, (kind, value) in self.fields.items():
@@ -165,8 +176,9 @@ def pair_map(pairs: Column) -> Column:
 
 
 def section_map(lists: Column, heading: str) -> Column:
-    """Slug keys of the list items below the headings that contain ``heading``; the first of equal keys wins."""
-    return pair_map(F.filter(lists, lambda p: F.lower(p["head"]).contains(heading.lower())))
+    """Slug keys of the list items below the first heading that contains ``heading``; the first of equal keys wins."""
+    matching = F.filter(lists, lambda p: F.lower(p["head"]).contains(heading.lower()))
+    return pair_map(F.filter(matching, lambda p: p["head"] == F.get(matching, F.lit(0))["head"]))
 
 
 def section_text(texts: Column, heading: str) -> Column:
@@ -251,9 +263,14 @@ def ids_and_coordinates(html: Column, *, listing_key: str = "[A-Za-z0-9]+-ID", p
     return F.struct(word(listing_key, "[0-9]").alias("listing_id"), word(provider_key, "[A-Za-z0-9-]").alias("provider_id"), F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("latitude"), lon.alias("longitude"))).alias("coordinates"))
 
 
-def total_count(html: Column, pattern: str = r"([0-9][0-9.]*)\s+Eigentumswohnungen") -> Column:
-    """Announced number of listings, with grouping dots removed."""
-    return F.replace(F.nullif(F.regexp_extract(html, pattern, 1), F.lit("")), F.lit("."), F.lit("")).try_cast("int")
+# How a result page announces the number of its listings, as a heading or in a sentence, whatever the case.
+TOTALS = (r"(?i)>\s*([0-9.]+)\s+Eigentumswohnungen in\b", r"(?i)findest Du derzeit\s+([0-9.]+)\s+Eigentumswohnungen")
+
+
+def total_count(html: Column, patterns: tuple[str, ...] = TOTALS) -> Column:
+    """Announced number of listings without grouping dots, by the first pattern that gives a number."""
+    number = lambda p: F.replace(F.regexp_extract(html, p, 1), F.lit("."), F.lit("")).try_cast("int")
+    return F.coalesce(*[number(p) for p in patterns])
 
 
 def page_count(html: Column, total: Column, per_page: int) -> Column:

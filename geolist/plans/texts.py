@@ -289,12 +289,15 @@ def composed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.encode(body, "utf-8")).alias("body_md5"))
 
 
-@query("SELECT page_id, 1000 + page_id % 1000 AS total, least(greatest(page_id % 40, page_id % 23), ceil((1000 + page_id % 1000) / 20.0))::INT AS pages FROM pages")
+@query("SELECT page_id, CASE WHEN page_id % 4 < 3 THEN 1000 + page_id % 1000 END AS total, least(greatest(page_id % 40, page_id % 23), ceil((CASE WHEN page_id % 4 < 3 THEN 1000 + page_id % 1000 END) / 20.0))::INT AS pages FROM pages")
 def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Announced total and number of result pages, from marks in the markup."""
+    """Announced total, as a heading or in a sentence and in any case, and number of result pages, from marks in the markup."""
     p = F.col("page_id")
     s = lambda c: c.cast("string")
-    body = F.concat("html", F.lit("<b>1."), F.lpad(s(p % 1000), 3, "0"), F.lit(' Eigentumswohnungen</b><a data-p="'), s(p % 40), F.lit('">x</a><a href="?p='), s(p % 23), F.lit('">y</a>'))
+    number = F.concat(F.lit("1."), F.lpad(s(p % 1000), 3, "0"))
+    told = F.when(p % 4 == 0, F.concat(F.lit("<span> "), number, F.lit(" eigentumswohnungen IN Ort</span>"))).when(p % 4 == 1, F.concat(F.lit("<p>In Ort findest du derzeit "), number, F.lit(" Eigentumswohnungen.</p>")))
+    told = told.when(p % 4 == 2, F.concat(F.lit("<b>... Eigentumswohnungen in Ort</b> findest Du derzeit "), number, F.lit(" Eigentumswohnungen"))).otherwise(F.concat(F.lit("<b>mit "), number, F.lit(" Eigentumswohnungen</b>")))
+    body = F.concat("html", told, F.lit('<a data-p="'), s(p % 40), F.lit('">x</a><a href="?p='), s(p % 23), F.lit('">y</a>'))
     rows = table(spark, sf_dir, "pages").select("page_id", body.alias("html"))
     total = html.total_count(F.col("html"))
     return rows.select("page_id", total.cast("long").alias("total"), html.page_count(F.col("html"), total, 20).alias("pages"))
@@ -319,6 +322,41 @@ def listing_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("c_custkey", F.col("details.wohnflache").alias("wohnflaeche"), F.col("details.art").alias("art"), F.col("numbers.wohnflache_num").alias("area"), html.section_text(F.col("texts"), "lage").alias("about"), F.size("details").alias("n_details"))
 
 
+@query("SELECT o_orderkey, floor(o_totalprice)::BIGINT || ' EUR' AS rent, CASE WHEN o_orderkey % 3 > 0 THEN 'Gas ' || o_custkey END AS heating, CASE WHEN o_orderkey % 3 > 0 THEN 1 ELSE 0 END AS n_energy, CASE o_orderkey % 4 WHEN 0 THEN 'A+' WHEN 1 THEN 'Klasse ' || o_orderstatus WHEN 2 THEN 'B' END AS energy_class FROM orders")
+def heading_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists chosen by the heading above them, and an energy class that may be the text of an image inside its element."""
+    k, s = F.col("o_orderkey"), lambda c: c.cast("string")
+    rent = F.concat(s(F.floor("o_totalprice").cast("long")), F.lit(" EUR"))
+    item = lambda name, value: F.concat(F.lit(f"<li><div>{name}</div><div>"), value, F.lit("</div></li>"))
+    energy = F.when(k % 3 > 0, F.concat(F.lit("<h3>Energie und Heizung</h3><ul>"), item("Heizung", F.concat(F.lit("Gas "), s(F.col("o_custkey")))), F.lit("</ul>"))).otherwise("")
+    marked = F.when(k % 4 == 0, '<dd class="energy"><span><img src="a.png" alt=" A+ "></span></dd>').when(k % 4 == 1, F.concat(F.lit('<dd class="energy"><img src="x.png">Klasse '), "o_orderstatus", F.lit("</dd>")))
+    marked = marked.when(k % 4 == 2, '<dd class="energy">Klasse <img alt="B"><img alt="C"></dd>').otherwise("")
+    page = F.concat(F.lit("<h2>Die Kosten</h2><ul>"), item("Miete", rent), item("Miete", F.lit("0 EUR")), F.lit("</ul><h2>Immobiliendetails</h2><ul>"), item("Heizung", F.lit("keine")), F.lit("</ul>"), energy, F.lit("<h2>Weitere Kosten</h2><ul>"), item("Kaution", F.lit("1")), F.lit("</ul>"), marked)
+    walked = html.walk_pages(table(spark, sf_dir, "orders").select("o_orderkey", page.alias("html")), fields={"energy": ("class", "energy")})
+    costs, power = html.section_map(F.col("lists"), "kosten"), html.section_map(F.col("lists"), "Energie")
+    value = lambda m, n: F.try_element_at(m, F.lit(n))
+    return walked.select("o_orderkey", value(costs, "miete").alias("rent"), value(power, "heizung").alias("heating"), F.size(power).alias("n_energy"), value(F.col("marked"), "energy").alias("energy_class"))
+
+
+_ROBOT = "c_custkey % 11 = 0"
+
+
+@query(f"SELECT c_custkey, c_custkey::VARCHAR AS expose_id, CASE WHEN {_ROBOT} THEN 'Ich bin kein Roboter' ELSE c_name END AS name, {_ROBOT} AS challenge, (c_custkey % 4)::INT AS n_images, sha256('https://x.example/i/' || c_custkey || '-0.jpg') AS first_image, CASE WHEN c_custkey % 5 > 0 THEN 2 ELSE 1 END AS n_attributes, c_mktsegment AS segment, CASE WHEN c_custkey % 5 > 0 THEN floor(c_acctbal)::BIGINT::VARCHAR END AS balance, CASE WHEN c_custkey % 3 > 0 THEN c_name || ' & Co' END AS ld_name, CASE WHEN c_custkey % 3 > 0 THEN (c_custkey % 997)::VARCHAR END AS ld_price, CASE WHEN c_custkey % 3 = 2 THEN 'https://x.example/w' END AS ld_page FROM customer WHERE c_custkey % 4 > 0 UNION ALL SELECT c_custkey, c_custkey::VARCHAR, CASE WHEN {_ROBOT} THEN 'Ich bin kein Roboter' ELSE c_name END, {_ROBOT}, 0, NULL, CASE WHEN c_custkey % 5 > 0 THEN 2 ELSE 1 END, c_mktsegment, CASE WHEN c_custkey % 5 > 0 THEN floor(c_acctbal)::BIGINT::VARCHAR END, CASE WHEN c_custkey % 3 > 0 THEN c_name || ' & Co' END, CASE WHEN c_custkey % 3 > 0 THEN (c_custkey % 997)::VARCHAR END, CASE WHEN c_custkey % 3 = 2 THEN 'https://x.example/w' END FROM customer WHERE c_custkey % 4 = 0")
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of listing pages built from customers: ids, images, pairs, JSON-LD as an object or a graph, robot checks."""
+    k, s = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    head = F.when(k % 11 == 0, "<h1>Ich bin kein Roboter</h1>").otherwise(F.concat(F.lit("<h1> "), "c_name", F.lit("</h1>")))
+    images = F.array_join(F.transform(F.when(k % 4 > 0, F.sequence(F.lit(0), (k % 4 - 1).cast("int"))).otherwise(F.array().cast("array<int>")), lambda i: F.concat(F.lit('<img src="/i/'), s, F.lit("-"), i.cast("string"), F.lit('.jpg"><img src="data:image/png;x">'))), "")
+    pairs = F.concat(F.lit("<dl><dt>Segment</dt><dd>"), "c_mktsegment", F.lit("</dd><dt>only the first pair of a list counts</dt><dd>x</dd></dl>"), F.when(k % 5 > 0, F.concat(F.lit("<dl><dt>Balance</dt><dd>"), F.floor("c_acctbal").cast("long").cast("string"), F.lit("</dd></dl><dl><dt>balance</dt><dd>x</dd></dl>"))).otherwise(""))
+    listing = F.concat(F.lit('{"@type": "RealEstateListing", "name": "'), "c_name", F.lit(' & Co", "offers": [{"price": "'), (k % 997).cast("string"), F.lit('"}]}'))
+    graph = F.when(k % 3 == 1, listing).when(k % 3 == 2, F.concat(F.lit('{"@graph": [{"@type": "WebPage", "@id": "https://x.example/w"}, '), listing, F.lit("]}")))
+    ld = F.when(graph.isNotNull(), F.concat(F.lit('<script type="application/ld+json">{broken</script><script type="application/ld+json">'), graph, F.lit("</script>"))).otherwise("")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("https://x.example/expose/"), s, F.lit("?a=1")).alias("url"), F.concat(head, images, pairs, ld).alias("html"))
+    out = html.listing_records(rows)
+    attr = lambda n: F.try_element_at("attributes", F.lit(n))
+    return out.select("c_custkey", "expose_id", "name", "challenge", F.size("images").alias("n_images"), F.get("images", F.lit(0))["sha256"].alias("first_image"), F.size("attributes").alias("n_attributes"), attr("segment").alias("segment"), attr("balance").alias("balance"), F.col("ld.ld_listing_name").alias("ld_name"), F.col("ld.ld_offer_price").alias("ld_price"), F.col("ld.ld_webpage_url").alias("ld_page"))
+
+
 @query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'ld' WHEN p_partkey % 2 = 0 THEN 'dl' ELSE 'base' END AS name, p_brand AS brand, CASE WHEN p_partkey % 2 = 0 THEN p_type END AS kind FROM part")
 def attribute_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attributes of a record in rising precedence: base, pairs, structured data."""
