@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, scores
 from ..operators import around, grid, neighbourhood, spatial
 from ..sources import readers
+from ..sources.scratch import shared_dir
 from . import base
 from .base import SQL, haversine_sql, near_sql, table
 
@@ -341,6 +342,24 @@ def relation_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.relation_centres(members, at).select("relation_id", *r6("lat", "lon"))
 
 
+@query(f"WITH e AS (SELECT 'node' AS kind, p_partkey AS id, round({base._slat('p_partkey')}, 6) AS lat, 'Brand <' || p_brand || '> & Co' AS name, 0 AS refs, 0::HUGEINT AS total FROM part UNION ALL SELECT 'way', l_orderkey, NULL, NULL, count(*), sum(l_partkey) FROM lineitem GROUP BY 2 UNION ALL SELECT 'relation', n_nationkey, NULL, any_value(n_name), count(s_suppkey), sum(s_suppkey) FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 2) SELECT kind, id::BIGINT AS id, lat, name, refs::INT AS refs, coalesce(total, 0)::BIGINT AS total FROM e")
+def map_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map extract written from parts, orders and suppliers as XML and read back in one pass: nodes, ways, relations with members."""
+    t = lambda name: table(spark, sf_dir, name)
+    s, e = lambda c: F.col(c).cast("string"), lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    named = lambda c: F.concat(F.lit("  <tag k='name' v=\""), e(c), F.lit("\"/>\n"))
+    nodes = t("part").select(F.concat(F.lit('<node id="'), s("p_partkey"), F.lit('" lat="'), base._lat(F.col("p_partkey")).cast("string"), F.lit("\" lon='9.5'>\n"), named(F.concat(F.lit("Brand <"), "p_brand", F.lit("> & Co"))), F.lit("</node>")).alias("value"))
+    joined = lambda parts: F.array_join(F.collect_list(parts), "")
+    ways = t("lineitem").groupBy("l_orderkey").agg(joined(F.concat(F.lit('<nd ref="'), s("l_partkey"), F.lit('"/>'))).alias("nd")).select(F.concat(F.lit('<way id="'), s("l_orderkey"), F.lit('">'), "nd", F.lit("</way>")).alias("value"))
+    member = F.when(F.col("s_suppkey").isNotNull(), F.concat(F.lit('<member type="node" ref="'), s("s_suppkey"), F.lit('" role=""/>')))
+    relations = t("nation").join(t("supplier"), F.col("s_nationkey") == F.col("n_nationkey"), "left").groupBy("n_nationkey", "n_name").agg(joined(member).alias("m")).select(F.concat(F.lit('<relation id="'), s("n_nationkey"), F.lit('">'), "m", named(F.col("n_name")), F.lit("</relation>")).alias("value"))
+    path = shared_dir(spark)
+    nodes.unionByName(ways).unionByName(relations).write.text(path)
+    got = readers.read_osm(spark, path)
+    refs = F.coalesce(F.when(F.size("nodes") > 0, F.col("nodes")), F.transform("members", lambda m: m.ref))
+    return got.select("kind", "id", F.round("lat", 6).alias("lat"), F.try_element_at("tags", F.lit("name")).alias("name"), F.size(refs).alias("refs"), F.aggregate(refs, F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
 @query(f"WITH {SQL['li']} SELECT point_id, round(CASE WHEN point_id % 3 > 0 THEN lat ELSE 48.0 + city END, 6) AS lat FROM li")
 def own_or_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing's own latitude, else its city's."""

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .scratch import staged
@@ -108,15 +110,93 @@ def elements(documents: DataFrame, column: str = "elements") -> DataFrame:
     return e.select(F.col("e.type").alias("osm_type"), F.col("e.id").alias("osm_id"), F.coalesce("e.lat", "e.center.lat").alias("lat"), F.coalesce("e.lon", "e.center.lon").alias("lon"), F.col("e.tags").alias("tags"), F.col("e.geometry").alias("geometry"))
 
 
-_TAGS = "tag array<struct<_k:string,_v:string>>"
+# Records of a map extract, their parts, and how an attribute is written.
+_RECORDS, _PARTS = ("node", "way", "relation"), ("tag", "nd", "member")
+_ATTRIBUTE = re.compile(r"""([\w:.-]+)\s*=\s*(?:"([^"]*)"|'([^']*)')""")
+_MEMBERS = pa.list_(pa.struct([("type", pa.string()), ("ref", pa.int64()), ("role", pa.string())]))
+_OSM = [("file", pa.string()), ("block", pa.int64()), ("place", pa.int64()), ("last", pa.bool_()), ("kind", pa.string()), ("id", pa.int64()), ("lat", pa.float64()), ("lon", pa.float64()), ("tags", pa.list_(pa.struct([("k", pa.string()), ("v", pa.string())]))), ("nodes", pa.list_(pa.int64())), ("members", _MEMBERS)]
+
+
+def _attributes(text: str) -> dict[str, str]:
+    return {k: unescape(v or w) for k, v, w in _ATTRIBUTE.findall(text)}
+
+
+def _osm_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of the tags that come one after another; parts before a block's first record are a record 0 of their own."""
+    now: dict | None = None
+
+    def flush(rows: list[dict], last: bool) -> None:
+        if now is not None:
+            rows.append(now | {"last": last})
+
+    for batch in batches:
+        rows: list[dict] = []
+        for file, block, value in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "value"))):
+            if now is None or (now["file"], now["block"]) != (file, block):
+                flush(rows, True)
+                now = {"file": file, "block": block, "place": 0, "kind": None, "id": None, "lat": None, "lon": None, "tags": [], "nodes": [], "members": []}
+            name = value[:9].split(maxsplit=1)[0] if value and not value[0].isspace() else ""
+            if name in _RECORDS:
+                flush(rows, False)
+                a = _attributes(value)
+                number = lambda k, kind: kind(a[k]) if a.get(k) else None
+                now = {"file": file, "block": block, "place": now["place"] + 1, "kind": name, "id": number("id", int), "lat": number("lat", float), "lon": number("lon", float), "tags": [], "nodes": [], "members": []}
+            elif name in _PARTS:
+                a = _attributes(value)
+                if name == "tag":
+                    now["tags"].append({"k": a.get("k", ""), "v": a.get("v", "")})
+                elif name == "nd":
+                    now["nodes"].append(int(a["ref"]))
+                else:
+                    now["members"].append({"type": a.get("type"), "ref": int(a["ref"]), "role": a.get("role")})
+        yield pa.record_batch([pa.array([r[n] for r in rows], t) for n, t in _OSM], [n for n, _ in _OSM])
+    if now is not None:
+        rows = []
+        flush(rows, True)
+        yield pa.record_batch([pa.array([r[n] for r in rows], t) for n, t in _OSM], [n for n, _ in _OSM])
+
+
+def read_osm(spark: SparkSession, path: str) -> DataFrame:
+    """All records of (compressed) map extracts in one pass: ``kind`` (node, way, relation), ``id, lat, lon, tags, nodes, members``.
+
+    The text is cut at every ``<``, so Spark reads it by byte ranges of any size from any file system, and a range
+    begins at its first tag.  A record that goes on in the next range is completed from there: only the last
+    record of each range and the parts before the first one of the next meet, told by the number of records before.
+    The last of equal keys of a record wins.  The result is a written table.
+    """
+    tags = spark.read.option("lineSep", "<").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    parts = "kind string, id long, lat double, lon double, tags array<struct<k:string,v:string>>, nodes array<long>, members array<struct<type:string,ref:long,role:string>>"
+    found = staged(tags.mapInArrow(_osm_records, f"file string, block long, place long, last boolean, {parts}"))
+    blocks = found.groupBy("file", "block").agg(F.max("place").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("file", "block", before.alias("before"))
+    edges = found.where("last OR place = 0").join(blocks, ["file", "block"]).withColumn("number", F.col("before") + F.col("place"))
+    one = lambda c: F.flatten(F.transform("e", lambda x: x[c])).alias(c)
+    pieces = edges.groupBy("file", "number").agg(F.array_sort(F.collect_list(F.struct("block", "place", "kind", "id", "lat", "lon", "tags", "nodes", "members"))).alias("e"))
+    head = lambda c: F.get("e", F.lit(0))[c].alias(c)
+    joined = pieces.select(*[head(c) for c in ("kind", "id", "lat", "lon")], *[one(c) for c in ("tags", "nodes", "members")])
+    every = found.where("NOT last AND place > 0").select(*joined.columns).unionByName(joined).where("kind IS NOT NULL")
+    empty = F.expr("cast(map() as map<string,string>)")
+    tag_map = F.aggregate("tags", empty, lambda m, t: F.map_concat(F.map_filter(m, lambda k, _: k != t.k), F.create_map(t.k, t.v)))
+    return staged(every.withColumn("tags", tag_map))
+
+
+def osm_nodes(records: DataFrame) -> DataFrame:
+    return records.where("kind = 'node'").select(F.col("id").alias("node_id"), "lat", "lon", "tags")
+
+
+def osm_ways(records: DataFrame) -> DataFrame:
+    return records.where("kind = 'way'").select(F.col("id").alias("way_id"), "nodes", "tags")
+
+
+def osm_relations(records: DataFrame) -> DataFrame:
+    return records.where("kind = 'relation'").select(F.col("id").alias("relation_id"), "members", "tags")
 
 
 def read_osm_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes and ways of a (compressed) map extract: ``node_id, lat, lon, tags`` and ``way_id, nodes, tags``."""
-    tags = F.map_from_entries(F.transform(F.coalesce("tag", F.expr("cast(array() as array<struct<_k:string,_v:string>>)")), lambda t: F.struct(t["_k"], t["_v"])))
-    nodes = spark.read.format("xml").option("rowTag", "node").schema(f"_id long, _lat double, _lon double, {_TAGS}").load(path)
-    ways = spark.read.format("xml").option("rowTag", "way").schema(f"_id long, nd array<struct<_ref:long>>, {_TAGS}").load(path)
-    return nodes.select(F.col("_id").alias("node_id"), F.col("_lat").alias("lat"), F.col("_lon").alias("lon"), tags.alias("tags")), ways.select(F.col("_id").alias("way_id"), F.col("nd._ref").alias("nodes"), tags.alias("tags"))
+    """Nodes and ways of a (compressed) map extract: ``node_id, lat, lon, tags`` and ``way_id, nodes, tags``, from one pass."""
+    records = read_osm(spark, path)
+    return osm_nodes(records), osm_ways(records)
 
 
 def relation_centres(members: DataFrame, positions: DataFrame) -> DataFrame:

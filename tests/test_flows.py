@@ -153,3 +153,33 @@ def test_sparse_fit_against_newton(spark):
     assert type(vectors.first().vector).__name__ == "SparseVector"
     with pytest.raises(ValueError):
         learn.fit_sparse(features, rows.limit(5), ["y"])
+
+
+def test_map_extract_in_ranges_of_any_size(spark, tmp_path):
+    xml = """<?xml version='1.0'?>
+<osm version="0.6"><bounds minlat="1"/>
+""" + "".join(f"<node id='{i}' lat='{i}.5' lon=\"-{i}.25\"" + ("/>\n" if i % 3 else f">\n <tag k='name' v='a &amp; &quot;b&quot; {i}'/><tag k=\"x\" v=\"1\"/><tag k=\"x\" v=\"2\"/></node>\n") for i in range(1, 30)) + "<way id='7'>" + "".join(f"<nd ref='{i}'/>" for i in range(1, 25)) + "<tag k='highway' v='primary'/></way><relation id='8'><member type='way' ref='7' role='outer'/><member type='node' ref='3' role=''/><tag k='type' v='multipolygon'/></relation></osm>"
+    (tmp_path / "m.osm").write_text(xml)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    try:
+        for size in ("128m", "900", "230"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found.append(sorted(map(str, readers.read_osm(spark, str(tmp_path / "m.osm")).collect())))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert all(f == found[0] for f in found) and len(found[0]) == 31
+    records = readers.read_osm(spark, str(tmp_path / "m.osm"))
+    node = readers.osm_nodes(records).where("node_id = 3").first()
+    assert (node.lat, node.lon, node.tags) == (3.5, -3.25, {"name": 'a & "b" 3', "x": "2"})
+    assert readers.osm_ways(records).first().nodes == list(range(1, 25))
+    relation = readers.osm_relations(records).first()
+    assert [tuple(m) for m in relation.members] == [("way", 7, "outer"), ("node", 3, "")] and relation.tags == {"type": "multipolygon"}
+
+
+def test_image_text_of_a_marked_element(spark):
+    from geolist.operators import html
+
+    pages = spark.createDataFrame([(1, '<dd class="e"><img alt="B"></dd>'), (2, '<dd class="e">C <img></dd>'), (3, '<img class="e" alt="D">'), (4, '<dd class="e">x<p><img alt="E"><img alt="F"></p></dd>')], "i int, html string")
+    got = {r.i: r.marked["e"] for r in html.walk_pages(pages, fields={"e": ("class", "e")}).collect()}
+    assert got == {1: "B", 2: "C", 3: "D", 4: "E"}
