@@ -6,8 +6,6 @@ common table expressions.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,16 +22,6 @@ ROADS = ["primary", "residential", "motorway", "tertiary", "service", "secondary
 OSM_TYPES = ["node", "way", "relation"]
 
 
-def shared_base(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only in local mode, where there is one machine."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        base = "file://" + tempfile.mkdtemp(prefix="geolist-")
-    return base.rstrip("/")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -63,11 +51,12 @@ def _pick(names: list[str], i: Column) -> Column:
 
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Map elements from ``events``: city, local and geographic position, type and tags."""
+    """Map elements from ``events``: city, local and geographic position, type and tags; some lie where listings do."""
     i, kind = F.col("event_id"), F.col("event_type")
+    at = i + 12345
     tags = {"amenity": ("view", _pick(AMENITIES, i)), "shop": ("click", _pick(SHOPS, i)), "landuse": ("click", _pick(LANDUSE, i)), "healthcare": ("purchase", F.lit("yes")), "leisure": ("purchase", _pick(LEISURE, i)), "tourism": ("signup", F.lit("hotel")), "natural": ("signup", _pick(NATURAL, i)), "railway": ("signup", _pick(RAILWAYS, i)), "highway": ("error", _pick(HIGHWAYS, i)), "lit": ("error", _pick(LIT, i)), "public_transport": ("error", _pick(PLATFORMS, i))}
     given = F.map_filter(F.create_map(*[c for k, (own, v) in tags.items() for c in (F.lit(k), F.when(kind == own, v))]), lambda _, v: v.isNotNull())
-    return table(spark, sf_dir, "events").select(i.alias("element_id"), (i % 5).alias("city"), _x(i).alias("x"), _y(i).alias("y"), _lat(i).alias("lat"), _lon(i).alias("lon"), _pick(OSM_TYPES, i).alias("osm_type"), kind.alias("kind"), "value", given.alias("tags"))
+    return table(spark, sf_dir, "events").select(i.alias("element_id"), (i % 5).alias("city"), _x(at).alias("x"), _y(at).alias("y"), _lat(at).alias("lat"), _lon(at).alias("lon"), _pick(OSM_TYPES, i).alias("osm_type"), kind.alias("kind"), "value", given.alias("tags"))
 
 
 def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +72,9 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").select(i.alias("stop_id"), _lat(i).alias("lat"), _lon(i).alias("lon"))
+    """Stops from ``supplier``, where listings are."""
+    i = F.col("s_suppkey") + 12345
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("stop_id"), _lat(i).alias("lat"), _lon(i).alias("lon"))
 
 
 def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,10 +119,11 @@ def _case(kind: str, value: str) -> str:
     return f"CASE WHEN event_type = '{kind}' THEN {value} END"
 
 
-_E, _P, _C, _S = "event_id::BIGINT", "p_partkey::BIGINT", "(c_custkey::BIGINT + 12345)", "s_suppkey::BIGINT"
+_E, _P, _C, _S = "event_id::BIGINT", "p_partkey::BIGINT", "(c_custkey::BIGINT + 12345)", "(s_suppkey::BIGINT + 12345)"
+_EP = "(event_id::BIGINT + 12345)"
 _N = "n_nationkey::BIGINT"
 SQL = {
-    "el": f"el AS (SELECT event_id AS element_id, event_id % 5 AS city, {_sx(_E)} AS x, {_sy(_E)} AS y, {_slat(_E)} AS lat, {_slon(_E)} AS lon, {_spick(OSM_TYPES, _E)} AS osm_type, event_type AS kind, value, {_case('view', _spick(AMENITIES, _E))} AS amenity, {_case('click', _spick(SHOPS, _E))} AS shop, {_case('purchase', repr('yes'))} AS healthcare, {_case('signup', repr('hotel'))} AS tourism, {_case('error', _spick(HIGHWAYS, _E))} AS highway, {_case('purchase', _spick(LEISURE, _E))} AS leisure, {_case('click', _spick(LANDUSE, _E))} AS landuse, {_case('signup', _spick(NATURAL, _E))} AS nature, {_case('signup', _spick(RAILWAYS, _E))} AS railway, {_case('error', _spick(LIT, _E))} AS lit, {_case('error', _spick(PLATFORMS, _E))} AS public_transport FROM events)",
+    "el": f"el AS (SELECT event_id AS element_id, event_id % 5 AS city, {_sx(_EP)} AS x, {_sy(_EP)} AS y, {_slat(_EP)} AS lat, {_slon(_EP)} AS lon, {_spick(OSM_TYPES, _E)} AS osm_type, event_type AS kind, value, {_case('view', _spick(AMENITIES, _E))} AS amenity, {_case('click', _spick(SHOPS, _E))} AS shop, {_case('purchase', repr('yes'))} AS healthcare, {_case('signup', repr('hotel'))} AS tourism, {_case('error', _spick(HIGHWAYS, _E))} AS highway, {_case('purchase', _spick(LEISURE, _E))} AS leisure, {_case('click', _spick(LANDUSE, _E))} AS landuse, {_case('signup', _spick(NATURAL, _E))} AS nature, {_case('signup', _spick(RAILWAYS, _E))} AS railway, {_case('error', _spick(LIT, _E))} AS lit, {_case('error', _spick(PLATFORMS, _E))} AS public_transport FROM events)",
     "st": f"st AS (SELECT p_partkey AS seg_id, p_partkey % 5 AS city, {_sx(_P)} AS x1, {_sy(_P)} AS y1, {_sx(_P)} + (p_partkey * 31 % 401) - 200 AS x2, {_sy(_P)} + (p_partkey * 17 % 401) - 200 AS y2, p_brand AS street, {_spick(ROADS, _P)} AS highway, CASE WHEN p_size % 3 <> 0 THEN p_size::DOUBLE END AS maxspeed FROM part)",
     "li": f"li AS (SELECT c_custkey AS point_id, c_custkey % 5 AS city, {_sx(_C)} AS x, {_sy(_C)} AS y, {_slat(_C)} AS lat, {_slon(_C)} AS lon, c_acctbal AS balance FROM customer)",
     "sp": f"sp AS (SELECT s_suppkey AS stop_id, {_slat(_S)} AS lat, {_slon(_S)} AS lon FROM supplier)",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from ..operators import records
 from ..sources import readers, writers
 from ..sources.scratch import shared_dir, staged
 from ..streaming.dedupe import stream_new_records
-from .base import shared_base, table
+from .base import table
 from .texts import canonical_sql
 
 QUERIES: dict = {}
@@ -185,7 +183,7 @@ def done_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT DISTINCT {canonical_sql('url')} || '|' || sha256(coalesce(html, '')) AS done_key FROM pages")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages table as a stream, run twice: each record key comes once, and the second run adds nothing."""
-    work = f"{shared_base(spark)}/stream-{uuid.uuid4().hex}"
+    work = shared_dir(spark)
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     pages.write.parquet(f"{work}/in")
     for _ in range(2):

@@ -232,16 +232,18 @@ def geometry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("point_id", *counts, F.round("nearest_rail_m", 3).alias("nearest_rail_m"), F.round("nearest_major_road_m", 3).alias("nearest_major_road_m"), *r6("speed_mean"))
 
 
-_GEOM = f"gm AS (SELECT {base._P} AS line_id, {base._slat(base._P)} AS la, {base._slon(base._P)} AS lo, {base._slat(base._P)} + ({base._P} * 17 % 401 - 200)::DOUBLE / 60000.0::DOUBLE AS lb, {base._slon(base._P)} + ({base._P} * 31 % 401 - 200)::DOUBLE / 60000.0::DOUBLE AS lp FROM part WHERE p_partkey % 4 > 0)"
+_END = "CASE WHEN p_partkey % 4 > 0 THEN ({0} * {1} % 401 - 200)::DOUBLE / 60000.0::DOUBLE ELSE 0.0::DOUBLE END"
+_GEOM = f"gm AS (SELECT {base._P} AS line_id, {base._slat(base._P)} AS la, {base._slon(base._P)} AS lo, {base._slat(base._P)} + {_END.format(base._P, 17)} AS lb, {base._slon(base._P)} + {_END.format(base._P, 31)} AS lp FROM part)"
 _LOCAL = "(SELECT point_id, line_id, (lo - lon) * 111320 * cos(radians(lat)) AS x1, (la - lat) * 111320 AS y1, (lp - lon) * 111320 * cos(radians(lat)) AS x2, (lb - lat) * 111320 AS y2 FROM li JOIN gm ON abs(la - lat) < 1 AND abs(lo - lon) < 1)"
 
 
 @query(f"WITH {SQL['li']}, {_GEOM}, pr AS (SELECT point_id, {base.segment_sql('0.0::DOUBLE', '0.0::DOUBLE', 's')} AS d FROM {_LOCAL} s) SELECT point_id, count(*) AS lines, round(min(d), 3) AS nearest_m FROM pr WHERE d <= 900 GROUP BY 1")
 def radius_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with any part within 900 m of a listing, by distance to their geometry."""
+    """Lines with any part within 900 m of a listing, by distance to their geometry; a quarter are single points."""
     i = F.col("p_partkey")
     end = F.struct((base._lat(i) + (i * 17 % 401 - 200).cast("double") / 60000.0).alias("lat"), (base._lon(i) + (i * 31 % 401 - 200).cast("double") / 60000.0).alias("lon"))
-    lines = table(spark, sf_dir, "part").where("p_partkey % 4 > 0").select(i.alias("line_id"), F.array(F.struct(base._lat(i).alias("lat"), base._lon(i).alias("lon")), end).alias("geometry"))
+    start = F.struct(base._lat(i).alias("lat"), base._lon(i).alias("lon"))
+    lines = table(spark, sf_dir, "part").select(i.alias("line_id"), F.when(i % 4 > 0, F.array(start, end)).otherwise(F.array(start)).alias("geometry"))
     met = spatial.geometry_pairs(base.listings(spark, sf_dir).select("point_id", "lat", "lon"), lines, 900.0)
     return met.groupBy("point_id").agg(F.count("*").alias("lines"), F.round(F.min("dist"), 3).alias("nearest_m"))
 
@@ -333,12 +335,20 @@ def station_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.stations(payload).select("station_id", "code", "name", *r6("lat"))
 
 
-@query(f"WITH nd AS (SELECT p_partkey AS member_id, {base._slat('p_partkey')} AS lat, {base._slon('p_partkey')} AS lon FROM part WHERE p_size > 5) SELECT l_suppkey AS relation_id, round((min(lat) + max(lat)) / 2, 6) AS lat, round((min(lon) + max(lon)) / 2, 6) AS lon FROM lineitem JOIN nd ON l_partkey = member_id GROUP BY 1")
+#: A reference of a way or relation; some lead nowhere.
+_MEMBER = "CASE WHEN l_linenumber % 4 = 3 THEN -l_partkey ELSE l_partkey END"
+
+
+def _member() -> Column:
+    return F.when(F.col("l_linenumber") % 4 == 3, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+
+
+@query(f"WITH nd AS (SELECT p_partkey AS member_id, {base._slat('p_partkey')} AS lat, {base._slon('p_partkey')} AS lon FROM part) SELECT l_suppkey AS relation_id, round((min(lat) + max(lat)) / 2, 6) AS lat, round((min(lon) + max(lon)) / 2, 6) AS lon FROM lineitem JOIN nd ON {_MEMBER} = member_id GROUP BY 1")
 def relation_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centre of the box of a relation's members."""
     p = F.col("p_partkey")
-    at = table(spark, sf_dir, "part").where("p_size > 5").select(p.alias("member_id"), base._lat(p).alias("lat"), base._lon(p).alias("lon"))
-    members = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("relation_id"), F.col("l_partkey").alias("member_id"))
+    at = table(spark, sf_dir, "part").select(p.alias("member_id"), base._lat(p).alias("lat"), base._lon(p).alias("lon"))
+    members = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("relation_id"), _member().alias("member_id"))
     return readers.relation_centres(members, at).select("relation_id", *r6("lat", "lon"))
 
 
@@ -374,11 +384,11 @@ def raster_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.raster_sample(base.listings(spark, sf_dir), cells, x0=-5000.0, y0=5000.0, width=500.0, height=200.0, no_data=-1.0).select("point_id", "band", *r6("value"))
 
 
-@query(f"WITH nd AS (SELECT p_partkey AS node_id, {base._slat('p_partkey')} AS lat, {base._slon('p_partkey')} AS lon FROM part WHERE p_size > 5) SELECT l_orderkey AS way_id, count(*) AS vertices, round(first(lat ORDER BY l_linenumber, lat, lon), 6) AS first_lat, round(last(lon ORDER BY l_linenumber, lat, lon), 6) AS last_lon, round((min(lat) + max(lat)) / 2, 6) AS lat, round((min(lon) + max(lon)) / 2, 6) AS lon FROM lineitem JOIN nd ON l_partkey = node_id GROUP BY 1")
+@query(f"WITH nd AS (SELECT p_partkey AS node_id, {base._slat('p_partkey')} AS lat, {base._slon('p_partkey')} AS lon FROM part) SELECT l_orderkey AS way_id, count(*) AS vertices, round(first(lat ORDER BY l_linenumber, lat, lon), 6) AS first_lat, round(last(lon ORDER BY l_linenumber, lat, lon), 6) AS last_lon, round((min(lat) + max(lat)) / 2, 6) AS lat, round((min(lon) + max(lon)) / 2, 6) AS lon FROM lineitem JOIN nd ON {_MEMBER} = node_id GROUP BY 1")
 def way_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
-    nodes = table(spark, sf_dir, "part").where("p_size > 5").select(p.alias("node_id"), base._lat(p).alias("lat"), base._lon(p).alias("lon"))
-    ways = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("way_id"), F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("node_id"))
+    nodes = table(spark, sf_dir, "part").select(p.alias("node_id"), base._lat(p).alias("lat"), base._lon(p).alias("lon"))
+    ways = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("way_id"), F.col("l_linenumber").alias("pos"), _member().alias("node_id"))
     out = grid.way_lines(ways, nodes)
     return out.select("way_id", F.size("geometry").cast("long").alias("vertices"), F.round(F.element_at("geometry", 1)["lat"], 6).alias("first_lat"), F.round(F.element_at("geometry", -1)["lon"], 6).alias("last_lon"), *r6("lat", "lon"))
 
