@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import html, records
+from ..operators.ranking import ranked
+from ..sources.scratch import staged
 from .base import table
 
 QUERIES: dict = {}
@@ -382,11 +384,9 @@ def name_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT street, row_number() OVER (ORDER BY lower(street)) AS place FROM (SELECT DISTINCT p_brand AS street FROM part)")
 def streets_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streets in the order of their lower-cased names; their place comes from the sorted list of the few names."""
-    names = table(spark, sf_dir, "part").select(F.col("p_brand").alias("street")).distinct()
-    ordered = records.by_name(names, "street")
-    place = F.row_number().over(Window.orderBy(F.lower("street")))
-    return ordered.select("street", place.cast("long").alias("place"))
+    """Streets in the order of their lower-cased names, numbered by sorted ranges."""
+    names = staged(table(spark, sf_dir, "part").select(F.col("p_brand").alias("street")).distinct())
+    return records.by_name(ranked(names, [], [F.lower("street")], "place"), "street").select("street", (F.col("place") + 1).alias("place"))
 
 
 @query("SELECT l_suppkey AS grp, 'u' || l_partkey AS link FROM lineitem WHERE l_linenumber <= 3 UNION SELECT l_suppkey, 'u' || l_partkey FROM lineitem WHERE l_linenumber >= 3")
