@@ -169,3 +169,16 @@ def test_components_of_a_long_chain(spark):
 def test_empty_table(no_docs):
     assert s.simhash_components(no_docs).count() == 0
     assert s.drop_near_duplicates(no_docs).count() == 0
+
+
+def test_sketches_fold_and_tell_long_texts_apart():
+    rng = np.random.default_rng(8)
+    for n in (50, 3000, 12_000):
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        b = np.r_[a[n // 10 :], rng.integers(0, 2**63, n // 10).astype(np.uint64)]
+        far = rng.integers(0, 2**63, n).astype(np.uint64)
+        bits = s._sketch_bits(n)
+        assert (s._folded(s._parity(a, 4 * bits)[None], bits // 64)[0] == s._parity(a, bits)).all()
+        differ = lambda x, y: np.bitwise_count(s._parity(x, bits) ^ s._parity(y, bits)).sum()
+        both = lambda x, y: bool(s._may_reach(0.8, np.array([n]), np.array([n]), np.array([differ(x, y)]))[0])
+        assert both(a, b) and not both(a, far)
