@@ -52,8 +52,7 @@ def stream_new_records(spark: SparkSession, source: str, schema: str, sink: str,
         out = f"{sink}/batch={name}"
         fresh.drop("part").write.mode("overwrite").parquet(out)
         written = session.read.schema("done_key string").parquet(out).withColumn("part", part).withColumn("batch", F.lit(name))
-        for old in (f"{done}/batch={name}",):
-            delete_path(session, old)
+        delete_path(session, f"{done}/batch={name}")
         written.repartition("part").write.mode("append").partitionBy("batch", "part").parquet(done)
 
     query = rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
