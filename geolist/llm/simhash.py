@@ -221,12 +221,20 @@ def _may_reach(floor: float, n: np.ndarray, m: np.ndarray, differ: np.ndarray) -
     return (np.minimum(n, m) >= floor * np.maximum(n, m) - 1e-6) & (differ <= (1 - floor) / (1 + floor) * (n + m) + 1e-6)
 
 
+def _spare(size: np.ndarray | int, floor: float) -> np.ndarray:
+    """How many shingles a prefix has beyond those that make two similar sets share one: a quarter of the least overlap."""
+    return np.ceil(floor * np.asarray(size) - 1e-6).astype(np.int64) // 4
+
+
 def _prefix(shingles: np.ndarray, common: np.ndarray, often: np.ndarray, floor: float) -> np.ndarray:
-    """The rarest shingles of a sorted set, so many that two sets of similarity ``floor`` or more share one of them.
+    """The rarest shingles of a sorted set, so many that two sets of similarity ``floor`` or more share more than the ``_spare`` of either.
 
-    Any fixed order of all shingles does for this; shingles outside the sorted ``common`` count as the rarest.
+    Any fixed order of all shingles does for this; shingles outside the sorted ``common`` count as the rarest.  Let t be
+    the least overlap that a set allows, ``floor`` times its size, and s its spare.  The sets share no less than the larger
+    t, and of this no more lies outside the prefix that ends first than its set has there, t - 1 - s.  So the prefixes
+    share s + 1 of that set and the difference of the two t besides, which the difference of the two s does not exceed.
     """
-    keep = len(shingles) - int(np.ceil(floor * len(shingles) - 1e-6)) + 1
+    keep = len(shingles) - int(np.ceil(floor * len(shingles) - 1e-6)) + 1 + int(_spare(len(shingles), floor))
     if not len(common):
         return shingles[:keep]
     at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
@@ -252,61 +260,95 @@ def _common_shingles(rows: DataFrame, width: int, texts: int = 10_000, most: int
     return h[order], n[order]
 
 
-def _shared_prefixes(texts: DataFrame, block_hashes: int = 500_000) -> DataFrame:
-    """``texts(id, label, size, parity, prefix)`` with those prefix shingles only that a text of another label has too.
+def _packed(prefix: np.ndarray) -> bytes:
+    """The high 40 bits of the hashes, sorted, as differences: half the bytes once compressed.
 
-    Blocks of texts send their distinct hashes, sorted and packed, each with its label, to the owner of each range of
-    hashes, which answers with one bit each; a shingle that is met under one label goes no further.
+    Shingles that agree in them count as one from here on, so texts may meet in vain but none is missed.
     """
-    total = texts.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    parts = max(1, -(-int(total) // block_hashes))
-    dealt = texts.select("id", "label", "size", "parity", "prefix", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("_block")).groupBy("_block")
+    return planes(np.diff(np.sort(prefix & ~np.uint64(0xFFFFFF)), prepend=np.uint64(0)))
+
+
+def _rarest_shared(count: np.ndarray, flat: np.ndarray, owner: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """Which shingles of each owner's prefix stay: those with a ``count``, without the ``spare`` most frequent ones.
+
+    Similar sets share more than the spare of either.  In an order that is the same for all, the rarest of what they
+    share has more than the spare above it in both, so it stays in both.
+    """
+    order = np.lexsort((flat, count, owner))
+    left = np.cumsum(np.bincount(owner, minlength=len(spare)))[owner[order]] - np.arange(len(order))
+    keep = np.zeros(len(flat), bool)
+    keep[order] = (left > spare[owner[order]]) & (count[order] > 0)
+    return keep
+
 
-    def hashes_of(data: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        lists = data.column("prefix").combine_chunks()
-        length, flat = np.asarray(pc.list_value_length(lists)), np.asarray(lists.flatten()).view(np.uint64)
+def _shared_prefixes(texts: DataFrame, floor: float | None = None, block_hashes: int = 500_000) -> DataFrame:
+    """``texts(id, label, size, parity, prefix)`` with those prefix shingles only by which texts of other labels are to be met.
+
+    Prefixes are arrays or ``_packed``.  The texts of a label are in one block, which stands for the label, unless they
+    would crowd it.  Blocks send their distinct hashes, sorted and packed, each with how many texts have it and with its
+    label if that is spread, to the owner of each range of hashes, which answers with the number of texts in all, or
+    none for a shingle that is met under one label.  With a ``floor``, each text leaves out the spare part of its prefix by these exact numbers.
+    """
+    packed = dict(texts.dtypes)["prefix"] == "binary"
+    by_label = staged(texts.groupBy("label").agg(F.sum(F.octet_length("prefix") / 8 if packed else F.size("prefix")).alias("_n")))
+    parts = max(1, -(-int(by_label.agg(F.sum("_n")).first()[0] or 0) // block_hashes))
+    spread = light(by_label.where(F.col("_n") > block_hashes // 8).select("label", F.lit(True).alias("spread")))
+    texts = texts.join(spread, "label", "left").withColumn("spread", F.coalesce("spread", F.lit(False)))
+    block = F.pmod(F.xxhash64(F.when(F.col("spread"), F.col("id")).otherwise(F.col("label"))), F.lit(parts)).cast("int")
+    dealt = texts.select("label", "spread", "size", "parity", "prefix", block.alias("_block")).groupBy("_block")
+
+    def hashes_of(data: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        if packed:
+            lists = [np.cumsum(unplanes(x, np.uint64), dtype=np.uint64) for x in data.column("prefix").to_pylist()]
+            length, flat = np.array([len(x) for x in lists], np.int64), np.concatenate([*lists, np.empty(0, np.uint64)])
+        else:
+            lists = data.column("prefix").combine_chunks()
+            length, flat = np.asarray(pc.list_value_length(lists)), np.asarray(lists.flatten()).view(np.uint64)
         every, place = np.unique(flat, return_inverse=True)
+        return length, flat, place, every
+
+    def send(key: tuple, data: pa.Table) -> pa.Table:
+        length, _, place, every = hashes_of(data)
         label = np.repeat(np.asarray(data.column("label")), length)
         low, high = np.full(len(every), np.iinfo(np.int64).max), np.full(len(every), np.iinfo(np.int64).min)
         np.minimum.at(low, place, label)
         np.maximum.at(high, place, label)
-        return length, flat, place, every, np.stack([low, high])
-
-    def send(key: tuple, data: pa.Table) -> pa.Table:
-        *_, every, (low, high) = hashes_of(data)
-        cut, rows = hash_bounds(every, parts), []
+        alone = ~np.repeat(np.asarray(data.column("spread")), length)
+        mixed, low[place[alone]] = low < high, key[0].as_py()
+        cut, times, rows = hash_bounds(every, parts), np.bincount(place, minlength=len(every)), []
         for b in np.flatnonzero(cut[1:] > cut[:-1]):
             part = slice(cut[b], cut[b + 1])
-            rows.append((int(b), key[0].as_py(), planes(np.diff(every[part], prepend=np.uint64(0))), planes(low[part]), np.packbits(low[part] < high[part]).tobytes()))
-        cols = list(zip(*rows)) or [[]] * 5
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "_block", "hashes", "labels", "mixed"])
+            rows.append((int(b), key[0].as_py(), planes(np.diff(every[part], prepend=np.uint64(0))), planes(low[part]), planes(times[part]), np.packbits(mixed[part]).tobytes()))
+        cols = list(zip(*rows)) or [[]] * 6
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), *[pa.binary()] * 4))], ["bucket", "_block", "hashes", "labels", "times", "mixed"])
 
     def answer(data: pa.Table) -> pa.Table:
         pieces = [np.cumsum(unplanes(x, np.uint64), dtype=np.uint64) for x in data.column("hashes").to_pylist()]
-        label = np.concatenate([unplanes(x, np.int64) for x in data.column("labels").to_pylist()])
+        label, times = (np.concatenate([unplanes(x, np.int64) for x in data.column(c).to_pylist()]) for c in ("labels", "times"))
         mixed = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(h)) for x, h in zip(data.column("mixed").to_pylist(), pieces)]).astype(bool)
         every = np.concatenate(pieces)
         by = np.argsort(every, kind="stable")
         head = np.flatnonzero(np.r_[True, every[by][1:] != every[by][:-1]])
         size = np.diff(np.r_[head, len(every)])
-        shared = np.empty(len(every), bool)
-        shared[by] = np.repeat((np.minimum.reduceat(label[by], head) < np.maximum.reduceat(label[by], head)) | np.logical_or.reduceat(mixed[by], head), size)
-        bits = [np.packbits(x).tobytes() for x in np.split(shared, np.cumsum([len(h) for h in pieces])[:-1])]
-        return pa.table([data.column("bucket"), data.column("_block"), pa.array(bits, pa.binary())], ["bucket", "_block", "flags"])
+        shared = (np.minimum.reduceat(label[by], head) < np.maximum.reduceat(label[by], head)) | np.logical_or.reduceat(mixed[by], head)
+        count = np.empty(len(every), np.int64)
+        count[by] = np.repeat(np.where(shared, np.add.reduceat(times[by], head), 0), size)
+        counts = [planes(x) for x in np.split(count, np.cumsum([len(h) for h in pieces])[:-1])]
+        return pa.table([data.column("bucket"), data.column("_block"), pa.array(counts, pa.binary())], ["bucket", "_block", "counts"])
 
     def take(data: pa.Table, replies: pa.Table) -> pa.Table:
-        length, flat, place, every, _ = hashes_of(data)
+        length, flat, place, every = hashes_of(data)
         cut = hash_bounds(every, parts)
-        shared = np.zeros(len(every), bool)
-        for b, bits in zip(replies.column("bucket").to_pylist(), replies.column("flags").to_pylist()):
-            shared[cut[b] : cut[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=cut[b + 1] - cut[b]).astype(bool)
-        keep = shared[place]
+        count = np.zeros(len(every), np.int64)
+        for b, packed in zip(replies.column("bucket").to_pylist(), replies.column("counts").to_pylist()):
+            count[cut[b] : cut[b + 1]] = unplanes(packed, np.int64)
         owner = np.repeat(np.arange(len(length)), length)
+        keep = count[place] > 0 if floor is None else _rarest_shared(count[place], flat, owner, _spare(np.asarray(data.column("size")), floor))
         ends = np.cumsum(np.bincount(owner[keep], minlength=len(length)))
         kept = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(flat[keep].view(np.int64)))
         return pa.table([data.column("label"), data.column("size"), data.column("parity"), kept], ["label", "size", "parity", "prefix"]).filter(pa.array(np.diff(np.r_[0, ends]) > 0))
 
-    told = dealt.applyInArrow(send, "bucket int, _block int, hashes binary, labels binary, mixed binary").groupBy("bucket").applyInArrow(answer, "bucket int, _block int, flags binary")
+    told = dealt.applyInArrow(send, "bucket int, _block int, hashes binary, labels binary, times binary, mixed binary").groupBy("bucket").applyInArrow(answer, "bucket int, _block int, counts binary")
     return dealt.cogroup(told.groupBy("_block")).applyInArrow(take, "label long, size long, parity array<long>, prefix array<long>")
 
 
@@ -473,9 +515,10 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     Two texts are near duplicates if the sets of their ``width``-word shingles (A-Z lower-cased) have Jaccard
     similarity of ``min_similarity`` or more; groups are connected by such links.  Candidates come from covering
     tables over ``families`` independent SimHashes of the words (one within ``radius`` is enough) and, since these
-    miss texts that differ in one piece, from every rarest-first prefix shingle that two texts share (those met
-    under one label are left out first): that part misses no link.  Its pairs are told apart by length and by
-    512 parity bits, bounds that every true link meets.  The first family's tables are read first, with one edge a
+    miss texts that differ in one piece, from rarest-first prefix shingles that two texts share: that part misses no
+    link.  Prefixes are longer than a link needs; once it is known in how many texts each shingle is, those met under
+    one label go, and of the others the most frequent, as many as the prefix is longer, so that texts that share
+    a passage and no more do not meet.  Its pairs are told apart by length and by 512 parity bits, bounds that every true link meets.  The first family's tables are read first, with one edge a
     fingerprint, and label most of each crowded group; the other tables, and after them the prefixes, then only send
     edges between labels, so that edges grow with the texts and not with the tables.  Every candidate group is then verified by exact similarity (``_linked_texts``).  Null
     and blank texts have no shingles: each distinct one is a group of its own (null counts as empty).
@@ -494,10 +537,10 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                 shingles = _shingle_set(t, width)
                 size.append(len(shingles))
                 parity.append(_parity(shingles, _PARITY))
-                prefix.append(_prefix(shingles, common, often, min_similarity) if len(shingles) else shingles)
-            yield pa.record_batch([batch.column("text_key"), batch.column("doc_id"), longs(own), pa.array(size, pa.int64()), longs(parity), longs(prefix)], ["text_key", "doc_id", "fps", "size", "parity", "prefix"])
+                prefix.append(_packed(_prefix(shingles, common, often, min_similarity)) if len(shingles) else b"")
+            yield pa.record_batch([batch.column("text_key"), batch.column("doc_id"), longs(own), pa.array(size, pa.int64()), longs(parity), pa.array(prefix, pa.binary())], ["text_key", "doc_id", "fps", "size", "parity", "prefix"])
 
-    made = rows.mapInArrow(prints, "text_key binary, doc_id long, fps array<long>, size long, parity array<long>, prefix array<long>")
+    made = rows.mapInArrow(prints, "text_key binary, doc_id long, fps array<long>, size long, parity array<long>, prefix binary")
     texts = staged(made.groupBy("text_key").agg(F.min("doc_id").alias("least"), *[F.max(c).alias(c) for c in ("fps", "size", "parity", "prefix")]).withColumn("id", F.xxhash64("text_key")))
     worded = texts.where("size > 0").withColumn("fp", F.col("fps")[0])
     first = staged(worded.groupBy("fp").agg(F.min("id").alias("id")))
@@ -513,7 +556,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         return staged(labels.join(components(edges).withColumnRenamed("node", "label"), "label", "left").select("id", F.coalesce("root", "label").alias("label")))
 
     labels = merged(link_edges(heads, radius).union(hung))
-    shared = staged(_shared_prefixes(worded.select("id", "size", "parity", "prefix").join(labels, "id")))
+    shared = staged(_shared_prefixes(worded.select("id", "size", "parity", "prefix").join(labels, "id"), min_similarity))
     shared = shared.select(F.explode("prefix").alias("bucket"), "label", "size", *[F.col("parity")[k].alias(f"p{k}") for k in range(_PARITY // 64)])
     labels = merged(_bucket_edges(shared, lambda x, y: _may_reach(min_similarity, x[0], y[0], sum(np.bitwise_count(u ^ v).astype(np.int64) for u, v in zip(x[1:], y[1:])))))
     rooted = labels.withColumnRenamed("label", "root")

@@ -182,3 +182,61 @@ def test_sketches_fold_and_tell_long_texts_apart():
         differ = lambda x, y: np.bitwise_count(s._parity(x, bits) ^ s._parity(y, bits)).sum()
         both = lambda x, y: bool(s._may_reach(0.8, np.array([n]), np.array([n]), np.array([differ(x, y)]))[0])
         assert both(a, b) and not both(a, far)
+
+
+def test_what_similar_sets_share_outlives_the_spare_part():
+    rng = np.random.default_rng(6)
+    met = 0
+    for _ in range(3000):
+        union = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 80))).astype(np.uint64))
+        side = rng.choice(3, len(union), p=(0.84, *rng.permutation((0.13, 0.03))))
+        x, y = union[side != 1], union[side != 2]
+        if not len(x) or not len(y) or len(np.intersect1d(x, y)) < 0.8 * len(union):
+            continue
+        met += 1
+        common = union[rng.random(len(union)) < 0.5]
+        often = rng.integers(3, 9, len(common))
+        prefixes = [s._prefix(v, common, often, 0.8) for v in (x, y)]
+        count = dict(zip(union.tolist(), rng.integers(0, 4, len(union)).tolist()))  # none: met under one label
+        count |= {h: max(1, count[h]) for h in np.intersect1d(*prefixes).tolist()}
+        flat, owner = np.concatenate(prefixes), np.repeat([0, 1], [len(p) for p in prefixes])
+        keep = s._rarest_shared(np.array([count[h] for h in flat.tolist()]), flat, owner, s._spare(np.array([len(x), len(y)]), 0.8))
+        assert len(np.intersect1d(flat[keep & (owner == 0)], flat[keep & (owner == 1)]))
+    assert met > 1000
+
+
+def test_long_texts_that_share_passages_meet_in_no_group(spark, monkeypatch):
+    rng = random.Random(14)
+    word = lambda: f"v{rng.randrange(10**9)}"
+    passages = 2 * [[word() for _ in range(30)] for _ in range(360)]  # each in two texts, too few to count as frequent
+    rng.shuffle(passages)
+    texts = [" ".join(w for p in passages[8 * k : 8 * k + 8] for w in [*p, *(word() for _ in range(150))]) for k in range(90)]
+    near = texts[0].split()
+    near[500:600] = [word() for _ in range(100)]  # one block replaced: no SimHash is near
+    texts.append(" ".join(near))
+    assert 0.8 <= jaccard(texts[0], texts[-1]) < 0.9
+    seen, linked = [], s._linked_texts
+    monkeypatch.setattr(s, "_linked_texts", lambda rows, members, **how: seen.append(members.count()) or linked(rows, members, **how))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in s.drop_near_duplicates(frame).collect()) == list(range(90))
+    assert seen == [2]  # before, all 91 texts were one candidate group
+
+
+def test_shared_prefixes_of_packed_and_plain_lists(spark):
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(1, 1 << 39, 300)) << 24  # nothing is lost by packing
+    # one label has half the texts and is spread over blocks, the others are in one block each
+    rows = [(i, 7 if i % 2 else 100 + i % 60, 20, [0], [int(x) for x in rng.choice(pool, 6, replace=False)]) for i in range(240)]
+    rows += [(1000 + i, 7, 20, [0], [-(i % 5 + 1) << 24]) for i in range(40)]  # under one label only, in many blocks
+    under = {}
+    for _, label, _, _, prefix in rows:
+        for h in prefix:
+            under.setdefault(h, set()).add(label)
+    want = Counter((label, h) for _, label, _, _, prefix in rows for h in prefix if len(under[h]) > 1)
+    assert 500 < want.total() < 240 * 6 + 1
+    plain = spark.createDataFrame(rows, "id long, label long, size long, parity array<long>, prefix array<long>")
+    blobs = [(*r[:4], s._packed(np.array(r[4], np.int64).view(np.uint64))) for r in rows]
+    packed = spark.createDataFrame(blobs, "id long, label long, size long, parity array<long>, prefix binary")
+    for frame in (plain, packed):
+        got = s._shared_prefixes(frame, block_hashes=100).collect()
+        assert Counter((r.label, h) for r in got for h in r.prefix) == want
