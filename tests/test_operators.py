@@ -104,6 +104,13 @@ def test_titles_cut_inside_a_reference(spark):
     assert got[4].jsonld == ['{"a":"&amp &"}'] and got[4].links == ["?a=1&copy=2&b=3"]
 
 
+def test_records_of_cut_headings(spark):
+    pages = [(1, "https://x.de/", "<title>t</title><h1>a &amp; b&amp</h1>"), (2, "https://x.de/", '<title>c&quot</title><div class="ad">d&am</div>'), (3, "https://x.de/", "<h1>ich bin kein roboter&lt</h1>")]
+    rows = html.listing_records(spark.createDataFrame(pages, "page_id long, url string, html string"), fields={"intro": ("class", "ad")}).collect()
+    got = {r.page_id: (r.name, r.marked.get("intro"), r.challenge) for r in rows}
+    assert got == {1: ("a & b&amp", None, False), 2: ("c&quot", "d&am", False), 3: ("ich bin kein roboter&lt", None, False)}
+
+
 def test_readers_and_writers(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"a":1}\n\nbroken\n[1]\n{"a":2}\n')
     assert readers.read_jsonl(spark, str(tmp_path / "a.jsonl")).count() == 2
