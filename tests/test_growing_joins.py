@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from geolist.operators import neighbourhood
+from geolist.plans.queries import QUERIES
 
 
 def broadcasts(df):
@@ -19,3 +20,7 @@ def test_counts_and_nearest_around(spark):
     near = neighbourhood.tag("shop") == "bakery"
     got = neighbourhood.counts_around(places(spark, 20), elements, {"n": (near, 900.0)}, nearest={"d": (near, 900.0)})
     assert broadcasts(got) == 0 and got.agg(F.sum("n"), F.count("d")).first()[0] > 20
+
+
+def test_extra_scores(spark):
+    assert broadcasts(QUERIES["extra_scores"](spark, "/root/testdata/sf0.001")) == 0
