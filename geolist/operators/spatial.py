@@ -6,10 +6,13 @@ execution can split.  Only tables of a checked size are broadcast, by Spark's ow
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import BOX_METRES_PER_DEGREE, haversine, segment_distance, segments_of, to_local
+from ..sources.scratch import met, staged
 
 
 def _floor(c: Column) -> Column:
@@ -63,6 +66,16 @@ def planar_cell(x: Column, y: Column, half: float, cell: float) -> tuple[Column,
     return ix, iy, (ix >= 0) & (iy >= 0) & (ix < int(n)) & (iy < int(n))
 
 
+def _segment_cell(segments: DataFrame, points: int, widest: float) -> float:
+    """Of ``widest`` halved again and again, the cell that lays out and compares the fewest rows for so many points."""
+    sizes = [widest / 2**k for k in range(10)]
+    cells = lambda s: reduce(lambda a, b: a * b, [F.abs(F.col(f"{c}2") - F.col(f"{c}1")) / s + 3 for c in "xy"])
+    own = lambda s: F.approx_count_distinct(F.hash("city", *[F.floor((F.col(f"{c}1") + F.col(f"{c}2")) / 2 / s) for c in "xy"]))
+    told = segments.agg(*[F.sum(cells(s)).alias(f"rows{k}") for k, s in enumerate(sizes)], *[own(s).alias(f"cells{k}") for k, s in enumerate(sizes)]).first()
+    cost = lambda k: (told[f"rows{k}"] or 0.0) * (1 + points / max(1, told[f"cells{k}"]))
+    return sizes[min(range(len(sizes)), key=cost)]
+
+
 def nearest_segment(points: DataFrame, segments: DataFrame, *, half: float, index_cell: float, buffer: float) -> DataFrame:
     """Nearest of ``segments(city, seg_id, x1, y1, x2, y2, ...)`` for each of ``points(city, point_id, x, y)``.
 
@@ -70,16 +83,36 @@ def nearest_segment(points: DataFrame, segments: DataFrame, *, half: float, inde
     index cells around the point: its cells are grown by one on each side, and a point is looked up once, in its
     own cell.  Ties go to the lowest ``seg_id``.  Returns ``city, point_id, seg_id, dist``; points without a
     candidate are absent.
+
+    All segments within ``index_cell + buffer`` metres of a point on the grid are candidates.  So rounds of smaller cells,
+    sized by the density, come first: in a round of cell size s every segment within s of a point is met, a point
+    whose best is no farther is settled, and only the others go on, at last to the rule itself.
     """
     n = int(-(-2 * half // index_cell))
+    key = ["city", "point_id"]
+    lines = staged(segments.select("city", "seg_id", "x1", "y1", "x2", "y2"))
+    on_grid = reduce(lambda a, b: a & b, [_floor((F.col(a) + half) / index_cell).between(-1, n) for a in "xy"])
+    left = staged(points.where(on_grid).select(*key, "x", "y"))
+
+    def best(size: float, spans: list[Column]) -> DataFrame:
+        laid = lines.select("*", F.explode(spans[0]).alias("_cx"), spans[1].alias("_ys"))
+        laid = laid.select(*lines.columns, "_cx", F.explode("_ys").alias("_cy"))
+        here = left.select(*key, "x", "y", *[_floor((F.col(a) + half) / size).alias(f"_c{a}") for a in "xy"])
+        d = segment_distance(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+        first = F.min(F.struct(d.alias("dist"), F.col("seg_id").alias("seg_id")))
+        return met(here, laid, ["city", "_cx", "_cy"]).groupBy(*key).agg(first.alias("b")).select(*key, "b.seg_id", "b.dist")
+
+    size, settled = _segment_cell(lines, left.count(), index_cell), []
+    while size < index_cell:
+        near = best(size, [F.sequence(_floor((F.least(f"{a}1", f"{a}2") + half) / size - 1), _floor((F.greatest(f"{a}1", f"{a}2") + half) / size + 1)) for a in "xy"])
+        settled.append(staged(near.where(F.col("dist") <= size - 1e-3)))
+        left = staged(met(left, settled[-1].select(*key), key, "left_anti"))
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, settled)
+        size *= 4
     clamp = lambda c: F.least(F.lit(n - 1), F.greatest(F.lit(0), _floor((c + half) / index_cell)))
-    spans = [F.sequence(clamp(F.least(f"{a}1", f"{a}2") - buffer) - 1, clamp(F.greatest(f"{a}1", f"{a}2") + buffer) + 1) for a in "xy"]
-    near = segments.select("city", "seg_id", "x1", "y1", "x2", "y2", F.explode(spans[0]).alias("_cx"), spans[1].alias("_ys"))
-    near = near.select("city", "seg_id", "x1", "y1", "x2", "y2", "_cx", F.explode("_ys").alias("_cy"))
-    here = points.select("city", "point_id", "x", "y", *[_floor((F.col(a) + half) / index_cell).alias(f"_c{a}") for a in "xy"])
-    d = segment_distance(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    best = F.min(F.struct(d.alias("dist"), F.col("seg_id").alias("seg_id")))
-    return here.join(near, ["city", "_cx", "_cy"]).groupBy("city", "point_id").agg(best.alias("b")).select("city", "point_id", "b.seg_id", "b.dist")
+    rule = best(index_cell, [F.sequence(clamp(F.least(f"{a}1", f"{a}2") - buffer) - 1, clamp(F.greatest(f"{a}1", f"{a}2") + buffer) + 1) for a in "xy"])
+    return reduce(DataFrame.unionByName, settled, rule)
 
 
 def transit_access(points: DataFrame, stops: DataFrame, *, radius: float, cell_deg: float = 0.01) -> DataFrame:

@@ -1,8 +1,11 @@
 """Sides of joins that grow with the input are not broadcast, however small Spark takes them."""
 
+import math
+import random
+
 from pyspark.sql import functions as F
 
-from geolist.operators import neighbourhood
+from geolist.operators import neighbourhood, spatial
 from geolist.plans.queries import QUERIES
 
 
@@ -24,3 +27,38 @@ def test_counts_and_nearest_around(spark):
 
 def test_extra_scores(spark):
     assert broadcasts(QUERIES["extra_scores"](spark, "/root/testdata/sf0.001")) == 0
+
+
+def streets(n, seed):
+    rng = random.Random(seed)
+    rows = [(0, i, x := rng.uniform(-900, 900), y := rng.uniform(-900, 900), x + rng.uniform(-40, 40), y + rng.uniform(-40, 40), f"s{i % 7}") for i in range(n)]
+    return [*rows, (0, n, *rows[5][2:6], "twin"), (0, n + 1, 4000.0, 4000.0, 4100.0, 4000.0, "far")]
+
+
+COLUMNS = "city long, seg_id long, x1 double, y1 double, x2 double, y2 double, street string"
+
+
+def test_nearest_segment_meets_few_and_keeps_the_rule(spark):
+    """Points among many short segments, beside them, far off, on and beyond the edge of the grid."""
+    rng, segs = random.Random(3), streets(1500, 4)
+    spots = [(rng.uniform(-1000, 1000), rng.uniform(-1000, 1000)) for _ in range(300)] + [segs[5][2:4], (1300.0, 0.0), (2500.0, 0.0), (4100.5, 4030.0), (5100.0, 5100.0), (-4900.0, -4900.0), (7500.0, 0.0)]
+    pts = [(0, i, float(x), float(y)) for i, (x, y) in enumerate(spots)]
+    got = spatial.nearest_segment(spark.createDataFrame(pts, "city long, point_id long, x double, y double"), spark.createDataFrame(segs, COLUMNS), half=5000.0, index_cell=1200.0, buffer=600.0)
+    assert broadcasts(got) == 0
+    cell = lambda v: math.floor((v + 5000) / 1200)
+    clamp = lambda v: max(0, min(8, cell(v)))
+
+    def dist(p, s):
+        dx, dy = s[4] - s[2], s[5] - s[3]
+        t = max(0, min(1, ((p[2] - s[2]) * dx + (p[3] - s[3]) * dy) / (dx * dx + dy * dy)))
+        return math.hypot(p[2] - s[2] - t * dx, p[3] - s[3] - t * dy)
+
+    def candidate(p, s):
+        return all(clamp(min(s[2 + i], s[4 + i]) - 600) <= min(cell(p[2 + i]) + 1, 8) and clamp(max(s[2 + i], s[4 + i]) + 600) >= max(cell(p[2 + i]) - 1, 0) for i in (0, 1))
+
+    want = {}
+    for p in pts:
+        near = [(round(dist(p, s), 6), s[1]) for s in segs if candidate(p, s)]
+        if near:
+            want[p[1]] = min(near)
+    assert {r.point_id: (round(r.dist, 6), r.seg_id) for r in got.collect()} == want and 303 < len(want) < len(pts)
