@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import from_local
+from ..sources.scratch import met
 from .neighbourhood import GREEN_LANDUSE, NIGHTLIFE, tag
 from .spatial import nearest_segment, planar_cell
 
@@ -121,8 +122,8 @@ def street_density(elements: DataFrame, streets: DataFrame, *, half: float = 500
     near = nearest_segment(elements.select("city", F.col("element_id").alias("point_id"), "x", "y"), streets, half=half, index_cell=index, buffer=buffer)
     if max_distance is not None:
         near = near.where(F.col("dist") <= max_distance)
-    named = near.join(streets.select("city", "seg_id", "street"), ["city", "seg_id"]).select("city", "point_id", "street")
-    own = elements.select("city", F.col("element_id").alias("point_id")).join(named, ["city", "point_id"], "left").groupBy("city", "street").agg(F.count("*").alias("amenities"))
+    named = met(near, streets.select("city", "seg_id", "street"), ["city", "seg_id"]).select("city", "point_id", "street")
+    own = met(elements.select("city", F.col("element_id").alias("point_id")), named, ["city", "point_id"], "left").groupBy("city", "street").agg(F.count("*").alias("amenities"))
     length = F.sqrt(F.pow(F.col("x2") - F.col("x1"), 2) + F.pow(F.col("y2") - F.col("y1"), 2))
     lengths = streets.groupBy("city", "street").agg(F.sum(length).alias("length_m"))
     both = lengths.join(own, ["city", "street"], "left").select("city", "street", "length_m", F.coalesce("amenities", F.lit(0)).alias("amenities"))
@@ -148,9 +149,9 @@ def circle_counts(samples: DataFrame, elements: DataFrame, *, radius: float) ->
     here = samples.select("city", "point_id", F.col("x").alias("px"), F.col("y").alias("py"), side("x").alias("_cx"), F.col("y").alias("_y")).select("city", "point_id", "px", "py", "_cx", side("_y").alias("_cy"))
     there = elements.select("city", "osm_type", "x", "y", key("x").alias("_cx"), key("y").alias("_cy"))
     inside = F.pow(F.col("x") - F.col("px"), 2) + F.pow(F.col("y") - F.col("py"), 2) <= radius * radius
-    met = here.join(there, ["city", "_cx", "_cy"]).where(inside).groupBy("city", "point_id").agg(F.count("*").alias("total"), *[F.count_if(F.col("osm_type") == t).alias(f"{t}s") for t in ("node", "way", "relation")])
+    inner = here.join(there, ["city", "_cx", "_cy"]).where(inside).groupBy("city", "point_id").agg(F.count("*").alias("total"), *[F.count_if(F.col("osm_type") == t).alias(f"{t}s") for t in ("node", "way", "relation")])
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "nodes", "ways", "relations")]
-    return samples.select("city", "point_id").join(met, ["city", "point_id"], "left").select("city", "point_id", *zero)
+    return samples.select("city", "point_id").join(inner, ["city", "point_id"], "left").select("city", "point_id", *zero)
 
 
 def circle_summary(counts: DataFrame, *, radius: float) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from geolist.operators import neighbourhood, spatial
+from geolist.operators import grid, neighbourhood, spatial
 from geolist.plans.queries import QUERIES
 
 
@@ -62,3 +62,11 @@ def test_nearest_segment_meets_few_and_keeps_the_rule(spark):
         if near:
             want[p[1]] = min(near)
     assert {r.point_id: (round(r.dist, 6), r.seg_id) for r in got.collect()} == want and 303 < len(want) < len(pts)
+
+
+def test_street_density(spark):
+    rng, segs = random.Random(5), spark.createDataFrame(streets(400, 6), COLUMNS)
+    own = spark.createDataFrame([(0, i, rng.uniform(-1000, 1000), rng.uniform(-1000, 1000)) for i in range(200)], "city long, element_id long, x double, y double")
+    got = grid.street_density(own, segs)
+    assert got._jdf.queryExecution().analyzed().toString().count("strategy=merge") >= 2
+    assert got.agg(F.sum("amenities")).first()[0] == 200
