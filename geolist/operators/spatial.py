@@ -128,12 +128,12 @@ def transit_access(points: DataFrame, stops: DataFrame, *, radius: float, cell_d
     here = points.select("point_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.explode(rows).alias("_cy"), cols.alias("_cols"))
     here = here.select("point_id", "_lat", "_lon", "_cy", F.explode("_cols").alias("_cx"))
     there = stops.select("lat", "lon", "total", "peak_am", "peak_pm", _floor(F.col("lat") / cell_deg).alias("_cy"), _floor(F.col("lon") / cell_deg).alias("_cx"))
-    met = here.join(there, ["_cy", "_cx"]).withColumn("d", haversine(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon")))
+    pairs = met(here, there, ["_cy", "_cx"]).withColumn("d", haversine(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon")))
     inside = F.col("d") <= radius
     sums = [F.sum(F.when(inside, F.col(c)).otherwise(0)).alias(c) for c in ("total", "peak_am", "peak_pm")]
-    got = met.groupBy("point_id").agg(F.min("d").alias("nearest_stop_m"), F.count_if(inside).alias("stops_in_radius"), *sums)
+    got = pairs.groupBy("point_id").agg(F.min("d").alias("nearest_stop_m"), F.count_if(inside).alias("stops_in_radius"), *sums)
     empty = [F.coalesce(c, F.lit(0)).alias(c) for c in ("stops_in_radius", "total", "peak_am", "peak_pm")]
-    return points.select("point_id").join(got, "point_id", "left").select("point_id", "nearest_stop_m", *empty)
+    return met(points.select("point_id"), got, "point_id", "left").select("point_id", "nearest_stop_m", *empty)
 
 
 def nearest_station(points: DataFrame, stations: DataFrame, *, cell_deg: float = 0.2, max_rings: int = 6, ring_rule: bool = False) -> DataFrame:

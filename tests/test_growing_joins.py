@@ -70,3 +70,9 @@ def test_street_density(spark):
     got = grid.street_density(own, segs)
     assert got._jdf.queryExecution().analyzed().toString().count("strategy=merge") >= 2
     assert got.agg(F.sum("amenities")).first()[0] == 200
+
+
+def test_transit_access(spark):
+    stops = places(spark, 40, "stop").withColumns({c: F.lit(1) for c in ("total", "peak_am", "peak_pm")})
+    got = spatial.transit_access(places(spark, 30), stops, radius=800.0)
+    assert broadcasts(got) == 0 and got.count() == 30
