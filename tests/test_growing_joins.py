@@ -4,6 +4,7 @@ import math
 import random
 
 from pyspark.sql import functions as F
+from test_around import _joined
 
 from geolist.operators import grid, neighbourhood, spatial
 from geolist.plans.queries import QUERIES
@@ -62,6 +63,7 @@ def test_nearest_segment_meets_few_and_keeps_the_rule(spark):
         if near:
             want[p[1]] = min(near)
     assert {r.point_id: (round(r.dist, 6), r.seg_id) for r in got.collect()} == want and 303 < len(want) < len(pts)
+    assert _joined(got._jdf.queryExecution().executedPlan()) < len(pts) * len(segs) / 20
 
 
 def test_street_density(spark):
