@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import BOX_METRES_PER_DEGREE, haversine, segment_distance, segments_of, to_local
+from ..functions.geo import BOX_METRES_PER_DEGREE, METRES_PER_DEGREE, haversine, segment_distance, segments_of
 from ..sources.scratch import met, staged
 
 
@@ -41,22 +41,33 @@ def geometry_pairs(points: DataFrame, lines: DataFrame, radius: float, *, keep:
     """All ``points(point_id, lat, lon)`` with ``lines(line_id, geometry, ...)`` within ``radius`` metres of any part, and ``dist``.
 
     ``geometry`` is an array of ``struct(lat, lon)``; one vertex is a point, none matches nothing.  Segments are laid
-    into the cells of their box; distances are measured on a plane around the point.
+    into the cells of their box grown by the radius, a point is looked up once, in its own cell, so a segment meets it
+    once; only lines of several segments are then brought together.  Distances are measured on a plane around the point.
     """
     kept = keep if keep is not None else [c for c in lines.columns if c != "geometry"]
-    cell = radius / BOX_METRES_PER_DEGREE
-    reach = F.lit(radius) / (F.lit(BOX_METRES_PER_DEGREE) * F.cos(F.radians(F.least(F.abs("lat") + F.lit(cell), F.lit(89.0)))))
-    span = lambda low, high: F.sequence(_floor(low / cell), _floor(high / cell))
-    here = points.where("lat is not null and lon is not null").select("point_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.explode(span(F.col("lat") - cell, F.col("lat") + cell)).alias("_cy"), span(F.col("lon") - reach, F.col("lon") + reach).alias("_cols"))
-    here = here.select("*", F.explode("_cols").alias("_cx")).drop("_cols")
+    cell, tall = radius / BOX_METRES_PER_DEGREE / 2, radius / BOX_METRES_PER_DEGREE
+    here = points.where("lat is not null and lon is not null").select("point_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.cos(F.radians("lat")).alias("_cos"), _floor(F.col("lat") / cell).alias("_cy"), _floor(F.col("lon") / cell).alias("_cx"))
     parts = F.when(F.size("geometry") == 1, F.array(F.struct(F.get("geometry", F.lit(0)).alias("a"), F.get("geometry", F.lit(0)).alias("b")))).otherwise(segments_of(F.col("geometry")))
-    side = lambda f, k: f(F.col(f"_s.a.{k}"), F.col(f"_s.b.{k}"))
-    there = lines.select(*kept, F.explode(parts).alias("_s")).select("*", F.explode(span(side(F.least, "lat"), side(F.greatest, "lat"))).alias("_cy"), span(side(F.least, "lon"), side(F.greatest, "lon")).alias("_cols"))
-    there = there.select("*", F.explode("_cols").alias("_cx")).drop("_cols")
-    ends = [to_local(F.col(f"_s.{e}.lat"), F.col(f"_s.{e}.lon"), F.col("_lat"), F.col("_lon")) for e in "ab"]
-    dist = segment_distance(F.lit(0.0), F.lit(0.0), *ends[0], *ends[1])
-    met = here.join(there, ["_cy", "_cx"]).withColumn("dist", dist).where(F.col("dist") <= radius)
-    return met.groupBy("point_id", *kept).agg(F.min("dist").alias("dist"))
+    ends = [F.col(f"_s.{e}.{k}").alias(f"_{k}_{e}") for e in "ab" for k in ("lat", "lon")]
+    there = lines.select(*kept, (F.size("geometry") > 2).alias("_many"), F.explode(parts).alias("_s")).select(*kept, "_many", *ends)
+    box = {f"_{k}_{n}": f(f"_{k}_a", f"_{k}_b") for k in ("lat", "lon") for n, f in (("low", F.least), ("high", F.greatest))}
+    there = there.withColumns(box | {f"_d{k}": F.col(f"_{k}_b") - F.col(f"_{k}_a") for k in ("lat", "lon")})
+    wide = F.lit(tall) / F.cos(F.radians(F.least(F.greatest(F.abs("_lat_low"), F.abs("_lat_high")) + F.lit(2 * tall), F.lit(89.0))))
+    grown = {"_lat_low": F.col("_lat_low") - tall, "_lat_high": F.col("_lat_high") + tall, "_lon_low": F.col("_lon_low") - wide, "_lon_high": F.col("_lon_high") + wide}
+    there = there.withColumns(grown)
+    span = lambda k: F.sequence(_floor(F.col(f"_{k}_low") / cell), _floor(F.col(f"_{k}_high") / cell))
+    there = there.select("*", F.explode(span("lat")).alias("_cy"), span("lon").alias("_cols")).select("*", F.explode("_cols").alias("_cx")).drop("_cols")
+    # a square of degrees, by the part of the segment that is nearest: its start, its end or its line
+    u, v, du, dv = (F.col("_lon_a") - F.col("_lon")) * F.col("_cos"), F.col("_lat_a") - F.col("_lat"), F.col("_dlon") * F.col("_cos"), F.col("_dlat")
+    along, length, across = -(u * du + v * dv), du * du + dv * dv, u * dv - v * du
+    square = F.when(along <= 0, u * u + v * v).when(along >= length, (u + du) * (u + du) + (v + dv) * (v + dv)).otherwise(across * across / length)
+    dist = F.sqrt(square) * F.lit(METRES_PER_DEGREE)
+    near = F.col("_lat").between(F.col("_lat_low"), F.col("_lat_high")) & F.col("_lon").between(F.col("_lon_low"), F.col("_lon_high"))
+
+    def pairs(some: DataFrame) -> DataFrame:
+        return met(some, here, ["_cy", "_cx"]).where(near).select("point_id", *kept, dist.alias("dist")).where(F.col("dist") <= radius)
+
+    return pairs(there.where("NOT _many")).unionByName(pairs(there.where("_many")).groupBy("point_id", *kept).agg(F.min("dist").alias("dist")))
 
 
 def planar_cell(x: Column, y: Column, half: float, cell: float) -> tuple[Column, Column, Column]:

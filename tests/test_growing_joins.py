@@ -78,3 +78,33 @@ def test_transit_access(spark):
     stops = places(spark, 40, "stop").withColumns({c: F.lit(1) for c in ("total", "peak_am", "peak_pm")})
     got = spatial.transit_access(places(spark, 30), stops, radius=800.0)
     assert broadcasts(got) == 0 and got.count() == 30
+
+
+def test_geometry_pairs_meet_once(spark):
+    """A line of one segment meets a point in one cell only, and lines of several segments come together."""
+    rng = random.Random(8)
+    spot = lambda: (48 + rng.random() * 0.03, 9 + rng.random() * 0.04)
+    step = lambda p: (p[0] + rng.uniform(-0.006, 0.006), p[1] + rng.uniform(-0.009, 0.009))
+    lines = [(i, [p := spot(), step(p)] if i % 4 else [spot()]) for i in range(120)]
+    bent = [(200, [p := spot(), q := step(p), step(q), p]), (201, []), (202, [(48.01, 9.0), (48.01, 9.04), (48.02, 9.04)])]
+    pts = [(i, *spot()) for i in range(40)]
+    schema = "line_id long, geometry array<struct<lat: double, lon: double>>"
+
+    def dist(p, line):
+        local = [((b - p[2]) * 111_320 * math.cos(math.radians(p[1])), (a - p[1]) * 111_320) for a, b in line]
+        out = []
+        for (x, y), (z, w) in zip(local, local[1:] or local):
+            dx, dy = z - x, w - y
+            t = max(0, min(1, -(x * dx + y * dy) / (dx * dx + dy * dy))) if dx or dy else 0
+            out.append(math.hypot(x + t * dx, y + t * dy))
+        return min(out, default=math.inf)
+
+    def near(some):
+        df = spatial.geometry_pairs(spark.createDataFrame(pts, "point_id long, lat double, lon double"), spark.createDataFrame(some, schema), 700.0)
+        got = {(r.point_id, r.line_id): round(r.dist, 6) for r in df.collect()}
+        assert got == {(p[0], i): round(d, 6) for p in pts for i, line in some if (d := dist(p, line)) <= 700}
+        return len(got), _joined(df._jdf.queryExecution().executedPlan())
+
+    rows, met = near(lines)
+    assert rows == met > 300
+    assert near(lines + bent)[0] > rows
