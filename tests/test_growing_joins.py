@@ -108,3 +108,10 @@ def test_geometry_pairs_meet_once(spark):
     rows, met = near(lines)
     assert rows == met > 300
     assert near(lines + bent)[0] > rows
+
+
+def test_counts_around_lines(spark):
+    lines = places(spark, 200, "n").withColumn("tags", F.create_map(F.lit("railway"), F.lit("rail"))).withColumn("geometry", F.array(F.struct("lat", "lon"), F.struct((F.col("lat") + 0.003).alias("lat"), F.col("lon"))))
+    near = neighbourhood.tag("railway") == "rail"
+    got = neighbourhood.counts_around(places(spark, 20), lines, {"n": (near, 900.0)}, nearest={"d": (near, 900.0)})
+    assert broadcasts(got) == 0 and got.agg(F.sum("n"), F.count("d")).first()[0] > 20
