@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..sources.scratch import shared_dir, staged
+from ..sources.scratch import met, shared_dir, staged
 from .ranking import ranked
 
 # Score of a rule label, threshold grid, bias of a label that never or always holds.
@@ -32,19 +33,27 @@ FAMILIES: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
+_ENTRIES = "array<struct<feature:string,value:double>>"
+
+
+def feature_array(groups: dict[str, str]) -> Column:
+    """Array of ``struct(feature, value)`` from map columns; ``groups`` maps a column to its name prefix; only finite values."""
+    named = lambda c, p: F.transform(F.map_entries(F.transform_values(c, lambda _, v: v.cast("double"))), lambda e: F.struct(F.concat(F.lit(p), e.key).alias("feature"), e.value.alias("value")))
+    none = F.expr(f"cast(array() as {_ENTRIES})")
+    every = F.concat(*[F.coalesce(named(c, p), none) for c, p in groups.items()])
+    return F.filter(every, lambda e: e.value.isNotNull() & ~F.isnan(e.value) & (F.abs(e.value) < float("inf")))
+
+
 def numeric_features(df: DataFrame, key: str, groups: dict[str, str]) -> DataFrame:
-    """Long ``key, feature, value`` from map columns; ``groups`` maps a column to its name prefix; only finite values.
+    """Long ``key, feature, value`` of ``feature_array``.
 
     All maps are read in one pass over the rows.
     """
-    named = lambda c, p: F.transform(F.map_entries(F.transform_values(c, lambda _, v: v.cast("double"))), lambda e: F.struct(F.concat(F.lit(p), e.key).alias("feature"), e.value.alias("value")))
-    none = F.expr("cast(array() as array<struct<feature:string,value:double>>)")
-    every = F.concat(*[F.coalesce(named(c, p), none) for c, p in groups.items()])
-    return df.select(key, F.explode(every).alias("e")).select(key, "e.feature", "e.value").where("value is not null and not isnan(value) and abs(value) < double('infinity')")
+    return df.select(key, F.explode(feature_array(groups)).alias("e")).select(key, "e.feature", "e.value")
 
 
-def assemble_features(records: DataFrame, key: str, *, price_percentile: str = "price_pct", confidence: str = "confidence") -> DataFrame:
-    """All features of records, long: the maps of ``FAMILIES`` that are there, price percentile and confidence.
+def with_features(records: DataFrame, *, price_percentile: str = "price_pct", confidence: str = "confidence") -> DataFrame:
+    """Add ``features``, the array of all features of a record: the maps of ``FAMILIES`` that are there, price percentile and confidence.
 
     Of listing fields only numeric ones (``*_num``) count; an unknown or zero confidence is a half.
     """
@@ -55,10 +64,17 @@ def assemble_features(records: DataFrame, key: str, *, price_percentile: str = "
             return F.map_filter(c, lambda k, _: k.endswith("_num"))
         return F.map_filter(c, lambda k, _: k.isin(*keys)) if keys else F.col(c)
 
-    ready = records.withColumns({c: counted(c, keys) for c, (_, keys) in here.items()})
+    ready = {f"_{c}": counted(c, keys) for c, (_, keys) in here.items()}
     known = F.coalesce(F.when(F.col(confidence) != 0, F.col(confidence)), F.lit(0.5))
     extra = F.create_map(F.lit("listing.price_m2_pct_in_city"), F.col(price_percentile).cast("double"), F.lit("geo.confidence_0_1"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), known.cast("double"))))
-    return numeric_features(ready.withColumn("_extra", extra), key, {c: p for c, (p, _) in here.items()} | {"_extra": ""})
+    every = feature_array({f"_{c}": p for c, (p, _) in here.items()} | {"_extra": ""})
+    return records.withColumns(ready | {"_extra": extra}).withColumn("features", every).drop(*ready, "_extra")
+
+
+def assemble_features(records: DataFrame, key: str, *, price_percentile: str = "price_pct", confidence: str = "confidence") -> DataFrame:
+    """All features of records, long; see ``with_features``."""
+    made = with_features(records, price_percentile=price_percentile, confidence=confidence)
+    return made.select(key, F.explode("features").alias("e")).select(key, "e.feature", "e.value")
 
 
 def feature_index(features: DataFrame) -> DataFrame:
@@ -109,26 +125,34 @@ class SparseModel:
 
 
 def fit_sparse(features: DataFrame, labels: DataFrame, names: list[str], *, key: str = "id", weight: str = "weight", l2: float = 1.0, iterations: int = 200, min_rows: int = 10) -> list[SparseModel]:
-    """One weighted L2 logistic regression per label of ``names`` over long ``features(key, feature, value)``.
+    """``fit_rows`` over long ``features(key, feature, value)`` and ``labels(key, weight, <names>)``, the training rows."""
+    own = features.groupBy(key).agg(F.collect_list(F.struct("feature", "value")).alias("features"))
+    rows = met(labels.select(key, weight, *names), own, key, "left").withColumn("features", F.coalesce("features", F.expr(f"cast(array() as {_ENTRIES})")))
+    return fit_rows(staged(rows.drop(key)), names, weight=weight, l2=l2, iterations=iterations, min_rows=min_rows)
+
 
-    ``labels(key, weight, <names>)`` are the training rows; features are standardised over them.  Vectors stay
-    sparse: they are divided by the deviation only, and as the bias is free, moving the mean changes nothing but the
-    bias, which is set right afterwards.  The penalty is on the weights of standardised features.  Labels that never
-    or always hold get a fixed bias, features that do not vary no weight.
+def fit_rows(rows: DataFrame, names: list[str], *, weight: str = "weight", l2: float = 1.0, iterations: int = 200, min_rows: int = 10) -> list[SparseModel]:
+    """One weighted L2 logistic regression per label of ``names`` over the training ``rows(weight, <names>, features)``.
+
+    ``features`` is an array of ``struct(feature, value)``, so rows stay whole: no table of single values is shuffled
+    or written.  ``rows`` must be a written table.  Vectors stay sparse: they are divided by the deviation only, and as
+    the bias is free, moving the mean changes nothing but the bias, which is set right afterwards.  The penalty is on
+    the weights of standardised features.  Labels that never or always hold get a fixed bias, features that do not vary no weight.
     """
-    total = labels.agg(F.count("*").alias("n"), F.sum(weight).alias("w"), *[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first()
+    total = rows.agg(F.count("*").alias("n"), F.sum(weight).alias("w"), *[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first()
     if total.n < min_rows:
         raise ValueError(f"{total.n} training rows are too few")
-    own = staged(features.join(labels.select(key), key, "left_semi").select(key, "feature", "value"))
-    scale = staged(feature_scale(own, total.n).where("varies"))
-    index = staged(feature_index(scale))
-    divided = own.join(scale, "feature").select(key, "feature", (F.col("value") / F.col("std")).alias("value"))
-    vectors = vector_table(divided, index, key)
-    size = index.count()
-    ready = labels.select(key, weight, *[F.col(c).cast("double").alias(c) for c in names]).join(vectors, key, "left")
-    empty = F.from_json(F.lit(f'{{"v": {{"type": 0, "size": {size}, "indices": [], "values": []}}}}'), StructType([StructField("v", VectorUDT())]))["v"]
-    ready = ready.withColumn("vector", F.coalesce("vector", empty)).persist()
-    known = [(r.feature, r["mean"], r["std"]) for r in index.join(scale, "feature").orderBy("i").select("feature", "mean", "std").collect()]
+    each = rows.select(F.explode("features").alias("e")).select("e.feature", "e.value")
+    scale = staged(feature_scale(each, total.n).where("varies"))
+    known = [(r.feature, r["std"]) for r in feature_index(scale).join(scale, "feature").orderBy("i").select("feature", "std").collect()]
+    spread = F.from_json(F.lit(json.dumps({f: {"i": i, "std": s} for i, (f, s) in enumerate(known)})), "map<string,struct<i:int,std:double>>")
+    placed = F.transform("features", lambda e: F.struct(F.try_element_at(spread, e.feature).alias("s"), e.value.alias("value")))
+    placed = F.array_sort(F.transform(F.filter(placed, lambda e: e.s.isNotNull()), lambda e: F.struct(e.s.i.alias("i"), (e.value / e.s.std).alias("value"))))
+    vector = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(len(known)).alias("size"), F.col("placed.i").alias("indices"), F.col("placed.value").alias("values"))
+    made = rows.select(F.col(weight).cast("double").alias(weight), *[F.col(c).cast("double").alias(c) for c in names], placed.alias("placed")).select(weight, *names, vector.alias("vector"))
+    path = shared_dir(rows.sparkSession)
+    made.write.option("compression", "zstd").parquet(path)
+    ready = rows.sparkSession.read.schema(StructType([*made.schema.fields[:-1], StructField("vector", VectorUDT())])).parquet(path)
     models = []
     for c in names:
         share = total[c] or 0.0
@@ -136,11 +160,21 @@ def fit_sparse(features: DataFrame, labels: DataFrame, names: list[str], *, key:
             models.append(SparseModel(c, {}, CERTAIN if share else -CERTAIN))
             continue
         fit = LogisticRegression(featuresCol="vector", labelCol=c, weightCol=weight, regParam=l2 / total.w, elasticNetParam=0.0, standardization=False, maxIter=iterations, tol=1e-9).fit(ready)
-        models.append(SparseModel(c, {f: float(w) / s for (f, _, s), w in zip(known, fit.coefficients)}, float(fit.intercept)))
-    ready.unpersist()
+        models.append(SparseModel(c, {f: float(w) / s for (f, s), w in zip(known, fit.coefficients)}, float(fit.intercept)))
     return models
 
 
+def row_predictions(rows: DataFrame, models: list[SparseModel], *, key: str = "id") -> DataFrame:
+    """Long ``key, label, truth, p`` for ``rows(key, <labels>, features)``, row by row."""
+    def one(m: SparseModel) -> Column:
+        weights = F.from_json(F.lit(json.dumps(m.weights)), "map<string,double>")
+        dot = F.aggregate("features", F.lit(0.0), lambda t, e: t + e.value * F.coalesce(F.try_element_at(weights, e.feature), F.lit(0.0)))
+        return F.struct(F.lit(m.label).alias("label"), F.col(m.label).cast("int").alias("truth"), (1 / (1 + F.exp(-(dot + F.lit(m.bias))))).alias("p"))
+
+    # the outer form: the plain one adds a filter that repeats the whole expression
+    return rows.select(key, F.explode_outer(F.array(*map(one, models))).alias("r")).select(key, "r.*")
+
+
 def sparse_predictions(features: DataFrame, rows: DataFrame, models: list[SparseModel], *, key: str = "id") -> DataFrame:
     """Long ``key, label, truth, p`` for ``rows(key, <labels>)``: weights meet features by name, as a join."""
     spark = features.sparkSession

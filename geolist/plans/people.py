@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scores
 from ..functions.text import KEYWORDS, split_name
 from ..operators import learn, normalize
-from ..sources.scratch import staged
+from ..sources.scratch import met, staged
 from .base import table
 
 QUERIES: dict = {}
@@ -179,12 +179,13 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.numeric_features(maps, "doc_id", {"listing": "", "words": "kw."})
 
 
-def _feature_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as records with maps of all feature families, with gaps."""
+def _feature_records(orders: DataFrame, *more: str) -> DataFrame:
+    """Orders as records with maps of all feature families, with gaps, and ``more`` columns."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     pairs = lambda **kv: F.create_map(*[x for n, v in kv.items() for x in (F.lit(n), v.cast("double"))])
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         k.alias("id"),
+        *more,
         pairs(price_num=F.col("o_totalprice"), rooms_num=F.when(k % 3 > 0, k % 6), rooms=k % 6).alias("listing"),
         pairs(transit=k % 101 / 101.0, quiet=c % 97 / 97.0).alias("scores"),
         pairs(shop_any=c % 40).alias("metrics"),
@@ -204,18 +205,18 @@ _LONG = "fe AS (SELECT * FROM (" + " UNION ALL ".join(f"SELECT o_orderkey AS id,
 @query(f"WITH {_LONG} SELECT id, feature, round(value, 9) AS value FROM fe")
 def feature_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All feature families of records, long."""
-    return learn.assemble_features(_feature_records(spark, sf_dir), "id").select("id", "feature", F.round("value", 9).alias("value"))
+    return learn.assemble_features(_feature_records(table(spark, sf_dir, "orders")), "id").select("id", "feature", F.round("value", 9).alias("value"))
 
 
 @query(f"WITH {_LONG} SELECT feature, (row_number() OVER (ORDER BY feature) - 1)::INT AS i FROM (SELECT DISTINCT feature FROM fe)")
 def feature_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return learn.feature_index(learn.assemble_features(_feature_records(spark, sf_dir), "id"))
+    return learn.feature_index(learn.assemble_features(_feature_records(table(spark, sf_dir, "orders")), "id"))
 
 
 @query(f"WITH {_LONG}, ix AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS i FROM (SELECT DISTINCT feature FROM fe)) SELECT id, string_agg(i::VARCHAR, ',' ORDER BY i) AS indices, round(sum(value * (i + 1)), 2) AS weighted, count(*) AS n FROM fe JOIN ix USING (feature) GROUP BY 1")
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse vectors of records over the feature index, and their product with 1, 2, 3, ... by the dense form."""
-    features = learn.assemble_features(_feature_records(spark, sf_dir), "id")
+    features = learn.assemble_features(_feature_records(table(spark, sf_dir, "orders")), "id")
     vectors = learn.sparse_vectors(features, learn.feature_index(features), "id")
     dense = learn.dense(F.col("indices"), F.col("values"), len(_FEATURES))
     weighted = F.aggregate(F.zip_with(dense, F.sequence(F.lit(1), F.lit(len(_FEATURES))), lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x)
@@ -275,12 +276,14 @@ def persona_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Thresholds are chosen on a tenth of the records, another tenth is reported.
     """
-    features = staged(learn.assemble_features(_feature_records(spark, sf_dir), "id"))
     rows, factors = _persona_rows(spark, sf_dir)
     weak = rows.select("id", "confidence", learn.weak_labels(scores.persona_scores(factors, F.col("confidence"))).alias("weak"))
     names = list(scores.PERSONAS)
-    labelled = staged(weak.select("id", learn.sample_weight(F.col("confidence")).alias("weight"), F.pmod(F.xxhash64("id"), F.lit(10)).alias("part"), *[F.col("weak")[n].alias(n) for n in names]))
-    models = learn.fit_sparse(features, labelled.where("part < 8"), names)
-    scored = lambda part: learn.sparse_predictions(features, labelled.where(F.col("part") == part), models)
-    out = learn.evaluate(scored(9), learn.threshold_sweep(scored(8)))
+    labels = weak.select("id", learn.sample_weight(F.col("confidence")).alias("weight"), F.pmod(F.xxhash64("id"), F.lit(10)).alias("part"), *[F.col("weak")[n].alias(n) for n in names])
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    both = met(orders, labels, F.col("o_orderkey") == F.col("id"))
+    records = staged(learn.with_features(_feature_records(both, "weight", "part", *names)).select("id", "weight", "part", *names, "features"))
+    models = learn.fit_rows(records.where("part < 8"), names)
+    scored = lambda part: learn.row_predictions(records.where(F.col("part") == part), models)
+    out = learn.evaluate(scored(9), staged(learn.threshold_sweep(scored(8))))
     return out.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])

@@ -8,6 +8,7 @@ from test_around import _joined
 
 from geolist.operators import grid, neighbourhood, spatial
 from geolist.plans.queries import QUERIES
+from geolist.sources import scratch
 
 
 def broadcasts(df):
@@ -115,3 +116,11 @@ def test_counts_around_lines(spark):
     near = neighbourhood.tag("railway") == "rail"
     got = neighbourhood.counts_around(places(spark, 20), lines, {"n": (near, 900.0)}, nearest={"d": (near, 900.0)})
     assert broadcasts(got) == 0 and got.agg(F.sum("n"), F.count("d")).first()[0] > 20
+
+
+def test_persona_training_writes_rows_not_values(spark):
+    sf = "/root/testdata/sf0.001"
+    before = len(scratch._MADE)
+    assert QUERIES["persona_training"](spark, sf).count() == 14
+    written = sum(spark.read.parquet(p).count() for p in scratch._MADE[before:])
+    assert written < 6 * spark.read.parquet(f"{sf}/orders.parquet").count()
