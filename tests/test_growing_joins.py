@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from test_around import _joined
 
@@ -31,6 +32,11 @@ def test_extra_scores(spark):
     assert broadcasts(QUERIES["extra_scores"](spark, "/root/testdata/sf0.001")) == 0
 
 
+@pytest.mark.parametrize("name", ["radius_counts"])
+def test_radius_sums(spark, name):
+    assert broadcasts(QUERIES[name](spark, "/root/testdata/sf0.001")) == 0
+
+
 def streets(n, seed):
     rng = random.Random(seed)
     rows = [(0, i, x := rng.uniform(-900, 900), y := rng.uniform(-900, 900), x + rng.uniform(-40, 40), y + rng.uniform(-40, 40), f"s{i % 7}") for i in range(n)]
