@@ -32,7 +32,7 @@ def test_extra_scores(spark):
     assert broadcasts(QUERIES["extra_scores"](spark, "/root/testdata/sf0.001")) == 0
 
 
-@pytest.mark.parametrize("name", ["radius_counts"])
+@pytest.mark.parametrize("name", ["radius_counts", "living_standard"])
 def test_radius_sums(spark, name):
     assert broadcasts(QUERIES[name](spark, "/root/testdata/sf0.001")) == 0
 
